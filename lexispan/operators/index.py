@@ -43,6 +43,7 @@ class BM25Index:
     k1: float = K1
     b: float = B
     chunk_size: int = DEFAULT_CHUNK_SIZE
+    on_disk: bool = False  # Parquet-backed (a token filter can skip row groups)
 
 
 def index_tokens(file_path: Column | str = "file_path", text: Column | str = "text") -> Column:
@@ -220,4 +221,4 @@ def load_index(spark: SparkSession, path: str) -> BM25Index:
         if not cols <= set(tables[name].columns):
             raise FileNotFoundError(f"Index at {path} has a bad '{name}' table; rebuild it.")
     return BM25Index(tables["chunks"], tables["postings"], tables["terms"], tables["stats"],
-                     float(meta["k1"]), float(meta["b"]), int(meta["chunk_size"]))
+                     float(meta["k1"]), float(meta["b"]), int(meta["chunk_size"]), on_disk=True)

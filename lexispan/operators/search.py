@@ -73,7 +73,7 @@ def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -
     qtok = question_tokens(questions)
     n_qtok = qtok.count()
     postings, terms = index.postings, index.terms
-    if pushdown and n_qtok <= PUSHDOWN_TOKENS:
+    if pushdown and index.on_disk and n_qtok <= PUSHDOWN_TOKENS:
         # Bounded by the check above: the distinct tokens of this batch.
         wanted = [r[0] for r in qtok.select("token").distinct().collect()]
         postings = postings.where(F.col("token").isin(wanted))
@@ -102,8 +102,31 @@ def top_k(scored: DataFrame, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k)
 
 
+def _corpus_prefix(index: BM25Index, length: int) -> DataFrame:
+    """The first ``length`` chunks in corpus order, numbered 1..length
+    (a bounded top-N: TakeOrderedAndProject, then a window over <= length rows)."""
+    order = [F.split("file_path", "/"), F.col("first_character_index")]
+    prefix = (index.chunks.select("file_path", "first_character_index", "last_character_index")
+              .orderBy(*order).limit(length))
+    return prefix.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
+
+
+def _fill_rows(index: BM25Index, deficient: DataFrame, longest: int, exclude: DataFrame) -> DataFrame:
+    """Score-0 rows: the first ``need`` corpus chunks of every deficient
+    question, minus the chunks in ``exclude`` (already ranked)."""
+    prefix = _maybe_broadcast(_corpus_prefix(index, longest), longest, BROADCAST_FILL_PREFIX)
+    wanted = deficient.select("question_id",
+                              F.explode(F.sequence(F.lit(1), F.col("need"))).alias("pos"))
+    cand = wanted.join(prefix, "pos").drop("pos")
+    cand = cand.join(exclude.select("question_id", "file_path", "first_character_index"),
+                     ["question_id", "file_path", "first_character_index"], "left_anti")
+    return cand.withColumn("score", F.lit(0.0))
+
+
 def zero_fill_candidates(index: BM25Index, scored: DataFrame, k: int) -> DataFrame | None:
-    """Score-0 candidates for questions with fewer than k positive scores.
+    """R4, general case (negative scores possible): candidates for questions
+    with fewer than k positive scores. Zeros rank above negatives, so the
+    corpus prefix must reach past the negatives: ``k + n_negative``.
 
     Returns None when no question needs filling (nothing is planned).
     """
@@ -115,16 +138,13 @@ def zero_fill_candidates(index: BM25Index, scored: DataFrame, k: int) -> DataFra
     longest = deficient.agg(F.max("need")).first()[0]
     if longest is None:
         return None
-    longest = int(longest)
-    prefix = (index.chunks.select("file_path", "first_character_index", "last_character_index")
-              .orderBy(F.split("file_path", "/"), "first_character_index").limit(longest))
-    prefix = prefix.withColumn("pos", F.row_number().over(
-        Window.orderBy(F.split("file_path", "/"), "first_character_index")))
-    wanted = deficient.select("question_id", F.explode(F.sequence(F.lit(1), F.col("need"))).alias("pos"))
-    cand = wanted.join(_maybe_broadcast(prefix, longest, BROADCAST_FILL_PREFIX), "pos").drop("pos")
-    cand = cand.join(scored.select("question_id", "file_path", "first_character_index"),
-                     ["question_id", "file_path", "first_character_index"], "left_anti")
-    return cand.withColumn("score", F.lit(0.0))
+    return _fill_rows(index, deficient, int(longest), scored)
+
+
+def _nonnegative_idf(index: BM25Index) -> bool:
+    """True when every idf is >= 0 (average raw idf >= 0), so no score is negative."""
+    row = index.stats.select("average_idf").first()
+    return row is not None and row[0] is not None and row[0] >= 0
 
 
 def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = True,
@@ -135,19 +155,34 @@ def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = Tru
     ``question_id, rank, file_path, first_character_index,
     last_character_index, score`` (score rounded to 6 places). Questions
     without a known token (or blank, or k = 0) get no rows.
+
+    Zero-fill: with non-negative idf (the normal case) a question is
+    deficient when its top-k holds fewer than k positive scores; those
+    top-k rows (small, persisted) and the first k corpus chunks are all
+    that is needed. Otherwise the general path counts negatives over the
+    whole matched set.
     """
     check_k(k)
     if k == 0:
         return scored_empty(questions)
     scored = bm25_scores(index, questions, pushdown)
-    if fill:
+    if not fill:
+        ranked = top_k(scored, k)
+    elif _nonnegative_idf(index):
+        first = top_k(scored, k).drop("rank").persist()
+        deficient = (first.groupBy("question_id")
+                     .agg(F.count_if(F.col("score") > 0).alias("npos"))
+                     .where(F.col("npos") < k).select("question_id", F.lit(k).alias("need")))
+        if deficient.isEmpty():
+            ranked = top_k(first, k)
+        else:
+            ranked = top_k(first.unionByName(_fill_rows(index, deficient, k, first)), k)
+    else:
         scored = scored.persist()
         cand = zero_fill_candidates(index, scored, k)
-        if cand is not None:
-            scored = scored.unionByName(cand)
-    out = top_k(scored, k)
-    return out.select("question_id", "rank", "file_path", "first_character_index",
-                      "last_character_index", F.round("score", 6).alias("score"))
+        ranked = top_k(scored if cand is None else scored.unionByName(cand), k)
+    return ranked.select("question_id", "rank", "file_path", "first_character_index",
+                         "last_character_index", F.round("score", 6).alias("score"))
 
 
 def scored_empty(questions: DataFrame) -> DataFrame:
