@@ -86,5 +86,11 @@ def is_text_path(path: Column | str) -> Column:
 
 
 def corpus_order(path: Column | str) -> Column:
-    """Sort key giving component-wise path order (``a/b`` < ``a-b/c``)."""
-    return F.split(_col(path), "/")
+    """Sort key giving component-wise path order (``a/b`` < ``a-b/c``).
+
+    ``/`` becomes U+0000, which sorts below every character a path
+    component can hold, so plain string order of the key equals
+    component-by-component order of the path (and a string key is far
+    cheaper to sort than an array of components).
+    """
+    return F.replace(_col(path), F.lit("/"), F.lit("\u0000"))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lexispan.functions.text import (
     PARAGRAPH_BREAK,
+    corpus_order,
     is_blank,
     is_code_path,
     is_text_path,
@@ -232,4 +233,4 @@ def chunk_documents(documents: DataFrame, n: int = DEFAULT_CHUNK_SIZE) -> DataFr
 
 def order_chunks(chunks: DataFrame) -> DataFrame:
     """Corpus order: path component-wise, then offset."""
-    return chunks.orderBy(F.split("file_path", "/"), "first_character_index")
+    return chunks.orderBy(corpus_order("file_path"), "first_character_index")

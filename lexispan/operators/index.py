@@ -139,7 +139,9 @@ def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
     lengths = tok.select("file_path", "first_character_index", "last_character_index",
                          "text", F.size("tokens").alias("dl"))
     if materialize:
-        postings = postings.persist()
+        # Clustered by chunk: scoring then aggregates without a shuffle.
+        parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        postings = postings.repartition(parts, "file_path", "first_character_index").persist()
     st = corpus_stats(lengths)
     n_chunks = st.select("n_chunks").scalar()
     terms, average = idf_with_floor(document_frequency(postings), n_chunks)
@@ -157,6 +159,30 @@ def build_index(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
     return build_index_from_chunks(chunk_documents(documents, chunk_size), k1, b, chunk_size)
 
 
+CHUNK_KEY = ("file_path", "first_character_index")
+POSTINGS_DDL = ("token STRING, file_path STRING, first_character_index BIGINT, "
+                "last_character_index BIGINT, tf INT, dl INT")
+
+
+def _postings_table(base: str) -> str:
+    """Session-catalog name of the bucketed postings table at ``base``."""
+    return "lexispan_postings_" + hashlib.sha1(os.path.abspath(base).encode()).hexdigest()[:16]
+
+
+def _open_postings(spark: SparkSession, base: str, buckets: int) -> DataFrame:
+    """Register the bucketed postings files as an external table (the
+    bucket layout is only visible through the catalog) and open it."""
+    table = _postings_table(base)
+    location = f"{base}/postings"
+    if not location.startswith(("hdfs:", "s3", "gs:", "abfs", "file:")):
+        location = os.path.abspath(location)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({POSTINGS_DDL}) USING parquet "
+              f"CLUSTERED BY ({', '.join(CHUNK_KEY)}) SORTED BY (token) INTO {buckets} BUCKETS "
+              f"LOCATION '{location}'")
+    return spark.table(table)
+
+
 def _stop_word_digest() -> str:
     return hashlib.sha256(("\n".join(STOP_WORDS) + "\n" + TOKEN_PATTERN).encode()).hexdigest()
 
@@ -182,11 +208,18 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
     chunks = spark.read.parquet(f"{base}/chunks")
     if chunks.isEmpty():
         raise ValueError(f"No indexable chunks found in corpus for index: {path}")
-    nfiles = postings_files or spark.sparkContext.defaultParallelism
+    nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Bucketed by chunk: scoring sums per (question, chunk), so with the
+    # postings already clustered by chunk that aggregation needs no
+    # shuffle. Sorted by token inside each bucket: a token filter skips
+    # row groups. One writer task per bucket (no small-file explosion).
+    table = _postings_table(base)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     postings_from_tokens(tokenized_chunks(chunks.drop("dl")))\
-        .repartition(nfiles, "token").sortWithinPartitions("token")\
-        .write.mode("overwrite").parquet(f"{base}/postings")
-    postings = spark.read.parquet(f"{base}/postings")
+        .repartition(nfiles, *CHUNK_KEY)\
+        .write.mode("overwrite").format("parquet").option("path", f"{base}/postings")\
+        .bucketBy(nfiles, *CHUNK_KEY).sortBy("token").saveAsTable(table)
+    postings = spark.table(table)
     st = corpus_stats(chunks)
     terms, average = idf_with_floor(document_frequency(postings), st.select("n_chunks").scalar())
     terms.repartition(max(1, nfiles // 4), "token").sortWithinPartitions("token")\
@@ -194,7 +227,8 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
     st.select("n_chunks", "avgdl", average.alias("average_idf"))\
         .write.mode("overwrite").parquet(f"{base}/stats")
     meta = {"format_version": FORMAT_VERSION, "k1": index.k1, "b": index.b,
-            "chunk_size": index.chunk_size, "stop_words": _stop_word_digest()}
+            "chunk_size": index.chunk_size, "stop_words": _stop_word_digest(),
+            "postings_buckets": nfiles}
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string")\
         .coalesce(1).write.mode("overwrite").text(f"{base}/meta")
     return load_index(spark, path)
@@ -207,7 +241,8 @@ def load_index(spark: SparkSession, path: str) -> BM25Index:
         raise FileNotFoundError(f"No index found at {path}; run the index command first.")
     try:
         meta = json.loads(spark.read.text(f"{base}/meta").first()["value"])
-        tables = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES}
+        tables = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES if t != "postings"}
+        tables["postings"] = _open_postings(spark, base, int(meta["postings_buckets"]))
     except Exception as error:  # noqa: BLE001 - any read failure means rebuild
         raise FileNotFoundError(
             f"Index at {path} could not be loaded ({error}); run the index command again.") from error

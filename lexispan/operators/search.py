@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispan.functions.text import is_blank, tokenize
+from lexispan.functions.text import corpus_order, is_blank, tokenize
 from lexispan.operators.index import BM25Index
 
 # Broadcast limits (rows). Beyond them the planner chooses a shuffle join.
@@ -90,9 +90,15 @@ def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -
             .agg(F.sum(contrib).alias("score")))
 
 
+def score_key(score: Column) -> Column:
+    """Scores equal to 9 decimal places tie (sums of doubles depend on
+    their order); then corpus order decides."""
+    return F.rint(score * F.lit(1e9))
+
+
 def _ranking_window() -> Window:
     return Window.partitionBy("question_id").orderBy(
-        F.round("score", 9).desc(), F.split("file_path", "/").asc(),
+        score_key(F.col("score")).desc(), corpus_order("file_path").asc(),
         F.col("first_character_index").asc())
 
 
@@ -105,7 +111,7 @@ def top_k(scored: DataFrame, k: int) -> DataFrame:
 def _corpus_prefix(index: BM25Index, length: int) -> DataFrame:
     """The first ``length`` chunks in corpus order, numbered 1..length
     (a bounded top-N: TakeOrderedAndProject, then a window over <= length rows)."""
-    order = [F.split("file_path", "/"), F.col("first_character_index")]
+    order = [corpus_order("file_path"), F.col("first_character_index")]
     prefix = (index.chunks.select("file_path", "first_character_index", "last_character_index")
               .orderBy(*order).limit(length))
     return prefix.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
