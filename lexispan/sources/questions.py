@@ -15,6 +15,8 @@ the question silently degrades to unanswered, as in the reference.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,6 +101,28 @@ def parse_document(doc: DataFrame, top_key: str = "rag_questions") -> DataFrame:
     return checked.select(F.posexplode("arr").alias("input_pos", "item"))
 
 
+def _local(path: str) -> bool:
+    return "://" not in path or path.startswith("file:")
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON document as one row (column ``value``), decoded strictly:
+    a file that is not UTF-8 is an error (the text reader would silently
+    put U+FFFD in place of bad bytes)."""
+    if _local(path):
+        local = path[len("file:"):] if path.startswith("file:") else path
+        if not os.path.exists(local):
+            raise FileNotFoundError(f"file not found: {path}")
+        if os.path.isdir(local) and not os.path.exists(os.path.join(local, "_SUCCESS")):
+            # A directory is only accepted when it is a Spark output folder.
+            raise IsADirectoryError(f"expected a file, got directory: {path}")
+    raw = spark.read.format("binaryFile").load(path).select("content")
+    return raw.select(F.when(F.is_valid_utf8(F.col("content").cast("string")),
+                             F.decode(F.col("content"), "UTF-8"))
+                      .otherwise(F.raise_error(F.lit(f"dataset is not valid UTF-8: {path}")))
+                      .alias("value"))
+
+
 def load_questions(spark: SparkSession, path: str, strict: bool = True,
                    json_lines: bool = False) -> DataFrame:
     """S5 + S6: read and validate a question set.
@@ -111,7 +135,7 @@ def load_questions(spark: SparkSession, path: str, strict: bool = True,
         items = lines.select(F.monotonically_increasing_id().alias("input_pos"),
                              F.parse_json("value").alias("item"))
     else:
-        items = parse_document(spark.read.text(path, wholetext=True))
+        items = parse_document(read_document(spark, path))
     table = validate_items(items)
     if strict:
         bad = table.where(~F.col("is_valid")).select("input_pos", "reason").limit(1).collect()
@@ -130,8 +154,9 @@ def gold_from_questions(questions: DataFrame) -> DataFrame:
     duplicate ids resolved last-wins (E5)."""
     from lexispan.operators.evaluate import last_wins
 
-    answered = last_wins(questions.where("is_valid"))
-    answered = answered.where("is_answered")
+    # Only answered questions enter the gold map, then the last one of
+    # an id wins (an unanswered duplicate does not replace it).
+    answered = last_wins(questions.where(F.col("is_valid") & F.col("is_answered")))
     return answered.select("question_id", F.posexplode("sources").alias("gold_pos", "s")).select(
         "question_id", (F.col("gold_pos") + 1).alias("gold_pos"), "s.file_path",
         "s.first_character_index", "s.last_character_index")
@@ -181,7 +206,7 @@ def load_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     last[, answer]); header: one row with ``k``. Offsets are validated
     like question sources; an invalid file raises ``InvalidDataset``.
     """
-    doc = spark.read.text(path, wholetext=True)
+    doc = read_document(spark, path)
     v = F.try_parse_json(F.col("value"))
     k = F.variant_get(v, "$.k", "variant")
     items = doc.select(v.alias("v")).select(
