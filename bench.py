@@ -48,7 +48,8 @@ def main() -> None:
 
     t = time.time()
     corpus = fx.prose_corpus(spark, sf_dir)
-    index = ix.save_index(ix.build_index(corpus, 2000), out_dir, postings_files=cpus * 2)
+    index = ix.save_index(ix.build_index(corpus, 2000, materialize=False), out_dir,
+                          postings_files=cpus * 2)
     n_chunks = index.stats.first()["n_chunks"]
     times["index"] = time.time() - t
     extra["chunks"] = int(n_chunks)

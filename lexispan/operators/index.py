@@ -1,10 +1,16 @@
 """BM25 inverted index as four DataFrames.
 
-* ``chunks``   (file_path, first_character_index, last_character_index, text, dl)
-* ``postings`` (token, file_path, first_character_index, last_character_index, tf, dl)
+* ``chunks``   (chunk_id, file_path, first_character_index, last_character_index, text, dl)
+* ``postings`` (token, chunk_id, tf, dl, tfn)
 * ``terms``    (token, df, idf)
 * ``stats``    one row (n_chunks, avgdl, average_idf)
 
+``chunk_id`` is a BIGINT given to each chunk once, when the chunk table
+is materialized (written, or persisted from a deterministic plan); the
+postings carry it instead of the path string, so they stay narrow.
+``tfn`` is the BM25 term-frequency factor
+``tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl))``, fixed per index.
+
 Term frequencies are counted inside each chunk's row (sort the token
 array, measure the runs), so postings come out of a narrow projection
 with no shuffle; only document frequency needs a shuffle, by token,
@@ -30,7 +36,7 @@ K1 = 1.0
 B = 0.4
 IDF_FLOOR_FACTOR = 0.25
 
-FORMAT_VERSION = 1
+FORMAT_VERSION = 2
 TABLES = ("chunks", "postings", "terms", "stats")
 
 
@@ -75,18 +81,28 @@ def tokenized_chunks(chunks: DataFrame) -> DataFrame:
     return chunks.select(*chunks.columns, index_tokens().alias("tokens"))
 
 
-def postings_from_tokens(tok: DataFrame) -> DataFrame:
-    """One row per (chunk, token) with its tf and the chunk length."""
-    keys = ["file_path", "first_character_index", "last_character_index"]
-    srt = tok.select(*keys, F.size("tokens").alias("dl"), F.sort_array("tokens").alias("srt"))
-    t = srt.select(*keys, "dl", F.explode(term_frequencies(F.col("srt"))).alias("p"))
-    return t.select(F.col("p.token").alias("token"), "file_path", "first_character_index",
-                    "last_character_index", F.col("p.tf").alias("tf"), "dl")
+def tf_factor(tf: Column, dl: Column, avgdl: Column, k1: float, b: float) -> Column:
+    """BM25 term-frequency factor of one (chunk, token)."""
+    tf = tf.cast("double")
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl.cast("double") / avgdl)
+    return (tf * F.lit(k1 + 1.0)) / (tf + norm)
+
+
+def postings_from_tokens(tok: DataFrame, avgdl: Column | None = None,
+                         k1: float = K1, b: float = B) -> DataFrame:
+    """One row per (chunk, token): tf, the chunk length and, given
+    ``avgdl``, the BM25 tf factor."""
+    srt = tok.select("chunk_id", F.size("tokens").alias("dl"), F.sort_array("tokens").alias("srt"))
+    t = srt.select("chunk_id", "dl", F.explode(term_frequencies(F.col("srt"))).alias("p"))
+    out = t.select(F.col("p.token").alias("token"), "chunk_id", F.col("p.tf").alias("tf"), "dl")
+    if avgdl is not None:
+        out = out.withColumn("tfn", tf_factor(F.col("tf"), F.col("dl"), avgdl, k1, b))
+    return out
 
 
 def chunk_lengths(tok: DataFrame) -> DataFrame:
     """``dl`` per chunk (tokens after stop-words, path included)."""
-    return tok.select("file_path", "first_character_index", "last_character_index",
+    return tok.select("chunk_id", "file_path", "first_character_index", "last_character_index",
                       F.size("tokens").alias("dl"))
 
 
@@ -121,28 +137,34 @@ def idf_with_floor(dfreq: DataFrame, n_chunks: Column) -> tuple[DataFrame, Colum
     return terms, average
 
 
+def with_chunk_ids(chunks: DataFrame) -> DataFrame:
+    """Give every chunk a unique BIGINT id (stable for a deterministic
+    input; fixed for good once the table is written or persisted)."""
+    return chunks.select(F.monotonically_increasing_id().alias("chunk_id"),
+                         "file_path", "first_character_index", "last_character_index", "text")
+
+
 def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
                             chunk_size: int = DEFAULT_CHUNK_SIZE,
                             materialize: bool = True) -> BM25Index:
     """I1-I4 over a chunk table.
 
     With ``materialize`` the tokenized chunks are persisted (memory, then
-    local disk; a lost block is recomputed from its lineage) so that
-    chunking and tokenizing run once for postings, lengths and the
-    corpus statistics. ``save_index`` writes Parquet tables instead.
+    local disk; a lost block is recomputed from its deterministic
+    lineage) so that chunking and tokenizing run once, and the postings
+    are persisted clustered by chunk (scoring then sums per question and
+    chunk without a shuffle). ``save_index`` writes Parquet tables instead.
     """
-    tok = tokenized_chunks(chunks.select(
-        "file_path", "first_character_index", "last_character_index", "text"))
+    tok = tokenized_chunks(with_chunk_ids(chunks))
     if materialize:
         tok = tok.persist()
-    postings = postings_from_tokens(tok)
-    lengths = tok.select("file_path", "first_character_index", "last_character_index",
+    lengths = tok.select("chunk_id", "file_path", "first_character_index", "last_character_index",
                          "text", F.size("tokens").alias("dl"))
+    st = corpus_stats(lengths)
+    postings = postings_from_tokens(tok, st.select("avgdl").scalar(), k1, b)
     if materialize:
-        # Clustered by chunk: scoring then aggregates without a shuffle.
         parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        postings = postings.repartition(parts, "file_path", "first_character_index").persist()
-    st = corpus_stats(lengths)
+        postings = postings.repartition(parts, "chunk_id").persist()
     n_chunks = st.select("n_chunks").scalar()
     terms, average = idf_with_floor(document_frequency(postings), n_chunks)
     if materialize:
@@ -152,16 +174,17 @@ def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
 
 
 def build_index(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
-                k1: float = K1, b: float = B) -> BM25Index:
+                k1: float = K1, b: float = B, materialize: bool = True) -> BM25Index:
     """Documents -> chunks -> index. The empty-corpus error is raised
-    by ``save_index`` / ``materialize`` (it needs an action)."""
+    by ``save_index`` (it needs an action). For an index that is going
+    to be saved, pass ``materialize=False`` (nothing is cached)."""
     check_chunk_size(chunk_size)
-    return build_index_from_chunks(chunk_documents(documents, chunk_size), k1, b, chunk_size)
+    return build_index_from_chunks(chunk_documents(documents, chunk_size), k1, b, chunk_size,
+                                   materialize)
 
 
-CHUNK_KEY = ("file_path", "first_character_index")
-POSTINGS_DDL = ("token STRING, file_path STRING, first_character_index BIGINT, "
-                "last_character_index BIGINT, tf INT, dl INT")
+CHUNK_KEY = ("chunk_id",)
+POSTINGS_DDL = "token STRING, chunk_id BIGINT, tf INT, dl INT, tfn DOUBLE"
 
 
 def _postings_table(base: str) -> str:
@@ -201,26 +224,29 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
     if os.path.exists(path) and not os.path.isdir(path):
         raise NotADirectoryError(f"expected an output directory, got file: {path}")
     base = path.rstrip("/")
-    # Chunking runs once: chunks (with their length) are written, and the
-    # postings re-tokenize the written table instead of re-chunking.
-    index.chunks.select("file_path", "first_character_index", "last_character_index",
+    # Chunking runs once: chunks (with id and length) are written, and
+    # the postings re-tokenize the written table instead of re-chunking.
+    index.chunks.select("chunk_id", "file_path", "first_character_index", "last_character_index",
                         "text", "dl").write.mode("overwrite").parquet(f"{base}/chunks")
     chunks = spark.read.parquet(f"{base}/chunks")
     if chunks.isEmpty():
         raise ValueError(f"No indexable chunks found in corpus for index: {path}")
+    st = corpus_stats(chunks)
+    st.write.mode("overwrite").parquet(f"{base}/stats_base")
+    st = spark.read.parquet(f"{base}/stats_base")
     nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Bucketed by chunk: scoring sums per (question, chunk), so with the
+    # Bucketed by chunk id: scoring sums per (question, chunk), so with the
     # postings already clustered by chunk that aggregation needs no
     # shuffle. Sorted by token inside each bucket: a token filter skips
     # row groups. One writer task per bucket (no small-file explosion).
     table = _postings_table(base)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    postings_from_tokens(tokenized_chunks(chunks.drop("dl")))\
+    postings_from_tokens(tokenized_chunks(chunks.drop("dl")), st.select("avgdl").scalar(),
+                         index.k1, index.b)\
         .repartition(nfiles, *CHUNK_KEY)\
         .write.mode("overwrite").format("parquet").option("path", f"{base}/postings")\
         .bucketBy(nfiles, *CHUNK_KEY).sortBy("token").saveAsTable(table)
     postings = spark.table(table)
-    st = corpus_stats(chunks)
     terms, average = idf_with_floor(document_frequency(postings), st.select("n_chunks").scalar())
     terms.repartition(max(1, nfiles // 4), "token").sortWithinPartitions("token")\
         .write.mode("overwrite").parquet(f"{base}/terms")
@@ -248,8 +274,9 @@ def load_index(spark: SparkSession, path: str) -> BM25Index:
             f"Index at {path} could not be loaded ({error}); run the index command again.") from error
     if meta.get("format_version") != FORMAT_VERSION or meta.get("stop_words") != _stop_word_digest():
         raise FileNotFoundError(f"Index at {path} is stale; run the index command again.")
-    expected = {"chunks": {"file_path", "first_character_index", "last_character_index", "text", "dl"},
-                "postings": {"token", "file_path", "first_character_index", "last_character_index", "tf", "dl"},
+    expected = {"chunks": {"chunk_id", "file_path", "first_character_index", "last_character_index",
+                           "text", "dl"},
+                "postings": {"token", "chunk_id", "tf", "dl", "tfn"},
                 "terms": {"token", "df", "idf"},
                 "stats": {"n_chunks", "avgdl", "average_idf"}}
     for name, cols in expected.items():

@@ -57,7 +57,7 @@ def question_tokens(questions: DataFrame) -> DataFrame:
 
 
 def bm25_term(idf: Column, tf: Column, dl: Column, avgdl: Column, k1: float, b: float) -> Column:
-    """One token's BM25 contribution to one chunk."""
+    """One token's BM25 contribution to one chunk (from tf and dl)."""
     tf = tf.cast("double")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl.cast("double") / avgdl)
     return idf * (tf * F.lit(k1 + 1.0)) / (tf + norm)
@@ -68,8 +68,14 @@ def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
 
 
 def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -> DataFrame:
-    """(question_id, file_path, first, last, score) for every chunk
-    sharing at least one token with the question (not rounded)."""
+    """(question_id, chunk_id, score) for every chunk sharing at least
+    one token with the question (not rounded).
+
+    The per-token weight ``qtf * idf`` is formed on the small question
+    side; each matched posting then costs one multiply by its stored tf
+    factor. With postings clustered by chunk (bucketed table or the
+    persisted in-memory index) the sum needs no shuffle.
+    """
     qtok = question_tokens(questions)
     n_qtok = qtok.count()
     postings, terms = index.postings, index.terms
@@ -78,16 +84,13 @@ def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -
         wanted = [r[0] for r in qtok.select("token").distinct().collect()]
         postings = postings.where(F.col("token").isin(wanted))
         terms = terms.where(F.col("token").isin(wanted))
-    avgdl = index.stats.select("avgdl").scalar()
     q = _maybe_broadcast(qtok, n_qtok, BROADCAST_QUESTION_TOKENS)
-    qt = q.join(terms.select("token", "idf"), "token")
+    qt = q.join(terms.select("token", "idf"), "token").select(
+        "question_id", "token", (F.col("qtf").cast("double") * F.col("idf")).alias("w"))
     qt = _maybe_broadcast(qt, n_qtok, BROADCAST_QUESTION_TOKENS)
-    matched = qt.join(postings, "token")
-    contrib = F.col("qtf") * bm25_term(F.col("idf"), F.col("tf"), F.col("dl"), avgdl,
-                                       index.k1, index.b)
-    return (matched.groupBy("question_id", "file_path", "first_character_index",
-                            "last_character_index")
-            .agg(F.sum(contrib).alias("score")))
+    matched = qt.join(postings.select("token", "chunk_id", "tfn"), "token")
+    return (matched.groupBy("question_id", "chunk_id")
+            .agg(F.sum(F.col("w") * F.col("tfn")).alias("score")))
 
 
 def score_key(score: Column) -> Column:
@@ -96,15 +99,37 @@ def score_key(score: Column) -> Column:
     return F.rint(score * F.lit(1e9))
 
 
-def _ranking_window() -> Window:
+def _final_window() -> Window:
     return Window.partitionBy("question_id").orderBy(
         score_key(F.col("score")).desc(), corpus_order("file_path").asc(),
         F.col("first_character_index").asc())
 
 
-def top_k(scored: DataFrame, k: int) -> DataFrame:
-    """R2: best ``k`` chunks per question; ties keep corpus order."""
-    ranked = scored.withColumn("rank", F.row_number().over(_ranking_window()))
+def with_spans(index: BM25Index, scored: DataFrame) -> DataFrame:
+    """Attach (file_path, first, last) to rows keyed by chunk_id."""
+    keys = index.chunks.select("chunk_id", "file_path", "first_character_index",
+                               "last_character_index")
+    return scored.join(keys, "chunk_id")
+
+
+def top_k(index: BM25Index, scored: DataFrame, k: int) -> DataFrame:
+    """R2: best ``k`` chunks per question; equal scores keep corpus order.
+
+    Phase 1 keeps rows whose score rank is <= k (ties at the boundary
+    all stay) with a partial ``WindowGroupLimit`` before the shuffle, so
+    a question matching millions of chunks moves only ~k rows per task.
+    Phase 2 joins those few rows to their paths and breaks ties by
+    corpus order. Exact: a row of the final top k has fewer than k
+    strictly better rows, so phase 1 keeps it.
+    """
+    w1 = Window.partitionBy("question_id").orderBy(score_key(F.col("score")).desc())
+    survivors = scored.withColumn("_r", F.rank().over(w1)).where(F.col("_r") <= k).drop("_r")
+    return rank_located(with_spans(index, survivors), k)
+
+
+def rank_located(located: DataFrame, k: int) -> DataFrame:
+    """Final ordering of rows that already carry their spans."""
+    ranked = located.withColumn("rank", F.row_number().over(_final_window()))
     return ranked.where(F.col("rank") <= k)
 
 
@@ -112,20 +137,20 @@ def _corpus_prefix(index: BM25Index, length: int) -> DataFrame:
     """The first ``length`` chunks in corpus order, numbered 1..length
     (a bounded top-N: TakeOrderedAndProject, then a window over <= length rows)."""
     order = [corpus_order("file_path"), F.col("first_character_index")]
-    prefix = (index.chunks.select("file_path", "first_character_index", "last_character_index")
+    prefix = (index.chunks.select("chunk_id", "file_path", "first_character_index",
+                                  "last_character_index")
               .orderBy(*order).limit(length))
     return prefix.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
 
 
 def _fill_rows(index: BM25Index, deficient: DataFrame, longest: int, exclude: DataFrame) -> DataFrame:
     """Score-0 rows: the first ``need`` corpus chunks of every deficient
-    question, minus the chunks in ``exclude`` (already ranked)."""
+    question, minus the chunks in ``exclude`` (already scored)."""
     prefix = _maybe_broadcast(_corpus_prefix(index, longest), longest, BROADCAST_FILL_PREFIX)
     wanted = deficient.select("question_id",
                               F.explode(F.sequence(F.lit(1), F.col("need"))).alias("pos"))
     cand = wanted.join(prefix, "pos").drop("pos")
-    cand = cand.join(exclude.select("question_id", "file_path", "first_character_index"),
-                     ["question_id", "file_path", "first_character_index"], "left_anti")
+    cand = cand.join(exclude.select("question_id", "chunk_id"), ["question_id", "chunk_id"], "left_anti")
     return cand.withColumn("score", F.lit(0.0))
 
 
@@ -173,20 +198,22 @@ def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = Tru
         return scored_empty(questions)
     scored = bm25_scores(index, questions, pushdown)
     if not fill:
-        ranked = top_k(scored, k)
+        ranked = top_k(index, scored, k)
     elif _nonnegative_idf(index):
-        first = top_k(scored, k).drop("rank").persist()
+        first = top_k(index, scored, k).drop("rank").persist()
         deficient = (first.groupBy("question_id")
                      .agg(F.count_if(F.col("score") > 0).alias("npos"))
                      .where(F.col("npos") < k).select("question_id", F.lit(k).alias("need")))
         if deficient.isEmpty():
-            ranked = top_k(first, k)
+            ranked = rank_located(first, k)
         else:
-            ranked = top_k(first.unionByName(_fill_rows(index, deficient, k, first)), k)
+            ranked = rank_located(first.unionByName(_fill_rows(index, deficient, k, first)), k)
     else:
         scored = scored.persist()
         cand = zero_fill_candidates(index, scored, k)
-        ranked = top_k(scored if cand is None else scored.unionByName(cand), k)
+        if cand is not None:
+            scored = scored.unionByName(cand.select("question_id", "chunk_id", "score"))
+        ranked = top_k(index, scored, k)
     return ranked.select("question_id", "rank", "file_path", "first_character_index",
                          "last_character_index", F.round("score", 6).alias("score"))
 

@@ -139,7 +139,8 @@ def q_index_tokens(spark, sf):
 
 
 def q_postings(spark, sf):
-    p = _index(spark, sf).postings
+    idx = _index(spark, sf)
+    p = idx.postings.join(idx.chunks.select("chunk_id", "file_path", "first_character_index"), "chunk_id")
     return _bigint(p.select("token", "file_path", "first_character_index", "tf", "dl"), "tf", "dl")
 
 
@@ -174,7 +175,8 @@ def q_build_index(spark, sf):
 
 
 def q_bm25_scores(spark, sf):
-    s = se.bm25_scores(_index(spark, sf), fx.benchmark_questions(spark, sf))
+    idx = _index(spark, sf)
+    s = se.with_spans(idx, se.bm25_scores(idx, fx.benchmark_questions(spark, sf)))
     return s.select("question_id", "file_path", "first_character_index",
                     F.round("score", 6).alias("score"))
 
@@ -311,7 +313,7 @@ def q_question_count(spark, sf):
 
 def q_index_roundtrip(spark, sf):
     path = _scratch(spark, "index")
-    saved = ix.save_index(ix.build_index(fx.prose_corpus(spark, sf), N_SMALL), path)
+    saved = ix.save_index(ix.build_index(fx.prose_corpus(spark, sf), N_SMALL, materialize=False), path)
     again = ix.load_index(spark, path)
     del saved
     return _topk_out(se.search(again, _topk_questions(spark, sf), K))

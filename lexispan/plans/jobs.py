@@ -48,7 +48,7 @@ def index_corpus(spark: SparkSession, corpus_dir: str | None = None,
         if corpus_dir is None:
             raise ValueError("give corpus_dir or documents")
         documents = co.load_documents(spark, corpus_dir, project_root, mode)
-    return ix.save_index(ix.build_index(documents, chunk_size), index_dir)
+    return ix.save_index(ix.build_index(documents, chunk_size, materialize=False), index_dir)
 
 
 def _one_question(spark: SparkSession, query: str) -> DataFrame:

@@ -51,8 +51,8 @@ def test_k_zero_and_negative(spark):
 
 def test_repeated_token_doubles_score(spark):
     idx = build(spark, CORPUS)
-    one = {r.file_path: r.score for r in se.bm25_scores(idx, qdf(spark, [("q", "lora")])).collect()}
-    two = {r.file_path: r.score for r in se.bm25_scores(idx, qdf(spark, [("q", "lora lora")])).collect()}
+    one = {r.chunk_id: r.score for r in se.bm25_scores(idx, qdf(spark, [("q", "lora")])).collect()}
+    two = {r.chunk_id: r.score for r in se.bm25_scores(idx, qdf(spark, [("q", "lora lora")])).collect()}
     assert one
     for p in one:
         assert two[p] == pytest.approx(2 * one[p], rel=1e-9)
@@ -142,6 +142,6 @@ def test_plan_has_no_cross_join_and_pruned_topk(spark):
     idx = build(spark, CORPUS)
     plan = se.search(idx, qdf(spark, [("q", "lora")]), 2)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    plan = se.top_k(se.bm25_scores(idx, qdf(spark, [("q", "lora")])), 2)._jdf.queryExecution()\
+    plan = se.top_k(idx, se.bm25_scores(idx, qdf(spark, [("q", "lora")])), 2)._jdf.queryExecution()\
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan
