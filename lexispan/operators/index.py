@@ -229,11 +229,9 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
     index.chunks.select("chunk_id", "file_path", "first_character_index", "last_character_index",
                         "text", "dl").write.mode("overwrite").parquet(f"{base}/chunks")
     chunks = spark.read.parquet(f"{base}/chunks")
-    if chunks.isEmpty():
-        raise ValueError(f"No indexable chunks found in corpus for index: {path}")
     st = corpus_stats(chunks)
-    st.write.mode("overwrite").parquet(f"{base}/stats_base")
-    st = spark.read.parquet(f"{base}/stats_base")
+    if st.first()["n_chunks"] == 0:
+        raise ValueError(f"No indexable chunks found in corpus for index: {path}")
     nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Bucketed by chunk id: scoring sums per (question, chunk), so with the
     # postings already clustered by chunk that aggregation needs no
