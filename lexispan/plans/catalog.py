@@ -319,7 +319,35 @@ def q_index_roundtrip(spark, sf):
     return _topk_out(se.search(again, _topk_questions(spark, sf), K))
 
 
+def q_corpus_load(spark, sf):
+    """S2 on a table corpus: newline normalisation + supported-suffix filter."""
+    d = fx.table(spark, sf, "documents")
+    paths = _mixed_paths(spark, sf)
+    table = d.select("doc_id", "text").join(paths, "doc_id")
+    return co.documents_from_table(table)
+
+
+def q_search_stream(spark, sf):
+    """R6 over a stream: benchmark questions land as JSON Lines files,
+    Structured Streaming ranks each micro-batch against the saved index."""
+    from lexispan.streaming.questions import read_stream_results, search_stream
+
+    work = _scratch(spark, "stream")
+    ix.save_index(ix.build_index(fx.prose_corpus(spark, sf), N_SMALL, materialize=False), f"{work}/idx")
+    fx.benchmark_questions(spark, sf).repartition(4).write.mode("overwrite").json(f"{work}/in")
+    run = search_stream(spark, f"{work}/idx", f"{work}/in", f"{work}/out", K,
+                        checkpoint=f"{work}/ckpt", available_now=True)
+    run.awaitTermination()
+    if run.exception() is not None:
+        raise RuntimeError(str(run.exception()))
+    out = read_stream_results(spark, f"{work}/out")
+    return _bigint(out.select("question_id", "question", "rank", "file_path", "first_character_index",
+                              "last_character_index", "score"), "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "corpus_load": q_corpus_load,
+    "search_stream": q_search_stream,
     "supported_files": q_supported_files,
     "relative_paths": q_relative_paths,
     "split_fixed": q_split_fixed,
@@ -597,6 +625,16 @@ FROM qs q LEFT JOIN src s USING (question_id)"""
 
 
 SQL: dict[str, str] = {
+    "corpus_load": "WITH " + MIXED_PATHS + r""",
+sfx AS (SELECT doc_id, file_path,
+   lower(regexp_extract(string_split(file_path, '/')[-1], '^.+?(\.[^.]+)$', 1)) AS suffix FROM mp)
+SELECT s.file_path, regexp_replace(d.text, '\r\n?', chr(10), 'g') AS text
+FROM sfx s JOIN documents d USING (doc_id)
+WHERE s.suffix IN ('.py', '.pyi', '.md', '.rst', '.txt')""",
+    "search_stream": _topk_cte(Q_BENCH) + """
+SELECT q.question_id, q.question, t.rank, t.file_path, t.first_character_index,
+       t.last_character_index, t.score
+FROM qs q LEFT JOIN topk t USING (question_id)""",
     "supported_files": "WITH " + MIXED_PATHS + r""",
 sfx AS (SELECT doc_id, file_path,
    lower(regexp_extract(string_split(file_path, '/')[-1], '^.+?(\.[^.]+)$', 1)) AS suffix FROM mp)
