@@ -34,6 +34,7 @@ from lexispan.operators.index import BM25Index
 # Broadcast limits (rows). Beyond them the planner chooses a shuffle join.
 BROADCAST_QUESTION_TOKENS = 2_000_000
 BROADCAST_FILL_PREFIX = 1_000_000
+BROADCAST_SURVIVORS = 5_000_000
 # Distinct question tokens up to this count are pushed into the
 # postings/terms scans as an IN filter (row-group skipping on Parquet).
 PUSHDOWN_TOKENS = 20_000
@@ -105,10 +106,17 @@ def _final_window() -> Window:
         F.col("first_character_index").asc())
 
 
-def with_spans(index: BM25Index, scored: DataFrame) -> DataFrame:
-    """Attach (file_path, first, last) to rows keyed by chunk_id."""
+def with_spans(index: BM25Index, scored: DataFrame, rows: int | None = None) -> DataFrame:
+    """Attach (file_path, first, last) to rows keyed by chunk_id.
+
+    With a known, bounded row count the keyed rows are broadcast and the
+    chunk table is streamed (never shuffled); otherwise the planner
+    chooses.
+    """
     keys = index.chunks.select("chunk_id", "file_path", "first_character_index",
                                "last_character_index")
+    if rows is not None and rows <= BROADCAST_SURVIVORS:
+        return F.broadcast(scored).join(keys, "chunk_id")
     return scored.join(keys, "chunk_id")
 
 
@@ -118,13 +126,15 @@ def top_k(index: BM25Index, scored: DataFrame, k: int) -> DataFrame:
     Phase 1 keeps rows whose score rank is <= k (ties at the boundary
     all stay) with a partial ``WindowGroupLimit`` before the shuffle, so
     a question matching millions of chunks moves only ~k rows per task.
-    Phase 2 joins those few rows to their paths and breaks ties by
-    corpus order. Exact: a row of the final top k has fewer than k
-    strictly better rows, so phase 1 keeps it.
+    The survivors (about k per question) are persisted and counted; when
+    the count is within the broadcast bound they are broadcast to a
+    stream over the chunk table to pick up their paths. Phase 2 breaks
+    ties by corpus order. Exact: a row of the final top k has fewer than
+    k strictly better rows, so phase 1 keeps it.
     """
     w1 = Window.partitionBy("question_id").orderBy(score_key(F.col("score")).desc())
-    survivors = scored.withColumn("_r", F.rank().over(w1)).where(F.col("_r") <= k).drop("_r")
-    return rank_located(with_spans(index, survivors), k)
+    survivors = scored.withColumn("_r", F.rank().over(w1)).where(F.col("_r") <= k).drop("_r").persist()
+    return rank_located(with_spans(index, survivors, survivors.count()), k)
 
 
 def rank_located(located: DataFrame, k: int) -> DataFrame:

@@ -131,8 +131,8 @@ def answer_query(spark: SparkSession, query: str, make_answerer: Callable[[], cx
     se.check_k(k)
     index = ix.load_index(spark, index_dir)
     res = se.search(index, _one_question(spark, query), k)
-    with_text = res.join(index.chunks.select("file_path", "first_character_index", "text"),
-                         ["file_path", "first_character_index"])
+    with_text = F.broadcast(res).join(index.chunks.select("file_path", "first_character_index", "text"),
+                                      ["file_path", "first_character_index"])
     # k rows at most: gathered on the driver for the one call.
     texts = [r["text"] for r in with_text.orderBy("rank").select("text").collect()]
     return res, cx.answer_one(query, texts, make_answerer)
