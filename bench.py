@@ -70,6 +70,7 @@ def main() -> None:
     n_questions = questions.count()
     results = se.search(index, questions, 10)
     results.write.mode("overwrite").parquet(os.path.join(out_dir, "results"))
+    se.release_cached()
     times["search"] = time.time() - t
     extra["questions"] = int(n_questions)
     extra["questions_per_sec"] = round(n_questions / times["search"], 1)

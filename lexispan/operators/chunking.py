@@ -29,7 +29,11 @@ from lexispan.functions.text import (
     is_text_path,
     path_suffix,
 )
-from lexispan.operators.code_bounds import statement_ends_udf
+from lexispan.operators.code_bounds import (
+    packed_paragraphs_udf,
+    paragraph_bounds_udf,
+    statement_ends_udf,
+)
 
 MAX_CHUNK_SIZE = 2000
 DEFAULT_CHUNK_SIZE = 2000
@@ -83,8 +87,22 @@ def _piece_lengths(text: Column) -> Column:
         F.length(p).cast("bigint").alias("lp"), F.length(q).cast("bigint").alias("lq")))
 
 
+# Documents with more paragraphs than this take the linear Python fold
+# (the native fold appends to an array, which grows quadratically).
+LARGE_PARAGRAPH_COUNT = 2048
+
+
+def _many_paragraphs(text: Column) -> Column:
+    return F.size(F.split(text, PARAGRAPH_BREAK)) > F.lit(LARGE_PARAGRAPH_COUNT)
+
+
 def paragraph_bounds(text: Column) -> Column:
     """C4: ``[s, e)`` of every non-empty paragraph, in order."""
+    many = _many_paragraphs(text)
+    return F.when(many, paragraph_bounds_udf(F.when(many, text))).otherwise(_paragraph_fold(text))
+
+
+def _paragraph_fold(text: Column) -> Column:
     zero = F.struct(F.lit(0).cast("bigint").alias("cur"),
                     F.array().cast(BOUND_TYPE).alias("out"))
 
@@ -105,6 +123,11 @@ def packed_paragraphs(text: Column, n: int) -> Column:
     separators inside count); otherwise it is flushed and a new one
     starts at that paragraph. Returns the buffer spans (before C2).
     """
+    many = _many_paragraphs(text)
+    return F.when(many, packed_paragraphs_udf(n)(F.when(many, text))).otherwise(_packing_fold(text, n))
+
+
+def _packing_fold(text: Column, n: int) -> Column:
     zero = F.struct(F.lit(0).cast("bigint").alias("cur"),
                     F.lit(-1).cast("bigint").alias("bs"),
                     F.lit(-1).cast("bigint").alias("be"),

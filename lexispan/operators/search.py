@@ -43,6 +43,25 @@ RESULT_COLUMNS = ["question_id", "rank", "file_path", "first_character_index",
                   "last_character_index", "score"]
 
 
+# Intermediates persisted by ``search`` (small: top-k survivors; or the
+# matched set on the negative-idf path). A caller that has consumed the
+# result (written it) calls ``release_cached`` so a long-running session,
+# such as a stream, does not accumulate them.
+_CACHED: list[DataFrame] = []
+
+
+def _keep(df: DataFrame) -> DataFrame:
+    kept = df.persist()
+    _CACHED.append(kept)
+    return kept
+
+
+def release_cached() -> None:
+    """Unpersist every intermediate cached by earlier ``search`` calls."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
+
+
 def check_k(k: int) -> int:
     if isinstance(k, bool) or not isinstance(k, int):
         raise ValueError("k must be an integer.")
@@ -133,7 +152,7 @@ def top_k(index: BM25Index, scored: DataFrame, k: int) -> DataFrame:
     k strictly better rows, so phase 1 keeps it.
     """
     w1 = Window.partitionBy("question_id").orderBy(score_key(F.col("score")).desc())
-    survivors = scored.withColumn("_r", F.rank().over(w1)).where(F.col("_r") <= k).drop("_r").persist()
+    survivors = _keep(scored.withColumn("_r", F.rank().over(w1)).where(F.col("_r") <= k).drop("_r"))
     return rank_located(with_spans(index, survivors, survivors.count()), k)
 
 
@@ -210,7 +229,7 @@ def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = Tru
     if not fill:
         ranked = top_k(index, scored, k)
     elif _nonnegative_idf(index):
-        first = top_k(index, scored, k).drop("rank").persist()
+        first = _keep(top_k(index, scored, k).drop("rank"))
         deficient = (first.groupBy("question_id")
                      .agg(F.count_if(F.col("score") > 0).alias("npos"))
                      .where(F.col("npos") < k).select("question_id", F.lit(k).alias("need")))
@@ -219,7 +238,7 @@ def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = Tru
         else:
             ranked = rank_located(first.unionByName(_fill_rows(index, deficient, k, first)), k)
     else:
-        scored = scored.persist()
+        scored = _keep(scored)
         cand = zero_fill_candidates(index, scored, k)
         if cand is not None:
             scored = scored.unionByName(cand.select("question_id", "chunk_id", "score"))

@@ -77,8 +77,10 @@ def search_dataset(spark: SparkSession, dataset_path: str, save_directory: str,
     questions = qs.load_questions(spark, dataset_path).select("input_pos", "question_id", "question")
     flat = se.search_dataset(index, questions.select("question_id", "question"), k)
     flat = flat.join(questions.select("question_id", "input_pos"), "question_id")
-    return sk.write_results(sk.nest_results(flat), save_directory, os.path.basename(dataset_path),
-                            k, json_lines)
+    out = sk.write_results(sk.nest_results(flat), save_directory, os.path.basename(dataset_path),
+                           k, json_lines)
+    se.release_cached()
+    return out
 
 
 def _read_sources(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -45,6 +45,7 @@ def search_stream(spark: SparkSession, index_dir: str, source_dir: str, sink_dir
     def rank_batch(batch: DataFrame, epoch_id: int) -> None:
         res = se.search_dataset(index, batch.where(F.col("question").isNotNull()), k)
         res.write.mode("overwrite").parquet(os.path.join(sink_dir, f"epoch={epoch_id}"))
+        se.release_cached()
 
     writer = questions.writeStream.foreachBatch(rank_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -113,3 +113,16 @@ def test_chunk_text_equals_substring(spark):
     for r in ch.chunk_documents(docs(spark, rows), 5).collect():
         assert by[r.file_path][r.first_character_index:r.last_character_index] == r.text
         assert 0 < len(r.text) <= 5
+
+
+def test_linear_fold_for_many_paragraphs_matches_native(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = [(f"m/{i}.md", _random_text(rng) * 3) for i in range(120)]
+    native_p = sorted(map(tuple, ch.paragraphs(docs(spark, rows)).collect()))
+    native_c = spans(ch.chunk_documents(docs(spark, rows), 6))
+    monkeypatch.setattr(ch, "LARGE_PARAGRAPH_COUNT", 1)
+    python_p = sorted(map(tuple, ch.paragraphs(docs(spark, rows)).collect()))
+    python_c = spans(ch.chunk_documents(docs(spark, rows), 6))
+    assert python_p == native_p and python_c == native_c
+    want = sorted((p, s, e) for p, t in rows for s, e in pack(t, 6))
+    assert python_c == want
