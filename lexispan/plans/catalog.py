@@ -43,9 +43,18 @@ K = 10
 # --------------------------------------------------------------------------
 
 
-def _index(spark: SparkSession, sf: str, corpus: DataFrame | None = None) -> ix.BM25Index:
-    corpus = corpus if corpus is not None else fx.prose_corpus(spark, sf)
-    return ix.build_index_from_chunks(ch.chunk_documents(corpus, N_SMALL), chunk_size=N_SMALL)
+_INDEXES: dict[tuple[str, str], ix.BM25Index] = {}
+
+
+def _index(spark: SparkSession, sf: str) -> ix.BM25Index:
+    """The prose-corpus index at chunk size 400, built once per Spark
+    application and data folder and shared by the checks (one cached
+    copy instead of one per query)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    if key not in _INDEXES:
+        _INDEXES[key] = ix.build_index_from_chunks(
+            ch.chunk_documents(fx.prose_corpus(spark, sf), N_SMALL), chunk_size=N_SMALL)
+    return _INDEXES[key]
 
 
 def _search(spark: SparkSession, sf: str, questions: DataFrame, k: int = K) -> DataFrame:
