@@ -50,6 +50,7 @@ class BM25Index:
     b: float = B
     chunk_size: int = DEFAULT_CHUNK_SIZE
     on_disk: bool = False  # Parquet-backed (a token filter can skip row groups)
+    nonnegative_idf: bool | None = None  # known after the first search
 
 
 def index_tokens(file_path: Column | str = "file_path", text: Column | str = "text") -> Column:

@@ -37,7 +37,7 @@ BROADCAST_FILL_PREFIX = 1_000_000
 BROADCAST_SURVIVORS = 5_000_000
 # Distinct question tokens up to this count are pushed into the
 # postings/terms scans as an IN filter (row-group skipping on Parquet).
-PUSHDOWN_TOKENS = 20_000
+PUSHDOWN_TOKENS = 1_000
 
 RESULT_COLUMNS = ["question_id", "rank", "file_path", "first_character_index",
                   "last_character_index", "score"]
@@ -96,7 +96,7 @@ def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -
     factor. With postings clustered by chunk (bucketed table or the
     persisted in-memory index) the sum needs no shuffle.
     """
-    qtok = question_tokens(questions)
+    qtok = _keep(question_tokens(questions))  # small; counted, then reused by the join
     n_qtok = qtok.count()
     postings, terms = index.postings, index.terms
     if pushdown and index.on_disk and n_qtok <= PUSHDOWN_TOKENS:
@@ -202,9 +202,12 @@ def zero_fill_candidates(index: BM25Index, scored: DataFrame, k: int) -> DataFra
 
 
 def _nonnegative_idf(index: BM25Index) -> bool:
-    """True when every idf is >= 0 (average raw idf >= 0), so no score is negative."""
-    row = index.stats.select("average_idf").first()
-    return row is not None and row[0] is not None and row[0] >= 0
+    """True when every idf is >= 0 (average raw idf >= 0), so no score is
+    negative. Read once per index (one row)."""
+    if index.nonnegative_idf is None:
+        row = index.stats.select("average_idf").first()
+        index.nonnegative_idf = row is not None and row[0] is not None and row[0] >= 0
+    return index.nonnegative_idf
 
 
 def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = True,
@@ -229,14 +232,15 @@ def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = Tru
     if not fill:
         ranked = top_k(index, scored, k)
     elif _nonnegative_idf(index):
-        first = _keep(top_k(index, scored, k).drop("rank"))
+        first = _keep(top_k(index, scored, k))
         deficient = (first.groupBy("question_id")
                      .agg(F.count_if(F.col("score") > 0).alias("npos"))
                      .where(F.col("npos") < k).select("question_id", F.lit(k).alias("need")))
         if deficient.isEmpty():
-            ranked = rank_located(first, k)
+            ranked = first
         else:
-            ranked = rank_located(first.unionByName(_fill_rows(index, deficient, k, first)), k)
+            located = first.drop("rank")
+            ranked = rank_located(located.unionByName(_fill_rows(index, deficient, k, located)), k)
     else:
         scored = _keep(scored)
         cand = zero_fill_candidates(index, scored, k)
