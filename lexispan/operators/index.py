@@ -36,7 +36,7 @@ K1 = 1.0
 B = 0.4
 IDF_FLOOR_FACTOR = 0.25
 
-FORMAT_VERSION = 2
+FORMAT_VERSION = 3
 TABLES = ("chunks", "postings", "terms", "stats")
 
 
@@ -89,13 +89,24 @@ def tf_factor(tf: Column, dl: Column, avgdl: Column, k1: float, b: float) -> Col
     return (tf * F.lit(k1 + 1.0)) / (tf + norm)
 
 
+def chunk_bucket(chunk_id: Column, buckets: int) -> Column:
+    """Bucket of a chunk: the partition that gave it its id (the upper
+    bits of ``monotonically_increasing_id``) modulo ``buckets``. All
+    postings of a chunk share it, and the rows a task reads back from
+    one chunk file share it too, so postings can be written bucketed
+    without a shuffle."""
+    return F.pmod(F.shiftrightunsigned(chunk_id, 33), F.lit(buckets)).cast("int")
+
+
 def postings_from_tokens(tok: DataFrame, avgdl: Column | None = None,
                          k1: float = K1, b: float = B) -> DataFrame:
     """One row per (chunk, token): tf, the chunk length and, given
-    ``avgdl``, the BM25 tf factor."""
-    srt = tok.select("chunk_id", F.size("tokens").alias("dl"), F.sort_array("tokens").alias("srt"))
-    t = srt.select("chunk_id", "dl", F.explode(term_frequencies(F.col("srt"))).alias("p"))
-    out = t.select(F.col("p.token").alias("token"), "chunk_id", F.col("p.tf").alias("tf"), "dl")
+    ``avgdl``, the BM25 tf factor (plus the chunk's ``bucket`` when the
+    chunk table has one)."""
+    keys = ["bucket", "chunk_id"] if "bucket" in tok.columns else ["chunk_id"]
+    srt = tok.select(*keys, F.size("tokens").alias("dl"), F.sort_array("tokens").alias("srt"))
+    t = srt.select(*keys, "dl", F.explode(term_frequencies(F.col("srt"))).alias("p"))
+    out = t.select(F.col("p.token").alias("token"), *keys, F.col("p.tf").alias("tf"), "dl")
     if avgdl is not None:
         out = out.withColumn("tfn", tf_factor(F.col("tf"), F.col("dl"), avgdl, k1, b))
     return out
@@ -165,7 +176,8 @@ def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
     postings = postings_from_tokens(tok, st.select("avgdl").scalar(), k1, b)
     if materialize:
         parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        postings = postings.repartition(parts, "chunk_id").persist()
+        postings = postings.withColumn("bucket", chunk_bucket(F.col("chunk_id"), parts))\
+            .repartition(parts, "bucket").persist()
     n_chunks = st.select("n_chunks").scalar()
     terms, average = idf_with_floor(document_frequency(postings), n_chunks)
     if materialize:
@@ -184,8 +196,8 @@ def build_index(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                                    materialize)
 
 
-CHUNK_KEY = ("chunk_id",)
-POSTINGS_DDL = "token STRING, chunk_id BIGINT, tf INT, dl INT, tfn DOUBLE"
+CHUNK_KEY = ("bucket",)
+POSTINGS_DDL = "token STRING, bucket INT, chunk_id BIGINT, tf INT, dl INT, tfn DOUBLE"
 
 
 def _postings_table(base: str) -> str:
@@ -227,22 +239,24 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
     base = path.rstrip("/")
     # Chunking runs once: chunks (with id and length) are written, and
     # the postings re-tokenize the written table instead of re-chunking.
-    index.chunks.select("chunk_id", "file_path", "first_character_index", "last_character_index",
+    nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index.chunks.select("chunk_id", chunk_bucket(F.col("chunk_id"), nfiles).alias("bucket"),
+                        "file_path", "first_character_index", "last_character_index",
                         "text", "dl").write.mode("overwrite").parquet(f"{base}/chunks")
     chunks = spark.read.parquet(f"{base}/chunks")
     st = corpus_stats(chunks)
     if st.first()["n_chunks"] == 0:
         raise ValueError(f"No indexable chunks found in corpus for index: {path}")
-    nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Bucketed by chunk id: scoring sums per (question, chunk), so with the
-    # postings already clustered by chunk that aggregation needs no
-    # shuffle. Sorted by token inside each bucket: a token filter skips
-    # row groups. One writer task per bucket (no small-file explosion).
+    # Bucketed by the chunk's bucket: scoring sums per (question, bucket,
+    # chunk), so with the postings clustered that way the aggregation
+    # needs no shuffle; and since the chunk files were written one task
+    # per id partition, each task here writes the buckets it already
+    # holds: no repartition of the postings either. Sorted by token
+    # inside each bucket: a token filter skips row groups.
     table = _postings_table(base)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     postings_from_tokens(tokenized_chunks(chunks.drop("dl")), st.select("avgdl").scalar(),
                          index.k1, index.b)\
-        .repartition(nfiles, *CHUNK_KEY)\
         .write.mode("overwrite").format("parquet").option("path", f"{base}/postings")\
         .bucketBy(nfiles, *CHUNK_KEY).sortBy("token").saveAsTable(table)
     postings = spark.table(table)
@@ -275,7 +289,7 @@ def load_index(spark: SparkSession, path: str) -> BM25Index:
         raise FileNotFoundError(f"Index at {path} is stale; run the index command again.")
     expected = {"chunks": {"chunk_id", "file_path", "first_character_index", "last_character_index",
                            "text", "dl"},
-                "postings": {"token", "chunk_id", "tf", "dl", "tfn"},
+                "postings": {"token", "bucket", "chunk_id", "tf", "dl", "tfn"},
                 "terms": {"token", "df", "idf"},
                 "stats": {"n_chunks", "avgdl", "average_idf"}}
     for name, cols in expected.items():

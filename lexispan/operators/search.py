@@ -108,9 +108,12 @@ def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -
     qt = q.join(terms.select("token", "idf"), "token").select(
         "question_id", "token", (F.col("qtf").cast("double") * F.col("idf")).alias("w"))
     qt = _maybe_broadcast(qt, n_qtok, BROADCAST_QUESTION_TOKENS)
-    matched = qt.join(postings.select("token", "chunk_id", "tfn"), "token")
-    return (matched.groupBy("question_id", "chunk_id")
-            .agg(F.sum(F.col("w") * F.col("tfn")).alias("score")))
+    matched = qt.join(postings.select("token", "bucket", "chunk_id", "tfn"), "token")
+    # ``bucket`` is a function of ``chunk_id``; grouping by it too lets the
+    # postings' clustering (bucketed by it) satisfy the aggregation.
+    return (matched.groupBy("question_id", "bucket", "chunk_id")
+            .agg(F.sum(F.col("w") * F.col("tfn")).alias("score"))
+            .select("question_id", "chunk_id", "score"))
 
 
 def score_key(score: Column) -> Column:
