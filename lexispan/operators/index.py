@@ -89,13 +89,26 @@ def tf_factor(tf: Column, dl: Column, avgdl: Column, k1: float, b: float) -> Col
     return (tf * F.lit(k1 + 1.0)) / (tf + norm)
 
 
-def chunk_bucket(chunk_id: Column, buckets: int) -> Column:
-    """Bucket of a chunk: the partition that gave it its id (the upper
-    bits of ``monotonically_increasing_id``) modulo ``buckets``. All
-    postings of a chunk share it, and the rows a task reads back from
-    one chunk file share it too, so postings can be written bucketed
-    without a shuffle."""
-    return F.pmod(F.shiftrightunsigned(chunk_id, 33), F.lit(buckets)).cast("int")
+def aligned_bucket_values(spark: SparkSession, buckets: int) -> list[int]:
+    """For every bucket b, an INT whose Spark bucket hash is b
+    (``pmod(hash(v), buckets) == b``), so a row carrying it lands in
+    exactly that bucket. ``buckets`` values, computed by a small job."""
+    cand = spark.range(0, 64 * buckets).select(F.col("id").cast("int").alias("v"))
+    rows = (cand.select("v", F.pmod(F.hash("v"), F.lit(buckets)).alias("b"))
+            .groupBy("b").agg(F.min("v").alias("v")).collect())
+    by_bucket = {r["b"]: r["v"] for r in rows}
+    return [by_bucket[b] for b in range(buckets)]
+
+
+def chunk_bucket(chunk_id: Column, aligned: list[int]) -> Column:
+    """Bucket value of a chunk: the partition that gave it its id (upper
+    bits of ``monotonically_increasing_id``) modulo the bucket count,
+    mapped to the value that hashes to that bucket. All postings of a
+    chunk share it, and the rows a task reads back from one chunk file
+    share it too, so postings are written bucketed without a shuffle and
+    the id partitions spread evenly over the buckets."""
+    part = F.pmod(F.shiftrightunsigned(chunk_id, 33), F.lit(len(aligned)))
+    return F.element_at(F.array(*[F.lit(v) for v in aligned]), (part + 1).cast("int")).cast("int")
 
 
 def postings_from_tokens(tok: DataFrame, avgdl: Column | None = None,
@@ -176,7 +189,8 @@ def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
     postings = postings_from_tokens(tok, st.select("avgdl").scalar(), k1, b)
     if materialize:
         parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        postings = postings.withColumn("bucket", chunk_bucket(F.col("chunk_id"), parts))\
+        aligned = aligned_bucket_values(chunks.sparkSession, parts)
+        postings = postings.withColumn("bucket", chunk_bucket(F.col("chunk_id"), aligned))\
             .repartition(parts, "bucket").persist()
     n_chunks = st.select("n_chunks").scalar()
     terms, average = idf_with_floor(document_frequency(postings), n_chunks)
@@ -240,7 +254,8 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
     # Chunking runs once: chunks (with id and length) are written, and
     # the postings re-tokenize the written table instead of re-chunking.
     nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index.chunks.select("chunk_id", chunk_bucket(F.col("chunk_id"), nfiles).alias("bucket"),
+    aligned = aligned_bucket_values(spark, nfiles)
+    index.chunks.select("chunk_id", chunk_bucket(F.col("chunk_id"), aligned).alias("bucket"),
                         "file_path", "first_character_index", "last_character_index",
                         "text", "dl").write.mode("overwrite").parquet(f"{base}/chunks")
     chunks = spark.read.parquet(f"{base}/chunks")
