@@ -51,6 +51,27 @@ class BM25Index:
     chunk_size: int = DEFAULT_CHUNK_SIZE
     on_disk: bool = False  # Parquet-backed (a token filter can skip row groups)
     nonnegative_idf: bool | None = None  # known after the first search
+    # First ``prefix_rows`` chunks in corpus order with their position
+    # (saved indexes): zero-fill reads this instead of the chunk table.
+    prefix: DataFrame | None = None
+    prefix_rows: int = 0
+
+
+# Chunks kept in the saved corpus-order prefix (zero-fill candidates).
+PREFIX_ROWS = 10_000
+
+
+def corpus_prefix(chunks: DataFrame, length: int) -> DataFrame:
+    """The first ``length`` chunks in corpus order, numbered ``pos`` 1..length:
+    a bounded top-N (TakeOrderedAndProject keeps ``length`` rows per task),
+    then a window over at most ``length`` rows."""
+    from lexispan.functions.text import corpus_order
+    from pyspark.sql import Window
+
+    order = [corpus_order("file_path"), F.col("first_character_index")]
+    top = (chunks.select("chunk_id", "file_path", "first_character_index", "last_character_index")
+           .orderBy(*order).limit(length))
+    return top.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
 
 
 def index_tokens(file_path: Column | str = "file_path", text: Column | str = "text") -> Column:
@@ -280,9 +301,10 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
         .write.mode("overwrite").parquet(f"{base}/terms")
     st.select("n_chunks", "avgdl", average.alias("average_idf"))\
         .write.mode("overwrite").parquet(f"{base}/stats")
+    corpus_prefix(chunks, PREFIX_ROWS).coalesce(1).write.mode("overwrite").parquet(f"{base}/prefix")
     meta = {"format_version": FORMAT_VERSION, "k1": index.k1, "b": index.b,
             "chunk_size": index.chunk_size, "stop_words": _stop_word_digest(),
-            "postings_buckets": nfiles}
+            "postings_buckets": nfiles, "prefix_rows": PREFIX_ROWS}
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string")\
         .coalesce(1).write.mode("overwrite").text(f"{base}/meta")
     return load_index(spark, path)
@@ -297,6 +319,7 @@ def load_index(spark: SparkSession, path: str) -> BM25Index:
         meta = json.loads(spark.read.text(f"{base}/meta").first()["value"])
         tables = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES if t != "postings"}
         tables["postings"] = _open_postings(spark, base, int(meta["postings_buckets"]))
+        prefix = spark.read.parquet(f"{base}/prefix")
     except Exception as error:  # noqa: BLE001 - any read failure means rebuild
         raise FileNotFoundError(
             f"Index at {path} could not be loaded ({error}); run the index command again.") from error
@@ -311,4 +334,5 @@ def load_index(spark: SparkSession, path: str) -> BM25Index:
         if not cols <= set(tables[name].columns):
             raise FileNotFoundError(f"Index at {path} has a bad '{name}' table; rebuild it.")
     return BM25Index(tables["chunks"], tables["postings"], tables["terms"], tables["stats"],
-                     float(meta["k1"]), float(meta["b"]), int(meta["chunk_size"]), on_disk=True)
+                     float(meta["k1"]), float(meta["b"]), int(meta["chunk_size"]), on_disk=True,
+                     prefix=prefix, prefix_rows=int(meta["prefix_rows"]))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispan.functions.text import corpus_order, is_blank, tokenize
-from lexispan.operators.index import BM25Index
+from lexispan.operators.index import BM25Index, corpus_prefix
 
 # Broadcast limits (rows). Beyond them the planner chooses a shuffle join.
 BROADCAST_QUESTION_TOKENS = 2_000_000
@@ -166,13 +166,15 @@ def rank_located(located: DataFrame, k: int) -> DataFrame:
 
 
 def _corpus_prefix(index: BM25Index, length: int) -> DataFrame:
-    """The first ``length`` chunks in corpus order, numbered 1..length
-    (a bounded top-N: TakeOrderedAndProject, then a window over <= length rows)."""
-    order = [corpus_order("file_path"), F.col("first_character_index")]
-    prefix = (index.chunks.select("chunk_id", "file_path", "first_character_index",
-                                  "last_character_index")
-              .orderBy(*order).limit(length))
-    return prefix.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
+    """The first ``length`` chunks in corpus order, numbered 1..length.
+
+    A saved index keeps the first ``prefix_rows`` of them, so the common
+    case reads that small table; beyond it (or in memory) a bounded
+    top-N over the chunk table.
+    """
+    if index.prefix is not None and length <= index.prefix_rows:
+        return index.prefix.where(F.col("pos") <= length)
+    return corpus_prefix(index.chunks, length)
 
 
 def _fill_rows(index: BM25Index, deficient: DataFrame, longest: int, exclude: DataFrame) -> DataFrame:

@@ -145,3 +145,12 @@ def test_plan_has_no_cross_join_and_pruned_topk(spark):
     plan = se.top_k(idx, se.bm25_scores(idx, qdf(spark, [("q", "lora")])), 2)._jdf.queryExecution()\
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_zero_fill_from_saved_prefix(spark, tmp_path):
+    saved = ix.save_index(ix.build_index(docs(spark, CORPUS), 2000, materialize=False), str(tmp_path / "idx"))
+    assert saved.prefix is not None and saved.prefix_rows >= 3
+    q = qdf(spark, [("q", "scheduler"), ("r", "lora")])
+    assert ranked(se.search(saved, q, 4)) == ranked(se.search(build(spark, CORPUS), q, 4))
+    assert [g[2] for g in ranked(se.search(saved, q, 4)) if g[0] == "q"] == \
+        ["c/d.md", "c/a.md", "c/b.md", "c/c.md"]
