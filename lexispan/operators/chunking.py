@@ -40,7 +40,6 @@ DEFAULT_CHUNK_SIZE = 2000
 
 SPAN_TYPE = "array<struct<s:bigint,e:bigint,keep:boolean>>"
 BOUND_TYPE = "array<struct<s:bigint,e:bigint>>"
-CHUNK_COLUMNS = ["file_path", "first_character_index", "last_character_index", "text"]
 
 
 def check_chunk_size(n: int) -> int:

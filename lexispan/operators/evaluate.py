@@ -86,13 +86,3 @@ def recall_report(recall: DataFrame) -> DataFrame:
     return recall.select("cutoff", F.format_string(
         "Recall@%d: %.3f (%.1f%%)", F.col("cutoff"), F.col("mean_recall"),
         F.col("mean_recall") * 100).alias("line"))
-
-
-def explode_sources(results_nested: DataFrame) -> DataFrame:
-    """Nested results (question_id, retrieved_sources ARRAY<STRUCT>) -> flat
-    rows with ``rank`` = position + 1."""
-    return results_nested.select(
-        "question_id", F.posexplode_outer("retrieved_sources").alias("pos", "s")).select(
-        "question_id", (F.col("pos") + 1).alias("rank"), F.col("s.file_path").alias("file_path"),
-        F.col("s.first_character_index").alias("first_character_index"),
-        F.col("s.last_character_index").alias("last_character_index"))

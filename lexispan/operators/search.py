@@ -39,10 +39,6 @@ BROADCAST_SURVIVORS = 5_000_000
 # postings/terms scans as an IN filter (row-group skipping on Parquet).
 PUSHDOWN_TOKENS = 1_000
 
-RESULT_COLUMNS = ["question_id", "rank", "file_path", "first_character_index",
-                  "last_character_index", "score"]
-
-
 # Intermediates persisted by ``search`` (small: top-k survivors; or the
 # matched set on the negative-idf path). A caller that has consumed the
 # result (written it) calls ``release_cached`` so a long-running session,

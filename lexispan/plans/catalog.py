@@ -17,7 +17,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.functions.spans import interval_iou, slice_text
 from lexispan.functions.text import (
     STOP_WORDS,
     is_code_path,

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.functions.text import is_blank, normalize_newlines
+from lexispan.functions.text import normalize_newlines
 from lexispan.operators import context as cx
 from lexispan.operators import evaluate as ev
 from lexispan.operators import index as ix
@@ -160,8 +160,3 @@ def load_dataset(spark: SparkSession, dataset_path: str) -> str:
 def copy_dataset(spark: SparkSession, src: str, dst: str) -> str:
     qs.copy_questions(spark, src, dst)
     return f"Dataset saved successfully: {dst}"
-
-
-def blank_questions(df: DataFrame) -> DataFrame:
-    """Questions that are blank (they get the fixed error answer)."""
-    return df.where(is_blank(F.coalesce(F.col("question"), F.lit(""))))

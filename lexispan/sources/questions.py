@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 
 SOURCE_TYPE = ("array<struct<file_path:string,first_character_index:bigint,"
                "last_character_index:bigint>>")
-QUESTION_COLUMNS = ["input_pos", "question_id", "question", "sources", "answer",
-                    "is_answered", "is_valid", "reason"]
 
 
 class InvalidDataset(ValueError):
@@ -196,9 +194,6 @@ def copy_questions(spark: SparkSession, src: str, dst: str) -> DataFrame:
     return q
 
 
-RESULT_SOURCE = "array<struct<file_path:string,first_character_index:bigint,last_character_index:bigint>>"
-
-
 def load_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """A search-results document -> (flat results, header).
 
@@ -208,7 +203,6 @@ def load_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """
     doc = read_document(spark, path)
     v = F.try_parse_json(F.col("value"))
-    k = F.variant_get(v, "$.k", "variant")
     items = doc.select(v.alias("v")).select(
         F.when(F.col("v").isNull(), F.raise_error(F.lit("invalid search results: not valid JSON")))
         .otherwise(F.col("v")).cast("variant").alias("v"))
@@ -225,7 +219,6 @@ def load_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     hdr = header.first()
     if bad or hdr is None or hdr["k"] is None:
         raise InvalidDataset("invalid search results file")
-    del k
     flat = checked.select(
         "input_pos",
         F.variant_get(item, "$.question_id", "string").alias("question_id"),

@@ -1,7 +1,4 @@
-import json
-
 import pytest
-from pyspark.sql import functions as F
 
 from lexispan.operators import context as cx
 from lexispan.operators import evaluate as ev
