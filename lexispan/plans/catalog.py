@@ -353,7 +353,48 @@ def q_search_stream(spark, sf):
                               "last_character_index", "score"), "rank")
 
 
+def _write_files(root: str):
+    """mapInPandas function: write each (file_path, text) under ``root``."""
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            for path, text in zip(pdf["file_path"], pdf["text"]):
+                full = os.path.join(root, path)
+                os.makedirs(os.path.dirname(full), exist_ok=True)
+                with open(full, "wb") as fh:
+                    fh.write(text.encode("utf-8"))
+            yield pd.DataFrame({"n": [len(pdf)]})
+    return run
+
+
+def q_corpus_files(spark, sf):
+    """S1 + S2 on files: the prose corpus is written out as a file tree by
+    Spark tasks, then listed, read and strictly decoded back."""
+    root = _scratch(spark, "files")
+    written = fx.prose_corpus(spark, sf).mapInPandas(_write_files(root), "n long")
+    written.agg(F.sum("n")).first()
+    return co.load_documents(spark, os.path.join(root, "corpus"), project_root=root)
+
+
+def q_results_roundtrip(spark, sf):
+    """S10 + S9: ranked results nested per question, written as one results
+    document, loaded back (validated) and flattened."""
+    from lexispan.sources import sinks as sk
+
+    idx = _index(spark, sf)
+    questions = fx.benchmark_questions(spark, sf).withColumn("input_pos", F.monotonically_increasing_id())
+    flat = se.search_dataset(idx, questions.select("question_id", "question"), K)
+    flat = flat.join(questions.select("question_id", "input_pos"), "question_id")
+    path = sk.write_results(sk.nest_results(flat), _scratch(spark, "results"), "benchmark.json", K)
+    back, _ = qs.load_results(spark, path)
+    return _bigint(back.where(F.col("rank").isNotNull()).select(
+        "question_id", "rank", "file_path", "first_character_index", "last_character_index"), "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "corpus_files": q_corpus_files,
+    "results_roundtrip": q_results_roundtrip,
     "corpus_load": q_corpus_load,
     "search_stream": q_search_stream,
     "supported_files": q_supported_files,
@@ -633,6 +674,9 @@ FROM qs q LEFT JOIN src s USING (question_id)"""
 
 
 SQL: dict[str, str] = {
+    "corpus_files": f"WITH {F1}\nSELECT file_path, text FROM f1",
+    "results_roundtrip": _topk_cte(Q_BENCH) + """
+SELECT question_id, rank, file_path, first_character_index, last_character_index FROM topk""",
     "corpus_load": "WITH " + MIXED_PATHS + r""",
 sfx AS (SELECT doc_id, file_path,
    lower(regexp_extract(string_split(file_path, '/')[-1], '^.+?(\.[^.]+)$', 1)) AS suffix FROM mp)
