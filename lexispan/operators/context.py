@@ -92,6 +92,17 @@ def build_prompts(questions: DataFrame, located: DataFrame) -> DataFrame:
 AnswerFn = Callable[[list[str], list[list[str]]], list[str]]
 
 
+def _wants_messages(fn: Callable) -> bool:
+    import inspect
+
+    try:
+        params = inspect.signature(fn).parameters.values()
+    except (TypeError, ValueError):
+        return False
+    positional = [p for p in params if p.kind in (p.POSITIONAL_ONLY, p.POSITIONAL_OR_KEYWORD)]
+    return len(positional) >= 3 or any(p.kind == p.VAR_POSITIONAL for p in params)
+
+
 def _answer_batches(make_answerer: Callable[[], AnswerFn]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         answerer = None  # set up once per task, on first use
@@ -101,14 +112,20 @@ def _answer_batches(make_answerer: Callable[[], AnswerFn]):
             if todo.any():
                 if answerer is None:
                     answerer = make_answerer()
+                    with_messages = _wants_messages(answerer)
                 qs = pdf.loc[todo, "question"].tolist()
                 texts = [[s["text"] for s in (srcs if srcs is not None else [])]
                          for srcs in pdf.loc[todo, "sources"]]
-                got = answerer(qs, texts)
+                if with_messages:
+                    msgs = [[{"role": m["role"], "content": m["content"]} for m in ms]
+                            for ms in pdf.loc[todo, "messages"]]
+                    got = answerer(qs, texts, msgs)
+                else:
+                    got = answerer(qs, texts)
                 if len(got) != len(qs):
                     raise ValueError("answer generation failed: wrong number of answers")
                 answers.loc[todo] = list(got)
-            out = pdf.drop(columns=["blank", "sources"])
+            out = pdf.drop(columns=["blank", "sources", "messages"])
             out["answer"] = answers
             yield out
     return run
@@ -119,12 +136,14 @@ def answer_dataset(prompts: DataFrame, make_answerer: Callable[[], AnswerFn]) ->
 
     ``prompts`` comes from ``build_prompts``. ``make_answerer()`` is called
     once per task and returns ``f(questions, source_texts) -> answers``
-    (a batch call; sources most relevant first). A blank question gets
+    (a batch call; sources most relevant first), or
+    ``f(questions, source_texts, messages)`` to also receive the chat
+    messages of G2 (system + user, as role/content dicts). A blank question gets
     the fixed error answer without calling it; any exception raised by
     it fails the job (the whole batch), as in the reference.
     """
     sorted_sources = F.array_sort(F.col("sources"))
-    inp = prompts.select("question_id", "question", sorted_sources.alias("sources"),
+    inp = prompts.select("question_id", "question", sorted_sources.alias("sources"), "messages",
                          is_blank(F.coalesce(F.col("question"), F.lit(""))).alias("blank"))
     return inp.mapInPandas(_answer_batches(make_answerer),
                            "question_id string, question string, answer string")

@@ -83,3 +83,17 @@ def test_last_wins(spark):
                                "question_id string, question string, input_pos int")
     got = {r.question_id: r.question for r in ev.last_wins(df).collect()}
     assert got == {"q": "new", "r": "only"}
+
+
+def test_answer_function_can_receive_messages(spark):
+    q = spark.createDataFrame([("q1", "Why?")], "question_id string, question string")
+    located = spark.createDataFrame([("q1", 1, "src text", "a.md", 0, 1)],
+                                    "question_id string, rank int, source_text string, file_path string, "
+                                    "first_character_index bigint, last_character_index bigint")
+
+    def with_messages():
+        def f(questions, sources, messages):
+            return [m[1]["content"] for m in messages]
+        return f
+    got = cx.answer_dataset(cx.build_prompts(q, located), with_messages).collect()
+    assert got[0].answer == "Sources:\n[Source 1]\nsrc text\n\nQuestion: Why?"
