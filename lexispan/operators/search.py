@@ -34,7 +34,7 @@ from lexispan.operators.index import BM25Index, corpus_prefix
 # Broadcast limits (rows). Beyond them the planner chooses a shuffle join.
 BROADCAST_QUESTION_TOKENS = 2_000_000
 BROADCAST_FILL_PREFIX = 1_000_000
-BROADCAST_SURVIVORS = 5_000_000
+BROADCAST_SURVIVORS = 2_000_000
 # Distinct question tokens up to this count are pushed into the
 # postings/terms scans as an IN filter (row-group skipping on Parquet).
 PUSHDOWN_TOKENS = 1_000
