@@ -72,13 +72,6 @@ def question_tokens(questions: DataFrame) -> DataFrame:
             .groupBy("question_id", "token").agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def bm25_term(idf: Column, tf: Column, dl: Column, avgdl: Column, k1: float, b: float) -> Column:
-    """One token's BM25 contribution to one chunk (from tf and dl)."""
-    tf = tf.cast("double")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl.cast("double") / avgdl)
-    return idf * (tf * F.lit(k1 + 1.0)) / (tf + norm)
-
-
 def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
