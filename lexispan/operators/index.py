@@ -110,15 +110,37 @@ def tf_factor(tf: Column, dl: Column, avgdl: Column, k1: float, b: float) -> Col
     return (tf * F.lit(k1 + 1.0)) / (tf + norm)
 
 
-def aligned_bucket_values(spark: SparkSession, buckets: int) -> list[int]:
-    """For every bucket b, an INT whose Spark bucket hash is b
-    (``pmod(hash(v), buckets) == b``), so a row carrying it lands in
-    exactly that bucket. ``buckets`` values, computed by a small job."""
-    cand = spark.range(0, 64 * buckets).select(F.col("id").cast("int").alias("v"))
-    rows = (cand.select("v", F.pmod(F.hash("v"), F.lit(buckets)).alias("b"))
-            .groupBy("b").agg(F.min("v").alias("v")).collect())
-    by_bucket = {r["b"]: r["v"] for r in rows}
-    return [by_bucket[b] for b in range(buckets)]
+def _murmur3_int(value: int, seed: int = 42) -> int:
+    """Murmur3 x86 32-bit hash of one 4-byte int, as Spark's ``hash()``
+    and its bucketing compute it (seed 42), returned signed."""
+    mask = 0xFFFFFFFF
+
+    def rotl(x: int, r: int) -> int:
+        return ((x << r) | (x >> (32 - r))) & mask
+
+    k1 = (value & mask) * 0xCC9E2D51 & mask
+    k1 = rotl(k1, 15) * 0x1B873593 & mask
+    h1 = (seed ^ k1) & mask
+    h1 = (rotl(h1, 13) * 5 + 0xE6546B64) & mask
+    h1 ^= 4
+    h1 ^= h1 >> 16
+    h1 = h1 * 0x85EBCA6B & mask
+    h1 ^= h1 >> 13
+    h1 = h1 * 0xC2B2AE35 & mask
+    h1 ^= h1 >> 16
+    return h1 - (1 << 32) if h1 & 0x80000000 else h1
+
+
+def aligned_bucket_values(buckets: int) -> list[int]:
+    """For every bucket b, the smallest non-negative INT whose Spark bucket
+    hash is b (``pmod(hash(v), buckets) == b``), so a row carrying it
+    lands in exactly that bucket."""
+    found: dict[int, int] = {}
+    v = 0
+    while len(found) < buckets:
+        found.setdefault(_murmur3_int(v) % buckets, v)
+        v += 1
+    return [found[b] for b in range(buckets)]
 
 
 def chunk_bucket(chunk_id: Column, aligned: list[int]) -> Column:
@@ -210,7 +232,7 @@ def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
     postings = postings_from_tokens(tok, st.select("avgdl").scalar(), k1, b)
     if materialize:
         parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        aligned = aligned_bucket_values(chunks.sparkSession, parts)
+        aligned = aligned_bucket_values(parts)
         postings = postings.withColumn("bucket", chunk_bucket(F.col("chunk_id"), aligned))\
             .repartition(parts, "bucket").persist()
     n_chunks = st.select("n_chunks").scalar()
@@ -275,7 +297,7 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
     # Chunking runs once: chunks (with id and length) are written, and
     # the postings re-tokenize the written table instead of re-chunking.
     nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    aligned = aligned_bucket_values(spark, nfiles)
+    aligned = aligned_bucket_values(nfiles)
     index.chunks.select("chunk_id", chunk_bucket(F.col("chunk_id"), aligned).alias("bucket"),
                         "file_path", "first_character_index", "last_character_index",
                         "text", "dl").write.mode("overwrite").parquet(f"{base}/chunks")

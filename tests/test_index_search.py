@@ -153,3 +153,14 @@ def test_zero_fill_from_saved_prefix(spark, tmp_path):
     assert ranked(se.search(saved, q, 4)) == ranked(se.search(build(spark, CORPUS), q, 4))
     assert [g[2] for g in ranked(se.search(saved, q, 4)) if g[0] == "q"] == \
         ["c/d.md", "c/a.md", "c/b.md", "c/c.md"]
+
+
+def test_bucket_values_hash_to_their_bucket(spark):
+    from pyspark.sql import functions as F
+    for n in (1, 7, 16, 200):
+        vals = ix.aligned_bucket_values(n)
+        df = spark.createDataFrame([(v,) for v in vals], "v int")
+        got = [r[0] for r in df.select(F.pmod(F.hash("v"), F.lit(n))).collect()]
+        assert got == list(range(n))
+    sample = spark.range(-1000, 1000).select(F.col("id").cast("int").alias("v"), F.hash(F.col("id").cast("int")).alias("h"))
+    assert all(ix._murmur3_int(r.v) == r.h for r in sample.collect())
