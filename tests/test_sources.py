@@ -130,3 +130,25 @@ def test_json_lines_questions(spark, tmp_path):
     p.write_text('{"question_id": "a", "question": "x"}\n{"question_id": "b", "question": "y"}\n')
     got = sorted(r.question_id for r in qs.load_questions(spark, str(p), json_lines=True).collect())
     assert got == ["a", "b"]
+
+
+def test_non_strict_keeps_invalid_rows_with_reason(spark, tmp_path):
+    path = _dataset(tmp_path, [{"question_id": "a", "question": "ok"}, {"question_id": "b", "question": 7},
+                               {"question_id": 3, "question": "id is a number"}])
+    got = {r.input_pos: (r.is_valid, r.reason) for r in qs.load_questions(spark, path, strict=False).collect()}
+    assert got[0] == (True, None)
+    assert got[1] == (False, "question must be a string")
+    assert got[2] == (False, "question_id must be a string")
+
+
+def test_results_as_json_lines(spark, tmp_path):
+    from lexispan.sources import sinks as sk
+
+    flat = spark.createDataFrame(
+        [("q1", "Why?", 1, "a.md", 0, 5, 0), ("q1", "Why?", 2, "b.md", 1, 2, 0), ("q2", "How?", None, None, None, None, 1)],
+        "question_id string, question string, rank int, file_path string, first_character_index bigint, "
+        "last_character_index bigint, input_pos int")
+    out = sk.write_results(sk.nest_results(flat), str(tmp_path / "out"), "r.json", 2, json_lines=True)
+    rows = {r.question_id: r for r in spark.read.json(out).collect()}
+    assert [s.file_path for s in rows["q1"].retrieved_sources] == ["a.md", "b.md"]
+    assert rows["q2"].retrieved_sources == [] and rows["q1"].k == 2
