@@ -4,9 +4,9 @@ The reference format is one JSON document ``{"rag_questions": [...]}``.
 It is parsed as VARIANT so JSON types stay visible: a numeric
 ``question`` is an error (Spark's JSON reader would turn it into a
 string), offsets ``"5"`` and ``5.0`` coerce to 5, ``"z"`` does not.
-One document is one row, parsed by one task; for large sets use JSON
-Lines (one question object per line), which is read in parallel and
-validated by the same expressions.
+Reading one document is one row, parsed by one task (writing streams it
+line by line); for large sets use JSON Lines (one question object per
+line), read in parallel and validated by the same expressions.
 
 Validation result per question: ``is_valid`` (else ``reason``), and
 ``is_answered``: both ``sources`` and ``answer`` validate; otherwise
@@ -160,31 +160,31 @@ def gold_from_questions(questions: DataFrame) -> DataFrame:
         "s.first_character_index", "s.last_character_index")
 
 
-def dataset_json(questions: DataFrame) -> DataFrame:
-    """The question table -> one JSON document (column ``value``).
-
-    Items are ordered by input position. The document is one row; for
-    large sets write JSON Lines instead (``save_questions(json_lines=True)``).
-    """
-    item = F.when(F.col("is_answered"), F.to_json(F.struct(
+def _item_json() -> "Column":
+    return F.when(F.col("is_answered"), F.to_json(F.struct(
         "question_id", "question", "sources", "answer"))).otherwise(
         F.to_json(F.struct("question_id", "question")))
-    return questions.where("is_valid").groupBy().agg(
-        F.sort_array(F.collect_list(F.struct("input_pos", item.alias("j")))).alias("items"))\
-        .select(F.concat(F.lit('{"rag_questions": ['),
-                         F.array_join(F.col("items.j"), ", "), F.lit("]}")).alias("value"))
+
+
+def dataset_lines(questions: DataFrame) -> DataFrame:
+    """The question table -> lines of one JSON document
+    ``{"rag_questions": [...]}``, items in input order, streamed one per
+    line (see ``sinks.document_lines``)."""
+    from lexispan.sources.sinks import document_lines
+
+    items = questions.where("is_valid").select(F.col("input_pos").alias("key"), _item_json().alias("j"))
+    return document_lines(items, '{"rag_questions": [', "]}")
 
 
 def save_questions(questions: DataFrame, path: str, json_lines: bool = False) -> None:
     """Write a validated question set."""
     if json_lines:
-        item = F.when(F.col("is_answered"), F.to_json(F.struct(
-            "question_id", "question", "sources", "answer"))).otherwise(
-            F.to_json(F.struct("question_id", "question")))
-        questions.where("is_valid").orderBy("input_pos").select(item.alias("value"))\
+        questions.where("is_valid").orderBy("input_pos").select(_item_json().alias("value"))\
             .write.mode("overwrite").text(path)
     else:
-        dataset_json(questions).coalesce(1).write.mode("overwrite").text(path)
+        from lexispan.sources.sinks import write_document
+
+        write_document(dataset_lines(questions), path)
 
 
 def copy_questions(spark: SparkSession, src: str, dst: str) -> DataFrame:

@@ -3,8 +3,9 @@
 ``nest_results`` groups the flat ranking (at most k rows per question,
 so each group is bounded) into one row per question with its
 ``retrieved_sources`` in rank order. ``write_results`` writes either
-the reference's one-document format (one file, one task) or JSON Lines
-(one question per line, written in parallel) for large batches.
+the reference's one-document format (one file, streamed line by line by
+one writer task) or JSON Lines (one question per line, written in
+parallel) for large batches.
 """
 
 from __future__ import annotations
@@ -36,14 +37,37 @@ def nest_results(flat: DataFrame, with_answer: bool = False) -> DataFrame:
     return grouped.select(*order, *keys, sources.alias("retrieved_sources"))
 
 
-def results_document(nested: DataFrame, k: int) -> DataFrame:
-    """One JSON document ``{"search_results": [...], "k": k}`` (column ``value``)."""
+def document_lines(items: DataFrame, head: str, tail: str) -> DataFrame:
+    """Lines of one JSON document ``head item, item, ... tail``.
+
+    ``items``: (key, j) with ``j`` one JSON value per row, ordered by
+    ``key``. Every item is its own line (comma-prefixed except the first,
+    found by a scalar ``min``), so the document is streamed row by row
+    and never assembled in one row or one group. Columns: section, key,
+    value; write them ordered by (section, key).
+    """
+    first = items.select(F.min("key")).scalar()
+    body = items.select(F.lit(1).alias("section"), "key",
+                        F.when(F.col("key") == first, F.col("j"))
+                        .otherwise(F.concat(F.lit(","), F.col("j"))).alias("value"))
+    spark = items.sparkSession
+    key_type = items.schema["key"].dataType.simpleString()
+    edges = spark.createDataFrame([(0, head), (2, tail)], "section int, value string")\
+        .select("section", F.lit(None).cast(key_type).alias("key"), "value")
+    return edges.unionByName(body)
+
+
+def write_document(lines: DataFrame, path: str) -> None:
+    """Write ``document_lines`` as one file (one writer task, rows in order)."""
+    lines.orderBy("section", "key").select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def results_lines(nested: DataFrame, k: int) -> DataFrame:
+    """Lines of ``{"search_results": [...], "k": k}``, items in input order."""
     cols = [c for c in ("question_id", "question", "retrieved_sources", "answer") if c in nested.columns]
     order = "input_pos" if "input_pos" in nested.columns else "question_id"
-    items = nested.select(F.col(order).alias("_o"), F.to_json(F.struct(*cols)).alias("j"))
-    return items.groupBy().agg(F.sort_array(F.collect_list(F.struct("_o", "j"))).alias("a")).select(
-        F.concat(F.lit('{"search_results": ['), F.coalesce(F.array_join(F.col("a.j"), ", "), F.lit("")),
-                 F.lit('], "k": '), F.lit(str(int(k))), F.lit("}")).alias("value"))
+    items = nested.select(F.col(order).alias("key"), F.to_json(F.struct(*cols)).alias("j"))
+    return document_lines(items, '{"search_results": [', f'], "k": {int(k)}}}')
 
 
 def write_results(nested: DataFrame, directory: str, name: str, k: int,
@@ -54,5 +78,5 @@ def write_results(nested: DataFrame, directory: str, name: str, k: int,
     if json_lines:
         nested.withColumn("k", F.lit(int(k))).write.mode("overwrite").json(target)
     else:
-        results_document(nested, k).coalesce(1).write.mode("overwrite").text(target)
+        write_document(results_lines(nested, k), target)
     return target
