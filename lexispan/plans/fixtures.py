@@ -6,9 +6,10 @@
   the functions of one brand and one block of 100 part keys, so a file
   (one row) stays bounded however large ``part`` grows.
 * ``gold_spans`` (F2): where each ``benchmark`` passage occurs in the
-  prose corpus (first occurrence per file), found by a multi-pattern
-  (Aho-Corasick) scan per partition: linear in the corpus, no pairwise
-  join of passages and documents.
+  prose corpus (first occurrence per file), found by a join of winnowed
+  q-gram fingerprints and a check on the text: linear in the corpus,
+  no pairwise join of passages and documents, nothing through the
+  driver.
 * question sets taken from ``benchmark`` and ``conversations``.
 """
 
@@ -16,16 +17,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispan.functions import fingerprints as fp
 from lexispan.plans.parallelism import ensure_parallelism
 
-# Patterns broadcast to every scan task at most this many per pass
-# (more patterns are handled in further passes over the corpus).
-GOLD_PATTERNS_PER_PASS = 50_000
-GOLD_PATTERN_CHARS_PER_PASS = 64 * 1024 * 1024
+# Small sides of the gold-span joins are broadcast up to these checked
+# sizes (fingerprints, passages, candidate starts, passage characters);
+# larger ones are shuffled on the join key.
+GOLD_BROADCAST_PRINTS = 4_000_000
+GOLD_BROADCAST_PASSAGES = 1_000_000
+GOLD_BROADCAST_CANDIDATES = 2_000_000
+GOLD_BROADCAST_PASSAGE_CHARS = 64 * 1024 * 1024
 CODE_BLOCK = 100
 
 
@@ -100,68 +106,110 @@ def gold_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")).alias("passage"))
 
 
-def _first_occurrences(patterns: list[tuple[str, str]]):
-    """mapInPandas function: first occurrence of each pattern per file."""
+def _passage_prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every selected fingerprint of each passage at its own level."""
+    for pdf in batches:
+        qids, lvls, hs, offs = [], [], [], []
+        for qid, passage in zip(pdf["question_id"], pdf["passage"]):
+            lvl = fp.level_of(len(passage))
+            pos, h = fp.winnow(passage, lvl)
+            qids.append(np.full(pos.shape[0], qid, dtype=object))
+            lvls.append(np.full(pos.shape[0], lvl, dtype=np.int32))
+            hs.append(h)
+            offs.append(pos)
+        yield _long_frame(["question_id", "lvl", "h", "o"], qids, lvls, hs, offs)
+
+
+def _text_prints(levels: list[int]):
+    """mapInPandas function: selected fingerprints of each text at the
+    levels some passage uses."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        try:
-            import ahocorasick
-        except ImportError:  # plain find() per pattern, same result
-            ahocorasick = None
-        by_text: dict[str, list[str]] = {}
-        for qid, passage in patterns:
-            by_text.setdefault(passage, []).append(qid)
-        automaton = None
-        if ahocorasick is not None and by_text:
-            automaton = ahocorasick.Automaton()
-            for passage in by_text:
-                automaton.add_word(passage, passage)
-            automaton.make_automaton()
         for pdf in batches:
-            rows = []
+            paths, lvls, hs, poss = [], [], [], []
             for path, text in zip(pdf["file_path"], pdf["text"]):
                 if text is None:
                     continue
-                first: dict[str, int] = {}
-                if automaton is not None:
-                    for end, passage in automaton.iter(text):
-                        start = end - len(passage) + 1
-                        if passage not in first or start < first[passage]:
-                            first[passage] = start
-                else:
-                    for passage in by_text:
-                        pos = text.find(passage)
-                        if pos >= 0:
-                            first[passage] = pos
-                for passage, start in first.items():
-                    for qid in by_text[passage]:
-                        rows.append((qid, path, start, start + len(passage)))
-            yield pd.DataFrame(rows, columns=["question_id", "file_path",
-                                              "first_character_index", "last_character_index"])
+                for lvl in levels:
+                    pos, h = fp.winnow(text, lvl)
+                    paths.append(np.full(pos.shape[0], path, dtype=object))
+                    lvls.append(np.full(pos.shape[0], lvl, dtype=np.int32))
+                    hs.append(h)
+                    poss.append(pos)
+            yield _long_frame(["file_path", "lvl", "h", "pos"], paths, lvls, hs, poss)
     return run
 
 
+def _long_frame(names: list[str], *parts: list[np.ndarray]) -> pd.DataFrame:
+    empty = (np.empty(0, dtype=object), np.empty(0, dtype=np.int32),
+             np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+    cols = [np.concatenate(p) if p else e for p, e in zip(parts, empty)]
+    return pd.DataFrame(dict(zip(names, cols)))
+
+
+def _maybe_broadcast(df: DataFrame, size: int, limit: int) -> DataFrame:
+    return F.broadcast(df) if size <= limit else df
+
+
 def gold_spans(spark: SparkSession, sf_dir: str, corpus: DataFrame | None = None) -> DataFrame:
-    """(question_id, file_path, first_character_index, last_character_index).
+    """(question_id, file_path, first_character_index, last_character_index)
+    of every ``benchmark`` passage in the prose corpus."""
+    corpus = corpus if corpus is not None else prose_corpus(spark, sf_dir)
+    return locate_passages(corpus, gold_passages(spark, sf_dir))
+
 
-    The passages are broadcast to the scan tasks in passes of bounded
-    size (count and characters are checked before each pass).
+def locate_passages(corpus: DataFrame, passages: DataFrame) -> DataFrame:
+    """First occurrence of every passage ``(question_id, passage)`` in
+    every file of ``corpus`` ``(file_path, text)``.
+
+    Found without a pairwise join of passages and files: both sides are
+    reduced to winnowed q-gram fingerprints (``functions.fingerprints``);
+    each passage is anchored on its fingerprint that is rarest in the
+    corpus, the corpus fingerprints are joined to the anchors, and each
+    candidate start is checked against the text. Every occurrence is a
+    candidate, so the result is exact.
     """
-    corpus = corpus if corpus is not None else prose_corpus(spark, sf_dir)
-    passages = gold_passages(spark, sf_dir).where(F.length("passage") > 0)
-    sized = passages.select("question_id", "passage", F.length("passage").alias("n"))
-    # Pass number from a running character count: a size check, not a cap.
-    totals = sized.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("chars")).first()
+    spark = corpus.sparkSession
+    passages = (passages.where(F.length("passage") > 0)
+                .select("question_id", "passage", F.length("passage").alias("n")))
+    level = F.lit(len(fp.LEVELS) - 1)
+    for lvl in reversed(range(len(fp.LEVELS) - 1)):
+        level = F.when(F.col("n") >= fp.min_length(lvl), F.lit(lvl)).otherwise(level)
+    totals = passages.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("chars"),
+                          F.sort_array(F.collect_set(level)).alias("levels")).first()
     n_rows, n_chars = int(totals["rows"] or 0), int(totals["chars"] or 0)
     schema = ("question_id string, file_path string, first_character_index bigint, "
               "last_character_index bigint")
     if n_rows == 0:
         return spark.createDataFrame([], schema)
-    passes = max(-(-n_rows // GOLD_PATTERNS_PER_PASS), -(-n_chars // GOLD_PATTERN_CHARS_PER_PASS))
-    bucketed = sized.withColumn("pass", F.pmod(F.xxhash64("question_id"), F.lit(passes)))
-    out = None
-    for p in range(passes):
-        pats = [(r["question_id"], r["passage"])
-                for r in bucketed.where(F.col("pass") == p).select("question_id", "passage").collect()]
-        found = corpus.select("file_path", "text").mapInPandas(_first_occurrences(pats), schema)
-        out = found if out is None else out.unionByName(found)
-    return out
+    levels = [int(x) for x in totals["levels"]]  # at most len(LEVELS) values
+
+    # A passage has at most one fingerprint per character: n_chars bounds them.
+    pprints = spread(passages.select("question_id", "passage")).mapInPandas(
+        _passage_prints, "question_id string, lvl int, h bigint, o bigint")
+    keys = _maybe_broadcast(pprints.select("lvl", "h").distinct(), n_chars, GOLD_BROADCAST_PRINTS)
+    tprints = corpus.select("file_path", "text").mapInPandas(
+        _text_prints(levels), "file_path string, lvl int, h bigint, pos bigint")
+    # Corpus fingerprints some passage shares; read twice below, so the
+    # lineage is cut in the shared checkpoint folder.
+    hits = tprints.join(keys, ["lvl", "h"], "left_semi").checkpoint()
+
+    counts = hits.groupBy("lvl", "h").agg(F.count(F.lit(1)).alias("cnt"))
+    anchors = (_maybe_broadcast(pprints, n_chars, GOLD_BROADCAST_PRINTS).join(counts, ["lvl", "h"])
+               .groupBy("question_id").agg(F.min(F.struct("cnt", "o", "lvl", "h")).alias("a"))
+               .join(passages.select("question_id", "n"), "question_id")
+               .select("question_id", "a.lvl", "a.h", "a.o", "n"))
+    cand = (hits.join(_maybe_broadcast(anchors, n_rows, GOLD_BROADCAST_PASSAGES), ["lvl", "h"])
+            .select("question_id", "file_path", (F.col("pos") - F.col("o")).alias("start"), "n")
+            .where(F.col("start") >= 0))
+    n_cand = cand.count()
+    seg = (_maybe_broadcast(cand, n_cand, GOLD_BROADCAST_CANDIDATES)
+           .join(corpus.select("file_path", "text"), "file_path")
+           .select("question_id", "file_path", "start", "n",
+                   F.substring(F.col("text"), F.col("start") + 1, F.col("n")).alias("seg")))
+    found = seg.join(_maybe_broadcast(passages.select("question_id", "passage"), n_chars,
+                                      GOLD_BROADCAST_PASSAGE_CHARS), "question_id")
+    return (found.where(F.col("seg") == F.col("passage"))
+            .groupBy("question_id", "file_path")
+            .agg(F.min("start").alias("first"), F.max("n").alias("n"))
+            .select("question_id", "file_path", F.col("first").alias("first_character_index"),
+                    (F.col("first") + F.col("n")).alias("last_character_index")))
