@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -319,14 +320,23 @@ def save_index(index: BM25Index, path: str, postings_files: int | None = None) -
         .bucketBy(nfiles, *CHUNK_KEY).sortBy("token").saveAsTable(table)
     postings = spark.table(table)
     terms, average = idf_with_floor(document_frequency(postings), st.select("n_chunks").scalar())
-    terms.repartition(max(1, nfiles // 4), "token").sortWithinPartitions("token")\
-        .write.mode("overwrite").parquet(f"{base}/terms")
-    st.select("n_chunks", "avgdl", average.alias("average_idf"))\
-        .write.mode("overwrite").parquet(f"{base}/stats")
-    corpus_prefix(chunks, PREFIX_ROWS).coalesce(1).write.mode("overwrite").parquet(f"{base}/prefix")
     meta = {"format_version": FORMAT_VERSION, "k1": index.k1, "b": index.b,
             "chunk_size": index.chunk_size, "stop_words": _stop_word_digest(),
             "postings_buckets": nfiles, "prefix_rows": PREFIX_ROWS}
+    # The remaining tables read only written ones and not each other:
+    # their (small) jobs are submitted together; meta is written last,
+    # so a reader never sees it before the tables it describes.
+    writes = [
+        lambda: terms.repartition(max(1, nfiles // 4), "token").sortWithinPartitions("token")
+        .write.mode("overwrite").parquet(f"{base}/terms"),
+        lambda: st.select("n_chunks", "avgdl", average.alias("average_idf"))
+        .write.mode("overwrite").parquet(f"{base}/stats"),
+        lambda: corpus_prefix(chunks, PREFIX_ROWS).coalesce(1).write.mode("overwrite")
+        .parquet(f"{base}/prefix"),
+    ]
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for done in [pool.submit(w) for w in writes]:
+            done.result()
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string")\
         .coalesce(1).write.mode("overwrite").text(f"{base}/meta")
     return load_index(spark, path)
