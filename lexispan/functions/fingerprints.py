@@ -20,6 +20,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 # every position and takes strings of any length.
 LEVELS = ((16, 32), (4, 8), (1, 1))
 
+# Window starts handled per piece of a long text (bounds task memory).
+BLOCK = 1 << 22
+
 _BASE = np.uint64(1_000_003)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
@@ -59,10 +62,27 @@ def gram_hashes(cps: np.ndarray, q: int) -> np.ndarray:
     return h
 
 
-def winnow(text: str, level: int) -> tuple[np.ndarray, np.ndarray]:
+def winnow(text: str, level: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes as int64) selected at ``level``; positions are
-    code-point offsets of the q-gram starts, ascending, unique."""
+    code-point offsets of the q-gram starts, ascending, unique.
+
+    A long text is taken in blocks of ``block`` window starts (each
+    block reads the ``w + q - 2`` characters after it too), so memory
+    stays bounded; the selections are the same as in one piece.
+    """
     q, w = LEVELS[level]
+    if len(text) <= block + w + q - 2:
+        return _winnow_piece(text, q, w)
+    pos_parts, h_parts = [], []
+    for start in range(0, len(text) - (w + q - 2), block):
+        pos, h = _winnow_piece(text[start:start + block + w + q - 2], q, w)
+        pos_parts.append(pos + start)
+        h_parts.append(h)
+    pos, first = np.unique(np.concatenate(pos_parts), return_index=True)
+    return pos, np.concatenate(h_parts)[first]
+
+
+def _winnow_piece(text: str, q: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     h = gram_hashes(code_points(text), q)
     if h.shape[0] < w:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)

@@ -69,3 +69,12 @@ def test_locate_passages_first_occurrence_per_file(spark):
     passages = [("q", "needle"), ("q2", "needle yy needle")]
     assert located(spark, corpus, passages) == [
         ("q", "a.md", 3, 9), ("q", "b.md", 0, 6), ("q2", "a.md", 3, 19)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab c\n\U0001F600é", max_size=400), st.integers(0, 2), st.integers(1, 70))
+def test_winnow_in_blocks_equals_one_piece(text, level, block):
+    whole = fp.winnow(text, level, block=1 << 30)
+    pieces = fp.winnow(text, level, block=block)
+    assert whole[0].tolist() == pieces[0].tolist()
+    assert whole[1].tolist() == pieces[1].tolist()
