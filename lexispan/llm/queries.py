@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexispan.llm import exact_dedup as _ed
+from lexispan.llm import near_dedup as _nd
+from lexispan.llm import packing as _pk
 from lexispan.llm import pii as _pii
 from lexispan.llm import sharding as _sh
 from lexispan.llm.common import read_table, with_workers
@@ -41,12 +43,24 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@_register
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return _pk.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 16 shards by jump consistent hashing of the id."""
     return _sh.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents by SetSketch registers."""
+    return _nd.near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document."""
