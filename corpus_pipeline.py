@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexispan.llm import exact_dedup
+from lexispan.llm import decontamination, exact_dedup, near_dedup, packing
 from lexispan.llm.common import read_table, shared_table, with_workers
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,8 +22,29 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the smallest id stays."""
+    with_workers(spark)
+    return near_dedup.drop_near_copies(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    with_workers(spark)
+    return decontamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents as pieces in sequences."""
+    with_workers(spark)
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("decontamination", benchmark_passages),
+    ("packing", packed),
 ]
 
 #: The first stage scores with a trained model, which SQL can't express.

@@ -343,3 +343,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns. Only the
+    ids that go are carried to the texts; rows that share an id stay or
+    go together."""
+    gone = near_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"))
+    gone = shared_table(gone.distinct(), "gone")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")), "left_anti")

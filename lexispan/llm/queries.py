@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexispan.llm import decontamination as _dc
 from lexispan.llm import exact_dedup as _ed
 from lexispan.llm import near_dedup as _nd
 from lexispan.llm import packing as _pk
@@ -49,6 +50,34 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pk.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    found = _dc.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+SQL["op4_decontamination"] = """
+WITH words AS (
+  SELECT 0 AS side, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+  UNION ALL
+  SELECT 1, item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') FROM benchmark
+), shingles AS (
+  SELECT DISTINCT side, id,
+         unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM words WHERE len(w) > 0
+), items AS (
+  SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE side = 1
+)
+SELECT d.id AS doc_id, i.item_id, CAST(any_value(i.n_item) AS INTEGER) AS n_item,
+       CAST(count(*) AS INTEGER) AS n_shared, round(count(*) / any_value(i.n_item), 6) AS containment
+FROM items i JOIN shingles d ON d.side = 0 AND d.s = i.s
+GROUP BY d.id, i.item_id
+HAVING count(*) * 100 >= any_value(i.n_item) * 75
+"""
+
+
 @_register
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 16 shards by jump consistent hashing of the id."""
