@@ -10,12 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexispan.llm import decontamination, exact_dedup, near_dedup, packing
+from lexispan.llm import decontamination, exact_dedup, near_dedup, packing, quality
 from lexispan.llm.common import read_table, shared_table, with_workers
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted poor go."""
+    with_workers(spark)
+    return quality.drop_poor(docs, read_table(spark, sf_dir, "labels"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     with_workers(spark)
@@ -41,6 +47,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_texts),
     ("exact_dedup", exact_copies),
     ("near_dedup", near_copies),
     ("decontamination", benchmark_passages),

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from lexispan.llm.words import row_slices
 from lexispan.session import ensure_checkpoint_dir, ship_package
 
 #: Remainder of crc32(doc_id as text) mod FOLDS that is never learnt from.
@@ -73,3 +76,46 @@ def with_workers(spark: SparkSession) -> None:
     """Checkpoint folder and package on the Python workers."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int,
+                    id_col: str = "doc_id", text_col: str = "text") -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Texts, labels (bool) and weights of at most ``per_label`` rows of
+    each label, for fitting on the driver.
+
+    Rows held out, without a label or without a document are left out;
+    of an id's labels the largest counts. The choice goes by a hash of
+    the id; weights undo the unequal sampling of the labels.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
+    sizes = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
+    order = [F.xxhash64("_id"), F.col("_id")]
+    chosen = [known.where(F.col("_label") == v).orderBy(*order).limit(per_label) for v in (0, 1)]
+    chosen = chosen[0].unionByName(chosen[1])  # at most 2 * per_label rows of two numbers
+    found = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(
+        "_id", "_label", F.coalesce(F.col(text_col), F.lit("")).alias("_text")).dropDuplicates(["_id"])
+    table = found.toArrow().combine_chunks().sort_by("_id")
+    flags = table["_label"].to_numpy().astype(bool)
+    weights = np.ones(len(flags))
+    for value in (False, True):
+        mine = flags == value
+        weights[mine] = sizes.get(int(value), 0) / max(mine.sum(), 1)
+    texts = table["_text"].combine_chunks()
+    return texts, flags, weights / max(weights.mean(), 1e-9) if len(weights) else weights
+
+
+def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], cut: float,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score and predicted of every whole text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, end in row_slices(batch.column("text")):
+                values = score(batch.column("text").slice(at, end - at))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(at, end - at), batch.column("held_out").slice(at, end - at),
+                     pa.array(values, pa.float64()), pa.array(values >= cut).cast(pa.int32())],
+                    names=["doc_id", "held_out", "score", "predicted"])
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(F.col(id_col)).alias("held_out"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")

@@ -11,7 +11,9 @@ from lexispan.llm import exact_dedup as _ed
 from lexispan.llm import near_dedup as _nd
 from lexispan.llm import packing as _pk
 from lexispan.llm import pii as _pii
+from lexispan.llm import quality as _ql
 from lexispan.llm import sharding as _sh
+from lexispan.llm import toxicity as _tx
 from lexispan.llm.common import read_table, with_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +29,12 @@ def _register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return run
 
 
+@_register
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a weakly supervised classifier."""
+    return _tx.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @_register
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents by block naming."""
@@ -94,3 +102,9 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document."""
     return _pii.pii_digest(_pii.find_pii(read_table(spark, sf_dir, "documents")))
+
+
+@_register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a factorisation machine."""
+    return _ql.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -20,6 +20,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _POWERS: list[np.ndarray] = []
 
 
@@ -55,6 +57,16 @@ def column_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[starts[0]:starts[-1]], starts - starts[0]
 
 
+def row_slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of whole rows of about ``limit`` bytes, one row at least."""
+    starts = column_bytes(texts)[1]
+    at, rows = 0, len(starts) - 1
+    while at < rows:
+        end = max(at + 1, int(np.searchsorted(starts, starts[at] + limit, "right")) - 1)
+        yield at, min(end, rows)
+        at = min(end, rows)
+
+
 def _blocks(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of bytes of which none cuts a word."""
     at, n = 0, len(data)
@@ -85,27 +97,64 @@ def word_bounds(data: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, n
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte range, unmixed."""
-    powers, inverses = _powers(max(len(data), BLOCK_BYTES))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)], out=sums[1:])
-    return (sums[ends] - sums[starts]) * inverses[starts]
+def _trimmed(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without ASCII marks and digits at their ends; a word of
+    nothing else becomes empty."""
+    keeps = np.flatnonzero(_LETTER[data])
+    if not len(keeps):
+        return first, first
+    a = np.searchsorted(keeps, first)
+    b = np.searchsorted(keeps, last)
+    some = b > a
+    start = np.where(some, keeps[np.minimum(a, len(keeps) - 1)], first)
+    end = np.where(some, keeps[b - 1] + 1, first)
+    return start, end
+
+
+class Ranges:
+    """Hashes of byte ranges of a block, from running sums."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        powers, self.inverses = _powers(max(len(data), BLOCK_BYTES))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)], out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of each range, unmixed."""
+        return (self.sums[ends] - self.sums[starts]) * self.inverses[starts]
 
 
 def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column, and where each row's begin."""
+    (hashes,), rows = word_views(texts, (), lower)
+    return hashes, rows
+
+
+def word_views(texts: pa.Array, affixes: tuple[int, ...], lower: bool = True,
+               letters: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of all words, then for each number in ``affixes`` of their
+    first (or, if negative, last) so many bytes, 0 for words that are
+    not longer; and where each row's words begin. With ``letters``
+    words lose ASCII marks and digits at both ends."""
     data, starts = column_bytes(texts)
     hashes, places = [], []
     for at, end in _blocks(data, starts):
         block = data[at:end]
         inner = starts[np.searchsorted(starts, at):np.searchsorted(starts, end)] - at
         first, last = word_bounds(block, inner)
-        hashes.append(mix(hash_ranges(_LOWER[block] if lower else block, first, last)))
         places.append(first + at)
+        if letters:
+            first, last = _trimmed(block, first, last)
+        ranges = Ranges(_LOWER[block] if lower else block)
+        views = [mix(ranges.hashes(first, last))]
+        for size in affixes:
+            a, b = (first, np.minimum(first + size, last)) if size > 0 else (np.maximum(last + size, first), last)
+            views.append(np.where(last - first > abs(size), mix(ranges.hashes(a, b) + np.uint64(size % 256)), 0))
+        hashes.append(views)
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), starts)
+        return [np.zeros(0, np.uint64)] * (1 + len(affixes)), np.zeros(len(starts), np.int64)
+    return ([np.concatenate(v) for v in zip(*hashes, strict=True)],
+            np.searchsorted(np.concatenate(places), starts))
 
 
 def shingle_hashes(words: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
