@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexispan.llm import decontamination as _dc
 from lexispan.llm import exact_dedup as _ed
+from lexispan.llm import html_text as _ht
+from lexispan.llm import langid as _li
 from lexispan.llm import near_dedup as _nd
 from lexispan.llm import packing as _pk
 from lexispan.llm import pii as _pii
@@ -92,12 +94,24 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sh.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a conditional random field."""
+    return _li.identify(read_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents by SetSketch registers."""
     return _nd.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by maximum-scoring subsequence."""
+    return _ht.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 @_register
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document."""

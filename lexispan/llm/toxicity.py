@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lexispan.llm.common import labelled_sample, scored
-from lexispan.llm.words import column_bytes, mix, word_views
+from lexispan.llm.words import Lookup, column_bytes, mix, word_views
 
 #: Labelled rows of each label that the model is fitted on.
 SAMPLE = 3000
@@ -49,7 +49,6 @@ SEEDS = {
     "insults_es": "idiota imbécil estúpido tonto basura escoria cabrón inútil asqueroso miserable".split(),
 }
 _SEED_NAMES = list(SEEDS)
-_MASK = (1 << 20) - 1
 _ROW = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -57,25 +56,6 @@ def _hash_words(words: list[str]) -> np.ndarray:
     return word_views(pa.array(words), (), letters=True)[0][0]
 
 
-class _Lookup:
-    """Places of hashes in a sorted list, with a bit table in front."""
-
-    def __init__(self, keys: np.ndarray) -> None:
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
-        self.table = np.zeros(_MASK + 1, dtype=bool)
-        self.table[(keys & np.uint64(_MASK)).astype(np.int64)] = True
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions in ``hashes``, key numbers) of all that occur."""
-        at = np.flatnonzero(self.table[(hashes & np.uint64(_MASK)).astype(np.int64)])
-        if not len(self.keys) or not len(at):
-            return at[:0], at[:0]
-        place = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
-        hit = self.keys[place] == hashes[at]
-        return at[hit], self.order[place[hit]]
-
-
 def _views(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
     return word_views(texts, AFFIXES, letters=True)
 
@@ -109,11 +89,11 @@ def _hits(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.nda
     views, rows = _views(texts)
     n = len(rows) - 1
     row_of = np.repeat(np.arange(n), np.diff(rows))
-    lookup = _Lookup(model.keys)
+    lookup = Lookup(model.keys)
     found = [lookup.find(v) for v in views]
     row = np.concatenate([row_of[at] for at, _ in found])
     key = np.concatenate([k for _, k in found])
-    at, seed = _Lookup(model.seeds).find(views[0])
+    at, seed = Lookup(model.seeds).find(views[0])
     seeds = np.zeros((n, len(_SEED_NAMES)))
     np.add.at(seeds, (row_of[at], model.seed_voter[seed]), 1)
     return row, key, np.diff(rows), seeds

@@ -16,12 +16,14 @@ import pyarrow as pa
 BLOCK_BYTES = 1 << 20
 #: Odd factor of the polynomial and of the shingle hash.
 _FACTOR = 0x9E3779B97F4A7C15 | 1
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
+#: Bits of a lookup's first table, less one.
+_TABLE = (1 << 20) - 1
 _POWERS: list[np.ndarray] = []
 
 
@@ -67,7 +69,7 @@ def row_slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int
         at = min(end, rows)
 
 
-def _blocks(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
+def blocks(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of bytes of which none cuts a word."""
     at, n = 0, len(data)
     while at < n:
@@ -97,7 +99,7 @@ def word_bounds(data: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, n
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _trimmed(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def trimmed(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words without ASCII marks and digits at their ends; a word of
     nothing else becomes empty."""
     keeps = np.flatnonzero(_LETTER[data])
@@ -138,14 +140,14 @@ def word_views(texts: pa.Array, affixes: tuple[int, ...], lower: bool = True,
     words lose ASCII marks and digits at both ends."""
     data, starts = column_bytes(texts)
     hashes, places = [], []
-    for at, end in _blocks(data, starts):
+    for at, end in blocks(data, starts):
         block = data[at:end]
         inner = starts[np.searchsorted(starts, at):np.searchsorted(starts, end)] - at
         first, last = word_bounds(block, inner)
         places.append(first + at)
         if letters:
-            first, last = _trimmed(block, first, last)
-        ranges = Ranges(_LOWER[block] if lower else block)
+            first, last = trimmed(block, first, last)
+        ranges = Ranges(LOWER[block] if lower else block)
         views = [mix(ranges.hashes(first, last))]
         for size in affixes:
             a, b = (first, np.minimum(first + size, last)) if size > 0 else (np.maximum(last + size, first), last)
@@ -174,3 +176,22 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.
         word = words[np.minimum(at + k, max(len(words) - 1, 0))] if len(words) else out
         out = np.where(has, out * factor + word, out)
     return mix(out), begins
+
+
+class Lookup:
+    """Places of hashes in a sorted list, with a bit table in front."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+        self.table = np.zeros(_TABLE + 1, dtype=bool)
+        self.table[(keys & np.uint64(_TABLE)).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions in ``hashes``, key numbers) of all that occur."""
+        at = np.flatnonzero(self.table[(hashes & np.uint64(_TABLE)).astype(np.int64)])
+        if not len(self.keys) or not len(at):
+            return at[:0], at[:0]
+        place = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        hit = self.keys[place] == hashes[at]
+        return at[hit], self.order[place[hit]]
