@@ -10,10 +10,13 @@ jointly from its registers and set sizes by maximum likelihood; pairs
 that may reach the threshold are verified on the full sets.
 
 Groups of copies are never expanded into pairs. Documents with equal
-sets are one class. In every bucket the classes are compared with one
-pivot; after linking, only buckets that still hold several components
-are looked at again, and only for pairs of different components. Large
-ones of these are first split by a further band.
+sets are one class. A class's shingles that no other candidate class
+has can be in no intersection, which bounds every similarity it can
+reach: this rules out most pairs of heavily edited copies exactly. In
+every bucket the classes are compared with a few pivots, those with the
+largest share of common shingles; after linking, only buckets that still
+hold several components are looked at again, and only for pairs of
+different components that the bound allows.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from lexispan.llm.common import let, shared_table
 from lexispan.llm.words import mix, shingle_hashes, word_hashes
@@ -36,8 +40,11 @@ REGISTERS, BAND = 128, 4
 BASE, TOP, RATE = 1.001, 65535, 20.0
 #: Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN = 4.5
-#: Classes of a bucket compared pair by pair; larger ones are split first.
-PAIRED = 32
+#: Pivots of a bucket.
+PIVOTS = 3
+#: Largest table, in bytes, that is broadcast to find the texts of
+#: candidate classes, and the bytes of a row.
+BROADCAST_BYTES, _ROW_BYTES = 64 << 20, 64
 #: Pairs of one class verified by one task.
 FAN = 512
 #: Shingles sketched at a time.
@@ -118,13 +125,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cid, shingles) of texts whose set is the class's."""
     for batch in batches:
-        for _, _, found, begins in _sets(batch.column("text")):
-            k1, k2 = _digests(found, begins)
-            sets = [found[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
+        own = np.column_stack([batch.column(c).to_numpy() for c in ("n", "k1", "k2")])
+        for at, end, found, begins in _sets(batch.column("text")):
+            same = (np.column_stack([np.diff(begins), *_digests(found, begins)]) == own[at:end]).all(axis=1)
+            sets = pa.LargeListArray.from_arrays(pa.array(begins, pa.int64()), pa.array(found.view(np.int64)))
+            keep = pa.array(same)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.diff(begins), pa.int64()), pa.array(k1), pa.array(k2), pa.array(sets, pa.binary())],
-                names=["n", "k1", "k2", "shingles"])
+                [batch.column("cid").slice(at, end - at).filter(keep),
+                 sets.filter(keep).cast(pa.list_(pa.int64()))], names=["cid", "shingles"])
 
 
 def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -170,19 +180,19 @@ def _may_reach(threshold: float):
     return run
 
 
-def _verified(threshold: float):
-    percent = round(100 * threshold)
-
+def _compared(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            sides = zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True)
-            for i, (x, y) in enumerate(sides):
-                a, b = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+            shared, linked = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, dtype=bool)
+            one, two = batch.column("shingles_a"), batch.column("shingles_b")
+            for i in range(batch.num_rows):
+                a, b = one[i].values.to_numpy(), two[i].values.to_numpy()
                 both = np.sort(np.concatenate([a, b]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep[i] = 100 * shared >= percent * (len(a) + len(b) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+                shared[i] = (both[1:] == both[:-1]).sum()
+                linked[i] = 100 * shared[i] >= percent * (len(a) + len(b) - shared[i])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(shared), pa.array(linked)],
+                names=["a", "b", "shared", "linked"])
     return run
 
 
@@ -220,103 +230,161 @@ def _pairs_with(pairs: DataFrame, values: DataFrame, columns: list[str]) -> Data
     return pairs
 
 
-def _similar_size(threshold: float):
-    least = F.least("n_a", "n_b")
-    return 100 * least >= round(100 * threshold) * F.greatest("n_a", "n_b")
-
-
 class _Classes:
     """Classes of equal sets and what is compared of them."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> None:
-        self.threshold = threshold
+        self.threshold, self.percent = threshold, round(100 * threshold)
         self.texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
         sketched = self.texts.mapInArrow(_sketch, "id long, n long, k1 long, k2 long, registers binary")
         self.rows = shared_table(sketched, "sketches")
-        key = ["k1", "k2", "n"]
-        classes = self.rows.where("n > 0").groupBy(*key).agg(
+        classes = self.rows.where("n > 0").groupBy("k1", "k2", "n").agg(
             F.min("id").alias("first"), F.min("registers").alias("registers"))
         self.table = shared_table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-        self.links = None
+        self.members = self._members()
+        self.sets = self._full()
+        self.members = self._bounded()
 
-    def buckets(self) -> DataFrame:
-        """(bucket, cid, n, bands) of classes that share a band with another."""
-        width = 2 * BAND
-        count = REGISTERS // BAND
+    def _members(self) -> DataFrame:
+        """(bucket, cid) of classes that share a band with another."""
+        width, count = 2 * BAND, REGISTERS // BAND
         bands = let(F.col("registers"), lambda r: F.transform(
             F.sequence(F.lit(0), F.lit(count - 1)),
             lambda i: F.xxhash64(i, F.substring(r, i * width + 1, F.lit(width)))))
         spread = self.table.select("cid", F.explode(bands).alias("bucket"))
-        shared = spread.groupBy("bucket").agg(F.min("cid").alias("pivot"), F.max("cid").alias("last"))
-        shared = shared_table(shared.where("pivot <> last").drop("last"), "buckets")
+        shared = spread.groupBy("bucket").agg(F.min("cid").alias("low"), F.max("cid").alias("high"))
+        shared = shared_table(shared.where("low <> high").select("bucket"), "buckets")
         return shared_table(spread.join(shared, "bucket"), "members")
 
+    def _full(self) -> DataFrame:
+        """(cid, shingles) of all candidate classes, made again from one
+        text of each."""
+        wanted = self.table.join(self.members.select("cid").distinct(), "cid").select(
+            "cid", "n", "k1", "k2", F.col("first").alias("_id"))
+        wanted = shared_table(wanted, "wanted")
+        if wanted.count() * _ROW_BYTES <= BROADCAST_BYTES:
+            wanted = F.broadcast(wanted)
+        texts = self.texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).drop("id", "_id")
+        sets = texts.mapInArrow(_full_sets, "cid long, shingles array<long>")
+        # Repeated rows of one id and text would give a set twice.
+        return shared_table(sets, "sets")
+
+    def _bounded(self) -> DataFrame:
+        """Members with n and common, the number of shingles that some
+        other candidate class has too. Those that no set of the
+        bucket's sizes can bring to the threshold are left out."""
+        seen = self.sets.dropDuplicates(["cid"]) if self._repeated() else self.sets
+        self.sets = seen
+        spread = seen.select("cid", F.explode("shingles").alias("shingle"))
+        alone = spread.groupBy("shingle").agg(F.min("cid").alias("cid"), F.max("cid").alias("last"))
+        alone = alone.where("cid = last").groupBy("cid").agg(F.count(F.lit(1)).alias("alone"))
+        nodes = self.table.select("cid", "n").join(alone, "cid").withColumn("common", F.col("n") - F.col("alone"))
+        members = shared_table(self.members.join(
+            nodes.select("cid", "common"), "cid", "left").join(
+            self.table.select("cid", "n"), "cid").select(
+            "bucket", "cid", "n", F.coalesce("common", "n").alias("common")), "nodes")
+        least = shared_table(members.groupBy("bucket").agg(F.min("n").alias("least")), "least")
+        partner = F.greatest("least", "common")
+        reach = 100 * F.col("common") >= self.percent * (F.col("n") + partner - F.col("common"))
+        return shared_table(members.join(least, "bucket").where(reach).drop("least"), "bounded")
+
+    def _repeated(self) -> bool:
+        return not self.sets.groupBy("cid").count().where("count > 1").isEmpty()
+
+    def within_reach(self, a: str, b: str):
+        """Condition that the shared shingles of two sides could do."""
+        shared = F.least(f"{a}.common", f"{b}.common")
+        return 100 * shared >= self.percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - shared)
+
+    def stars(self) -> DataFrame:
+        """Distinct pairs (a, b) of each bucket's pivots and members."""
+        rank = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc(F.col("common") / F.col("n")), "cid"))
+        self.pivots = shared_table(self.members.withColumn("rank", rank).where(F.col("rank") <= PIVOTS), "pivots")
+        one, two = self.pivots.alias("one"), self.members.alias("two")
+        met = two.join(one, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.cid") != F.col("two.cid"))
+                       & self.within_reach("one", "two"))
+        return met.select(F.col("one.cid").alias("a"), F.col("two.cid").alias("b")).distinct()
+
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b), those whose estimate may reach the threshold."""
-        known = _pairs_with(pairs, self.table, ["n", "registers"]).where(_similar_size(self.threshold))
+        known = _pairs_with(pairs, self.table, ["n", "registers"])
         return shared_table(known.mapInArrow(_may_reach(self.threshold), "a long, b long, estimate double"),
                             "plausible")
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b), the links: compared on full sets, made again
-        from the texts of the classes concerned."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        wanted = shared_table(self.table.join(wanted, "cid").select(
-            "cid", "n", "k1", "k2", F.col("first").alias("_id")), "wanted")
-        texts = self.texts.join(wanted.select("_id"), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-        sets = texts.select("text").mapInArrow(_full_sets, "n long, k1 long, k2 long, shingles binary")
-        sets = wanted.join(sets, ["n", "k1", "k2"]).select("cid", "shingles").dropDuplicates(["cid"])
-        sets = shared_table(sets, "sets")
-        return _pairs_with(pairs, sets, ["shingles"]).mapInArrow(
-            _verified(self.threshold), "a long, b long")
-
-
-def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) with the size of their full sets' intersection
+        and whether they link."""
+        return shared_table(_pairs_with(pairs, self.sets, ["shingles"]).mapInArrow(
+            _compared(self.percent), "a long, b long, shared long, linked boolean"), "compared")
+
+    def open_members(self, labels: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with their
+        label and the bucket's first pivot."""
+        marked = self.members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        marked = shared_table(marked, "marked")
+        several = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        pivots = self.pivots.where("rank = 1").select("bucket", F.col("cid").alias("pivot"), F.col("n").alias("n_pivot"))
+        several = shared_table(several.where("low <> high").select("bucket").join(pivots, "bucket"), "several")
+        return shared_table(marked.join(several, "bucket"), "open")
+
+    def residual(self, open_: DataFrame, compared: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b) of different components that share a
+        bucket and whose sets could link.
+
+        What two sets share lies inside the bucket's pivot, at most the
+        smaller of their intersections with it, or outside, at most the
+        smaller number of common shingles there. A class that was not
+        compared with the pivot, being no link of it by its estimate, is
+        bounded by that and by its common shingles alone.
+        """
+        known = compared.groupBy(F.col("a").alias("_a"), F.col("b").alias("_b")).agg(F.max("shared").alias("shared"))
+        with_pivot = open_.join(known, (F.col("pivot") == F.col("_a")) & (F.col("cid") == F.col("_b")), "left")
+        shared = F.when(F.col("cid") == F.col("pivot"), F.col("n")).otherwise(F.col("shared"))
+        below = F.floor((F.col("n") + F.col("n_pivot")) * self.percent / (100 + self.percent))
+        sides = with_pivot.select(
+            "bucket", "cid", "n", "common", "label", F.coalesce(shared, below).alias("inside"),
+            F.when(shared.isNull(), F.col("common")).otherwise(
+                F.greatest(F.col("common") - shared, F.lit(0))).alias("outside"))
+        sides = shared_table(sides, "sides")
+        one, two = sides.alias("one"), sides.alias("two")
+        most = F.least("one.common", "two.common", F.least("one.inside", "two.inside")
+                       + F.least("one.outside", "two.outside"))
+        met = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.cid") < F.col("two.cid"))
+                       & (F.col("one.label") != F.col("two.label"))
+                       & (100 * most >= self.percent * (F.col("one.n") + F.col("two.n") - most)))
+        return met.select(F.col("one.cid").alias("a"), F.col("two.cid").alias("b")).distinct()
+
+
+def _labelled(links: DataFrame) -> DataFrame:
     """(cid, label) of classes with links."""
     return components(links).withColumnRenamed("id", "cid")
 
 
 def link_classes(classes: _Classes) -> DataFrame:
     """(cid, label) of all linked classes: components over all links."""
-    members = classes.buckets()
-    stars = members.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
-    stars = classes.plausible(stars)
+    stars = classes.plausible(classes.stars())
     # Each class with its likeliest pivot first, then what that left open.
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
-    links = shared_table(classes.verify(best), "links")
-    labels = _labelled(classes.table, links)
-
-    def open_pairs(pairs: DataFrame) -> DataFrame:
-        """Pairs of different components."""
-        left = labels.select(F.col("cid").alias("a"), F.col("label").alias("label_a"))
-        right = labels.select(F.col("cid").alias("b"), F.col("label").alias("label_b"))
-        marked = pairs.join(left, "a", "left").join(right, "b", "left")
-        return marked.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-
-    rest = shared_table(open_pairs(stars).join(best, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        links = shared_table(links.unionByName(classes.verify(rest)), "links")
-        labels = _labelled(classes.table, links)
-    rest = residual_pairs(members, labels).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    rest = classes.plausible(shared_table(rest, "rest"))
-    if not rest.isEmpty():
-        links = shared_table(links.unionByName(classes.verify(rest.select("a", "b"))), "links")
-        labels = _labelled(classes.table, links)
-    return labels
-
-
-def residual_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of different components that share a bucket."""
-    marked = members.select("bucket", "cid").join(labels, "cid", "left").select(
-        "bucket", "cid", F.coalesce("label", "cid").alias("label"))
-    marked = shared_table(marked, "marked")
-    several = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    several = shared_table(several.where("low <> high").select("bucket"), "several")
-    open_ = shared_table(marked.join(several, "bucket"), "open")
-    one, two = open_.alias("one"), open_.alias("two")
-    met = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.cid") < F.col("two.cid"))
-                   & (F.col("one.label") != F.col("two.label")))
-    return met.select(F.col("one.cid").alias("a"), F.col("two.cid").alias("b")).distinct()
+    compared = classes.compare(best)
+    labels = _labelled(compared.where("linked"))
+
+    def more(pairs: DataFrame) -> DataFrame:
+        fresh = shared_table(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "fresh")
+        return compared if fresh.isEmpty() else shared_table(
+            compared.unionByName(classes.compare(fresh)), "compared")
+
+    left = labels.select(F.col("cid").alias("a"), F.col("label").alias("label_a"))
+    right = labels.select(F.col("cid").alias("b"), F.col("label").alias("label_b"))
+    apart = stars.join(left, "a", "left").join(right, "b", "left").where(
+        F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
+    compared = more(apart.select("a", "b"))
+    labels = _labelled(compared.where("linked"))
+    open_ = classes.open_members(labels)
+    with_pivot = open_.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
+    compared = more(with_pivot.join(stars.select("a", "b"), ["a", "b"], "left_semi"))
+    rest = classes.plausible(shared_table(classes.residual(open_, compared), "residual"))
+    compared = more(rest.select("a", "b"))
+    return _labelled(compared.where("linked"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
