@@ -30,7 +30,8 @@ BUCKETS, RANK, BINS = 1 << 14, 8, 20
 #: Score from which a text is predicted good.
 CUT = 0.7
 
-EPOCHS, STEP, ROWS = 12, 0.02, 128
+#: Passes over the sample, steps at least, step size, rows of a step.
+EPOCHS, LEAST_STEPS, STEP, ROWS = 12, 600, 0.02, 128
 
 
 @dataclass
@@ -96,7 +97,7 @@ def fit(texts: pa.Array, good: np.ndarray, weight: np.ndarray) -> Model:
     moments = [[np.zeros_like(model.weights), np.zeros_like(model.weights)],
                [np.zeros_like(model.vectors), np.zeros_like(model.vectors)]]
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * ROWS // len(good)))):
         order = rng.permutation(len(good))
         for at in range(0, len(order), ROWS):
             step += 1

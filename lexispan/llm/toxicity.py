@@ -30,7 +30,7 @@ from lexispan.llm.words import Lookup, column_bytes, mix, word_views
 SAMPLE = 3000
 #: Learnt words and word beginnings at most, and the likelihood-ratio
 #: statistic that each must reach.
-LEXICON, EVIDENCE = 4096, 24.0
+LEXICON, EVIDENCE = 4096, 16.0
 #: Bytes of the word beginnings that are looked at.
 AFFIXES = (4, 5, 6, 7)
 #: Log-odds that start the tiers of learnt lexicons.

@@ -1,7 +1,6 @@
 """Operators with NumPy inside tasks: packing, near-dedup, html, models."""
 
 import itertools
-import os
 import random
 import re
 import zlib
@@ -16,7 +15,7 @@ from lexispan.llm import html_text, langid, near_dedup, packing, quality, toxici
 
 TEXT = "doc_id long, text string"
 CLASH = "doc_id long, text string, score string, n int, id string, cid long, component string, length int, lang string"
-DATA = "/root/testdata/sf0.01"
+DATA, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def clashing(spark, texts):
@@ -231,10 +230,13 @@ def held(spark, scored, label):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
-    rows = held(spark, toxicity.score_toxicity(docs, labels), "toxic")
+    # Insults of the invented languages are learnt from labels alone, so
+    # this needs the larger table's labels.
+    docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.score_toxicity(docs.join(labels, "doc_id", "left_semi"), labels)
+    rows = rows.join(labels, "doc_id").where("held_out").collect()
     hit = sum(r.predicted and r.toxic for r in rows)
-    assert hit >= 0.7 * sum(r.toxic for r in rows) and hit >= 0.8 * sum(r.predicted for r in rows)
+    assert hit >= 0.9 * sum(r.toxic for r in rows) and hit >= 0.95 * sum(r.predicted for r in rows)
 
 
 def test_quality_on_held_out_rows(spark):
@@ -324,4 +326,3 @@ def test_language_of_odd_texts(spark):
     nothing = langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in nothing} == {"und"}
     assert langid.identify(docs.where("false")).collect() == []
-    assert os.path.exists(DATA)
