@@ -1,7 +1,8 @@
 """Documents -> chunks with exact code-point offsets.
 
-All chunking is a single narrow projection plus one ``explode``: no
-shuffle, one scan of the documents. Offsets are left-inclusive,
+All chunking is a narrow projection plus one ``explode``: no shuffle.
+Prose and code are two branches, of which only the second needs Python.
+Offsets are left-inclusive,
 right-exclusive code-point positions, so
 ``substring(text, first + 1, last - first)`` is the chunk text.
 
@@ -29,11 +30,7 @@ from lexispan.functions.text import (
     is_text_path,
     path_suffix,
 )
-from lexispan.operators.code_bounds import (
-    packed_paragraphs_udf,
-    paragraph_bounds_udf,
-    statement_ends_udf,
-)
+from lexispan.operators.code_bounds import statement_ends_udf
 
 MAX_CHUNK_SIZE = 2000
 DEFAULT_CHUNK_SIZE = 2000
@@ -86,22 +83,35 @@ def _piece_lengths(text: Column) -> Column:
         F.length(p).cast("bigint").alias("lp"), F.length(q).cast("bigint").alias("lq")))
 
 
-# Documents with more paragraphs than this take the linear Python fold
-# (the native fold appends to an array, which grows quadratically).
-LARGE_PARAGRAPH_COUNT = 2048
+# Paragraphs whose positions are summed up in one fold: folds append to
+# arrays, so a long document's paragraphs go block by block.
+FOLD_BLOCK = 256
 
 
-def _many_paragraphs(text: Column) -> Column:
-    return F.size(F.split(text, PARAGRAPH_BREAK)) > F.lit(LARGE_PARAGRAPH_COUNT)
+def paragraph_bounds(text: Column) -> Column:
+    """C4: ``[s, e)`` of every non-empty paragraph, in order.
 
+    Each block of paragraphs is placed relative to its own start; the
+    blocks are then moved by the lengths before them.
+    """
+    def of_blocks(pieces: Column) -> Column:
+        last = F.floor((F.size(pieces) - 1) / FOLD_BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: _paragraph_fold(
+            F.slice(pieces, i * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK))))
 
-def paragraph_bounds(text: Column) -> Column:
-    """C4: ``[s, e)`` of every non-empty paragraph, in order."""
-    many = _many_paragraphs(text)
-    return F.when(many, paragraph_bounds_udf(F.when(many, text))).otherwise(_paragraph_fold(text))
+    def move(acc: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda b: F.struct(
+            (b["s"] + acc["cur"]).alias("s"), (b["e"] + acc["cur"]).alias("e")))
+        return F.struct((acc["cur"] + block["cur"]).alias("cur"),
+                        F.concat(acc["parts"], F.array(moved)).alias("parts"))
 
+    blocks = F.transform(F.array(_piece_lengths(text)), of_blocks)[0]
+    zero = F.struct(F.lit(0).cast("bigint").alias("cur"), F.array().cast(f"array<{BOUND_TYPE}>").alias("parts"))
+    return F.flatten(F.aggregate(blocks, zero, move, lambda acc: acc["parts"]))
 
-def _paragraph_fold(text: Column) -> Column:
+
+def _paragraph_fold(pieces: Column) -> Column:
+    """(length, bounds of non-empty paragraphs) of a run of pieces."""
     zero = F.struct(F.lit(0).cast("bigint").alias("cur"),
                     F.array().cast(BOUND_TYPE).alias("out"))
 
@@ -112,7 +122,7 @@ def _paragraph_fold(text: Column) -> Column:
             .otherwise(acc["out"])
         return F.struct((e + x["lq"]).alias("cur"), out.alias("out"))
 
-    return F.aggregate(_piece_lengths(text), zero, step, lambda acc: acc["out"])
+    return F.aggregate(pieces, zero, step)
 
 
 def packed_paragraphs(text: Column, n: int) -> Column:
@@ -120,13 +130,9 @@ def packed_paragraphs(text: Column, n: int) -> Column:
 
     A buffer grows while ``paragraph_end - buffer_start <= n`` (the
     separators inside count); otherwise it is flushed and a new one
-    starts at that paragraph. Returns the buffer spans (before C2).
+    starts at that paragraph. Returns the buffer spans (before C2). The
+    fold appends once per buffer, not per paragraph.
     """
-    many = _many_paragraphs(text)
-    return F.when(many, packed_paragraphs_udf(n)(F.when(many, text))).otherwise(_packing_fold(text, n))
-
-
-def _packing_fold(text: Column, n: int) -> Column:
     zero = F.struct(F.lit(0).cast("bigint").alias("cur"),
                     F.lit(-1).cast("bigint").alias("bs"),
                     F.lit(-1).cast("bigint").alias("be"),
@@ -234,23 +240,17 @@ def chunk_code(documents: DataFrame, n: int) -> DataFrame:
 def chunk_documents(documents: DataFrame, n: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
     """C7 + C8: route every document by suffix and chunk it.
 
-    One scan, one projection, one explode. Only code files' text is
-    handed to the Python parser; an unsupported suffix fails the job.
+    Two branches by suffix: prose stays in native expressions, only code
+    files pass the Python parser; an unsupported suffix fails the job.
     Output: ``file_path, first_character_index, last_character_index,
     text``; not ordered (use ``order_chunks`` for corpus order).
     """
-    check_chunk_size(n)
-    text = F.col("text")
-    code = is_code_path("file_path")
-    ends = statement_ends_udf(F.when(code, text))
-    spans = (F.when(code, code_spans(text, ends))
-             .when(is_text_path("file_path"), text_spans(text, n))
-             .otherwise(F.raise_error(F.concat(
-                 F.lit("Unsupported document type for chunking: "),
-                 F.coalesce(F.nullif(path_suffix("file_path"), F.lit("")),
-                            F.lit("<no suffix>"))))
-                 .cast(SPAN_TYPE)))
-    return _explode_windows(documents, span_windows(text, spans, n), ["file_path"])
+    code = F.coalesce(is_code_path("file_path"), F.lit(False))
+    unsupported = ~F.coalesce(is_text_path("file_path"), F.lit(False))
+    name = F.coalesce(F.nullif(path_suffix("file_path"), F.lit("")), F.lit("no suffix"))
+    failed = F.raise_error(F.concat(F.lit("cannot chunk a file of this type: "), name)).cast("boolean")
+    prose = documents.where(~code).where(F.when(unsupported, failed).otherwise(F.lit(True)))
+    return pack_paragraphs(prose, n).unionByName(chunk_code(documents.where(code), n))
 
 
 def order_chunks(chunks: DataFrame) -> DataFrame:

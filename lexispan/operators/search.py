@@ -271,11 +271,16 @@ def search_dataset(index: BM25Index, questions: DataFrame, k: int = 10,
     """Every question of a set, unmatched ones kept with null sources.
 
     Flat output: ``question_id, question, rank, file_path,
-    first_character_index, last_character_index, score``.
+    first_character_index, last_character_index, score``. With an
+    ``input_pos`` column the set may repeat ids: each position is ranked
+    by itself and the column is kept. Without one, ids must be unique.
     """
     check_k(k)
-    q = questions.select("question_id", "question")
-    res = search(index, q.where(~is_blank("question")), k, fill)
-    return q.join(res, "question_id", "left").select(
-        "question_id", "question", "rank", "file_path", "first_character_index",
-        "last_character_index", "score")
+    placed = "input_pos" in questions.columns
+    columns = (["input_pos"] if placed else []) + ["question_id", "question"]
+    q = questions.select(*columns)
+    key = F.col("input_pos").cast("string") if placed else F.col("question_id")
+    keyed = q.select(key.alias("question_id"), "question").where(~is_blank("question"))
+    res = search(index, keyed, k, fill).withColumnRenamed("question_id", "_key")
+    return q.withColumn("_key", key).join(res, "_key", "left").select(
+        *columns, "rank", "file_path", "first_character_index", "last_character_index", "score")

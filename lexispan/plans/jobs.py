@@ -70,13 +70,13 @@ def search_query(spark: SparkSession, query: str, k: int = 10,
 def search_dataset(spark: SparkSession, dataset_path: str, save_directory: str, k: int = 10,
                    index_dir: str = DEFAULT_INDEX_DIRECTORY, json_lines: bool = False) -> str:
     """R6 + S10: rank every question of a set; one results document named
-    like the input, under ``save_directory``."""
+    like the input, under ``save_directory``. Repeated ids give a result
+    each. ``json_lines``: question set and results are JSON Lines."""
     se.check_k(k)
     sk.check_output_directory(save_directory)
     index = ix.load_index(spark, index_dir)
-    questions = qs.load_questions(spark, dataset_path).select("input_pos", "question_id", "question")
-    flat = se.search_dataset(index, questions.select("question_id", "question"), k)
-    flat = flat.join(questions.select("question_id", "input_pos"), "question_id")
+    questions = qs.load_questions(spark, dataset_path, json_lines=json_lines)
+    flat = se.search_dataset(index, questions, k)
     out = sk.write_results(sk.nest_results(flat), save_directory, os.path.basename(dataset_path),
                            k, json_lines)
     se.release_cached()
@@ -107,20 +107,28 @@ def source_documents(flat: DataFrame, base_dir: str | None = None) -> DataFrame:
         "file_path", normalize_newlines(F.col("text")).alias("text"))
 
 
+def answer_results(flat: DataFrame, documents: DataFrame,
+                   make_answerer: Callable[[], cx.AnswerFn]) -> DataFrame:
+    """G1-G3 on flat results: each input position is answered by itself,
+    also where ids repeat."""
+    keyed = flat.drop("answer").withColumn("_id", F.col("question_id")).withColumn(
+        "question_id", F.col("input_pos").cast("string"))
+    located = cx.resolve_spans(keyed.where(F.col("rank").isNotNull()), documents)
+    prompts = cx.build_prompts(keyed.select("question_id", "question").distinct(), located)
+    answers = cx.answer_dataset(prompts, make_answerer).select("question_id", "answer")
+    return keyed.join(answers, "question_id").withColumn("question_id", F.col("_id")).drop("_id")
+
+
 def answer_dataset(spark: SparkSession, results_path: str, save_directory: str,
                    make_answerer: Callable[[], cx.AnswerFn], documents: DataFrame | None = None,
                    base_dir: str | None = None, json_lines: bool = False) -> str:
     """Answer every question of a results file (sources re-read from
     the corpus, or taken from ``documents``)."""
     sk.check_output_directory(save_directory)
-    flat, header = qs.load_results(spark, results_path)
+    flat, header = qs.load_results(spark, results_path, json_lines)
     k = header.first()["k"]
     docs = documents if documents is not None else source_documents(flat, base_dir)
-    located = cx.resolve_spans(flat.where(F.col("rank").isNotNull()), docs)
-    questions = flat.select("input_pos", "question_id", "question").distinct()
-    prompts = cx.build_prompts(questions, located)
-    answers = cx.answer_dataset(prompts, make_answerer)
-    out = flat.drop("answer").join(answers.select("question_id", "answer"), "question_id")
+    out = answer_results(flat, docs, make_answerer)
     return sk.write_results(sk.nest_results(out, with_answer=True), save_directory,
                             os.path.basename(results_path), k, json_lines)
 

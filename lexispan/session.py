@@ -65,9 +65,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, choosing a scratch one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as it is; a machine-local folder is only ever picked when the
-    setting is absent, as in tests.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder and
+    is used as it is; a machine-local folder is picked only where the
+    setting is absent and the master is local, as in tests.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lexispan-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -19,6 +19,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 SOURCE_TYPE = ("array<struct<file_path:string,first_character_index:bigint,"
                "last_character_index:bigint>>")
@@ -55,24 +56,29 @@ def _source_ok(s: Column) -> Column:
             & _as_int(F.variant_get(s, "$.last_character_index", "variant")).isNotNull())
 
 
-def validate_items(items: DataFrame) -> DataFrame:
-    """(input_pos, item VARIANT) -> the validated question table."""
+def validate_items(items: DataFrame, salt: str = "") -> DataFrame:
+    """(input_pos, item VARIANT[, problem]) -> the validated question
+    table. ``problem`` says why a line could not be read; its item is
+    null. ``salt`` sets made-up ids of different sets apart."""
     item = F.col("item")
+    problem = F.col("problem") if "problem" in items.columns else F.lit(None).cast("string")
     qv = F.variant_get(item, "$.question", "variant")
     idv = F.variant_get(item, "$.question_id", "variant")
     srcs = F.try_variant_get(item, "$.sources", "array<variant>")
     ans = F.variant_get(item, "$.answer", "variant")
-    is_obj = _type(item).startswith("OBJECT")
+    is_obj = F.coalesce(_type(item).startswith("OBJECT"), F.lit(False))
     id_ok = idv.isNull() | _is_string(idv)
-    valid = is_obj & _is_string(qv) & id_ok
-    reason = (F.when(~is_obj, F.lit("item is not an object"))
+    valid = problem.isNull() & is_obj & _is_string(qv) & id_ok
+    reason = (F.when(problem.isNotNull(), problem)
+              .when(~is_obj, F.lit("item is not an object"))
               .when(~_is_string(qv), F.lit("question must be a string"))
               .when(~id_ok, F.lit("question_id must be a string")))
     sources_ok = srcs.isNotNull() & F.forall(srcs, _source_ok)
     answered = valid & sources_ok & _is_string(ans)
-    # Missing ids: a UUID-shaped id derived from the position, so a
-    # recomputed partition gets the same id.
-    h = F.sha2(F.concat(F.lit("question:"), F.col("input_pos").cast("string")), 256)
+    # Missing ids: a UUID-shaped id derived from the position and the
+    # text, so a recomputed partition gets the same id.
+    text = F.coalesce(F.try_variant_get(qv, "$", "string"), F.lit(""))
+    h = F.sha2(F.concat_ws(":", F.lit("question"), F.lit(salt), F.col("input_pos").cast("string"), text), 256)
     made_id = F.concat_ws("-", h.substr(1, 8), h.substr(9, 4), h.substr(13, 4), h.substr(17, 4),
                           h.substr(21, 12))
     sources = F.when(answered, F.transform(srcs, lambda s: F.struct(
@@ -121,6 +127,35 @@ def read_document(spark: SparkSession, path: str) -> DataFrame:
                       .alias("value"))
 
 
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """(input_pos, value) -> (input_pos, item, problem): one JSON value a
+    line; a line that is no UTF-8 or no JSON keeps its place with the
+    reason and a null item."""
+    utf8 = F.is_valid_utf8("value")
+    item = F.when(utf8, F.try_parse_json("value"))
+    return lines.select("input_pos", item.alias("item"), F.when(~utf8, F.lit("not valid UTF-8")).when(
+        item.isNull(), F.lit("not valid JSON")).alias("problem"))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """JSON Lines files -> (input_pos, item, problem), in the order of
+    file path, then line; blank lines are skipped.
+
+    Spark deals out file splits in any order, so lines are numbered
+    within their split, and splits by path and offset: the counts before
+    a split are its offset (one row per split).
+    """
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"), "value")
+    sizes = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = W.orderBy("file", "block").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    nth = F.row_number().over(W.partitionBy("file", "block").orderBy("seq")) - 1
+    placed = lines.withColumn("nth", nth).join(starts, ["file", "block"])
+    return parse_lines(placed.select((F.col("start") + F.col("nth")).alias("input_pos"), "value"))
+
+
 def load_questions(spark: SparkSession, path: str, strict: bool = True,
                    json_lines: bool = False) -> DataFrame:
     """S5 + S6: read and validate a question set.
@@ -128,13 +163,8 @@ def load_questions(spark: SparkSession, path: str, strict: bool = True,
     ``strict``: an invalid question fails the load (``InvalidDataset``);
     otherwise invalid rows stay with ``is_valid = false`` and a reason.
     """
-    if json_lines:
-        lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-        items = lines.select(F.monotonically_increasing_id().alias("input_pos"),
-                             F.parse_json("value").alias("item"))
-    else:
-        items = parse_document(read_document(spark, path))
-    table = validate_items(items)
+    items = read_lines(spark, path) if json_lines else parse_document(read_document(spark, path))
+    table = validate_items(items, path)
     if strict:
         bad = table.where(~F.col("is_valid")).select("input_pos", "reason").limit(1).collect()
         if bad:
@@ -194,31 +224,46 @@ def copy_questions(spark: SparkSession, src: str, dst: str) -> DataFrame:
     return q
 
 
-def load_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def load_results(spark: SparkSession, path: str, json_lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """A search-results document -> (flat results, header).
 
     Flat: (input_pos, question_id, question, rank, file_path, first,
-    last[, answer]); header: one row with ``k``. Offsets are validated
-    like question sources; an invalid file raises ``InvalidDataset``.
+    last[, answer]); header: one row with ``k``. A missing or non-list
+    ``search_results`` or ``k``, and an invalid item or offset, raise
+    ``InvalidDataset``. ``json_lines``: one result per line, each with
+    its ``k``, as ``write_results`` writes them.
     """
-    doc = read_document(spark, path)
-    v = F.try_parse_json(F.col("value"))
-    items = doc.select(v.alias("v")).select(
-        F.when(F.col("v").isNull(), F.raise_error(F.lit("invalid search results: not valid JSON")))
-        .otherwise(F.col("v")).cast("variant").alias("v"))
-    header = items.select(_as_int(F.variant_get(F.col("v"), "$.k", "variant")).alias("k"))
-    res = items.select(F.posexplode(F.try_variant_get(F.col("v"), "$.search_results", "array<variant>"))
-                       .alias("input_pos", "item"))
+    if json_lines:
+        lines = read_lines(spark, path)
+        res = lines.select("input_pos", "item")
+        header = lines.select(_as_int(F.variant_get("item", "$.k", "variant")).alias("k"))
+        header = header.agg(F.min("k").alias("k"), F.max("k").alias("most"), F.count_if(F.col("k").isNull()).alias("none"))
+        hdr = header.first()
+        if hdr["none"] or hdr["k"] != hdr["most"]:
+            raise InvalidDataset("invalid search results: lines differ in k or have none")
+        header = header.select("k")
+    else:
+        doc = read_document(spark, path).select(F.try_parse_json("value").alias("v"))
+        header = doc.select(_as_int(F.variant_get("v", "$.k", "variant")).alias("k"))
+        items = F.try_variant_get("v", "$.search_results", "array<variant>")
+        hdr = doc.select(F.col("v").isNotNull().alias("json"), items.isNotNull().alias("list"),
+                         _as_int(F.variant_get("v", "$.k", "variant")).alias("k")).first()
+        if hdr is None or not hdr["json"]:
+            raise InvalidDataset("invalid search results: not valid JSON")
+        if not hdr["list"]:
+            raise InvalidDataset("invalid search results: 'search_results' must be a list")
+        if hdr["k"] is None:
+            raise InvalidDataset("invalid search results: 'k' must be an integer")
+        res = doc.select(F.posexplode(items).alias("input_pos", "item"))
     item = F.col("item")
     srcs = F.try_variant_get(item, "$.retrieved_sources", "array<variant>")
     ok = (_is_string(F.variant_get(item, "$.question_id", "variant"))
           & _is_string(F.variant_get(item, "$.question", "variant"))
           & srcs.isNotNull() & F.forall(srcs, _source_ok))
-    checked = res.select("input_pos", item.alias("item"), srcs.alias("srcs"), ok.alias("ok"))
+    checked = res.select("input_pos", item.alias("item"), srcs.alias("srcs"), F.coalesce(ok, F.lit(False)).alias("ok"))
     bad = checked.where(~F.col("ok")).limit(1).collect()
-    hdr = header.first()
-    if bad or hdr is None or hdr["k"] is None:
-        raise InvalidDataset("invalid search results file")
+    if bad:
+        raise InvalidDataset(f"invalid search results: item {bad[0]['input_pos']}")
     flat = checked.select(
         "input_pos",
         F.variant_get(item, "$.question_id", "string").alias("question_id"),

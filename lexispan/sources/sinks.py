@@ -3,14 +3,15 @@
 ``nest_results`` groups the flat ranking (at most k rows per question,
 so each group is bounded) into one row per question with its
 ``retrieved_sources`` in rank order. ``write_results`` writes either
-the reference's one-document format (one file, streamed line by line by
-one writer task) or JSON Lines (one question per line, written in
+the one-document format (one file, streamed line by line by one writer
+task) or JSON Lines (one question per line, written in
 parallel) for large batches.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,8 +59,21 @@ def document_lines(items: DataFrame, head: str, tail: str) -> DataFrame:
 
 
 def write_document(lines: DataFrame, path: str) -> None:
-    """Write ``document_lines`` as one file (one writer task, rows in order)."""
-    lines.orderBy("section", "key").select("value").coalesce(1).write.mode("overwrite").text(path)
+    """Write ``document_lines`` as one file called ``path``: one writer
+    task streams the rows in order into a folder beside it, whose only
+    part file is then moved to the name."""
+    spark = lines.sparkSession
+    folder = f"{path}.{uuid.uuid4().hex}.parts"
+    lines.orderBy("section", "key").select("value").coalesce(1).write.text(folder)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target, parts = hadoop.Path(path), hadoop.Path(folder)
+    fs = parts.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in fs.listStatus(parts) if f.getPath().getName().startswith("part-"))
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(part, target):
+        raise OSError(f"could not write {path}")
+    fs.delete(parts, True)
 
 
 def results_lines(nested: DataFrame, k: int) -> DataFrame:

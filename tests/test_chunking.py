@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -63,7 +64,7 @@ def test_statement_span_takes_leading_comment(spark):
 
 
 def test_unsupported_suffix_fails(spark):
-    with pytest.raises(Exception, match="Unsupported document type"):
+    with pytest.raises(Exception, match="cannot chunk a file of this type"):
         ch.chunk_documents(docs(spark, [("a.json", "{}")]), 10).collect()
 
 
@@ -114,14 +115,25 @@ def test_chunk_text_equals_substring(spark):
         assert 0 < len(r.text) <= 5
 
 
-def test_linear_fold_for_many_paragraphs_matches_native(spark, monkeypatch):
+@pytest.mark.parametrize("block", [1, 2, 7, 256])
+def test_paragraph_positions_do_not_depend_on_the_fold_block(spark, monkeypatch, block):
     rng = random.Random(13)
-    rows = [(f"m/{i}.md", _random_text(rng) * 3) for i in range(120)]
-    native_p = sorted(map(tuple, ch.paragraphs(docs(spark, rows)).collect()))
-    native_c = spans(ch.chunk_documents(docs(spark, rows), 6))
-    monkeypatch.setattr(ch, "LARGE_PARAGRAPH_COUNT", 1)
-    python_p = sorted(map(tuple, ch.paragraphs(docs(spark, rows)).collect()))
-    python_c = spans(ch.chunk_documents(docs(spark, rows), 6))
-    assert python_p == native_p and python_c == native_c
-    want = sorted((p, s, e) for p, t in rows for s, e in pack(t, 6))
-    assert python_c == want
+    rows = [(f"m/{i}.md", _random_text(rng) * 3) for i in range(60)]
+    monkeypatch.setattr(ch, "FOLD_BLOCK", block)
+    got = sorted((r.file_path, r.first_character_index, r.last_character_index)
+                 for r in ch.paragraphs(docs(spark, rows)).collect())
+    want = sorted((p, s, e) for p, t in rows for s, e in paragraphs_of(t))
+    assert got == want
+    assert spans(ch.chunk_documents(docs(spark, rows), 6)) == sorted(
+        (p, s, e) for p, t in rows for s, e in pack(t, 6))
+
+
+def paragraphs_of(text):
+    """Pieces between runs of two or more newlines."""
+    breaks = [(0, 0), *(m.span() for m in re.finditer(r"\n{2,}", text)), (len(text), len(text))]
+    return [(a[1], b[0]) for a, b in zip(breaks, breaks[1:]) if b[0] > a[1]]
+
+
+def test_prose_needs_no_python(spark):
+    plan = ch.pack_paragraphs(docs(spark, [("a.md", "x")]), 10)._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan

@@ -1,6 +1,4 @@
-import glob
 import json
-import os
 
 import pytest
 
@@ -9,8 +7,7 @@ from lexispan.plans import jobs
 
 
 def _read_doc(path):
-    files = [f for f in glob.glob(os.path.join(path, "part-*")) if not f.endswith(".crc")]
-    return json.loads(open(files[0], encoding="utf-8").read())
+    return json.loads(open(path, encoding="utf-8").read())
 
 
 @pytest.fixture()
