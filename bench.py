@@ -52,15 +52,13 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if warm_dir and os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         warm_index = ix.save_index(ix.build_index(fx.prose_corpus(spark, warm_dir), 2000, materialize=False),
-                                   tempfile.mkdtemp(prefix="bench-warm-", dir=base if os.path.isdir(base) else None),
-                                   postings_files=cpus * 2)
+                                   tempfile.mkdtemp(prefix="bench-warm-", dir=base if os.path.isdir(base) else None))
         se.search(warm_index, fx.benchmark_questions(spark, warm_dir), 10).count()
         extra["warmup"] = warm_dir
 
     t = time.time()
     corpus = fx.prose_corpus(spark, sf_dir)
-    index = ix.save_index(ix.build_index(corpus, 2000, materialize=False), out_dir,
-                          postings_files=cpus * 2)
+    index = ix.save_index(ix.build_index(corpus, 2000, materialize=False), out_dir)
     n_chunks = index.stats.first()["n_chunks"]
     times["index"] = time.time() - t
     extra["chunks"] = int(n_chunks)

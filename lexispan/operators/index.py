@@ -11,19 +11,22 @@ postings carry it instead of the path string, so they stay narrow.
 ``tfn`` is the BM25 term-frequency factor
 ``tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl))``, fixed per index.
 
-Term frequencies are counted inside each chunk's row (sort the token
-array, measure the runs), so postings come out of a narrow projection
-with no shuffle; only document frequency needs a shuffle, by token,
-after map-side partial aggregation. Corpus-wide numbers (N, avgdl,
-average idf) are scalar subqueries, evaluated once and broadcast.
+Chunks are tokenized once; the token lists stay with the chunk table.
+Postings are dealt by chunk (the lists cross the network once), so that
+counting a chunk's tokens and later summing its scores need no further
+shuffle; document frequency shuffles by token, after map-side partial
+aggregation. A saved index is a versioned folder, published by a marker
+file once it is complete.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import math
 import os
-from concurrent.futures import ThreadPoolExecutor
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,14 +34,19 @@ from pyspark.sql import functions as F
 
 from lexispan.functions.text import STOP_WORDS, TOKEN_PATTERN, tokenize
 from lexispan.operators.chunking import DEFAULT_CHUNK_SIZE, check_chunk_size, chunk_documents
+from lexispan.sources.files import Files
 
 # BM25 parameters and the idf floor factor.
 K1 = 1.0
 B = 0.4
 IDF_FLOOR_FACTOR = 0.25
 
-FORMAT_VERSION = 3
-TABLES = ("chunks", "postings", "terms", "stats")
+FORMAT_VERSION = 4
+TABLES = ("chunks", "terms", "stats", "prefix")
+# Bytes of chunks whose postings share one file.
+POSTINGS_BYTES = 128 << 20
+# Published versions kept in an index folder.
+VERSIONS = 2
 
 
 @dataclass
@@ -56,6 +64,8 @@ class BM25Index:
     # (saved indexes): zero-fill reads this instead of the chunk table.
     prefix: DataFrame | None = None
     prefix_rows: int = 0
+    # The chunk table with its token lists.
+    tokenized: DataFrame | None = None
 
 
 # Chunks kept in the saved corpus-order prefix (zero-fill candidates).
@@ -80,26 +90,6 @@ def index_tokens(file_path: Column | str = "file_path", text: Column | str = "te
     return F.concat(tokenize(file_path), tokenize(text))
 
 
-def term_frequencies(sorted_tokens: Column) -> Column:
-    """ARRAY<STRUCT<token, tf>> of one *sorted* token list, in the row.
-
-    Every run of equal tokens is one term; its length is the distance
-    between consecutive run ends. Lambdas only touch their own
-    arguments, so each input array is evaluated once per row.
-    """
-    srt = sorted_tokens
-    n = F.size(srt)
-    nxt = F.concat(F.slice(srt, F.lit(2), F.greatest(n, F.lit(1))), F.array(F.lit(None).cast("string")))
-    flags = F.zip_with(srt, nxt, lambda a, b: b.isNull() | (a != b))
-    positions = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    ends = F.filter(F.zip_with(positions, flags, lambda i, f: F.when(f, i)), lambda x: x.isNotNull())
-    prev = F.slice(F.concat(F.array(F.lit(0)), ends), F.lit(1), F.size(ends))
-    terms = F.filter(F.zip_with(srt, flags, lambda t, f: F.when(f, t)), lambda x: x.isNotNull())
-    counts = F.zip_with(ends, prev, lambda e, p: (e - p).cast("int"))
-    pairs = F.zip_with(terms, counts, lambda t, c: F.struct(t.alias("token"), c.alias("tf")))
-    return F.when(n > 0, pairs).otherwise(F.array().cast("array<struct<token:string,tf:int>>"))
-
-
 def tokenized_chunks(chunks: DataFrame) -> DataFrame:
     return chunks.select(*chunks.columns, index_tokens().alias("tokens"))
 
@@ -111,59 +101,17 @@ def tf_factor(tf: Column, dl: Column, avgdl: Column, k1: float, b: float) -> Col
     return (tf * F.lit(k1 + 1.0)) / (tf + norm)
 
 
-def _murmur3_int(value: int, seed: int = 42) -> int:
-    """Murmur3 x86 32-bit hash of one 4-byte int, as Spark's ``hash()``
-    and its bucketing compute it (seed 42), returned signed."""
-    mask = 0xFFFFFFFF
-
-    def rotl(x: int, r: int) -> int:
-        return ((x << r) | (x >> (32 - r))) & mask
-
-    k1 = (value & mask) * 0xCC9E2D51 & mask
-    k1 = rotl(k1, 15) * 0x1B873593 & mask
-    h1 = (seed ^ k1) & mask
-    h1 = (rotl(h1, 13) * 5 + 0xE6546B64) & mask
-    h1 ^= 4
-    h1 ^= h1 >> 16
-    h1 = h1 * 0x85EBCA6B & mask
-    h1 ^= h1 >> 13
-    h1 = h1 * 0xC2B2AE35 & mask
-    h1 ^= h1 >> 16
-    return h1 - (1 << 32) if h1 & 0x80000000 else h1
-
-
-def aligned_bucket_values(buckets: int) -> list[int]:
-    """For every bucket b, the smallest non-negative INT whose Spark bucket
-    hash is b (``pmod(hash(v), buckets) == b``), so a row carrying it
-    lands in exactly that bucket."""
-    found: dict[int, int] = {}
-    v = 0
-    while len(found) < buckets:
-        found.setdefault(_murmur3_int(v) % buckets, v)
-        v += 1
-    return [found[b] for b in range(buckets)]
-
-
-def chunk_bucket(chunk_id: Column, aligned: list[int]) -> Column:
-    """Bucket value of a chunk: the partition that gave it its id (upper
-    bits of ``monotonically_increasing_id``) modulo the bucket count,
-    mapped to the value that hashes to that bucket. All postings of a
-    chunk share it, and the rows a task reads back from one chunk file
-    share it too, so postings are written bucketed without a shuffle and
-    the id partitions spread evenly over the buckets."""
-    part = F.pmod(F.shiftrightunsigned(chunk_id, 33), F.lit(len(aligned)))
-    return F.element_at(F.array(*[F.lit(v) for v in aligned]), (part + 1).cast("int")).cast("int")
-
-
 def postings_from_tokens(tok: DataFrame, avgdl: Column | None = None,
-                         k1: float = K1, b: float = B) -> DataFrame:
+                         k1: float = K1, b: float = B, files: int | None = None) -> DataFrame:
     """One row per (chunk, token): tf, the chunk length and, given
-    ``avgdl``, the BM25 tf factor (plus the chunk's ``bucket`` when the
-    chunk table has one)."""
-    keys = ["bucket", "chunk_id"] if "bucket" in tok.columns else ["chunk_id"]
-    srt = tok.select(*keys, F.size("tokens").alias("dl"), F.sort_array("tokens").alias("srt"))
-    t = srt.select(*keys, "dl", F.explode(term_frequencies(F.col("srt"))).alias("p"))
-    out = t.select(F.col("p.token").alias("token"), *keys, F.col("p.tf").alias("tf"), "dl")
+    ``avgdl``, the BM25 tf factor. ``files``: deal the token lists by
+    chunk to that many partitions first; the count needs no other."""
+    lists = tok.select("chunk_id", F.size("tokens").alias("dl"), "tokens")
+    if files:
+        lists = lists.repartition(files, "chunk_id")
+    out = (lists.select("chunk_id", "dl", F.explode("tokens").alias("token"))
+           .groupBy("chunk_id", "dl", "token").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+           .select("token", "chunk_id", "tf", "dl"))
     if avgdl is not None:
         out = out.withColumn("tfn", tf_factor(F.col("tf"), F.col("dl"), avgdl, k1, b))
     return out
@@ -230,18 +178,16 @@ def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
     lengths = tok.select("chunk_id", "file_path", "first_character_index", "last_character_index",
                          "text", F.size("tokens").alias("dl"))
     st = corpus_stats(lengths)
-    postings = postings_from_tokens(tok, st.select("avgdl").scalar(), k1, b)
+    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")) if materialize else None
+    postings = postings_from_tokens(tok, st.select("avgdl").scalar(), k1, b, parts)
     if materialize:
-        parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        aligned = aligned_bucket_values(parts)
-        postings = postings.withColumn("bucket", chunk_bucket(F.col("chunk_id"), aligned))\
-            .repartition(parts, "bucket").persist()
+        postings = postings.persist()
     n_chunks = st.select("n_chunks").scalar()
     terms, average = idf_with_floor(document_frequency(postings), n_chunks)
     if materialize:
         terms = terms.persist()
     stats = st.select("n_chunks", "avgdl", average.alias("average_idf"))
-    return BM25Index(lengths, postings, terms, stats, k1, b, chunk_size)
+    return BM25Index(lengths, postings, terms, stats, k1, b, chunk_size, tokenized=tok)
 
 
 def build_index(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
@@ -254,26 +200,25 @@ def build_index(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                                    materialize)
 
 
-CHUNK_KEY = ("bucket",)
-POSTINGS_DDL = "token STRING, bucket INT, chunk_id BIGINT, tf INT, dl INT, tfn DOUBLE"
+POSTINGS_DDL = "token STRING, chunk_id BIGINT, tf INT, dl INT, tfn DOUBLE"
 
 
-def _postings_table(base: str) -> str:
-    """Session-catalog name of the bucketed postings table at ``base``."""
-    return "lexispan_postings_" + hashlib.sha1(os.path.abspath(base).encode()).hexdigest()[:16]
+def _postings_table(version: str) -> str:
+    """Session-catalog name of a version's bucketed postings: versions
+    never change, so sessions that share a catalog agree on it."""
+    return f"lexispan_postings_{version}"
 
 
-def _open_postings(spark: SparkSession, base: str, buckets: int) -> DataFrame:
-    """Register the bucketed postings files as an external table (the
-    bucket layout is only visible through the catalog) and open it."""
-    table = _postings_table(base)
+def _open_postings(spark: SparkSession, base: str, version: str, buckets: int) -> DataFrame:
+    """Open the bucketed postings files as an external table (the bucket
+    layout is only visible through the catalog)."""
     location = f"{base}/postings"
-    if not location.startswith(("hdfs:", "s3", "gs:", "abfs", "file:")):
+    if "://" not in location and not location.startswith("file:"):
         location = os.path.abspath(location)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({POSTINGS_DDL}) USING parquet "
-              f"CLUSTERED BY ({', '.join(CHUNK_KEY)}) SORTED BY (token) INTO {buckets} BUCKETS "
-              f"LOCATION '{location}'")
+    escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+    table = _postings_table(version)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({POSTINGS_DDL}) USING parquet "
+              f"CLUSTERED BY (chunk_id) SORTED BY (token) INTO {buckets} BUCKETS LOCATION '{escaped}'")
     return spark.table(table)
 
 
@@ -281,90 +226,91 @@ def _stop_word_digest() -> str:
     return hashlib.sha256(("\n".join(STOP_WORDS) + "\n" + TOKEN_PATTERN).encode()).hexdigest()
 
 
+def _postings_files(spark: SparkSession, chunk_bytes: int) -> int:
+    """Files of the postings, by the size of the chunk table: large ones
+    of POSTINGS_BYTES each, small ones spread over the task slots."""
+    slots = spark.sparkContext.defaultParallelism
+    return max(math.ceil(chunk_bytes / POSTINGS_BYTES), min(slots, math.ceil(chunk_bytes / (1 << 20))), 1)
+
+
 def save_index(index: BM25Index, path: str, postings_files: int | None = None) -> BM25Index:
     """Write the index as Parquet tables plus a metadata row.
 
-    Chunks are written first and the rest is derived from the written
-    table, so chunking runs once (tokenizing twice, which is cheaper
-    than writing chunk text twice). Postings are hash
-    partitioned by token and sorted inside each file, so a pushed-down
-    token filter skips row groups by their min/max statistics.
-    Raises ``ValueError`` for an empty corpus (nothing to index).
+    Each call writes a new version folder and publishes it last, by a
+    marker file: a failed or running build never changes what readers
+    open. The chunk table (with token lists) is written first and the
+    rest is derived from it, so chunking and tokenizing run once; the
+    postings are bucketed by chunk and sorted by token, so scoring sums
+    without a shuffle and a token filter skips row groups. Raises
+    ``ValueError`` for an empty corpus (nothing to index).
     """
     spark = index.chunks.sparkSession
     if os.path.exists(path) and not os.path.isdir(path):
         raise NotADirectoryError(f"expected an output directory, got file: {path}")
-    base = path.rstrip("/")
-    # Chunking runs once: chunks (with id and length) are written, and
-    # the postings re-tokenize the written table instead of re-chunking.
-    nfiles = postings_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    aligned = aligned_bucket_values(nfiles)
-    index.chunks.select("chunk_id", chunk_bucket(F.col("chunk_id"), aligned).alias("bucket"),
-                        "file_path", "first_character_index", "last_character_index",
-                        "text", "dl").write.mode("overwrite").parquet(f"{base}/chunks")
+    root, version = path.rstrip("/"), uuid.uuid4().hex
+    base = f"{root}/{version}"
+    files = Files(spark, root)
+    index.tokenized.select("chunk_id", "file_path", "first_character_index", "last_character_index", "text",
+                           F.size("tokens").alias("dl"), "tokens").write.parquet(f"{base}/chunks")
     chunks = spark.read.parquet(f"{base}/chunks")
-    st = corpus_stats(chunks)
-    if st.first()["n_chunks"] == 0:
+    known = corpus_stats(chunks).first()
+    n_chunks, avgdl = known["n_chunks"], known["avgdl"]
+    if n_chunks == 0:
+        files.delete(base)
         raise ValueError(f"No indexable chunks found in corpus for index: {path}")
-    # Bucketed by the chunk's bucket: scoring sums per (question, bucket,
-    # chunk), so with the postings clustered that way the aggregation
-    # needs no shuffle; and since the chunk files were written one task
-    # per id partition, each task here writes the buckets it already
-    # holds: no repartition of the postings either. Sorted by token
-    # inside each bucket: a token filter skips row groups.
-    table = _postings_table(base)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    postings_from_tokens(tokenized_chunks(chunks.drop("dl")), st.select("avgdl").scalar(),
-                         index.k1, index.b)\
-        .write.mode("overwrite").format("parquet").option("path", f"{base}/postings")\
-        .bucketBy(nfiles, *CHUNK_KEY).sortBy("token").saveAsTable(table)
-    postings = spark.table(table)
-    terms, average = idf_with_floor(document_frequency(postings), st.select("n_chunks").scalar())
+    buckets = postings_files or _postings_files(spark, files.size(f"{base}/chunks"))
+    postings_from_tokens(chunks, F.lit(avgdl), index.k1, index.b, buckets).select(
+        "token", "chunk_id", "tf", "dl", "tfn").write.format("parquet").option("path", f"{base}/postings")\
+        .bucketBy(buckets, "chunk_id").sortBy("token").saveAsTable(_postings_table(version))
+    # Document frequencies are counted once; idf and its floor follow
+    # from that table.
+    document_frequency(spark.table(_postings_table(version))).write.parquet(f"{base}/df")
+    counted = spark.read.parquet(f"{base}/df")
+    raw = raw_idf(F.col("df"), F.lit(n_chunks))
+    average = counted.agg(F.avg(raw)).first()[0]
+    floored = F.when(raw < 0, F.lit(IDF_FLOOR_FACTOR) * F.lit(average).cast("double")).otherwise(raw)
+    counted.select("token", "df", floored.alias("idf")).write.parquet(f"{base}/terms")
+    corpus_prefix(chunks, PREFIX_ROWS).coalesce(1).write.parquet(f"{base}/prefix")
+    spark.createDataFrame([(n_chunks, avgdl, average)], "n_chunks bigint, avgdl double, average_idf double")\
+        .coalesce(1).write.parquet(f"{base}/stats")
     meta = {"format_version": FORMAT_VERSION, "k1": index.k1, "b": index.b,
             "chunk_size": index.chunk_size, "stop_words": _stop_word_digest(),
-            "postings_buckets": nfiles, "prefix_rows": PREFIX_ROWS}
-    # The remaining tables read only written ones and not each other:
-    # their (small) jobs are submitted together; meta is written last,
-    # so a reader never sees it before the tables it describes.
-    writes = [
-        lambda: terms.repartition(max(1, nfiles // 4), "token").sortWithinPartitions("token")
-        .write.mode("overwrite").parquet(f"{base}/terms"),
-        lambda: st.select("n_chunks", "avgdl", average.alias("average_idf"))
-        .write.mode("overwrite").parquet(f"{base}/stats"),
-        lambda: corpus_prefix(chunks, PREFIX_ROWS).coalesce(1).write.mode("overwrite")
-        .parquet(f"{base}/prefix"),
-    ]
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        for done in [pool.submit(w) for w in writes]:
-            done.result()
+            "postings_buckets": buckets, "prefix_rows": PREFIX_ROWS}
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string")\
-        .coalesce(1).write.mode("overwrite").text(f"{base}/meta")
+        .coalesce(1).write.text(f"{base}/meta")
+    files.touch(f"{root}/published/{time.time_ns():020d}-{version}")
+    for old in files.names(f"{root}/published")[:-VERSIONS]:
+        files.delete(f"{root}/published/{old}")
+        files.delete(f"{root}/{old.partition('-')[2]}")
     return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> BM25Index:
-    """Reopen a saved index; missing -> build first, unreadable -> rebuild."""
-    base = path.rstrip("/")
-    if not os.path.isdir(f"{base}/meta") and not path.startswith(("hdfs:", "s3", "gs:", "abfs")):
+    """Open the latest published version; none -> build first,
+    unreadable -> rebuild."""
+    root = path.rstrip("/")
+    published = Files(spark, root).names(f"{root}/published")
+    if not published:
         raise FileNotFoundError(f"No index found at {path}; run the index command first.")
+    version = published[-1].partition("-")[2]
+    base = f"{root}/{version}"
     try:
         meta = json.loads(spark.read.text(f"{base}/meta").first()["value"])
-        tables = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES if t != "postings"}
-        tables["postings"] = _open_postings(spark, base, int(meta["postings_buckets"]))
-        prefix = spark.read.parquet(f"{base}/prefix")
+        tables = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES}
+        tables["postings"] = _open_postings(spark, base, version, int(meta["postings_buckets"]))
     except Exception as error:  # noqa: BLE001 - any read failure means rebuild
         raise FileNotFoundError(
             f"Index at {path} could not be loaded ({error}); run the index command again.") from error
     if meta.get("format_version") != FORMAT_VERSION or meta.get("stop_words") != _stop_word_digest():
         raise FileNotFoundError(f"Index at {path} is stale; run the index command again.")
     expected = {"chunks": {"chunk_id", "file_path", "first_character_index", "last_character_index",
-                           "text", "dl"},
-                "postings": {"token", "bucket", "chunk_id", "tf", "dl", "tfn"},
+                           "text", "dl", "tokens"},
+                "postings": {"token", "chunk_id", "tf", "dl", "tfn"},
                 "terms": {"token", "df", "idf"},
                 "stats": {"n_chunks", "avgdl", "average_idf"}}
     for name, cols in expected.items():
         if not cols <= set(tables[name].columns):
             raise FileNotFoundError(f"Index at {path} has a bad '{name}' table; rebuild it.")
-    return BM25Index(tables["chunks"], tables["postings"], tables["terms"], tables["stats"],
+    return BM25Index(tables["chunks"].drop("tokens"), tables["postings"], tables["terms"], tables["stats"],
                      float(meta["k1"]), float(meta["b"]), int(meta["chunk_size"]), on_disk=True,
-                     prefix=prefix, prefix_rows=int(meta["prefix_rows"]))
+                     prefix=tables["prefix"], prefix_rows=int(meta["prefix_rows"]), tokenized=tables["chunks"])

@@ -25,6 +25,8 @@ candidates; they join the question through an exploded position
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +37,8 @@ from lexispan.operators.index import BM25Index, corpus_prefix
 BROADCAST_QUESTION_TOKENS = 2_000_000
 BROADCAST_FILL_PREFIX = 1_000_000
 BROADCAST_SURVIVORS = 2_000_000
-# Distinct question tokens up to this count are pushed into the
-# postings/terms scans as an IN filter (row-group skipping on Parquet).
+# (question, token) rows up to this count have their tokens pushed into
+# the postings/terms scans as an IN filter (row-group skipping on Parquet).
 PUSHDOWN_TOKENS = 1_000
 
 # Intermediates persisted by ``search`` (small: top-k survivors; or the
@@ -97,12 +99,9 @@ def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -
     qt = q.join(terms.select("token", "idf"), "token").select(
         "question_id", "token", (F.col("qtf").cast("double") * F.col("idf")).alias("w"))
     qt = _maybe_broadcast(qt, n_qtok, BROADCAST_QUESTION_TOKENS)
-    matched = qt.join(postings.select("token", "bucket", "chunk_id", "tfn"), "token")
-    # ``bucket`` is a function of ``chunk_id``; grouping by it too lets the
-    # postings' clustering (bucketed by it) satisfy the aggregation.
-    return (matched.groupBy("question_id", "bucket", "chunk_id")
-            .agg(F.sum(F.col("w") * F.col("tfn")).alias("score"))
-            .select("question_id", "chunk_id", "score"))
+    matched = qt.join(postings.select("token", "chunk_id", "tfn"), "token")
+    # The postings' clustering by chunk satisfies the aggregation.
+    return matched.groupBy("question_id", "chunk_id").agg(F.sum(F.col("w") * F.col("tfn")).alias("score"))
 
 
 def score_key(score: Column) -> Column:
@@ -131,21 +130,38 @@ def with_spans(index: BM25Index, scored: DataFrame, rows: int | None = None) ->
     return scored.join(keys, "chunk_id")
 
 
-def top_k(index: BM25Index, scored: DataFrame, k: int) -> DataFrame:
+def top_k(index: BM25Index, scored: DataFrame, k: int,
+          rescore: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """R2: best ``k`` chunks per question; equal scores keep corpus order.
 
-    Phase 1 keeps rows whose score rank is <= k (ties at the boundary
-    all stay) with a partial ``WindowGroupLimit`` before the shuffle, so
-    a question matching millions of chunks moves only ~k rows per task.
-    The survivors (about k per question) are persisted and counted; when
-    the count is within the broadcast bound they are broadcast to a
-    stream over the chunk table to pick up their paths. Phase 2 breaks
-    ties by corpus order. Exact: a row of the final top k has fewer than
-    k strictly better rows, so phase 1 keeps it.
+    Phase 1 keeps the first ``k + 1`` rows by score (a partial
+    ``WindowGroupLimit`` before the shuffle, so a question matching
+    millions of chunks moves only k + 1 rows per task). Where rows k and
+    k + 1 differ in score, the first k are the answer and only their
+    order is left, by path. Questions tied across that border, whose ties
+    may be any number of copies, are looked at again: all their rows
+    down to the tied score pick up their paths in a plain join and a
+    second ``WindowGroupLimit`` keeps k of each task. ``rescore`` gives
+    the scores of given questions; else ``scored`` is read again.
     """
-    w1 = Window.partitionBy("question_id").orderBy(score_key(F.col("score")).desc())
-    survivors = _keep(scored.withColumn("_r", F.rank().over(w1)).where(F.col("_r") <= k).drop("_r"))
-    return rank_located(with_spans(index, survivors, survivors.count()), k)
+    w1 = Window.partitionBy("question_id").orderBy(score_key(F.col("score")).desc(), F.col("chunk_id"))
+    first = _keep(scored.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k + 1))
+    border = first.where(F.col("_r") >= k).groupBy("question_id").agg(
+        F.max(score_key(F.col("score"))).alias("_cut"), F.min(score_key(F.col("score"))).alias("_next"),
+        F.count(F.lit(1)).alias("_n"))
+    tied = _keep(border.where((F.col("_n") == 2) & (F.col("_cut") == F.col("_next"))).select("question_id", "_cut"))
+    plain = first.where(F.col("_r") <= k).drop("_r")
+    n_tied = tied.count()
+    if not n_tied:
+        return rank_located(with_spans(index, plain, plain.count()), k)
+    again = rescore(tied.select("question_id")) if rescore else scored
+    again = again.join(_maybe_broadcast(tied, n_tied, BROADCAST_SURVIVORS), "question_id")
+    again = again.where(score_key(F.col("score")) >= F.col("_cut")).drop("_cut")
+    rest = plain.join(_maybe_broadcast(tied, n_tied, BROADCAST_SURVIVORS), "question_id", "left_anti")
+    columns = ["question_id", "chunk_id", "score", "file_path", "first_character_index", "last_character_index"]
+    located = with_spans(index, rest, rest.count()).select(*columns).unionByName(
+        with_spans(index, again).select(*columns))
+    return rank_located(located, k)
 
 
 def rank_located(located: DataFrame, k: int) -> DataFrame:
@@ -223,10 +239,14 @@ def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = Tru
     if k == 0:
         return scored_empty(questions)
     scored = bm25_scores(index, questions, pushdown)
+
+    def rescore(ids: DataFrame) -> DataFrame:
+        return bm25_scores(index, questions.join(ids, "question_id", "left_semi"), pushdown)
+
     if not fill:
-        ranked = top_k(index, scored, k)
+        ranked = top_k(index, scored, k, rescore)
     elif _nonnegative_idf(index):
-        first = _keep(top_k(index, scored, k))
+        first = _keep(top_k(index, scored, k, rescore))
         deficient = (first.groupBy("question_id")
                      .agg(F.count_if(F.col("score") > 0).alias("npos"))
                      .where(F.col("npos") < k).select("question_id", F.lit(k).alias("need")))

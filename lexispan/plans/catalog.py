@@ -290,7 +290,7 @@ def q_recall_report(spark, sf):
 
 
 def q_last_wins(spark, sf):
-    c = fx.table(spark, sf, "conversations").where(F.col("role") == "user")
+    c = fx.table(spark, sf, "conversations")
     rows = c.select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("question_id"),
                     F.col("text").alias("question"), F.col("turn").alias("input_pos"))
     return ev.last_wins(rows).select("question_id", "question")
@@ -392,6 +392,48 @@ def q_results_roundtrip(spark, sf):
         "question_id", "rank", "file_path", "first_character_index", "last_character_index"), "rank")
 
 
+def q_question_validation(spark, sf):
+    """JSON Lines made of the benchmark passages, three of four broken."""
+    b = fx.table(spark, sf, "benchmark")
+    kind = F.pmod("item_id", F.lit(4))
+    value = (F.when(kind == 0, F.to_json(F.struct(F.col("text").alias("question"))))
+             .when(kind == 1, F.concat(F.lit('{"question": '), F.col("item_id").cast("string"), F.lit("}")))
+             .when(kind == 2, F.concat(F.lit("not json "), F.col("text"))).otherwise(F.lit("[1]")))
+    table = qs.validate_items(qs.parse_lines(b.select(F.col("item_id").alias("input_pos"), value.alias("value"))))
+    return table.select("input_pos", "question", "is_valid", "reason")
+
+
+def q_repeated_ids(spark, sf):
+    """A set in which three ids repeat; every position has its result."""
+    b = fx.table(spark, sf, "benchmark")
+    questions = b.select(F.col("item_id").alias("input_pos"), F.concat(
+        F.lit("r"), F.pmod("item_id", F.lit(3)).cast("string")).alias("question_id"), F.col("text").alias("question"))
+    return _bigint(se.search_dataset(_index(spark, sf), questions, K), "rank")
+
+
+def _first_question(spark, sf):
+    """The passage a single query takes: its feature is one question."""
+    return fx.table(spark, sf, "benchmark").orderBy("item_id").select(
+        F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("question_id"), "text").first()
+
+
+def q_search_query(spark, sf):
+    q = _first_question(spark, sf)
+    return _topk_out(se.search_one(_index(spark, sf), q["text"], K, q["question_id"]))
+
+
+def q_answer_query(spark, sf):
+    """One query searched and answered from its chunks' texts."""
+    q = _first_question(spark, sf)
+    idx = _index(spark, sf)
+    res = se.search_one(idx, q["text"], 3, q["question_id"])
+    texts = res.join(idx.chunks.select("file_path", "first_character_index", "text"),
+                     ["file_path", "first_character_index"])
+    answer = cx.answer_one(q["text"], [r["text"] for r in texts.orderBy("rank").select("text").collect()],
+                           cx.first_line_answerer)
+    return res.where(F.col("rank") == 1).select("question_id", F.lit(answer).alias("answer"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_files": q_corpus_files,
     "results_roundtrip": q_results_roundtrip,
@@ -426,6 +468,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recall_at_k": q_recall_at_k,
     "recall_report": q_recall_report,
     "last_wins": q_last_wins,
+    "question_validation": q_question_validation,
+    "repeated_ids": q_repeated_ids,
+    "search_query": q_search_query,
+    "answer_query": q_answer_query,
     "question_count": q_question_count,
     "index_roundtrip": q_index_roundtrip,
 }
@@ -560,6 +606,7 @@ terms AS (
 
 
 Q_BENCH = "SELECT 'b' || CAST(item_id AS VARCHAR) AS question_id, text AS question FROM benchmark"
+Q_FIRST = f"{Q_BENCH} ORDER BY item_id LIMIT 1"
 Q_CONV = ("SELECT 'c' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS question_id, "
           "text AS question FROM conversations WHERE role = 'user'")
 Q_DOCID = "SELECT 'd' || CAST(doc_id AS VARCHAR) AS question_id, CAST(doc_id AS VARCHAR) AS question FROM documents"
@@ -785,7 +832,21 @@ SELECT cutoff, round(mean_recall, 9) AS mean_recall FROM means""",
 SELECT cutoff, printf('Recall@%d: %.3f (%.1f%%)', cutoff, mean_recall, mean_recall * 100) AS line
 FROM means""",
     "last_wins": """SELECT 'c' || CAST(conv_id AS VARCHAR) AS question_id, arg_max(text, turn) AS question
-FROM conversations WHERE role = 'user' GROUP BY conv_id""",
+FROM conversations GROUP BY conv_id""",
+    "question_validation": """
+SELECT item_id AS input_pos, CASE WHEN item_id % 4 = 0 THEN text END AS question, item_id % 4 = 0 AS is_valid,
+       ['question must be a string', 'not valid JSON', 'item is not an object'][item_id % 4] AS reason
+FROM benchmark""",
+    "repeated_ids": _topk_cte("SELECT CAST(item_id AS VARCHAR) AS question_id, text AS question FROM benchmark") + """
+SELECT b.item_id AS input_pos, 'r' || CAST(b.item_id % 3 AS VARCHAR) AS question_id, b.text AS question,
+       t.rank, t.file_path, t.first_character_index, t.last_character_index, t.score
+FROM benchmark b LEFT JOIN topk t ON t.question_id = CAST(b.item_id AS VARCHAR)""",
+    "search_query": _topk_cte(Q_FIRST) + "\nSELECT * FROM topk",
+    "answer_query": _topk_cte(Q_FIRST, 3) + f""",
+top1 AS (SELECT question_id, file_path, first_character_index, last_character_index FROM topk WHERE rank = 1)
+SELECT t.question_id, split_part(substring(f.text, t.first_character_index + 1,
+       t.last_character_index - t.first_character_index), {NL}, 1) AS answer
+FROM top1 t JOIN f1 f USING (file_path)""",
     "question_count": "SELECT CAST(count(*) AS BIGINT) AS n_questions FROM benchmark",
     "index_roundtrip": _topk_cte(f"{Q_BENCH} UNION ALL {Q_CONV}") + "\nSELECT * FROM topk",
 }

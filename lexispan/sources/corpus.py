@@ -2,10 +2,10 @@
 
 Listing keeps names that start with ``_`` or ``.`` (``__init__.py``):
 Spark's file sources hide those, so files are listed with ``os.walk``
-and read by Python tasks as bytes. The driver lists only the root's
-immediate entries; every sub-directory is walked by an executor task,
-so listing work is spread over the cluster (a shared POSIX mount is
-assumed, e.g. NFS or a FUSE-mounted object store). Decoding is native
+and read by Python tasks as bytes. The driver opens only as many folders
+as it takes to give every task some; what lies below is walked by
+executor tasks, and the paths are dealt out evenly before reading (a
+shared POSIX mount is assumed, e.g. NFS or a FUSE-mounted object store). Decoding is native
 and strict: one malformed file fails the job (``mode='strict'``), or is
 set aside with ``mode='quarantine'``.
 
@@ -16,6 +16,7 @@ the listing: ``documents_from_table``.
 from __future__ import annotations
 
 import os
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,48 +26,62 @@ from pyspark.sql import functions as F
 from lexispan.functions.text import is_supported_path, normalize_newlines
 
 LIST_SCHEMA = "path string, is_file boolean"
+# File contents a task holds before it hands them on.
+READ_BYTES = 16 << 20
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = []
         for top in pdf["path"]:
             if os.path.isfile(top):
-                rows.append((top, True))
+                yield pd.DataFrame([(top, True)], columns=["path", "is_file"])
                 continue
-            for dirpath, dirnames, filenames in os.walk(top):
-                dirnames.sort()
-                for name in filenames:
-                    full = os.path.join(dirpath, name)
-                    rows.append((full, os.path.isfile(full)))
-        yield pd.DataFrame(rows, columns=["path", "is_file"])
+            for dirpath, _, filenames in os.walk(top):
+                found = [os.path.join(dirpath, name) for name in filenames]
+                yield pd.DataFrame({"path": found, "is_file": [os.path.isfile(f) for f in found]})
+
+
+def _tops(root: str, wanted: int) -> list[str]:
+    """Entries below ``root`` that tasks can walk on their own: folders
+    are opened, shallow ones first, until there are ``wanted``."""
+    folders, tops = deque([root]), []
+    while folders and len(folders) + len(tops) < wanted:
+        for entry in sorted(os.scandir(folders.popleft()), key=lambda e: e.name):
+            (folders if entry.is_dir(follow_symlinks=False) else tops).append(entry.path)
+    return [*folders, *tops]
 
 
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
     """S1 + S3: every supported regular file under ``root`` -> (path).
 
-    Raises FileNotFoundError / NotADirectoryError for a bad root.
+    The paths are dealt out evenly, so that reading and chunking spread
+    however the folders are laid out. Raises FileNotFoundError /
+    NotADirectoryError for a bad root.
     """
     if not os.path.exists(root):
-        raise FileNotFoundError(f"Corpus directory does not exist: {root}")
+        raise FileNotFoundError(f"no such corpus directory: {root}")
     if not os.path.isdir(root):
-        raise NotADirectoryError(f"Expected a corpus directory, got: {root}")
-    tops = sorted(os.path.join(root, e) for e in os.listdir(root))
+        raise NotADirectoryError(f"the corpus is not a directory: {root}")
+    slots = spark.sparkContext.defaultParallelism
+    tops = _tops(root, slots * 8)
     if not tops:
         return spark.createDataFrame([], "path string")
     entries = spark.createDataFrame([(t,) for t in tops], "path string")
-    entries = entries.repartition(min(len(tops), spark.sparkContext.defaultParallelism * 4))
-    listed = entries.mapInPandas(_walk, LIST_SCHEMA)
-    return listed.where(F.col("is_file") & is_supported_path("path")).select("path")
+    listed = entries.repartition(min(len(tops), slots * 4)).mapInPandas(_walk, LIST_SCHEMA)
+    return listed.where(F.col("is_file") & is_supported_path("path")).select("path").repartition(slots * 4)
 
 
 def _read_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        contents = []
+        rows, held = [], 0
         for p in pdf["path"]:
             with open(p, "rb") as fh:
-                contents.append(fh.read())
-        yield pd.DataFrame({"path": pdf["path"], "content": contents})
+                rows.append((p, fh.read()))
+            held += len(rows[-1][1])
+            if held >= READ_BYTES:
+                yield pd.DataFrame(rows, columns=["path", "content"])
+                rows, held = [], 0
+        yield pd.DataFrame(rows, columns=["path", "content"])
 
 
 def read_files(paths: DataFrame) -> DataFrame:

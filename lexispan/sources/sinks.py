@@ -16,6 +16,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexispan.sources.files import Files
+
 
 def check_output_directory(path: str) -> None:
     """An existing regular file where the output directory should be is an error."""
@@ -65,15 +67,10 @@ def write_document(lines: DataFrame, path: str) -> None:
     spark = lines.sparkSession
     folder = f"{path}.{uuid.uuid4().hex}.parts"
     lines.orderBy("section", "key").select("value").coalesce(1).write.text(folder)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target, parts = hadoop.Path(path), hadoop.Path(folder)
-    fs = parts.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    part = next(f.getPath() for f in fs.listStatus(parts) if f.getPath().getName().startswith("part-"))
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(part, target):
-        raise OSError(f"could not write {path}")
-    fs.delete(parts, True)
+    files = Files(spark, folder)
+    part = next(n for n in files.names(folder) if n.startswith("part-"))
+    files.move(f"{folder}/{part}", path)
+    files.delete(folder)
 
 
 def results_lines(nested: DataFrame, k: int) -> DataFrame:

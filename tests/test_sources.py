@@ -152,3 +152,14 @@ def test_results_as_json_lines(spark, tmp_path):
     rows = {r.question_id: r for r in spark.read.json(out).collect()}
     assert [s.file_path for s in rows["q1"].retrieved_sources] == ["a.md", "b.md"]
     assert rows["q2"].retrieved_sources == [] and rows["q1"].k == 2
+
+
+def test_one_top_folder_spreads_over_partitions(spark, tmp_path):
+    for i in range(120):
+        folder = tmp_path / "corpus" / "only" / f"d{i % 3}" / "deep"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i}.md").write_text(f"text {i}")
+    paths = co.scan_corpus(spark, str(tmp_path / "corpus"))
+    sizes = [len(p) for p in paths.rdd.glom().collect()]
+    assert sum(sizes) == 120 and max(sizes) <= 30 and sum(s > 0 for s in sizes) >= 8
+    assert co.load_documents(spark, str(tmp_path / "corpus"), str(tmp_path)).count() == 120
