@@ -216,20 +216,29 @@ def components(links: DataFrame) -> DataFrame:
 def _pairs_with(pairs: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
     """Pairs (a, b) with both sides' columns. A class that is in many
     pairs is copied, so that its pairs spread over many tasks."""
-    pairs = pairs.select("a", "b")
+    pairs = plain = pairs.select("a", "b")
     for side, other in (("a", "b"), ("b", "a")):
-        copies = pairs.groupBy(F.col(side).alias("cid")).agg(
+        copies = plain.groupBy(F.col(side).alias("cid")).agg(
             F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("_copies"))
         own = values.select("cid", *columns).join(copies, "cid").select(
-            F.col("cid").alias("_cid"), "_copies", *[F.col(c).alias(f"{c}_{side}") for c in columns],
-            F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
-        counted = pairs.join(copies, pairs[side] == copies["cid"]).drop("cid")
-        dealt = counted.withColumn("_at", F.pmod(F.xxhash64(other), F.col("_copies")).cast("int")).drop("_copies")
+            F.col("cid").alias("_cid"), "_copies", *[F.col(c).alias(f"{c}_{side}") for c in columns])
+        own = own.select("*", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")).drop("_copies")
+        crowded = copies.where("_copies > 1")  # few: each has over FAN pairs
+        dealt = pairs.join(crowded, pairs[side] == crowded["cid"], "left").drop("cid").withColumn(
+            "_at", F.coalesce(F.pmod(F.xxhash64(other), F.col("_copies")), F.lit(0)).cast("int")).drop("_copies")
         pairs = dealt.join(own, (dealt[side] == own["_cid"]) & (dealt["_at"] == own["_copy"])).drop(
-            "_cid", "_at", "_copy", "_copies")
+            "_cid", "_at", "_copy")
     return pairs
 
 
+def _bands():
+    """Bucket of each band of the registers."""
+    width, count = 2 * BAND, REGISTERS // BAND
+    return let(F.col("registers"), lambda r: F.transform(
+        F.sequence(F.lit(0), F.lit(count - 1)),
+        lambda i: F.xxhash64(i, F.substring(r, i * width + 1, F.lit(width)))))
+
+
 class _Classes:
     """Classes of equal sets and what is compared of them."""
 
@@ -247,11 +256,7 @@ class _Classes:
 
     def _members(self) -> DataFrame:
         """(bucket, cid) of classes that share a band with another."""
-        width, count = 2 * BAND, REGISTERS // BAND
-        bands = let(F.col("registers"), lambda r: F.transform(
-            F.sequence(F.lit(0), F.lit(count - 1)),
-            lambda i: F.xxhash64(i, F.substring(r, i * width + 1, F.lit(width)))))
-        spread = self.table.select("cid", F.explode(bands).alias("bucket"))
+        spread = self.table.select("cid", F.explode(_bands()).alias("bucket"))
         shared = spread.groupBy("bucket").agg(F.min("cid").alias("low"), F.max("cid").alias("high"))
         shared = shared_table(shared.where("low <> high").select("bucket"), "buckets")
         return shared_table(spread.join(shared, "bucket"), "members")
@@ -328,8 +333,8 @@ class _Classes:
         return shared_table(marked.join(several, "bucket"), "open")
 
     def residual(self, open_: DataFrame, compared: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b) of different components that share a
-        bucket and whose sets could link.
+        """Pairs (a, b) of different components that share a bucket and
+        whose sets could link, each once.
 
         What two sets share lies inside the bucket's pivot, at most the
         smaller of their intersections with it, or outside, at most the
@@ -345,14 +350,19 @@ class _Classes:
             "bucket", "cid", "n", "common", "label", F.coalesce(shared, below).alias("inside"),
             F.when(shared.isNull(), F.col("common")).otherwise(
                 F.greatest(F.col("common") - shared, F.lit(0))).alias("outside"))
-        sides = shared_table(sides, "sides")
+        bands = self.table.select("cid", _bands().alias("bands")).join(
+            sides.select("cid").distinct(), "cid", "left_semi")
+        sides = shared_table(sides.join(bands, "cid"), "sides")
         one, two = sides.alias("one"), sides.alias("two")
+        # Classes that share several buckets meet in the first of them.
+        first = F.element_at(F.array_intersect("one.bands", "two.bands"), 1)
         most = F.least("one.common", "two.common", F.least("one.inside", "two.inside")
                        + F.least("one.outside", "two.outside"))
         met = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.cid") < F.col("two.cid"))
                        & (F.col("one.label") != F.col("two.label"))
-                       & (100 * most >= self.percent * (F.col("one.n") + F.col("two.n") - most)))
-        return met.select(F.col("one.cid").alias("a"), F.col("two.cid").alias("b")).distinct()
+                       & (100 * most >= self.percent * (F.col("one.n") + F.col("two.n") - most))
+                       & (first == F.col("one.bucket")))
+        return met.select(F.col("one.cid").alias("a"), F.col("two.cid").alias("b"))
 
 
 def _labelled(links: DataFrame) -> DataFrame:
