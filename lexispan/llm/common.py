@@ -78,6 +78,15 @@ def with_workers(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def bounded_choice(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About ``rows`` rows, those of the smallest hashes of ``key``, at
+    most twice as many. Only hashes are sorted; the rows themselves are
+    filtered where they lie."""
+    order = F.xxhash64(*key)
+    last = df.select(order.alias("k")).orderBy("k").limit(rows).agg(F.max("k")).first()[0]
+    return df.limit(0) if last is None else df.where(order <= last).limit(2 * rows)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Texts, labels (bool) and weights of at most ``per_label`` rows of

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexispan.llm.common import bounded_choice
 from lexispan.llm.words import row_slices
 
 #: Labelled pages that the weights are fitted on.
@@ -294,8 +295,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> dict[str, float]:
     """Weights from a bounded sample of pages with marked-up articles."""
     labelled = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]"))
-    chosen = labelled.select(F.col(html_col).alias("html")).orderBy(
-        F.xxhash64(F.col(id_col).cast("string")), F.xxhash64(F.col(html_col))).limit(sample)
+    chosen = bounded_choice(labelled.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")),
+                            sample, "id", "html").select("html")
     counted = chosen.mapInArrow(_count, "kind string, inside boolean, n long")
     # One row for each kind of element and side.
     rows = counted.groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexispan.llm.common import held_out
+from lexispan.llm.common import bounded_choice, held_out
 from lexispan.llm.words import LOWER, Lookup, Ranges, blocks, column_bytes, mix, row_slices, trimmed, word_bounds
 
 #: Labelled documents of each language that the model is fitted on.
@@ -342,8 +342,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     names = [r[0] for r in known.select(F.col(lang_col).cast("string")).distinct().collect()]
     model = Model([], *[np.zeros(0)] * 6)
     if names:
-        parts = [known.where(F.col(lang_col) == name).select(F.lit(name).alias("lang"), text.alias("text"))
-                 .where(has_letter).orderBy(F.xxhash64("text")).limit(sample) for name in sorted(names)]
+        parts = [bounded_choice(known.where((F.col(lang_col) == name) & has_letter).select(
+            F.col(id_col).alias("id"), F.lit(name).alias("lang"), text.alias("text")), sample, "id", "text")
+            .select("lang", "text") for name in sorted(names)]
         chosen = parts[0]
         for part in parts[1:]:
             chosen = chosen.unionByName(part)
