@@ -21,6 +21,7 @@ different components that the bound allows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,8 @@ PIVOTS = 3
 BROADCAST_BYTES, _ROW_BYTES = 64 << 20, 64
 #: Pairs of one class verified by one task.
 FAN = 512
+#: Classes of a block in the search for the links left over.
+BLOCK = 192
 #: Shingles sketched at a time.
 GROUP = 1 << 19
 
@@ -162,8 +165,13 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np
     return (low + high) / 2
 
 
+def _floor(threshold: float) -> float:
+    """Smallest estimate that does not rule a pair out."""
+    return threshold - MARGIN * np.sqrt(threshold * (1 - threshold) / REGISTERS)
+
+
 def _may_reach(threshold: float):
-    floor = threshold - MARGIN * np.sqrt(threshold * (1 - threshold) / REGISTERS)
+    floor = _floor(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,6 +188,66 @@ def _may_reach(threshold: float):
     return run
 
 
+_SIDE = ["bucket", "own", "band", "cid", "n", "common", "label", "inside", "outside", "registers"]
+
+
+def _block_pairs(threshold: float):
+    """Pairs of each group (bucket, low, high) of sorted rows."""
+    percent, floor = round(100 * threshold), _floor(threshold)
+
+    def pairs_of(group: pa.Table) -> pa.RecordBatch | None:
+        col = {c: group[c].to_numpy() for c in _SIDE[1:-1]}
+        low, high = group["low"][0].as_py(), group["high"][0].as_py()
+        one = np.flatnonzero(col["own"] == low)
+        two = np.flatnonzero(col["own"] == high)
+        if not len(one) or not len(two):
+            return None
+
+        def least(name: str) -> np.ndarray:
+            return np.minimum(col[name][one][:, None], col[name][two][None, :])
+        most = np.minimum(least("common"), least("inside") + least("outside"))
+        total = col["n"][one][:, None] + col["n"][two][None, :]
+        may = (col["label"][one][:, None] != col["label"][two][None, :]) & (100 * most >= percent * (total - most))
+        if low == high:
+            may &= col["cid"][one][:, None] < col["cid"][two][None, :]
+        a, b = (side[at] for side, at in zip((one, two), np.nonzero(may), strict=True))
+        raw = b"".join(group["registers"].to_pylist())
+        bands = np.frombuffer(raw, f"V{2 * BAND}").view("<u8").reshape(group.num_rows, -1)
+        # Classes that share several buckets meet in the first of them.
+        first = (bands[a] == bands[b]).argmax(axis=1) == col["band"][0]
+        a, b = a[first], b[first]
+        if not len(a):
+            return None
+        registers_ = np.frombuffer(raw, ">u2").reshape(group.num_rows, REGISTERS)
+        estimate = likely(registers_[a], registers_[b], col["n"][a], col["n"][b])
+        keep = estimate >= floor
+        left, right = col["cid"][a][keep], col["cid"][b][keep]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right)), pa.array(estimate[keep])],
+            names=["a", "b", "estimate"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is None:
+                rows, done = held, held.num_rows if held is not None else 0
+            else:
+                rows = pa.Table.from_batches([batch])
+                if held is not None:
+                    rows = pa.concat_tables([held, rows]).combine_chunks()
+                done = None
+            if rows is None or not rows.num_rows:
+                continue
+            key = np.column_stack([rows[c].to_numpy() for c in ("bucket", "low", "high")])
+            edges = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, rows.num_rows]
+            if done is None:  # the last group may go on in the next batch
+                held, edges = rows.slice(edges[-2]), edges[:-1]
+            for start, end in itertools.pairwise(edges):
+                if end - start > 1 and (out := pairs_of(rows.slice(start, end - start))) is not None:
+                    yield out
+    return run
+
+
 def _compared(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,12 +264,14 @@ def _compared(percent: int):
     return run
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(id, label): the smallest id reachable over links (a, b)."""
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(id, label): the smallest id reachable over links (a, b); after
+    ``rounds`` rounds some smaller one, not yet the smallest."""
     both = shared_table(links.select("a", "b").union(links.select("b", "a")), "edges")
     labels = shared_table(both.groupBy(F.col("a").alias("id")).agg(
         F.least("id", F.min("b")).alias("label")), "labels")
-    while True:
+    while rounds is None or rounds > 0:
+        rounds = None if rounds is None else rounds - 1
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
         closer = labels.join(near, labels["id"] == near["a"]).select(
             "id", F.col("label").alias("old"), F.least("label", "near").alias("to"))
@@ -211,6 +281,7 @@ def components(links: DataFrame) -> DataFrame:
         ends = closer.select(F.col("id").alias("end"), F.col("to").alias("further"))
         labels = shared_table(closer.join(ends, closer["to"] == ends["end"]).select(
             "id", F.least("to", "further").alias("label")), "labels")
+    return labels
 
 
 def _pairs_with(pairs: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
@@ -255,8 +326,8 @@ class _Classes:
         self.members = self._bounded()
 
     def _members(self) -> DataFrame:
-        """(bucket, cid) of classes that share a band with another."""
-        spread = self.table.select("cid", F.explode(_bands()).alias("bucket"))
+        """(bucket, band, cid) of classes that share a band with another."""
+        spread = self.table.select("cid", F.posexplode(_bands()).alias("band", "bucket"))
         shared = spread.groupBy("bucket").agg(F.min("cid").alias("low"), F.max("cid").alias("high"))
         shared = shared_table(shared.where("low <> high").select("bucket"), "buckets")
         return shared_table(spread.join(shared, "bucket"), "members")
@@ -287,7 +358,7 @@ class _Classes:
         members = shared_table(self.members.join(
             nodes.select("cid", "common"), "cid", "left").join(
             self.table.select("cid", "n"), "cid").select(
-            "bucket", "cid", "n", F.coalesce("common", "n").alias("common")), "nodes")
+            "bucket", "band", "cid", "n", F.coalesce("common", "n").alias("common")), "nodes")
         least = shared_table(members.groupBy("bucket").agg(F.min("n").alias("least")), "least")
         partner = F.greatest("least", "common")
         reach = 100 * F.col("common") >= self.percent * (F.col("n") + partner - F.col("common"))
@@ -327,47 +398,65 @@ class _Classes:
         label and the bucket's first pivot."""
         marked = self.members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
         marked = shared_table(marked, "marked")
-        several = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        several = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                               F.count(F.lit(1)).alias("members"))
         pivots = self.pivots.where("rank = 1").select("bucket", F.col("cid").alias("pivot"), F.col("n").alias("n_pivot"))
-        several = shared_table(several.where("low <> high").select("bucket").join(pivots, "bucket"), "several")
+        several = shared_table(several.where("low <> high").select("bucket", "members").join(pivots, "bucket"), "several")
         return shared_table(marked.join(several, "bucket"), "open")
 
     def residual(self, open_: DataFrame, compared: DataFrame) -> DataFrame:
         """Pairs (a, b) of different components that share a bucket and
-        whose sets could link, each once.
+        whose sets could link, each once, by bound and by estimate.
 
         What two sets share lies inside the bucket's pivot, at most the
         smaller of their intersections with it, or outside, at most the
         smaller number of common shingles there. A class that was not
         compared with the pivot, being no link of it by its estimate, is
         bounded by that and by its common shingles alone.
+
+        A bucket is cut into blocks of about BLOCK classes; every two
+        blocks meet in one group of bounded size, which hands on only
+        the pairs that may link.
         """
         known = compared.groupBy(F.col("a").alias("_a"), F.col("b").alias("_b")).agg(F.max("shared").alias("shared"))
         with_pivot = open_.join(known, (F.col("pivot") == F.col("_a")) & (F.col("cid") == F.col("_b")), "left")
         shared = F.when(F.col("cid") == F.col("pivot"), F.col("n")).otherwise(F.col("shared"))
         below = F.floor((F.col("n") + F.col("n_pivot")) * self.percent / (100 + self.percent))
         sides = with_pivot.select(
-            "bucket", "cid", "n", "common", "label", F.coalesce(shared, below).alias("inside"),
+            "bucket", "band", "cid", "n", "common", "label", F.coalesce(shared, below).alias("inside"),
             F.when(shared.isNull(), F.col("common")).otherwise(
-                F.greatest(F.col("common") - shared, F.lit(0))).alias("outside"))
-        bands = self.table.select("cid", _bands().alias("bands")).join(
-            sides.select("cid").distinct(), "cid", "left_semi")
-        sides = shared_table(sides.join(bands, "cid"), "sides")
-        one, two = sides.alias("one"), sides.alias("two")
-        # Classes that share several buckets meet in the first of them.
-        first = F.element_at(F.array_intersect("one.bands", "two.bands"), 1)
-        most = F.least("one.common", "two.common", F.least("one.inside", "two.inside")
-                       + F.least("one.outside", "two.outside"))
-        met = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.cid") < F.col("two.cid"))
-                       & (F.col("one.label") != F.col("two.label"))
-                       & (100 * most >= self.percent * (F.col("one.n") + F.col("two.n") - most))
-                       & (first == F.col("one.bucket")))
-        return met.select(F.col("one.cid").alias("a"), F.col("two.cid").alias("b"))
-
-
-def _labelled(links: DataFrame) -> DataFrame:
+                F.greatest(F.col("common") - shared, F.lit(0))).alias("outside"),
+            F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        sides = sides.join(self.table.select("cid", "registers"), "cid")
+        own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+        others = F.sequence(F.lit(0), F.col("blocks") - 1)
+        sides = sides.withColumn("own", own).select("*", F.explode(others).alias("other")).select(
+            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *_SIDE)
+        dealt = sides.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+        return shared_table(dealt.mapInArrow(_block_pairs(self.threshold), "a long, b long, estimate double"),
+                            "residual")
+
+
+def _labelled(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(cid, label) of classes with links."""
-    return components(links).withColumnRenamed("id", "cid")
+    return components(links, rounds).withColumnRenamed("id", "cid")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: only components that these touch are
+    joined, whatever the number of links before."""
+    def label(side: str) -> DataFrame:
+        return labels.select(F.col("cid").alias(side), F.col("label").alias(f"label_{side}"))
+    ends = links.join(label("a"), "a", "left").join(label("b"), "b", "left").select(
+        "a", "b", F.coalesce("label_a", "a").alias("x"), F.coalesce("label_b", "b").alias("y"))
+    ends = shared_table(ends, "ends")
+    joined = shared_table(components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(
+        F.col("id").alias("old"), F.col("label").alias("new")), "joined")
+    single = ends.select(F.explode(F.array(F.struct(F.col("a").alias("cid"), F.col("x").alias("label")),
+                                           F.struct(F.col("b").alias("cid"), F.col("y").alias("label")))).alias("e"))
+    single = single.select("e.*").distinct().join(labels, "cid", "left_anti")
+    return labels.unionByName(single).join(joined, F.col("label") == F.col("old"), "left").select(
+        "cid", F.coalesce("new", "label").alias("label"))
 
 
 def link_classes(classes: _Classes) -> DataFrame:
@@ -376,7 +465,8 @@ def link_classes(classes: _Classes) -> DataFrame:
     # Each class with its likeliest pivot first, then what that left open.
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
     compared = classes.compare(best)
-    labels = _labelled(compared.where("linked"))
+    # Labels are here to save comparisons: one round does.
+    labels = _labelled(compared.where("linked"), 1)
 
     def more(pairs: DataFrame) -> DataFrame:
         fresh = shared_table(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "fresh")
@@ -392,9 +482,10 @@ def link_classes(classes: _Classes) -> DataFrame:
     open_ = classes.open_members(labels)
     with_pivot = open_.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
     compared = more(with_pivot.join(stars.select("a", "b"), ["a", "b"], "left_semi"))
-    rest = classes.plausible(shared_table(classes.residual(open_, compared), "residual"))
-    compared = more(rest.select("a", "b"))
-    return _labelled(compared.where("linked"))
+    tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = classes.residual(open_, compared).select("a", "b").join(tried, ["a", "b"], "left_anti")
+    late = classes.compare(shared_table(rest, "fresh")).where("linked")
+    return labels if late.isEmpty() else shared_table(_merged(labels, late), "labels")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
