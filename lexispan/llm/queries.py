@@ -122,3 +122,61 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by a factorisation machine."""
     return _ql.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def _pii_sql() -> str:
+    """Spans by running sums of the lengths of matches and of the text
+    between them, as ``find_pii`` defines them."""
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, text, {n} AS kind, '{kind}' AS name, regexp_extract_all(text, '{pattern}', 0) AS f, "
+        f"regexp_split_to_array(text, '{pattern}') AS b FROM t"
+        for n, (kind, pattern) in enumerate({**_pii.PLAIN, "iban": _pii.IBAN}.items()))
+    pick = lambda values: "[" + ", ".join(values) + "][kind + 1]"
+    prior = pick(str(_pii.PRIOR[k]) for k in _pii.KINDS)
+    words = pick(f"'{_pii.CONTEXT[k]}'" for k in _pii.KINDS)
+    n = _pii.CONTEXT_CHARS
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({found}),
+each AS (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM found WHERE len(f) > 0),
+placed AS (
+  SELECT doc_id, text, kind, name, f[i] AS m,
+         CAST(list_sum(list_transform(b[1:i], lambda x: length(x)))
+              + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM each),
+parts AS (
+  SELECT *, s + length(m) AS e, regexp_replace(m, '[^0-9]', '', 'g') AS d, replace(m, ' ', '') AS p FROM placed),
+sums AS (
+  SELECT *, list_sum(list_transform(range(0, length(d)), lambda k:
+             CASE WHEN k % 2 = 0 THEN CAST(d[length(d) - k] AS INT)
+                  WHEN CAST(d[length(d) - k] AS INT) > 4 THEN CAST(d[length(d) - k] AS INT) * 2 - 9
+                  ELSE CAST(d[length(d) - k] AS INT) * 2 END)) AS luhn,
+         list_reduce(list_prepend(0, list_transform(string_split(p[5:] || p[1:4], ''), lambda c:
+             CASE WHEN ord(c) >= 65 THEN ord(c) - 55 ELSE ord(c) - 48 END)),
+             lambda a, x: CASE WHEN x >= 10 THEN (a * 100 + x) % 97 ELSE (a * 10 + x) % 97 END) AS rest
+  FROM parts),
+good AS (
+  SELECT *, lower(substring(text, greatest(1, s + 1 - {n}), least(s, {n})) || ' ' || substring(text, e + 1, {n})) AS near
+  FROM sums WHERE CASE kind
+    WHEN 1 THEN list_bool_and(list_transform(string_split(m, '.'), lambda x:
+                length(ltrim(x, '0')) <= 3 AND CAST('0' || ltrim(x, '0') AS HUGEINT) <= 255))
+    WHEN 2 THEN length(d) BETWEEN 14 AND 19 AND luhn % 10 = 0
+    WHEN 3 THEN length(d) BETWEEN 10 AND 15
+    WHEN 4 THEN length(p) BETWEEN 15 AND 34 AND rest = 1 ELSE true END),
+scored AS (
+  SELECT doc_id, kind, name, s, e, name || ':' || s || ':' || e AS label,
+         round(least(1.0, CAST({prior} AS DOUBLE)
+           + CASE WHEN regexp_matches(near, '\\b(?:' || {words} || ')') THEN {_pii.RAISE} ELSE 0 END
+           - CASE WHEN regexp_matches(near, '\\b(?:{_pii.EXAMPLES})') THEN {_pii.LOWER} ELSE 0 END), 2) AS score
+  FROM good)
+SELECT t.doc_id, count(*) FILTER (name = 'email') AS n_email, count(*) FILTER (name = 'ip') AS n_ip,
+       count(*) FILTER (name = 'card') AS n_card, count(*) FILTER (name = 'phone') AS n_phone,
+       sha256(coalesce(string_agg(label, ',' ORDER BY s, kind) FILTER (kind < 4), '')) AS base_sha256,
+       coalesce(string_agg(label, ',' ORDER BY s, kind), '') AS spans,
+       coalesce(string_agg(label || ':' || CAST(CAST(score AS DOUBLE) AS VARCHAR), ',' ORDER BY s, kind), '')
+         AS scored_spans
+FROM t LEFT JOIN scored USING (doc_id) GROUP BY t.doc_id
+"""
+
+
+SQL["op9_pii"] = _pii_sql()
