@@ -142,6 +142,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     identity = ["n_bytes", "bucket", "rank"]
     groups = state.groupBy(*identity).agg(
         F.max(F.struct("id", "uid")).alias("top"), F.count(F.lit(1)).alias("group_size"))
+    # Read back, both sides of the join are plain exchanges, so a group
+    # that holds a large share of the rows is split over tasks.
+    groups = shared_table(groups, "groups")
     return state.join(groups, identity).select(
         F.col("id").alias("doc_id"), F.col("top.id").alias("keep_id"), "group_size",
         (F.col("uid") == F.col("top.uid")).alias("kept"), F.col("sha").alias("text_sha256"))
