@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispan.llm.common import let
+
 # The base kinds in their listed order. The patterns find
 # what the plain ones in PLAIN find; possessive repeats and the demand
 # that a match starts where a run starts (or where the last match ended)
@@ -85,11 +87,10 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _score(kind: str, text: Column, start: Column, end: Column) -> Column:
-    """Prior of the kind, moved by words around the span."""
-    near = F.lower(F.concat(
-        F.substring(text, F.greatest(F.lit(1), start + 1 - CONTEXT_CHARS), F.least(start, F.lit(CONTEXT_CHARS))),
-        F.lit(" "), F.substring(text, end + 1, F.lit(CONTEXT_CHARS))))
+def _score(kind: str, before: Column, after: Column) -> Column:
+    """Prior of the kind, moved by words in the text around the span, up
+    to the kind's neighbouring matches."""
+    near = F.lower(F.concat(F.right(before, F.lit(CONTEXT_CHARS)), F.lit(" "), F.left(after, F.lit(CONTEXT_CHARS))))
     up = F.when(near.rlike(rf"\b(?:{CONTEXT[kind]})"), RAISE).otherwise(0.0)
     down = F.when(near.rlike(rf"\b(?:{EXAMPLES})"), LOWER).otherwise(0.0)
     return F.round(F.least(F.lit(1.0), F.lit(PRIOR[kind]) + up - down), 2)
@@ -110,19 +111,25 @@ def _spans(kind: str, text: Column) -> Column:
         match = pair["match"]
         start = acc["at"] + F.length(pair["before"])
         end = start + F.length(match)
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"),
-                        match.alias("match"))
+        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), match.alias("match"),
+                        pair["before"].alias("before"), pair["after"].alias("after"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>")
-    pairs = F.zip_with(between, found, lambda b, m: F.struct(b.alias("before"), m.alias("match")))
+    empty = F.array().cast("array<struct<start:int,kind:int,end:int,match:string,before:string,after:string>>")
+
+    def place(pieces: Column) -> Column:
+        next_piece = F.slice(pieces, F.lit(2), F.size(pieces))
+        tails = F.zip_with(found, next_piece, lambda m, a: F.struct(m.alias("match"), a.alias("after")))
+        return F.zip_with(pieces, tails, lambda b, t: F.struct(
+            b.alias("before"), t["match"].alias("match"), t["after"].alias("after")))
+
     placed = F.aggregate(
-        F.filter(pairs, lambda p: p["match"].isNotNull()),
+        F.filter(let(between, place), lambda p: p["match"].isNotNull()),
         F.struct(F.lit(0).alias("at"), empty.alias("spans")), one, lambda acc: acc["spans"])
     good = F.filter(placed, lambda s: _confirmed(kind, s["match"]))
     scored = F.transform(good, lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
-        s["match"].alias("match"), _score(kind, text, s["start"], s["end"]).alias("score")))
+        s["match"].alias("match"), _score(kind, s["before"], s["after"]).alias("score")))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,match:string,score:double>>")
     may = text.contains(NEEDS[kind]) if NEEDS[kind] else F.lit(True)
     if kind != "email":

@@ -128,7 +128,7 @@ def _pii_sql() -> str:
     """Spans by running sums of the lengths of matches and of the text
     between them, as ``find_pii`` defines them."""
     found = " UNION ALL ".join(
-        f"SELECT doc_id, text, {n} AS kind, '{kind}' AS name, regexp_extract_all(text, '{pattern}', 0) AS f, "
+        f"SELECT doc_id, {n} AS kind, '{kind}' AS name, regexp_extract_all(text, '{pattern}', 0) AS f, "
         f"regexp_split_to_array(text, '{pattern}') AS b FROM t"
         for n, (kind, pattern) in enumerate({**_pii.PLAIN, "iban": _pii.IBAN}.items()))
     pick = lambda values: "[" + ", ".join(values) + "][kind + 1]"
@@ -140,7 +140,7 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 found AS ({found}),
 each AS (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM found WHERE len(f) > 0),
 placed AS (
-  SELECT doc_id, text, kind, name, f[i] AS m,
+  SELECT doc_id, kind, name, f[i] AS m, lower(right(b[i], {n}) || ' ' || left(b[i + 1], {n})) AS near,
          CAST(list_sum(list_transform(b[1:i], lambda x: length(x)))
               + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
   FROM each),
@@ -156,8 +156,7 @@ sums AS (
              lambda a, x: CASE WHEN x >= 10 THEN (a * 100 + x) % 97 ELSE (a * 10 + x) % 97 END) AS rest
   FROM parts),
 good AS (
-  SELECT *, lower(substring(text, greatest(1, s + 1 - {n}), least(s, {n})) || ' ' || substring(text, e + 1, {n})) AS near
-  FROM sums WHERE CASE kind
+  SELECT * FROM sums WHERE CASE kind
     WHEN 1 THEN list_bool_and(list_transform(string_split(m, '.'), lambda x:
                 length(ltrim(x, '0')) <= 3 AND CAST('0' || ltrim(x, '0') AS HUGEINT) <= 255))
     WHEN 2 THEN length(d) BETWEEN 14 AND 19 AND luhn % 10 = 0
