@@ -27,8 +27,8 @@ NO_SOURCES = "No sources were retrieved."
 BLANK_QUESTION_ANSWER = "Error: question must not be empty."
 
 SOURCE_COLUMNS = ["file_path", "first_character_index", "last_character_index"]
-# Referenced paths up to this count are broadcast to the document scan.
-BROADCAST_PATHS = 2_000_000
+# Distinct spans up to this count are broadcast to the document scan.
+BROADCAST_SPANS = 1_000_000
 
 
 def resolve_spans(results: DataFrame, documents: DataFrame) -> DataFrame:
@@ -37,18 +37,17 @@ def resolve_spans(results: DataFrame, documents: DataFrame) -> DataFrame:
     A missing file or an invalid range gives '' and the row is kept.
     ``documents``: (file_path, text).
     """
-    # Only the documents the results point to: the (small) set of paths
-    # is broadcast and the document table is streamed past it, never
-    # shuffled; the left join then runs between two small tables.
-    paths = results.select("file_path").where(F.col("file_path").isNotNull()).distinct()
-    n_paths = paths.count()
-    paths = F.broadcast(paths) if n_paths <= BROADCAST_PATHS else paths
-    docs = documents.select("file_path", F.col("text").alias("_doc_text")).join(paths, "file_path", "left_semi")
-    joined = results.join(docs, "file_path", "left")
-    return joined.withColumn(
-        "source_text",
-        slice_text(F.col("_doc_text"), F.col("first_character_index"),
-                   F.col("last_character_index"))).drop("_doc_text")
+    # The distinct spans (counted, then broadcast) go to the documents as
+    # these stream past; only slices come back, never whole texts.
+    place = SOURCE_COLUMNS
+    spans = results.select(*place).where(F.col("file_path").isNotNull()).distinct()
+    n_spans = spans.count()
+    spans = F.broadcast(spans) if n_spans <= BROADCAST_SPANS else spans
+    slices = documents.select("file_path", F.col("text").alias("_doc_text")).join(spans, "file_path").select(
+        *place, slice_text(F.col("_doc_text"), F.col("first_character_index"),
+                           F.col("last_character_index")).alias("source_text"))
+    return results.join(slices, place, "left").select(
+        *[results[c] for c in results.columns], F.coalesce("source_text", F.lit("")).alias("source_text"))
 
 
 def user_message(question: F.Column, sources: F.Column) -> F.Column:
