@@ -104,13 +104,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: i
     chosen = chosen[0].unionByName(chosen[1])  # at most 2 * per_label rows of two numbers
     found = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(
         "_id", "_label", F.coalesce(F.col(text_col), F.lit("")).alias("_text")).dropDuplicates(["_id"])
-    table = found.toArrow().combine_chunks().sort_by("_id")
+    table = found.toArrow().sort_by("_id")
     flags = table["_label"].to_numpy().astype(bool)
     weights = np.ones(len(flags))
     for value in (False, True):
         mine = flags == value
         weights[mine] = sizes.get(int(value), 0) / max(mine.sum(), 1)
     texts = table["_text"].combine_chunks()
+    del table
     return texts, flags, weights / max(weights.mean(), 1e-9) if len(weights) else weights
 
 

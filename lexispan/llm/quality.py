@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lexispan.llm.common import labelled_sample, scored, shared_table
 from lexispan.llm.features import STATISTICS, structure, word_counts
-from lexispan.llm.words import word_hashes
+from lexispan.llm.words import row_slices, word_hashes
 
 #: Labelled rows of each label that the model is fitted on.
 SAMPLE = 3000
@@ -88,10 +88,13 @@ def fit(texts: pa.Array, good: np.ndarray, weight: np.ndarray) -> Model:
                   np.zeros(inputs, np.float32), np.zeros((inputs, RANK), np.float32))
     if not 0 < good.sum() < len(good):
         return model
-    words, rows = word_hashes(texts)
-    stats = structure(texts, words, rows)
+    slices = [texts.slice(at, end - at) for at, end in row_slices(texts)]
+    stats = np.concatenate([structure(part, *word_hashes(part)) for part in slices])
     model.edges = np.quantile(stats, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    index, value, begins = _encode(stats, words, rows, model.edges)
+    encoded = [_inputs(part, model.edges) for part in slices]
+    index = np.concatenate([i.astype(np.int32) for i, _, _ in encoded])
+    value = np.concatenate([x.astype(np.float32) for _, x, _ in encoded])
+    begins = np.r_[0, np.cumsum(np.concatenate([np.diff(b) for _, _, b in encoded]))]
     rng = np.random.default_rng(7)
     model.vectors = (rng.standard_normal((inputs, RANK)) * 0.05).astype(np.float32)
     moments = [[np.zeros_like(model.weights), np.zeros_like(model.weights)],
