@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from lexispan.llm.common import let, shared_table
-from lexispan.llm.words import mix, shingle_hashes, word_hashes
+from lexispan.llm.words import mix, row_slices, shingle_hashes, word_hashes
 
 WIDTH, THRESHOLD = 5, 0.75
 #: Registers, those of a band, and the sketch's scale: base, largest
@@ -85,6 +85,12 @@ def registers(shingles: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, sorted distinct shingles, begins) of ranges of rows."""
+    for first, last in row_slices(texts):
+        for at, end, found, begins in _slice_sets(texts.slice(first, last - first)):
+            yield first + at, first + end, found, begins
+
+
+def _slice_sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     words, rows = word_hashes(texts)
     at = 0
     while at < len(rows) - 1:

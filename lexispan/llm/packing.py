@@ -27,7 +27,7 @@ CAPACITY = 1024
 #: Token id that ends every document.
 END = 2
 #: Texts' units whose ids a Python worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 # Units of a text: an optional space and a run without white space, or
 # white space. Unit borders are borders of the tokenizer's own words.
