@@ -284,9 +284,9 @@ def test_label_model_finds_good_and_dependent_voters():
         return said.astype(int)
     good = voter(0.8, 0.02)
     votes = np.column_stack([good, good, good, voter(0.75, 0.03), voter(0.7, 0.05), voter(0.3, 0.3)])
-    annotated = np.where(rng.random(len(truth)) < 0.1, ~truth, truth)
+    annotated = voter(*toxicity.ANNOTATORS).astype(bool)  # as accurate as the model is told
     posterior = toxicity.label_model(votes, annotated)
-    assert ((posterior > 0.5) == truth).mean() > 0.95
+    assert ((posterior > 0.5) == truth).mean() >= (annotated == truth).mean() > 0.95
     assert toxicity._spanning_tree(np.array([[0, 3, 1], [3, 0, 2], [1, 2, 0]])) == [-1, 0, 1]
 
 
