@@ -42,6 +42,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def text_sha(text_col: str) -> Column:
+    """Digest of a whole text, 32 bytes; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text are not among ``gone``
+    (doc_id, text_sha), all columns. Other texts of an id stay."""
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_sha").alias("_gone_sha")).distinct()
+    gone = shared_table(gone, "gone")
+    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (text_sha(text_col) == F.col("_gone_sha"))
+    return docs.join(gone, same, "left_anti")
+
+
 def held_out(id_col: Column) -> Column:
     """True for rows kept out of training; a null id counts as empty text."""
     text = F.coalesce(id_col.cast("string"), F.lit(""))
@@ -116,16 +130,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: i
 
 
 def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], cut: float,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score and predicted of every whole text."""
+           id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+    """doc_id, held_out, score and predicted of every whole text; with
+    ``digest`` text_sha too."""
+    carried = ["text_sha"] if digest else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, end in row_slices(batch.column("text")):
                 values = score(batch.column("text").slice(at, end - at))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(at, end - at), batch.column("held_out").slice(at, end - at),
-                     pa.array(values, pa.float64()), pa.array(values >= cut).cast(pa.int32())],
-                    names=["doc_id", "held_out", "score", "predicted"])
+                     pa.array(values, pa.float64()), pa.array(values >= cut).cast(pa.int32()),
+                     *[batch.column(c).slice(at, end - at) for c in carried]],
+                    names=["doc_id", "held_out", "score", "predicted", *carried])
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(F.col(id_col)).alias("held_out"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       *[text_sha(text_col).alias(c) for c in carried])
+    return rows.mapInArrow(run, ", ".join(["doc_id long, held_out boolean, score double, predicted int",
+                                           *[f"{c} binary" for c in carried]]))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lexispan.llm.common import let, shared_table
+from lexispan.llm.common import let, shared_table, text_sha, without
 from lexispan.llm.words import mix, row_slices, shingle_hashes, word_hashes
 
 WIDTH, THRESHOLD = 5, 0.75
@@ -127,10 +127,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, end, found, begins in _sets(batch.column("text")):
             k1, k2 = _digests(found, begins)
             packed = registers(found, begins)
+            carried = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(at, end - at), pa.array(np.diff(begins), pa.int64()), pa.array(k1),
-                 pa.array(k2), pa.array([r.tobytes() for r in packed], pa.binary())],
-                names=["id", "n", "k1", "k2", "registers"])
+                [*[batch.column(c).slice(at, end - at) for c in carried], pa.array(np.diff(begins), pa.int64()),
+                 pa.array(k1), pa.array(k2), pa.array([r.tobytes() for r in packed], pa.binary())],
+                names=[*carried, "n", "k1", "k2", "registers"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,10 +320,15 @@ def _bands():
 class _Classes:
     """Classes of equal sets and what is compared of them."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> None:
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, threshold: float, digest: bool) -> None:
         self.threshold, self.percent = threshold, round(100 * threshold)
         self.texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        sketched = self.texts.mapInArrow(_sketch, "id long, n long, k1 long, k2 long, registers binary")
+        read, carried = self.texts, "id long"
+        if digest:
+            read = docs.select(F.col(id_col).cast("long").alias("id"), text_sha(text_col).alias("text_sha"),
+                               F.col(text_col).alias("text"))
+            carried += ", text_sha binary"
+        sketched = read.mapInArrow(_sketch, f"{carried}, n long, k1 long, k2 long, registers binary")
         self.rows = shared_table(sketched, "sketches")
         classes = self.rows.where("n > 0").groupBy("k1", "k2", "n").agg(
             F.min("id").alias("first"), F.min("registers").alias("registers"))
@@ -495,10 +501,11 @@ def link_classes(classes: _Classes) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               threshold: float = THRESHOLD) -> DataFrame:
+               threshold: float = THRESHOLD, digest: bool = False) -> DataFrame:
     """Components of near-duplicate documents; one row per input row.
 
-    Returns doc_id, n_shingles, component_id, kept. Words are runs of
+    Returns doc_id, n_shingles, component_id, kept, and with ``digest``
+    text_sha. Words are runs of
     bytes outside 0x09-0x0D and 0x20 with A-Z lower-cased; a document's
     set holds its distinct five-word shingles, or its whole sequence
     when it has fewer words. Documents link when the Jaccard similarity
@@ -508,7 +515,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one id are all kept or all dropped. An empty table gives an empty
     result; other columns are not read.
     """
-    classes = _Classes(docs, id_col, text_col, threshold)
+    classes = _Classes(docs, id_col, text_col, threshold, digest)
     labels = link_classes(classes)
     table = classes.table.select("cid", "k1", "k2", "n", "first").join(labels, "cid", "left").withColumn(
         "label", F.coalesce("label", "cid"))
@@ -517,13 +524,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return classes.rows.join(found, ["k1", "k2", "n"], "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
-        F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"))
+        F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"),
+        *(["text_sha"] if digest else []))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Only the
-    ids that go are carried to the texts; rows that share an id stay or
-    go together."""
-    gone = near_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"))
-    gone = shared_table(gone.distinct(), "gone")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")), "left_anti")
+    ids and digests of those that go are carried to the texts; of rows
+    that share an id, null or not, each goes by its own text."""
+    gone = near_dedup(docs, id_col, text_col, digest=True).where(~F.col("kept"))
+    return without(docs, gone, id_col, text_col)

@@ -17,9 +17,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lexispan.llm.common import labelled_sample, scored, shared_table
+from lexispan.llm.common import labelled_sample, scored, without
 from lexispan.llm.features import STATISTICS, structure, word_counts
 from lexispan.llm.words import row_slices, word_hashes
 
@@ -132,8 +131,9 @@ def score(texts: pa.Array, model: Model) -> np.ndarray:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  sample: int = SAMPLE) -> DataFrame:
-    """Quality of every text: doc_id, held_out, score, predicted.
+                  sample: int = SAMPLE, digest: bool = False) -> DataFrame:
+    """Quality of every text: doc_id, held_out, score, predicted, and
+    with ``digest`` text_sha.
 
     Learns from rows of ``labels`` (doc_id, quality) that are not held
     out. A null or empty text is scored by its statistics, all zero.
@@ -142,13 +142,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     result; other columns are not read.
     """
     model = fit(*labelled_sample(docs, labels, "quality", sample, id_col, text_col))
-    return scored(docs, lambda texts: score(texts, model), CUT, id_col, text_col)
+    return scored(docs, lambda texts: score(texts, model), CUT, id_col, text_col, digest)
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are predicted good, all columns. Only
-    ids of the others are carried to the texts; rows that share an id
-    go together."""
-    poor = score_quality(docs, labels, id_col, text_col).where("predicted = 0")
-    poor = shared_table(poor.select(F.col("doc_id").alias("_poor_id")).distinct(), "poor")
-    return docs.join(poor, F.col(id_col).eqNullSafe(F.col("_poor_id")), "left_anti")
+    ids and digests of the others are carried to the texts; of rows that
+    share an id, null or not, each goes by its own text."""
+    poor = score_quality(docs, labels, id_col, text_col, digest=True).where("predicted = 0")
+    return without(docs, poor, id_col, text_col)

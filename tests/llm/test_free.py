@@ -162,6 +162,15 @@ def test_near_dedup_repeated_null_ids_and_empty_table(spark):
     assert near_dedup.near_dedup(spark.createDataFrame([], TEXT)).collect() == []
 
 
+def test_near_copies_of_null_and_repeated_ids_go_by_their_text(spark):
+    one, other, third = "a b c d e f", "z y x w v u", "q r s t o p"
+    docs = spark.createDataFrame([(3, one), (None, one), (None, "zz"), (None, None), (9, one), (9, other), (9, other),
+                                  (7, third), (8, third + " "), (8, "")], TEXT)
+    left = near_dedup.drop_near_copies(docs).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in left) == [
+        ("3", one), ("7", third), ("8", ""), ("9", other), ("9", other), ("None", "None"), ("None", "zz")]
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)
@@ -247,6 +256,19 @@ def test_quality_on_held_out_rows(spark):
     assert sum(r.doc_id in kept for r in rows if r.quality) >= 0.97 * sum(r.quality for r in rows)
 
 
+def test_poor_texts_of_null_and_repeated_ids_go_alone(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.score_quality(docs, labels).select("doc_id", "predicted").join(docs, "doc_id").collect()
+    good = [r.text for r in rows if r.predicted][:6]
+    poor = [r.text for r in rows if not r.predicted][:2]
+    assert len(set(good)) == 6 and len(set(poor)) == 2
+    more = [(None, poor[0]), *[(None, t) for t in good[:3]], (-5, poor[1]), *[(-5, t) for t in good[3:]]]
+    own = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, TEXT))
+    left = quality.drop_poor(own, labels).where("doc_id is null or doc_id = -5").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted(
+        [*[(0, t) for t in good[:3]], *[(-5, t) for t in good[3:]]])
+
+
 @pytest.mark.parametrize("score", [toxicity.score_toxicity, quality.score_quality])
 def test_classifiers_on_odd_tables(spark, score):
     labels = spark.createDataFrame([(i, i % 2, i % 3 == 0) for i in range(8)], "doc_id long, quality int, t boolean")
