@@ -35,8 +35,11 @@ LEXICON, EVIDENCE = 4096, 16.0
 AFFIXES = (4, 5, 6, 7)
 #: Log-odds that start the tiers of learnt lexicons.
 TIERS = (2.0, 3.0, 4.5)
-#: Probability that an annotator calls a toxic text, and a clean one, toxic.
-ANNOTATORS = (0.95, 0.005)
+#: Probability that an annotator calls a toxic text, and a clean one, toxic,
+#: before the votes are seen, and the rows that this is worth.
+ANNOTATORS, ANNOTATORS_ROWS = (0.95, 0.005), 20
+#: Change of a posterior below which the label model has settled.
+SETTLED = 1e-3
 #: Score from which a text is predicted toxic.
 CUT = 0.3
 
@@ -120,19 +123,19 @@ def _votes(row: np.ndarray, key: np.ndarray, words: np.ndarray, seeds: np.ndarra
     return np.column_stack(columns)
 
 
-def label_model(votes: np.ndarray, annotated: np.ndarray, rounds: int = 8) -> np.ndarray:
+def label_model(votes: np.ndarray, annotated: np.ndarray, rounds: int = 200) -> np.ndarray:
     """Posterior of the toxic class from the votes.
 
     Tree-augmented naive Bayes: each voter depends on the class and on
     one other voter, the tree being the maximum spanning tree of their
     mutual information given the class. Annotators are a voter outside
-    the tree whose accuracies, ANNOTATORS, are given: they start the
-    fit and tie its two classes to their meaning.
+    the tree. Their accuracies are estimated in every round like the
+    others'; ANNOTATORS start the fit and stay in it as a prior, which
+    ties the two classes to their meaning. Rounds end once posteriors
+    settle, after ``rounds`` at the latest.
     """
     n, m = votes.shape
     one_hot = (votes[:, :, None] == np.arange(3)).astype(float)
-    hit, alarm = ANNOTATORS
-    said = np.where(annotated, math.log(hit / alarm), math.log((1 - hit) / (1 - alarm)))
     posterior = np.where(annotated, 0.95, 0.02)
     for _ in range(rounds):
         weight = np.column_stack([1 - posterior, posterior])
@@ -153,7 +156,13 @@ def label_model(votes: np.ndarray, annotated: np.ndarray, rounds: int = 8) -> np
                 table = joint[:, parent[j], j]
                 table = table / table.sum(axis=2, keepdims=True)
                 score += np.log(table[:, votes[:, parent[j]], votes[:, j]]).T
-        posterior = 1 / (1 + np.exp(-np.clip(score[:, 1] - score[:, 0] + said, -50, 50)))
+        hit, alarm = (
+            (weight[annotated, c].sum() + ANNOTATORS_ROWS * ANNOTATORS[1 - c]) / (weight[:, c].sum() + ANNOTATORS_ROWS)
+            for c in (1, 0))
+        said = np.where(annotated, math.log(hit / alarm), math.log((1 - hit) / (1 - alarm)))
+        last, posterior = posterior, 1 / (1 + np.exp(-np.clip(score[:, 1] - score[:, 0] + said, -50, 50)))
+        if np.abs(posterior - last).max() < SETTLED:
+            break
     return posterior
 
 

@@ -312,6 +312,21 @@ def test_label_model_finds_good_and_dependent_voters():
     assert toxicity._spanning_tree(np.array([[0, 3, 1], [3, 0, 2], [1, 2, 0]])) == [-1, 0, 1]
 
 
+@pytest.mark.parametrize("noise", [0.1, 0.2])
+def test_label_model_learns_how_noisy_the_annotators_are(noise):
+    rng = np.random.default_rng(2)
+    truth = rng.random(3000) < 0.2
+
+    def voter(hit, alarm):
+        said = rng.random(len(truth)) < np.where(truth, hit, alarm)
+        return said.astype(int)
+    good = voter(0.8, 0.02)
+    votes = np.column_stack([good, good, good, voter(0.75, 0.03), voter(0.7, 0.05), voter(0.3, 0.3)])
+    annotated = np.where(rng.random(len(truth)) < noise, ~truth, truth)
+    posterior = toxicity.label_model(votes, annotated)
+    assert ((posterior > 0.5) == truth).mean() > 0.95
+
+
 def test_forward_backward_in_chunks_is_exact(monkeypatch):
     rng = np.random.default_rng(1)
     monkeypatch.setattr(langid, "CHUNK", 3)
