@@ -6,8 +6,10 @@ article text on labelled pages, tags score negative, and one linear scan
 finds the contiguous region of the largest total. Pages that mark their
 article up (``article`` or ``main``) are the labelled ones: a bounded
 sample of them gives the weights. The region is widened to the element
-that holds all of it, and elements that are no part of an article, by
-tag, role or class, are left out.
+that holds all of it, and elements that are no part of an article are
+left out: by tag, role or an unambiguous class or id. Inside an article
+or the region, names that may mean either leave the choice to the
+weights of the words.
 """
 
 from __future__ import annotations
@@ -36,10 +38,10 @@ MOST = 3.5
 _FURNITURE = "furniture"
 
 # Elements without article text, block elements, elements
-# without an end tag, and words of classes, ids and roles that mark the
-# furniture of a page.
+# without an end tag, words of classes, ids and roles that may mark the
+# furniture of a page, and whole names (less "-" and "_") that do.
 FURNITURE = set("nav header footer aside form script style noscript template iframe svg button select "
-                "textarea dialog menu object canvas video audio head title math map".split())
+                "textarea dialog menu object canvas video audio head title map annotation annotation-xml".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset "
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre "
              "section summary table tbody td tfoot th thead title tr ul br caption option".split())
@@ -50,12 +52,23 @@ MARKS = set("ad ads advert adverts advertisement advertising adbox adsbygoogle b
             "comment comments commentlist reply replies respond disqus discussion related recommended share "
             "sharing social newsletter subscribe subscription signup login search pagination pager toolbar "
             "skip complementary contentinfo tracking".split())
+SURE = set("ad ads advert adverts advertisement advertisements advertising adbox adbanner adblock adcontainer adslot "
+           "adunit adwrapper adsbygoogle googlead sponsoredcontent sponsoredlinks commentlist comments commentsarea "
+           "commentssection commentsection commentform disqus disqusthread cookienotice cookiebanner cookiebar "
+           "cookieconsent cookiepopup gdpr gdprbanner consentbanner popup menu menus topmenu mainmenu sidemenu "
+           "navmenu navbar navigation sitenav mainnav breadcrumb breadcrumbs pagination pager sharebuttons "
+           "sharebar socialshare sharelinks sociallinks relatedposts relatedarticles relatedlinks "
+           "newslettersignup newsletterform skiplink".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open one of the same group when they begin.
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _RAW = "script|style|textarea|title|noscript|iframe|template|svg"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])[^>]*/>"
+    # A closed tag ends here unless its end tag follows before another begins.
+    rf"|<(?P<closed>{_RAW})(?=[\s/>])[^>]*/>(?!(?:(?!<(?P=closed)[\s/>]).)*?</(?P=closed)\s*>)"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.DOTALL | re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -68,8 +81,14 @@ class _Element:
     parent: int
     depth: int
     furniture: bool
-    marked: bool  # by class, id or role alone
+    sure: bool  # furniture by a whole class or id
+    marked: bool  # by a word of a class or id
+    in_article: bool
+    by_id: bool  # sure or marked by the id alone
     holds_article: bool = False
+    heads: bool = False  # a heading is its child
+    doubtful: bool = False  # marked, the words decide
+    aside: bool = False  # in such an element of a page without a marked article
 
 
 @dataclass
@@ -82,13 +101,16 @@ class _Page:
     breaks: set[int] = field(default_factory=set)
 
 
-def _marked(attrs: str) -> tuple[bool, bool]:
-    """(hidden or furniture by role, furniture by class or id)."""
-    hidden = named = False
+def _marked(attrs: str) -> tuple[bool, bool, bool, bool]:
+    """(hidden or furniture by role, furniture by a whole class or id, by
+    a word of one, by the id alone)."""
+    hidden = sure = named = by_class = False
     for name, value in _ATTRIBUTE.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            named |= any(w.lower() in MARKS for w in _NAME_WORDS.findall(value))
+            whole = any(w.lower().replace("-", "").replace("_", "") in SURE for w in value.split())
+            word = whole or any(w.lower() in MARKS for w in _NAME_WORDS.findall(value))
+            sure, named, by_class = sure or whole, named or word, by_class or (word and name == "class")
         elif name == "role":
             hidden |= value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form",
                                         "alert", "dialog", "menu", "menubar", "alertdialog")
@@ -96,12 +118,12 @@ def _marked(attrs: str) -> tuple[bool, bool]:
             hidden = True
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
-    return hidden, named
+    return hidden, sure, named, named and not by_class
 
 
 def _parse(source: str) -> _Page:
     page = _Page()
-    page.elements.append(_Element("", -1, 0, False, False))
+    page.elements.append(_Element("", -1, 0, False, False, False, False, False))
     open_, at = [0], 0
 
     def text(part: str) -> None:
@@ -134,11 +156,13 @@ def _parse(source: str) -> _Page:
                 break
         above = page.elements[open_[-1]]
         attrs = token["attrs"]
-        hidden, named = _marked(attrs) if attrs else (False, False)
+        hidden, sure, named, by_id = _marked(attrs) if attrs else (False, False, False, False)
         in_article = tag == "header" and _inside(page, open_[-1], ("article",))
         furniture = above.furniture or hidden or (tag in FURNITURE and not in_article)
-        page.elements.append(_Element(tag, open_[-1], above.depth + 1, furniture,
-                                      named and tag not in ("html", "body", "article", "main")))
+        free = tag in HEADINGS or tag in ("html", "body", "article", "main")
+        page.elements.append(_Element(tag, open_[-1], above.depth + 1, furniture, sure and not free,
+                                      named and not free, above.in_article or tag in ("article", "main"), by_id))
+        above.heads |= tag in HEADINGS
         number = len(page.elements) - 1
         if tag in ("article", "main", "h1") and not furniture:
             up = open_[-1]
@@ -152,13 +176,38 @@ def _parse(source: str) -> _Page:
             mark(tag)
     text(source[at:])
     # A class that names furniture counts unless its element holds the
-    # article (a page laid out "with-sidebar" has one).
+    # article (a page laid out "with-sidebar" has one). A section's id
+    # may be made of its heading.
+    has_article = any(e.in_article and not e.furniture for e in page.elements)
     for element in page.elements[1:]:
         above = page.elements[element.parent]
-        element.furniture |= above.furniture or (element.marked and not element.holds_article)
+        element.furniture |= above.furniture
+        element.aside = above.aside
+        headed = element.tag == "section" and element.heads and element.by_id
+        if element.holds_article or not element.marked or headed:
+            continue
+        if element.sure or (has_article and not element.in_article):
+            element.furniture = True
+        else:
+            element.doubtful = True
+            element.aside |= not has_article
     return page
 
 
+def _leave_out(page: _Page, learnt: dict[str, float]) -> None:
+    """Doubtful elements whose words score below zero are furniture."""
+    if not any(e.doubtful for e in page.elements):
+        return
+    worth = [0.0] * len(page.elements)
+    for number, text in page.items:
+        if text is not None and not page.elements[number].furniture:
+            worth[number] += learnt.get(_kind(page, number), WORD) * len(text.split())
+    for number in range(len(worth) - 1, 0, -1):  # elements are numbered in page order
+        worth[page.elements[number].parent] += worth[number]
+    for number, element in enumerate(page.elements[1:], 1):
+        element.furniture |= page.elements[element.parent].furniture or (element.doubtful and worth[number] < 0)
+
+
 def _inside(page: _Page, number: int, tags: tuple[str, ...]) -> bool:
     while number > 0:
         if page.elements[number].tag in tags:
@@ -221,12 +270,13 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(source: str, learnt: dict[str, float]) -> str:
     """The main text of one page: blocks joined by one line feed."""
     page = _parse(source)
+    _leave_out(page, learnt)
     scores, kinds = [], {}
     for number, text in page.items:
         element = page.elements[number]
         if text is None:
             scores.append(learnt.get("<" + element.tag, TAG))
-        elif element.furniture:
+        elif element.furniture or element.aside:
             scores.append(learnt.get(_FURNITURE, ASIDE) * len(text.split()))
         else:
             if number not in kinds:

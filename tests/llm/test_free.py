@@ -224,6 +224,32 @@ def test_extract_text(spark):
     assert html_text.extract_text(pages.where("false")).collect() == []
 
 
+KEPT = {
+    "section": ("<article><h1>T</h1><section id=discussion><h2>Discussion</h2><p>Text of it.</p></section></article>",
+                "T\nDiscussion\nText of it."),
+    "headings": ("<article><h1 class=entry-header>One</h1><h2 id=related-work>Two</h2><h2 class=section-header>Three</h2>"
+                 "<p id=search>Four</p></article>", "One\nTwo\nThree\nFour"),
+    "header": ("<article><header class=entry-header><h2>Title</h2></header><p>Text.</p></article>", "Title\nText."),
+    "math": ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p></article>", "Let x=2 be."),
+    "closed": ("<article><p>One <svg width='1'/>two.</p><script src='a.js'/><p>Three.</p><svg><text>no</text></svg>"
+               "<script src='b/c'></script><p>Four.</p></article>", "One two.\nThree.\nFour."),
+    "dropped": ("<article><p>Text.</p><div class='ad-box'>Buy</div><div id=comments><h3>Comments</h3><p>Me too</p></div>"
+                "<div class='cookie-notice wide'>We use</div><ul class=share><li><a>Tweet</a></li></ul><p>End.</p>"
+                "</article>", "Text.\nEnd."),
+    "unmarked": ("<body><div class=main-menu><a>Home</a></div><div class=content><h1>T</h1><p>Some text of it.</p>"
+                 "<section id=discussion><h2>Discussion</h2><p>More text.</p></section><h2 class=header>End</h2></div>"
+                 "<div class=left-sidebar>" + "side " * 40 + "</div>", "T\nSome text of it.\nDiscussion\nMore text.\nEnd"),
+}
+
+
+@pytest.mark.parametrize("name", KEPT)
+def test_article_text_is_kept_whatever_its_class(name):
+    labelled = ("<html><body><nav><ul><li><a>a b c</a></ul></nav><article><h1>A b</h1>" + "<p>c d e f g</p>" * 9
+                + "</article><footer>x y z</footer><ul><li><a>u v</a></ul></body></html>")
+    source, want = KEPT[name]
+    assert html_text.main_text(source, html_text.weights(html_text.count_kinds(labelled))) == want
+
+
 def test_best_region_matches_all_pairs():
     rng = random.Random(6)
     for _ in range(200):
