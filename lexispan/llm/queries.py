@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexispan.llm import alignment as _al
 from lexispan.llm import decontamination as _dc
 from lexispan.llm import exact_dedup as _ed
 from lexispan.llm import html_text as _ht
 from lexispan.llm import langid as _li
+from lexispan.llm import licenses as _lc
 from lexispan.llm import near_dedup as _nd
 from lexispan.llm import packing as _pk
 from lexispan.llm import pii as _pii
 from lexispan.llm import quality as _ql
+from lexispan.llm import runs as _rn
 from lexispan.llm import sharding as _sh
 from lexispan.llm import toxicity as _tx
 from lexispan.llm.common import read_table, with_workers
@@ -124,6 +127,111 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ql.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@_register
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document by a set-similarity join."""
+    return _lc.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, linked and counted."""
+    return _al.align_documents(read_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth made to repeat."""
+    docs = read_table(spark, sf_dir, "documents")
+    return _rn.run_digest(_rn.find_runs(docs.select("doc_id", _rn.looped(docs["doc_id"], docs["text"]).alias("text"))))
+
+
+def _license_sql() -> str:
+    """Every template against every block, and every place of a phrase."""
+    templates = [*_lc.BASE, *_lc.FURTHER]
+
+    def listed(words: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    rows = ", ".join(f"({n}, '{t.label}', {t.half}, {t.need}, {t.phrase}, {listed(t.words)}, {listed(sorted(set(t.words)))})"
+                     for n, t in enumerate(templates))
+    return f"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+templates(n, label, half, need, phrase, seq, own) AS (VALUES {rows}),
+starts AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM t),
+places AS (
+  SELECT r, n, label, i - 1 AS place FROM starts JOIN templates ON w[i] = seq[1] AND phrase
+  WHERE w[i:i + len(seq) - 1] = seq),
+halves AS (SELECT DISTINCT half FROM templates WHERE NOT phrase),
+blocks AS (
+  SELECT r, half, list_distinct(w[b + 1:b + 2 * half]) AS held
+  FROM (SELECT r, half, w, unnest(range(0, len(w), half)) AS b FROM t, halves)),
+holds AS (
+  SELECT r, n, label, round(len(list_intersect(held, own)) / len(own), 6) AS containment
+  FROM blocks JOIN templates USING (half) WHERE NOT phrase AND len(list_intersect(held, own)) >= need),
+found AS (
+  SELECT r, n, label, place, 1.0 AS containment FROM places
+  UNION ALL SELECT r, n, label, NULL, containment FROM holds)
+SELECT doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words,
+       count(*) FILTER (n < {len(_lc.BASE)}) AS n_base,
+       min(place) FILTER (n < {len(_lc.BASE)}) AS first_word, max(place) FILTER (n < {len(_lc.BASE)}) AS last_word,
+       coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (n < {len(_lc.BASE)})), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (n >= 0)), ','), '') AS labels,
+       CAST(coalesce(max(containment), 0) AS DOUBLE) AS score
+FROM t LEFT JOIN found USING (r) GROUP BY r, doc_id
+"""
+
+
+SQL["op11_licenses"] = _license_sql()
+
+#: Places that share their first 16 words, by distance: stretches of such
+#: places one after the other are the maximal repeats.
+SQL["op13_runs"] = """
+WITH crc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         xor(list_reduce(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+                                        lambda k: CAST(ord(CAST(doc_id AS VARCHAR)[k]) AS BIGINT)),
+             lambda c, x: list_reduce(range(0, 8), lambda v, k:
+               CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, xor(c, x)),
+             CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM documents),
+split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, h // 10 AS g FROM crc),
+shape AS (SELECT *, len(w) AS n, g % greatest(len(w), 1) AS a FROM split),
+t AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(0, n), lambda i:
+           w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w
+  FROM shape),
+places AS (SELECT r, n, unnest(range(0, n - 15)) AS i, w FROM t WHERE n >= 24),
+keyed AS (SELECT r, n, i, md5(array_to_string(w[i + 1:i + 16], ' ')) AS s FROM places),
+pairs AS (
+  SELECT a.r, a.i, b.i - a.i AS q FROM keyed a JOIN keyed b ON a.r = b.r AND a.s = b.s AND b.i > a.i
+  WHERE 3 * (b.i - a.i) <= a.n),
+stretches AS (
+  SELECT r, q, min(i) AS s, max(i) - min(i) + 16 AS l
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs)
+  GROUP BY r, q, island),
+runs AS (
+  SELECT r, s, l + q AS length, min(q) AS period
+  FROM (SELECT r, s, l, q FROM stretches WHERE l >= 2 * q AND l + q >= 24) GROUP BY r, s, l + q),
+best AS (
+  SELECT r, count(*) AS n_runs, arg_min(struct_pack(s, length, period), struct_pack(o := -length / period, s, period)) AS b,
+         string_agg(s || ',' || length || ',' || period || chr(10), '' ORDER BY s, period) AS lines
+  FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + period, s + length)) AS i FROM runs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS text
+  FROM (SELECT r, unnest(range(0, n)) AS i, unnest(w) AS word FROM t) LEFT JOIN gone USING (r, i)
+  WHERE gone.r IS NULL GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.length AS length, b.period AS period,
+       1000 * b.length // b.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM t LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 def _pii_sql() -> str:
     """Spans by running sums of the lengths of matches and of the text
     between them, as ``find_pii`` defines them."""
