@@ -44,7 +44,7 @@ BLOCK_ROWS = 1 << 13
 #: Records of a partition that one task streams counts back to.
 TASK_RECORDS = 1 << 22
 #: Units whose alignment a Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Characters of a text handled at a time.
 PIECE_CHARS = 1 << 20
 
@@ -61,12 +61,12 @@ def tokenizer_paths() -> tuple[str, str]:
 
 
 class _Aligned(dict):
-    """Alignment of a unit: (tokens of A, of B, groups, links, text of
-    the groups, pairs as little-endian B id * 2^32 + A id), or None where
-    a side's bytes differ from the unit's.
+    """Ids of a unit, side A's and side B's, as little-endian unsigned
+    32-bit bytes, or False where a side's bytes differ from the unit's.
 
     A unit starts with white space that follows something else. Neither
-    tokenizer merges across such a place, so units align by themselves.
+    tokenizer merges across such a place, so units are encoded by
+    themselves.
     """
 
     def __init__(self, path_a: str, path_b: str) -> None:
@@ -84,13 +84,22 @@ class _Aligned(dict):
         byte_of = {c: b for b, c in self.letters.items()}
         self.bytes_a = {i: bytes(byte_of[c] for c in t) if set(t) <= byte_of.keys() else t.encode()
                         for t, i in self.a.get_vocab().items()}
-        self.size_a = {i: len(t) for i, t in self.bytes_a.items()}
         self._marks = {c: self.a.encode(c, add_special_tokens=False).ids for c in ".,;:!?"}
+        # Byte-level tokens spell a text that nothing normalises.
+        self.a_spells = self.a.normalizer is None and isinstance(self.a.pre_tokenizer, ByteLevel)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode()
                         for i, p in enumerate(pieces)]
-        self.size_b = [len(p) for p in self.bytes_b]
+        self.size_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        for i, t in self.bytes_a.items():
+            self.size_a[i] = len(t)
+        self.size_b = np.array([len(p) for p in self.bytes_b])
+        # Decimal digits of all ids, and which of them are written.
+        ids = np.arange(max(len(self.size_a), len(self.size_b)))
+        powers = 10 ** np.arange(len(str(len(ids))) - 1, -1, -1)
+        self.digits = (ids[:, None] // powers % 10 + ord("0")).astype(np.uint8)
+        self.written = np.column_stack([(ids[:, None] >= powers) | (powers == 1), np.ones(len(ids), dtype=bool)])
         self.blank = self.b.piece_to_id(_MARK)
         inner = {c for i, p in enumerate(pieces) if not self.b.is_byte(i) for c in p.lstrip(_MARK)[1:]}
         inner |= {c for p in pieces if p.startswith(_MARK) for c in p.lstrip(_MARK)}
@@ -118,38 +127,19 @@ class _Aligned(dict):
         for unit, ids in zip(units, found, strict=True):
             yield [self.blank] if unit == " " else ids if unit[0] == " " else ids[1:]
 
-    def learn(self, units: list[str]) -> dict[str, tuple | None]:
-        """Alignments of units that are not remembered yet."""
+    def learn(self, units: list[str]) -> dict[str, tuple[bytes, bytes] | bool]:
+        """Ids of units that are not remembered yet."""
         found = {}
         for unit, ids_b in zip(units, self._ids_b(units), strict=True):
             ids_a, raw = self._ids_a(unit), unit.encode()
-            sizes_a, sizes_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-            spelt = b"".join(sizes_a) == raw and b"".join(sizes_b) == raw
-            found[unit] = self._groups(ids_a, ids_b) if spelt else None
+            spelt = b"".join(map(self.bytes_b.__getitem__, ids_b)) == raw and (
+                self.a_spells or b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw)
+            found[unit] = spelt and (array("I", ids_a).tobytes(), array("I", ids_b).tobytes())
         if len(self) + len(found) > REMEMBERED:
             self.clear()
         self.update((u, f) for u, f in found.items() if len(u) <= 64)
         return found
 
-    def _groups(self, ids_a: list[int], ids_b: list[int]) -> tuple:
-        size_a, size_b = self.size_a, self.size_b
-        texts, pairs, own_a, own_b = [], array("q"), "", ""
-        places_b = iter(ids_b)
-        end_a = end_b = 0
-        for a in ids_a:
-            end_a += size_a[a]
-            own_a = f"{own_a},{a}" if own_a else str(a)
-            while end_b < end_a:
-                b = next(places_b)
-                end_b += size_b[b]
-                own_b = f"{own_b},{b}" if own_b else str(b)
-            if end_a == end_b:
-                # Tokens have bytes, so one token of a side ends at a place.
-                texts.append(f"{own_a}|{own_b}")
-                pairs.append(b << 32 | a)
-                own_a = own_b = ""
-        return len(ids_a), len(ids_b), len(texts), len(pairs), ";".join(texts), pairs.tobytes()
-
     def pieces(self, text: str) -> Iterator[str]:
         """The text in pieces of about PIECE_CHARS that end with a unit."""
         at = 0
@@ -161,25 +151,56 @@ class _Aligned(dict):
             at = cut.start()
         yield text[at:] if at else text
 
+    def ids(self, piece: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Both sides' ids of a piece, None where a side spells it differently."""
+        units = self.units.findall(piece)
+        found = list(map(self.get, units))
+        if None in found:
+            fresh = self.learn(list({u for u, f in zip(units, found, strict=True) if f is None}))
+            found = [fresh[u] if f is None else f for u, f in zip(units, found, strict=True)]
+        if False in found:
+            return None
+        ids_a, ids_b = zip(*found, strict=True)
+        return np.frombuffer(b"".join(ids_a), "<u4"), np.frombuffer(b"".join(ids_b), "<u4")
+
+    def groups(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Text of the groups (``a1,a2|b1;`` for each) and the pairs
+        (B id * 2^32 + A id) of the links of two sides of one text. Tokens
+        have bytes, so one token of a side ends at a place."""
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        of_a, of_b = np.zeros(ends_a[-1] + 1, dtype=bool), np.zeros(ends_a[-1] + 1, dtype=bool)
+        of_a[ends_a], of_b[ends_b] = True, True
+        closes_a, closes_b = of_b[ends_a], of_a[ends_b]
+        last_a, last_b = np.flatnonzero(closes_a), np.flatnonzero(closes_b)
+        # A group's A tokens stand after the B tokens of the groups before.
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        at_a = np.arange(len(ids_a)) + np.r_[0, last_b + 1][group_a]
+        at_b = np.arange(len(ids_b)) + (last_a + 1)[group_b]
+        ids = np.empty(len(ids_a) + len(ids_b), np.int64)
+        ids[at_a], ids[at_b] = ids_a, ids_b
+        rows = np.empty((len(ids), self.digits.shape[1] + 1), np.uint8)
+        rows[:, :-1], rows[:, -1] = self.digits[ids], ord(",")
+        rows[at_a[last_a], -1], rows[at_b[last_b], -1] = ord("|"), ord(";")
+        pairs = ids_b[last_b].astype(np.int64) << 32 | ids_a[last_a]
+        return rows[self.written[ids]].tobytes(), pairs
+
     def of(self, text: str | None) -> tuple[tuple[int, int, int, int, str], np.ndarray]:
         """Counts of a text's tokens, groups and links with its groups'
         digest, and its links' pairs."""
         nothing = (0, 0, 0, 0, ""), np.zeros(0, np.int64)
         if not text:
             return nothing
-        digest, sums, pairs = hashlib.sha256(), np.zeros(4, np.int64), []
+        digest, n_a, n_b, links, held = hashlib.sha256(), 0, 0, [], b""
         for piece in self.pieces(" " + text):
-            units = self.units.findall(piece)
-            missing = [u for u in set(units) if u not in self]
-            fresh = self.learn(missing) if missing else {}
-            found = [self.get(u) or fresh.get(u) for u in units]
-            if None in found:
+            ids = self.ids(piece)
+            if ids is None:
                 return nothing
-            n_a, n_b, n_groups, n_links, texts, own = zip(*found, strict=True)
-            sums += (sum(n_a), sum(n_b), sum(n_groups), sum(n_links))
-            digest.update(((";" if pairs else "") + ";".join(texts)).encode())
-            pairs.append(b"".join(own))
-        return (*sums.tolist(), digest.hexdigest()), np.frombuffer(b"".join(pairs), "<i8")
+            written, pairs = self.groups(*ids)
+            digest.update(held + written[:-1])
+            held, n_a, n_b = b";", n_a + len(ids[0]), n_b + len(ids[1])
+            links.append(pairs)
+        pairs = np.concatenate(links)
+        return (n_a, n_b, len(pairs), len(pairs), digest.hexdigest()), pairs
 
 
 _LOADED: dict[tuple[str, str], _Aligned] = {}
@@ -322,9 +343,11 @@ def _best_counts(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def _stream_back(key: tuple, runs: pa.Table, counts: pa.Table) -> pa.Table:
-    """Sums of some runs of a partition for each of their documents."""
+    """Sums of some runs of a partition for each of their documents; a
+    task may have been dealt none."""
     known, count, best = _unpacked(counts["counts"][0].as_py(), 3)
-    found = []
+    names = ["row", "n_best", "count_sum"]
+    found = [pa.table([pa.array([], pa.int64())] * 3, names=names)]
     for packed in runs["records"]:
         pairs, rows, n = _unpacked(packed.as_py(), 3)
         at = np.searchsorted(known, pairs)
@@ -332,8 +355,7 @@ def _stream_back(key: tuple, runs: pa.Table, counts: pa.Table) -> pa.Table:
         sums = np.zeros((2, len(own)), np.int64)
         np.add.at(sums[0], place, best[at] * n)
         np.add.at(sums[1], place, count[at] * n)
-        found.append(pa.table([pa.array(own), pa.array(sums[0]), pa.array(sums[1])],
-                              names=["row", "n_best", "count_sum"]))
+        found.append(pa.table([pa.array(own), pa.array(sums[0]), pa.array(sums[1])], names=names))
     return pa.concat_tables(found)
 
 

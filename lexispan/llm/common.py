@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -9,13 +11,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from lexispan.llm.words import row_slices
 from lexispan.session import ensure_checkpoint_dir, ship_package
+from lexispan.sources.files import Files
 
 #: Remainder of crc32(doc_id as text) mod FOLDS that is never learnt from.
 FOLDS, HELD_OUT = 4, 2
+#: Largest table, in bytes, that is broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,24 +42,78 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator's run below the shared checkpoint folder,
+    deleted as soon as later steps no longer read them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
+        self.files = Files(spark, self.root)
+        self._paths: list[tuple[DataFrame, str]] = []
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` and read it back, as ``shared_table`` does."""
+        path = f"{self.root}/{len(self._paths)}-{label}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self._paths.append((back, path))
+        return back
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no later action reads, and let go of the
+        shuffle files of finished steps."""
+        for table, path in self._paths:
+            if any(table is t for t in tables):
+                self.files.delete(path)
+        let_go(self.spark)
+
+    def drop_all_but(self, *kept: DataFrame) -> None:
+        self.drop(*[t for t, _ in self._paths if not any(t is k for k in kept)])
+
+
+def let_go(spark: SparkSession) -> None:
+    """Spark deletes a shuffle's files once the driver's collector finds
+    that no plan refers to it; ask for that now, as a busy session does
+    so only when its heap is full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def broadcast_within(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a written table, marked for broadcast if its rows of
+    ``row_bytes`` are at most ``limit`` bytes; else the planner chooses."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often
     the body's own lambdas refer to it."""
     return F.transform(F.array(value), body)[0]
 
 
-def text_sha(text_col: str) -> Column:
-    """Digest of a whole text, 32 bytes; null counts as empty."""
-    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+def text_hash(text_col: str) -> Column:
+    """Hash of a whole text, 64 bits; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
     """The rows of ``docs`` whose id and text are not among ``gone``
-    (doc_id, text_sha), all columns. Other texts of an id stay."""
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_sha").alias("_gone_sha")).distinct()
-    gone = shared_table(gone, "gone")
-    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (text_sha(text_col) == F.col("_gone_sha"))
-    return docs.join(gone, same, "left_anti")
+    (doc_id, text_hash), all columns, whatever their names. Other texts
+    of an id stay. The texts stay where they are read while ``gone`` is
+    small enough to be broadcast."""
+    names = free_names(docs, 2)
+    gone = scratch.table(gone.select(
+        F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1])).distinct(), "gone")
+    same = docs[id_col].eqNullSafe(gone[names[0]]) & (text_hash(text_col) == gone[names[1]])
+    scratch.drop_all_but(gone)
+    return docs.join(broadcast_within(gone, 64), same, "left_anti")
+
+
+def free_names(df: DataFrame, count: int) -> list[str]:
+    """Column names that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    return list(itertools.islice((n for i in itertools.count() if (n := f"_own_{i}") not in taken), count))
 
 
 def held_out(id_col: Column) -> Column:
@@ -130,22 +190,33 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: i
 
 
 def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], cut: float,
-           id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
-    """doc_id, held_out, score and predicted of every whole text; with
-    ``digest`` text_sha too."""
-    carried = ["text_sha"] if digest else []
-
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score and predicted of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, end in row_slices(batch.column("text")):
                 values = score(batch.column("text").slice(at, end - at))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(at, end - at), batch.column("held_out").slice(at, end - at),
-                     pa.array(values, pa.float64()), pa.array(values >= cut).cast(pa.int32()),
-                     *[batch.column(c).slice(at, end - at) for c in carried]],
-                    names=["doc_id", "held_out", "score", "predicted", *carried])
+                     pa.array(values, pa.float64()), pa.array(values >= cut).cast(pa.int32())],
+                    names=["doc_id", "held_out", "score", "predicted"])
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(F.col(id_col)).alias("held_out"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       *[text_sha(text_col).alias(c) for c in carried])
-    return rows.mapInArrow(run, ", ".join(["doc_id long, held_out boolean, score double, predicted int",
-                                           *[f"{c} binary" for c in carried]]))
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def scored_from(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], cut: float,
+                text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose whole text's score reaches ``cut``, all
+    columns as they are: the rows pass the scorer whole, so none of them
+    is joined or moved."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, end in row_slices(batch.column("text")):
+                keep = pa.array(score(batch.column("text").slice(at, end - at)) >= cut)
+                rows = batch.column("row").slice(at, end - at).filter(keep)
+                yield pa.RecordBatch.from_arrays([rows], names=["row"])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = T.StructType([T.StructField("row", docs.schema, False)])
+    return whole.mapInArrow(run, schema).select("row.*")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispan.llm.common import let, shared_table
+from lexispan.llm.common import Scratch, let, shared_table, without
 
 WIDTH, THRESHOLD = 5, 0.75
 #: Hash functions, and sample hits a candidate needs: a pair whose
@@ -106,10 +106,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns."""
-    found = contaminated(docs, benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_hash")).distinct()
-    found = shared_table(found, "contaminated")
-    same = F.col(id_col).eqNullSafe(F.col("_found_id")) & (
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_found_hash"))
-    return docs.join(found, same, "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, all columns,
+    whatever their names. Of rows that share an id, null or not, each
+    goes by its own text; null texts hold nothing and stay; empty tables
+    drop nothing."""
+    return without(docs, contaminated(docs, benchmark, id_col, text_col), id_col, text_col, Scratch(docs.sparkSession))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lexispan.llm.common import let, shared_table
+from lexispan.llm.common import Scratch, broadcast_within, free_names, let, let_go, shared_table
 
 BLOCK_BYTES = 4096
 
@@ -151,19 +151,30 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    marks = exact_dedup(docs, id_col, text_col).where("kept")
-    marks = marks.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    """The rows of ``docs`` that stay, all columns, whatever their names:
+    of equal texts the row with the largest id (null the smallest), and
+    of repeated rows of that id and text one. Null and empty texts are
+    equal; an empty table stays empty."""
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    marks = exact_dedup(docs, id_col, text_col).groupBy("doc_id", "text_sha256").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    marks = scratch.table(marks, "marks")
+    let_go(spark)
+    names = free_names(docs, 3)
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (sha == F.col("_kept_sha"))
-    stays = docs.join(marks, same, "left_semi")
-    copies = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
-        F.col(id_col).alias("_copied_id"))
-    copies = shared_table(copies, "copied_ids")
-    if copies.isEmpty():
+    # Few rows are copies: those that go, and those that stay once.
+    gone = marks.where(~F.col("kept") | (F.col("rows") > 1)).select(
+        F.col("doc_id").alias(names[0]), F.col("text_sha256").alias(names[1]))
+    gone = broadcast_within(scratch.table(gone, "gone"), 160)
+    same = docs[id_col].eqNullSafe(gone[names[0]]) & (sha == gone[names[1]])
+    stays = docs.join(gone, same, "left_anti")
+    again = marks.where(F.col("kept") & (F.col("rows") > 1)).select(
+        F.col("doc_id").alias(names[0]), F.col("text_sha256").alias(names[1]))
+    again = scratch.table(again, "again")
+    if again.isEmpty():
+        scratch.drop(marks)
         return stays
-    # Ids that occur more than once: of rows with one id and text, one stays.
-    again = F.col(id_col).eqNullSafe(F.col("_copied_id"))
-    once = stays.join(copies, again, "left_anti")
-    more = stays.join(copies, again, "left_semi").withColumn("_sha", sha)
-    return once.unionByName(more.dropDuplicates([id_col, "_sha"]).drop("_sha"))
+    once = docs.join(broadcast_within(again, 160), docs[id_col].eqNullSafe(again[names[0]]) & (
+        sha == again[names[1]]), "left_semi")
+    once = once.withColumn(names[2], sha).dropDuplicates([id_col, names[2]]).drop(names[2])
+    return stays.unionByName(once)

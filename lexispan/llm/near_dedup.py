@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lexispan.llm.common import let, shared_table, text_sha, without
+from lexispan.llm.common import BROADCAST_BYTES, Scratch, broadcast_within, let, text_hash, without
 from lexispan.llm.words import mix, row_slices, shingle_hashes, word_hashes
 
 WIDTH, THRESHOLD = 5, 0.75
@@ -43,9 +43,8 @@ BASE, TOP, RATE = 1.001, 65535, 20.0
 MARGIN = 4.5
 #: Pivots of a bucket.
 PIVOTS = 3
-#: Largest table, in bytes, that is broadcast to find the texts of
-#: candidate classes, and the bytes of a row.
-BROADCAST_BYTES, _ROW_BYTES = 64 << 20, 64
+#: Bytes of a row of numbers in a table that is broadcast.
+_ROW_BYTES = 64
 #: Pairs of one class verified by one task.
 FAN = 512
 #: Classes of a block in the search for the links left over.
@@ -135,8 +134,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, shingles) of texts whose set is the class's."""
+    """(cid, shingles) of texts whose set is the class's, once a task."""
+    done: set[int] = set()
     for batch in batches:
+        fresh = []
+        for cid in batch.column("cid").to_pylist():
+            fresh.append(cid not in done)
+            done.add(cid)
+        batch = batch.filter(pa.array(fresh, pa.bool_()))
         own = np.column_stack([batch.column(c).to_numpy() for c in ("n", "k1", "k2")])
         for at, end, found, begins in _sets(batch.column("text")):
             same = (np.column_stack([np.diff(begins), *_digests(found, begins)]) == own[at:end]).all(axis=1)
@@ -271,42 +276,59 @@ def _compared(percent: int):
     return run
 
 
-def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, rounds: int | None = None) -> DataFrame:
     """(id, label): the smallest id reachable over links (a, b); after
     ``rounds`` rounds some smaller one, not yet the smallest."""
-    both = shared_table(links.select("a", "b").union(links.select("b", "a")), "edges")
-    labels = shared_table(both.groupBy(F.col("a").alias("id")).agg(
+    both = scratch.table(links.select("a", "b").union(links.select("b", "a")), "edges")
+    labels = scratch.table(both.groupBy(F.col("a").alias("id")).agg(
         F.least("id", F.min("b")).alias("label")), "labels")
     while rounds is None or rounds > 0:
         rounds = None if rounds is None else rounds - 1
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
         closer = labels.join(near, labels["id"] == near["a"]).select(
             "id", F.col("label").alias("old"), F.least("label", "near").alias("to"))
-        closer = shared_table(closer, "closer")
+        closer = scratch.table(closer, "closer")
         if closer.where("old <> to").isEmpty():
-            return labels
+            scratch.drop(closer)
+            break
         ends = closer.select(F.col("id").alias("end"), F.col("to").alias("further"))
-        labels = shared_table(closer.join(ends, closer["to"] == ends["end"]).select(
+        further = scratch.table(closer.join(ends, closer["to"] == ends["end"]).select(
             "id", F.least("to", "further").alias("label")), "labels")
+        scratch.drop(labels, closer)
+        labels = further
+    scratch.drop(both)
     return labels
 
 
-def _pairs_with(pairs: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairs (a, b) with both sides' columns. A class that is in many
-    pairs is copied, so that its pairs spread over many tasks."""
-    pairs = plain = pairs.select("a", "b")
-    for side, other in (("a", "b"), ("b", "a")):
-        copies = plain.groupBy(F.col(side).alias("cid")).agg(
-            F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("_copies"))
-        own = values.select("cid", *columns).join(copies, "cid").select(
-            F.col("cid").alias("_cid"), "_copies", *[F.col(c).alias(f"{c}_{side}") for c in columns])
-        own = own.select("*", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")).drop("_copies")
-        crowded = copies.where("_copies > 1")  # few: each has over FAN pairs
-        dealt = pairs.join(crowded, pairs[side] == crowded["cid"], "left").drop("cid").withColumn(
-            "_at", F.coalesce(F.pmod(F.xxhash64(other), F.col("_copies")), F.lit(0)).cast("int")).drop("_copies")
-        pairs = dealt.join(own, (dealt[side] == own["_cid"]) & (dealt["_at"] == own["_copy"])).drop(
-            "_cid", "_at", "_copy")
-    return pairs
+def _pairs_with(pairs: DataFrame, values: DataFrame, columns: list[str], scratch: Scratch,
+                value_bytes: Column) -> DataFrame:
+    """Distinct pairs (a, b) with both sides' columns, of ``value_bytes``
+    a row.
+
+    Many pairs share their class a, a pivot, while few share their b.
+    The pairs, which are two numbers, go to the values of b where they
+    lie, and the few classes that are an a bring their values to the
+    pairs. Where either is too large to be broadcast, the sides are
+    dealt by class, and a class that is in many pairs is copied, so that
+    its pairs spread over many tasks.
+    """
+    def named(side: str) -> DataFrame:
+        return values.select(F.col("cid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+    pairs = pairs.select("a", "b")
+    ends = broadcast_within(pairs, _ROW_BYTES)
+    with_b = named("b").join(ends, "b")
+    pivots = broadcast_within(scratch.table(pairs.select("a").distinct(), "ends"), _ROW_BYTES)
+    size = values.join(pivots, F.col("cid") == F.col("a")).agg(F.sum(value_bytes + _ROW_BYTES)).first()[0] or 0
+    own = named("a").join(pivots, "a")
+    if size <= BROADCAST_BYTES:
+        return with_b.join(F.broadcast(own), "a")
+    copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("_copies")).where("_copies > 1")
+    copies = broadcast_within(scratch.table(copies, "copies"), _ROW_BYTES)
+    number = F.coalesce("_copies", F.lit(1))
+    own = own.join(copies, "a", "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), number - 1))).drop("_copies")
+    dealt = with_b.join(copies, "a", "left").withColumn(
+        "_copy", F.pmod(F.xxhash64("b"), number).cast("int")).drop("_copies")
+    return dealt.join(own, ["a", "_copy"]).drop("_copy")
 
 
 def _bands():
@@ -320,64 +342,74 @@ def _bands():
 class _Classes:
     """Classes of equal sets and what is compared of them."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, threshold: float, digest: bool) -> None:
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> None:
         self.threshold, self.percent = threshold, round(100 * threshold)
-        self.texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        read, carried = self.texts, "id long"
-        if digest:
-            read = docs.select(F.col(id_col).cast("long").alias("id"), text_sha(text_col).alias("text_sha"),
-                               F.col(text_col).alias("text"))
-            carried += ", text_sha binary"
-        sketched = read.mapInArrow(_sketch, f"{carried}, n long, k1 long, k2 long, registers binary")
-        self.rows = shared_table(sketched, "sketches")
+        self.scratch = Scratch(docs.sparkSession)
+        self.texts = docs.select(F.col(id_col).cast("long").alias("id"), text_hash(text_col).alias("text_hash"),
+                                 F.col(text_col).alias("text"))
+        sketched = self.texts.mapInArrow(
+            _sketch, "id long, text_hash long, n long, k1 long, k2 long, registers binary")
+        self.rows = self.scratch.table(sketched, "sketches")
+        # A class's sets are made again from one of its texts.
         classes = self.rows.where("n > 0").groupBy("k1", "k2", "n").agg(
-            F.min("id").alias("first"), F.min("registers").alias("registers"))
-        self.table = shared_table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-        self.members = self._members()
-        self.sets = self._full()
-        self.members = self._bounded()
+            F.min("id").alias("first"), F.min(F.struct("id", "text_hash")).alias("one"),
+            F.min("registers").alias("registers"))
+        self.table = self.scratch.table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+        members = self._members()
+        self.sets = self._full(members)
+        self.members = self._bounded(members)
 
     def _members(self) -> DataFrame:
         """(bucket, band, cid) of classes that share a band with another."""
         spread = self.table.select("cid", F.posexplode(_bands()).alias("band", "bucket"))
-        shared = spread.groupBy("bucket").agg(F.min("cid").alias("low"), F.max("cid").alias("high"))
-        shared = shared_table(shared.where("low <> high").select("bucket"), "buckets")
-        return shared_table(spread.join(shared, "bucket"), "members")
-
-    def _full(self) -> DataFrame:
+        met = spread.groupBy("bucket").agg(
+            F.min("band").alias("band"), F.min("cid").alias("low"), F.max("cid").alias("high"),
+            F.count(F.lit(1)).alias("members"))
+        met = self.scratch.table(met.where("low <> high"), "buckets")
+        # Two members are the two ends; the others of larger buckets are found again.
+        pairs = met.where("members = 2").select("bucket", "band", F.explode(F.array("low", "high")).alias("cid"))
+        large = self.scratch.table(met.where("members > 2").select("bucket"), "large")
+        more = spread.join(broadcast_within(large, _ROW_BYTES), "bucket").select("bucket", "band", "cid")
+        members = self.scratch.table(pairs.unionByName(more), "members")
+        self.scratch.drop(met, large)
+        return members
+
+    def _full(self, members: DataFrame) -> DataFrame:
         """(cid, shingles) of all candidate classes, made again from one
         text of each."""
-        wanted = self.table.join(self.members.select("cid").distinct(), "cid").select(
-            "cid", "n", "k1", "k2", F.col("first").alias("_id"))
-        wanted = shared_table(wanted, "wanted")
-        if wanted.count() * _ROW_BYTES <= BROADCAST_BYTES:
-            wanted = F.broadcast(wanted)
-        texts = self.texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).drop("id", "_id")
-        sets = texts.mapInArrow(_full_sets, "cid long, shingles array<long>")
-        # Repeated rows of one id and text would give a set twice.
-        return shared_table(sets, "sets")
-
-    def _bounded(self) -> DataFrame:
+        candidates = self.scratch.table(members.select("cid").distinct(), "candidates")
+        wanted = self.scratch.table(self.table.select("cid", "n", "k1", "k2", "one").join(
+            broadcast_within(candidates, _ROW_BYTES), "cid").select(
+            "cid", "n", "k1", "k2", F.col("one.id").alias("_id"), F.col("one.text_hash").alias("_hash")), "wanted")
+        same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+        texts = self.texts.join(broadcast_within(wanted, _ROW_BYTES), same).drop("id", "_id", "text_hash", "_hash")
+        sets = self.scratch.table(texts.mapInArrow(_full_sets, "cid long, shingles array<long>"), "sets")
+        repeated = sets.groupBy("cid").count().where("count > 1")
+        if not repeated.isEmpty():  # rows of one id and text in several tasks
+            single = self.scratch.table(sets.dropDuplicates(["cid"]), "single")
+            self.scratch.drop(sets)
+            sets = single
+        self.scratch.drop(candidates, wanted)
+        return sets
+
+    def _bounded(self, members: DataFrame) -> DataFrame:
         """Members with n and common, the number of shingles that some
         other candidate class has too. Those that no set of the
         bucket's sizes can bring to the threshold are left out."""
-        seen = self.sets.dropDuplicates(["cid"]) if self._repeated() else self.sets
-        self.sets = seen
-        spread = seen.select("cid", F.explode("shingles").alias("shingle"))
+        spread = self.sets.select("cid", F.explode("shingles").alias("shingle"))
         alone = spread.groupBy("shingle").agg(F.min("cid").alias("cid"), F.max("cid").alias("last"))
         alone = alone.where("cid = last").groupBy("cid").agg(F.count(F.lit(1)).alias("alone"))
-        nodes = self.table.select("cid", "n").join(alone, "cid").withColumn("common", F.col("n") - F.col("alone"))
-        members = shared_table(self.members.join(
-            nodes.select("cid", "common"), "cid", "left").join(
-            self.table.select("cid", "n"), "cid").select(
-            "bucket", "band", "cid", "n", F.coalesce("common", "n").alias("common")), "nodes")
-        least = shared_table(members.groupBy("bucket").agg(F.min("n").alias("least")), "least")
+        sizes = self.sets.select("cid", F.size("shingles").cast("long").alias("n"))
+        nodes = self.scratch.table(sizes.join(alone, "cid", "left").select(
+            "cid", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common")), "nodes")
+        joined = self.scratch.table(members.join(broadcast_within(nodes, _ROW_BYTES), "cid"), "joined")
+        least = self.scratch.table(joined.groupBy("bucket").agg(F.min("n").alias("least")), "least")
         partner = F.greatest("least", "common")
         reach = 100 * F.col("common") >= self.percent * (F.col("n") + partner - F.col("common"))
-        return shared_table(members.join(least, "bucket").where(reach).drop("least"), "bounded")
-
-    def _repeated(self) -> bool:
-        return not self.sets.groupBy("cid").count().where("count > 1").isEmpty()
+        bounded = self.scratch.table(joined.join(
+            broadcast_within(least, _ROW_BYTES), "bucket").where(reach).drop("least"), "bounded")
+        self.scratch.drop(members, nodes, joined, least)
+        return bounded
 
     def within_reach(self, a: str, b: str):
         """Condition that the shared shingles of two sides could do."""
@@ -387,7 +419,7 @@ class _Classes:
     def stars(self) -> DataFrame:
         """Distinct pairs (a, b) of each bucket's pivots and members."""
         rank = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc(F.col("common") / F.col("n")), "cid"))
-        self.pivots = shared_table(self.members.withColumn("rank", rank).where(F.col("rank") <= PIVOTS), "pivots")
+        self.pivots = self.scratch.table(self.members.withColumn("rank", rank).where(F.col("rank") <= PIVOTS), "pivots")
         one, two = self.pivots.alias("one"), self.members.alias("two")
         met = two.join(one, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.cid") != F.col("two.cid"))
                        & self.within_reach("one", "two"))
@@ -395,26 +427,27 @@ class _Classes:
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b), those whose estimate may reach the threshold."""
-        known = _pairs_with(pairs, self.table, ["n", "registers"])
-        return shared_table(known.mapInArrow(_may_reach(self.threshold), "a long, b long, estimate double"),
+        known = _pairs_with(pairs, self.table, ["n", "registers"], self.scratch, F.lit(2 * REGISTERS))
+        return self.scratch.table(known.mapInArrow(_may_reach(self.threshold), "a long, b long, estimate double"),
                             "plausible")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with the size of their full sets' intersection
         and whether they link."""
-        return shared_table(_pairs_with(pairs, self.sets, ["shingles"]).mapInArrow(
+        known = _pairs_with(pairs, self.sets, ["shingles"], self.scratch, 8 * F.size("shingles"))
+        return self.scratch.table(known.mapInArrow(
             _compared(self.percent), "a long, b long, shared long, linked boolean"), "compared")
 
     def open_members(self, labels: DataFrame) -> DataFrame:
         """Members of buckets that hold several components, with their
         label and the bucket's first pivot."""
         marked = self.members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-        marked = shared_table(marked, "marked")
+        marked = self.scratch.table(marked, "marked")
         several = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                                F.count(F.lit(1)).alias("members"))
         pivots = self.pivots.where("rank = 1").select("bucket", F.col("cid").alias("pivot"), F.col("n").alias("n_pivot"))
-        several = shared_table(several.where("low <> high").select("bucket", "members").join(pivots, "bucket"), "several")
-        return shared_table(marked.join(several, "bucket"), "open")
+        several = self.scratch.table(several.where("low <> high").select("bucket", "members").join(pivots, "bucket"), "several")
+        return self.scratch.table(marked.join(several, "bucket"), "open")
 
     def residual(self, open_: DataFrame, compared: DataFrame) -> DataFrame:
         """Pairs (a, b) of different components that share a bucket and
@@ -445,44 +478,47 @@ class _Classes:
         sides = sides.withColumn("own", own).select("*", F.explode(others).alias("other")).select(
             F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *_SIDE)
         dealt = sides.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-        return shared_table(dealt.mapInArrow(_block_pairs(self.threshold), "a long, b long, estimate double"),
+        return self.scratch.table(dealt.mapInArrow(_block_pairs(self.threshold), "a long, b long, estimate double"),
                             "residual")
 
 
-def _labelled(links: DataFrame, rounds: int | None = None) -> DataFrame:
+def _labelled(links: DataFrame, scratch: Scratch, rounds: int | None = None) -> DataFrame:
     """(cid, label) of classes with links."""
-    return components(links, rounds).withColumnRenamed("id", "cid")
+    return components(links, scratch, rounds).withColumnRenamed("id", "cid")
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """Labels after further links: only components that these touch are
     joined, whatever the number of links before."""
     def label(side: str) -> DataFrame:
         return labels.select(F.col("cid").alias(side), F.col("label").alias(f"label_{side}"))
     ends = links.join(label("a"), "a", "left").join(label("b"), "b", "left").select(
         "a", "b", F.coalesce("label_a", "a").alias("x"), F.coalesce("label_b", "b").alias("y"))
-    ends = shared_table(ends, "ends")
-    joined = shared_table(components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(
+    ends = scratch.table(ends, "ends")
+    joined = scratch.table(components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch).select(
         F.col("id").alias("old"), F.col("label").alias("new")), "joined")
     single = ends.select(F.explode(F.array(F.struct(F.col("a").alias("cid"), F.col("x").alias("label")),
                                            F.struct(F.col("b").alias("cid"), F.col("y").alias("label")))).alias("e"))
     single = single.select("e.*").distinct().join(labels, "cid", "left_anti")
-    return labels.unionByName(single).join(joined, F.col("label") == F.col("old"), "left").select(
+    # Both sides are written, so that a large component is split over tasks.
+    known = scratch.table(labels.unionByName(single), "known")
+    return known.join(broadcast_within(joined, _ROW_BYTES), F.col("label") == F.col("old"), "left").select(
         "cid", F.coalesce("new", "label").alias("label"))
 
 
 def link_classes(classes: _Classes) -> DataFrame:
     """(cid, label) of all linked classes: components over all links."""
-    stars = classes.plausible(classes.stars())
+    scratch = classes.scratch
+    stars = classes.plausible(scratch.table(classes.stars(), "stars"))
     # Each class with its likeliest pivot first, then what that left open.
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
-    compared = classes.compare(best)
+    compared = classes.compare(scratch.table(best, "best"))
     # Labels are here to save comparisons: one round does.
-    labels = _labelled(compared.where("linked"), 1)
+    labels = broadcast_within(_labelled(compared.where("linked"), scratch, 1), _ROW_BYTES)
 
     def more(pairs: DataFrame) -> DataFrame:
-        fresh = shared_table(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "fresh")
-        return compared if fresh.isEmpty() else shared_table(
+        fresh = scratch.table(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "fresh")
+        return compared if fresh.isEmpty() else scratch.table(
             compared.unionByName(classes.compare(fresh)), "compared")
 
     left = labels.select(F.col("cid").alias("a"), F.col("label").alias("label_a"))
@@ -490,22 +526,23 @@ def link_classes(classes: _Classes) -> DataFrame:
     apart = stars.join(left, "a", "left").join(right, "b", "left").where(
         F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
     compared = more(apart.select("a", "b"))
-    labels = _labelled(compared.where("linked"))
+    labels = _labelled(compared.where("linked"), scratch)
     open_ = classes.open_members(labels)
     with_pivot = open_.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
     compared = more(with_pivot.join(stars.select("a", "b"), ["a", "b"], "left_semi"))
     tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = classes.residual(open_, compared).select("a", "b").join(tried, ["a", "b"], "left_anti")
-    late = classes.compare(shared_table(rest, "fresh")).where("linked")
-    return labels if late.isEmpty() else shared_table(_merged(labels, late), "labels")
+    late = classes.compare(scratch.table(rest, "fresh")).where("linked")
+    found = scratch.table(labels if late.isEmpty() else _merged(labels, late, scratch), "found")
+    scratch.drop_all_but(classes.rows, classes.table, found)
+    return found
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               threshold: float = THRESHOLD, digest: bool = False) -> DataFrame:
+               threshold: float = THRESHOLD) -> DataFrame:
     """Components of near-duplicate documents; one row per input row.
 
-    Returns doc_id, n_shingles, component_id, kept, and with ``digest``
-    text_sha. Words are runs of
+    Returns doc_id, n_shingles, component_id and kept. Words are runs of
     bytes outside 0x09-0x0D and 0x20 with A-Z lower-cased; a document's
     set holds its distinct five-word shingles, or its whole sequence
     when it has fewer words. Documents link when the Jaccard similarity
@@ -515,22 +552,34 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one id are all kept or all dropped. An empty table gives an empty
     result; other columns are not read.
     """
-    classes = _Classes(docs, id_col, text_col, threshold, digest)
-    labels = link_classes(classes)
-    table = classes.table.select("cid", "k1", "k2", "n", "first").join(labels, "cid", "left").withColumn(
-        "label", F.coalesce("label", "cid"))
-    smallest = table.groupBy("label").agg(F.min("first").alias("component"))
-    found = shared_table(table.join(smallest, "label").select("k1", "k2", "n", "component"), "components")
-    return classes.rows.join(found, ["k1", "k2", "n"], "left").select(
+    return _marked(docs, id_col, text_col, threshold)[0].drop("text_hash")
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, Scratch]:
+    """``near_dedup``'s rows with text_hash, in a table of their own."""
+    classes = _Classes(docs, id_col, text_col, threshold)
+    scratch, labels = classes.scratch, link_classes(classes)
+    # The classes of a component meet in sums, then its row goes to them.
+    firsts = labels.join(classes.table.select("cid", "k1", "k2", "n", "first"), "cid")
+    firsts = scratch.table(firsts, "firsts")
+    smallest = scratch.table(firsts.groupBy("label").agg(F.min("first").alias("component")), "smallest")
+    found = scratch.table(firsts.join(broadcast_within(smallest, _ROW_BYTES), "label").select(
+        "k1", "k2", "n", "component"), "components")
+    alone = classes.table.join(labels, "cid", "left_anti").select("k1", "k2", "n", F.col("first").alias("component"))
+    found = scratch.table(found.unionByName(alone), "all")
+    marked = classes.rows.select("id", "text_hash", "n", "k1", "k2").join(found, ["k1", "k2", "n"], "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
-        F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"),
-        *(["text_sha"] if digest else []))
+        F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"), "text_hash")
+    marked = scratch.table(marked, "marked")
+    scratch.drop_all_but(marked)
+    return marked, scratch
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Only the
-    ids and digests of those that go are carried to the texts; of rows
-    that share an id, null or not, each goes by its own text."""
-    gone = near_dedup(docs, id_col, text_col, digest=True).where(~F.col("kept"))
-    return without(docs, gone, id_col, text_col)
+    ids and hashes of those that go are carried to the texts; of rows
+    that share an id, null or not, each goes by its own text. Of equal
+    rows of one id all stay or all go; an empty table stays empty."""
+    marked, scratch = _marked(docs, id_col, text_col, THRESHOLD)
+    return without(docs, marked.where(~F.col("kept")), id_col, text_col, scratch)

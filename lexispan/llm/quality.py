@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexispan.llm.common import labelled_sample, scored, without
+from lexispan.llm.common import labelled_sample, scored, scored_from
 from lexispan.llm.features import STATISTICS, structure, word_counts
 from lexispan.llm.words import row_slices, word_hashes
 
@@ -131,9 +131,8 @@ def score(texts: pa.Array, model: Model) -> np.ndarray:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  sample: int = SAMPLE, digest: bool = False) -> DataFrame:
-    """Quality of every text: doc_id, held_out, score, predicted, and
-    with ``digest`` text_sha.
+                  sample: int = SAMPLE) -> DataFrame:
+    """Quality of every text: doc_id, held_out, score and predicted.
 
     Learns from rows of ``labels`` (doc_id, quality) that are not held
     out. A null or empty text is scored by its statistics, all zero.
@@ -142,12 +141,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     result; other columns are not read.
     """
     model = fit(*labelled_sample(docs, labels, "quality", sample, id_col, text_col))
-    return scored(docs, lambda texts: score(texts, model), CUT, id_col, text_col, digest)
+    return scored(docs, lambda texts: score(texts, model), CUT, id_col, text_col)
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are predicted good, all columns. Only
-    ids and digests of the others are carried to the texts; of rows that
-    share an id, null or not, each goes by its own text."""
-    poor = score_quality(docs, labels, id_col, text_col, digest=True).where("predicted = 0")
-    return without(docs, poor, id_col, text_col)
+    """The rows of ``docs`` that are predicted good, all columns as they
+    are. Each row goes by its own text alone, whatever its id; null and
+    empty texts are scored by their statistics; an empty table stays
+    empty."""
+    model = fit(*labelled_sample(docs, labels, "quality", SAMPLE, id_col, text_col))
+    return scored_from(docs, lambda texts: score(texts, model), CUT, text_col)
