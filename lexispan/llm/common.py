@@ -20,8 +20,8 @@ from lexispan.sources.files import Files
 
 #: Remainder of crc32(doc_id as text) mod FOLDS that is never learnt from.
 FOLDS, HELD_OUT = 4, 2
-#: Largest table, in bytes, that is broadcast.
-BROADCAST_BYTES = 64 << 20
+#: Largest table, in bytes, that is broadcast. Executors hold several.
+BROADCAST_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -209,14 +209,16 @@ def scored_from(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], cut: f
                 text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose whole text's score reaches ``cut``, all
     columns as they are: the rows pass the scorer whole, so none of them
-    is joined or moved."""
+    is joined or moved. Null texts are scored as empty ones."""
+    place = docs.columns.index(next(c for c in docs.columns if c.lower() == text_col.lower()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, end in row_slices(batch.column("text")):
-                keep = pa.array(score(batch.column("text").slice(at, end - at)) >= cut)
+            texts = batch.column("row").field(place).fill_null("")
+            for at, end in row_slices(texts):
+                keep = pa.array(score(texts.slice(at, end - at)) >= cut)
                 rows = batch.column("row").slice(at, end - at).filter(keep)
                 yield pa.RecordBatch.from_arrays([rows], names=["row"])
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = T.StructType([T.StructField("row", docs.schema, False)])
     return whole.mapInArrow(run, schema).select("row.*")
