@@ -41,6 +41,11 @@ def shingles(text: Column, width: int = WIDTH) -> Column:
     return let(words, runs)
 
 
+def _all_shingles(text: Column, widths: list[int]) -> Column:
+    """Shingles of several widths, one list."""
+    return F.concat(*[shingles(text, width) for width in widths])
+
+
 def _size_class(n: Column) -> Column:
     """Partition of a set's size: powers of four."""
     return F.ceil(F.log(4.0, F.greatest(n, F.lit(1)).cast("double"))).cast("int")
@@ -64,7 +69,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Returns doc_id, item_id, n_item, n_shared, containment and text_hash
     (of the document's text) for every pair of which the document holds
     at least ``threshold`` of the item's distinct five-word shingles
-    (lower case; words are runs outside 0x09-0x0D and 0x20). Null and
+    (lower case; words are runs outside 0x09-0x0D and 0x20). An item of
+    fewer words is one shingle of its own width, which a document holds
+    where these words stand in a row. Null and
     wordless texts hold nothing and are held by nothing. Repeated rows
     of one id and text give one pair for each item row. Empty tables
     give an empty result; other columns are not read.
@@ -74,12 +81,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.monotonically_increasing_id().alias("item"), F.col(item_col).alias("item_id"),
         F.array_distinct(shingles(F.col(item_text))).alias("shingles"))
     items = shared_table(items.withColumn("n_item", F.size("shingles")).where("n_item > 0"), "items")
+    # Documents are read in the items' widths: WIDTH, and up to four more.
+    words = F.size(F.regexp_extract_all(F.coalesce(F.col(item_text), F.lit("")), F.lit(_WORD), F.lit(0)))
+    short = benchmark.select(words.alias("width")).where(F.col("width").between(1, WIDTH - 1)).distinct()
+    widths = [WIDTH, *sorted(r["width"] for r in short.collect())]
     samples = shared_table(_samples(items), "samples")
     if samples.count() * _SAMPLE_BYTES <= BROADCAST_BYTES:
         samples = F.broadcast(samples)
 
     key = [F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")]
-    own = docs.select(*key, shingles(F.col(text_col)).alias("all"))
+    own = docs.select(*key, _all_shingles(F.col(text_col), widths).alias("all"))
     spread = own.select("doc_id", "text_hash", _size_class(F.size("all")).alias("size_class"),
                         F.explode("all").alias("shingle"))
     # The largest set of a document's partition has 4^size_class shingles.
@@ -94,7 +105,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     full = docs.select(*key, F.col(text_col).alias("_text")).join(
         wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left_semi")
     full = full.dropDuplicates(["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), shingles(F.col("_text")).alias("all"))
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), _all_shingles(F.col("_text"), widths).alias("all"))
     pairs = candidates.join(items, "item").join(
         full, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     shared = F.size(F.array_intersect("shingles", "all"))

@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,11 @@ SURE = set("ad ads advert adverts advertisement advertisements advertising adbox
            "navmenu navbar navigation sitenav mainnav breadcrumb breadcrumbs pagination pager sharebuttons "
            "sharebar socialshare sharelinks sociallinks relatedposts relatedarticles relatedlinks "
            "newslettersignup newsletterform skiplink".split())
+# Whole names that mark a container of furniture, also in an article,
+# unless it is a section, or is named by its id, and has a heading of its own.
+NAMES = set("sidebar sidebars comment notice notices newsletter related promo promos promotion banner banners "
+            "sponsor sponsored".split())
+CONTAINERS = set("div aside section ul ol".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open one of the same group when they begin.
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -85,6 +91,8 @@ class _Element:
     marked: bool  # by a word of a class or id
     in_article: bool
     by_id: bool  # sure or marked by the id alone
+    contains: bool = False  # named as a container of furniture
+    of_article: bool = False  # in an article element
     holds_article: bool = False
     heads: bool = False  # a heading is its child
     doubtful: bool = False  # marked, the words decide
@@ -101,14 +109,15 @@ class _Page:
     breaks: set[int] = field(default_factory=set)
 
 
-def _marked(attrs: str) -> tuple[bool, bool, bool, bool]:
+def _marked(attrs: str) -> tuple[bool, bool, bool, bool, bool]:
     """(hidden or furniture by role, furniture by a whole class or id, by
-    a word of one, by the id alone)."""
-    hidden = sure = named = by_class = False
+    a word of one, by the id alone, named as a container of it)."""
+    hidden = sure = named = by_class = contains = False
     for name, value in _ATTRIBUTE.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
             whole = any(w.lower().replace("-", "").replace("_", "") in SURE for w in value.split())
+            contains |= any(w.lower() in NAMES for w in value.split())
             word = whole or any(w.lower() in MARKS for w in _NAME_WORDS.findall(value))
             sure, named, by_class = sure or whole, named or word, by_class or (word and name == "class")
         elif name == "role":
@@ -118,7 +127,7 @@ def _marked(attrs: str) -> tuple[bool, bool, bool, bool]:
             hidden = True
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
-    return hidden, sure, named, named and not by_class
+    return hidden, sure, named, named and not by_class, contains
 
 
 def _parse(source: str) -> _Page:
@@ -156,12 +165,13 @@ def _parse(source: str) -> _Page:
                 break
         above = page.elements[open_[-1]]
         attrs = token["attrs"]
-        hidden, sure, named, by_id = _marked(attrs) if attrs else (False, False, False, False)
-        in_article = tag == "header" and _inside(page, open_[-1], ("article",))
+        hidden, sure, named, by_id, contains = _marked(attrs) if attrs else (False,) * 5
+        in_article = tag == "header" and above.of_article
         furniture = above.furniture or hidden or (tag in FURNITURE and not in_article)
         free = tag in HEADINGS or tag in ("html", "body", "article", "main")
         page.elements.append(_Element(tag, open_[-1], above.depth + 1, furniture, sure and not free,
-                                      named and not free, above.in_article or tag in ("article", "main"), by_id))
+                                      named and not free, above.in_article or tag in ("article", "main"), by_id,
+                                      contains and tag in CONTAINERS, above.of_article or tag == "article"))
         above.heads |= tag in HEADINGS
         number = len(page.elements) - 1
         if tag in ("article", "main", "h1") and not furniture:
@@ -186,7 +196,8 @@ def _parse(source: str) -> _Page:
         headed = element.tag == "section" and element.heads and element.by_id
         if element.holds_article or not element.marked or headed:
             continue
-        if element.sure or (has_article and not element.in_article):
+        own_heading = element.heads and (element.by_id or element.tag == "section")
+        if element.sure or (element.contains and not own_heading) or (has_article and not element.in_article):
             element.furniture = True
         else:
             element.doubtful = True
@@ -208,14 +219,6 @@ def _leave_out(page: _Page, learnt: dict[str, float]) -> None:
         element.furniture |= page.elements[element.parent].furniture or (element.doubtful and worth[number] < 0)
 
 
-def _inside(page: _Page, number: int, tags: tuple[str, ...]) -> bool:
-    while number > 0:
-        if page.elements[number].tag in tags:
-            return True
-        number = page.elements[number].parent
-    return False
-
-
 def _kind(page: _Page, number: int) -> str:
     """What a word stands in: its block element, and whether in a link."""
     link = ""
@@ -232,7 +235,7 @@ def count_kinds(source: str) -> Counter:
     so that an advert in a ``div`` says nothing of other ``div``."""
     page, counts = _parse(source), Counter()
     for number, text in page.items:
-        inside = _inside(page, number, ("article", "main")) and not page.elements[number].furniture
+        inside = page.elements[number].in_article and not page.elements[number].furniture
         if text is None:
             counts["<" + page.elements[number].tag, inside] += 1
         elif page.elements[number].furniture:
@@ -287,50 +290,46 @@ def main_text(source: str, learnt: dict[str, float]) -> str:
         return ""
     # Widen to the element that holds the region, and further as long as
     # the words that come in are no furniture and score no less than zero.
-    holder = None
-    worth: dict[int, float] = {}
+    # Elements are numbered in page order: an element's descendants follow
+    # it up to its last one.
+    elements = page.elements
+    last = list(range(len(elements)))
+    for number in range(len(elements) - 1, 0, -1):
+        last[elements[number].parent] = max(last[elements[number].parent], last[number])
+    held, worth = [], [0.0] * len(elements)
     for i, (number, text) in enumerate(page.items):
-        if text is None or page.elements[number].furniture or not text.strip():
+        if text is None or elements[number].furniture or not text.strip():
             continue
         if first <= i < end:
-            holder = number if holder is None else _common(page, holder, number)
-        worth[number] = worth.get(number, 0.0) + scores[i]
+            held.append(number)
+        worth[number] += scores[i]
+    upto = [0.0, *accumulate(worth)]
+
+    def below(number: int) -> float:
+        return upto[last[number] + 1] - upto[number]
+    holder, furthest = min(held, default=0), max(held, default=0)
+    while last[holder] < furthest:
+        holder = elements[holder].parent
     up = holder
-    while up > 0 and page.elements[up].tag not in ("html", "body"):
-        inside = sum(w for n, w in worth.items() if _below(page, n, up))
-        if inside < sum(w for n, w in worth.items() if _below(page, n, holder)):
+    while up > 0 and elements[up].tag not in ("html", "body"):
+        if below(up) < below(holder) - 1e-9:
             break
-        holder, up = up, page.elements[up].parent
-    whole = holder > 0 and page.elements[holder].tag not in ("html", "body")
+        holder, up = up, elements[up].parent
+    whole = holder > 0 and elements[holder].tag not in ("html", "body")
     blocks, line = [], []
     for i, (number, text) in enumerate(page.items):
         if i in page.breaks:
             blocks.append("".join(line))
             line = []
-        if text is None or page.elements[number].furniture:
+        if text is None or elements[number].furniture:
             continue
-        if (whole and _below(page, number, holder)) or (not whole and first <= i < end):
+        if (whole and holder <= number <= last[holder]) or (not whole and first <= i < end):
             line.append(text)
     blocks.append("".join(line))
     cleaned = (" ".join(block.split()) for block in blocks)
     return "\n".join(block for block in cleaned if block)
 
 
-def _common(page: _Page, a: int, b: int) -> int:
-    while a != b:
-        if page.elements[a].depth >= page.elements[b].depth:
-            a = page.elements[a].parent
-        else:
-            b = page.elements[b].parent
-    return a
-
-
-def _below(page: _Page, number: int, holder: int) -> bool:
-    while number > holder:  # elements are numbered in page order
-        number = page.elements[number].parent
-    return number == holder
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = Counter()
     for batch in batches:

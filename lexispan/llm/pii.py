@@ -24,9 +24,25 @@ PLAIN = {
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Added kind: two letters, two check digits and 11 to 30 letters or
-# digits, also in groups of four, confirmed by the mod-97 checksum.
-IBAN = r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b"
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+# Added kind: a country, two check digits and as many letters or digits
+# as the country has, also in groups of four, confirmed by the mod-97
+# checksum. What follows in capitals is no part of it.
+IBAN = r"\b(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()) + r")\b"
 # A character without which a kind cannot occur: rows without it skip the pattern.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "iban": None}
 BASE = ["email", "ip", "card", "phone"]
@@ -96,45 +112,66 @@ def _score(kind: str, before: Column, after: Column) -> Column:
     return F.round(F.least(F.lit(1.0), F.lit(PRIOR[kind]) + up - down), 2)
 
 
+#: Matches whose places are summed up together.
+PLACE_BLOCK = 64
+
+
+def _starts(before: Column, found: Column) -> Column:
+    """Start of every match: the lengths of the matches before it and of
+    the text between them, summed block by block so that the time is in
+    proportion to the number of matches."""
+    def length(i: Column) -> Column:
+        return F.length(F.get(before, i)) + F.length(F.get(found, i))
+
+    def summed(low: Column, high: Column) -> Column:
+        # Up to, not with, high.
+        return F.when(high > low, F.aggregate(F.sequence(low, high - 1), F.lit(0), lambda t, i: t + length(i))).otherwise(0)
+
+    def bases(sums: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(sums, first, lambda acc, n: F.struct(
+            (acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    n = F.size(found)
+    blocks = F.sequence(F.lit(0), F.floor((n - 1) / PLACE_BLOCK).cast("int"))
+    sums = F.transform(blocks, lambda b: summed(b * PLACE_BLOCK, F.least((b + 1) * PLACE_BLOCK, n)))
+
+    def place(base: Column) -> Column:
+        def one(i: Column) -> Column:
+            block = F.floor(i / PLACE_BLOCK).cast("int")
+            return F.get(base, block) + summed(block * PLACE_BLOCK, i) + F.length(F.get(before, i))
+        return F.transform(F.sequence(F.lit(0), n - 1), one)
+    return F.when(n > 0, let(bases(sums), place)).otherwise(F.array().cast("array<int>"))
+
+
 def _spans(kind: str, text: Column) -> Column:
-    """Array of (start, kind number, end, text, score) of one kind.
+    """Array of (start, kind number, end, match, score) of one kind.
 
     Text between matches and the matches themselves, taken by the same
     pattern, give every position by a running sum of lengths.
     """
     pattern = PATTERNS.get(kind, IBAN)
-    between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     number = KINDS.index(kind)
 
-    def one(acc: Column, pair: Column) -> Column:
-        match = pair["match"]
-        start = acc["at"] + F.length(pair["before"])
-        end = start + F.length(match)
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), match.alias("match"),
-                        pair["before"].alias("before"), pair["after"].alias("after"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,match:string,before:string,after:string>>")
-
-    def place(pieces: Column) -> Column:
-        next_piece = F.slice(pieces, F.lit(2), F.size(pieces))
-        tails = F.zip_with(found, next_piece, lambda m, a: F.struct(m.alias("match"), a.alias("after")))
-        return F.zip_with(pieces, tails, lambda b, t: F.struct(
-            b.alias("before"), t["match"].alias("match"), t["after"].alias("after")))
-
-    placed = F.aggregate(
-        F.filter(let(between, place), lambda p: p["match"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")), one, lambda acc: acc["spans"])
-    good = F.filter(placed, lambda s: _confirmed(kind, s["match"]))
-    scored = F.transform(good, lambda s: F.struct(
-        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
-        s["match"].alias("match"), _score(kind, s["before"], s["after"]).alias("score")))
+    def scored(parts: Column) -> Column:
+        before, found = parts["before"], parts["found"]
+
+        def one(start: Column, i: Column) -> Column:
+            match = F.get(found, i)
+            return F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + F.length(match)).alias("end"),
+                            match.alias("match"), i.alias("i"))
+        spans = F.filter(F.transform(_starts(before, found), one), lambda s: _confirmed(kind, s["match"]))
+        return F.transform(spans, lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["match"].alias("match"),
+            _score(kind, F.get(before, s["i"]), F.get(before, s["i"] + 1)).alias("score")))
+
+    parts = F.struct(F.split(text, pattern, -1).alias("before"),
+                     F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,match:string,score:double>>")
     may = text.contains(NEEDS[kind]) if NEEDS[kind] else F.lit(True)
     if kind != "email":
         may = may & text.rlike("[0-9]")
-    return F.when(may, scored).otherwise(none)
+    return F.when(may, let(parts, scored)).otherwise(none)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -76,10 +76,12 @@ WITH words AS (
   FROM documents
   UNION ALL
   SELECT 1, item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') FROM benchmark
+), widths AS (
+  SELECT DISTINCT CAST(least(len(w), 5) AS BIGINT) AS k FROM words WHERE side = 1 AND len(w) > 0 UNION SELECT 5
 ), shingles AS (
-  SELECT DISTINCT side, id,
-         unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
-  FROM words WHERE len(w) > 0
+  SELECT DISTINCT side, id, unnest(list_transform(
+           range(1, greatest(len(w) - k + 2, 2)), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+  FROM words JOIN widths ON side = 0 OR k = least(len(w), 5) WHERE len(w) > 0
 ), items AS (
   SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE side = 1
 )
