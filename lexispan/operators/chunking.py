@@ -19,6 +19,8 @@ Strategies, chosen by file suffix:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,7 @@ DEFAULT_CHUNK_SIZE = 2000
 
 SPAN_TYPE = "array<struct<s:bigint,e:bigint,keep:boolean>>"
 BOUND_TYPE = "array<struct<s:bigint,e:bigint>>"
+WINDOW_TYPE = "array<struct<s:bigint,e:bigint,text:string>>"
 
 
 def check_chunk_size(n: int) -> int:
@@ -53,6 +56,35 @@ def check_chunk_size(n: int) -> int:
 # Column-level building blocks
 # --------------------------------------------------------------------------
 
+# Code points of a text block; a window of MAX_CHUNK_SIZE meets at most two.
+BLOCK = 2048
+# Paragraphs of one fold. A fold appends to arrays, so a long document's
+# paragraphs go block by block.
+FOLD_BLOCK = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def text_blocks(text: Column) -> Column:
+    """The text cut once, in one pass, into blocks of BLOCK code points:
+    a place is found by its block's number, not by counting from the
+    start of the text."""
+    return F.when(F.length(text) <= BLOCK, F.array(text)).otherwise(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+
+
+def block_text(blocks: Column, s: Column, e: Column) -> Column:
+    """Code points ``[s, e)``, at most BLOCK of them, of one or two blocks."""
+    number = F.floor(s / BLOCK).cast("int")
+    inside = e <= (number + 1).cast("bigint") * BLOCK
+    near = F.when(inside, F.get(blocks, number)).otherwise(
+        F.concat(F.get(blocks, number), F.get(blocks, number + 1)))
+    return near.substr((s - number * BLOCK).cast("int") + 1, (e - s).cast("int"))
+
+
 def fixed_windows(s: Column, e: Column, n: int) -> Column:
     """C1 on the span ``[s, e)``: windows of ``n`` code points, the last
     one shorter; an empty span gives no window."""
@@ -63,15 +95,24 @@ def fixed_windows(s: Column, e: Column, n: int) -> Column:
     return F.when(e > s, wins).otherwise(F.array().cast(BOUND_TYPE))
 
 
+def window_texts(blocks: Column, s: Column, e: Column, n: int) -> Column:
+    """C1 on the span ``[s, e)``: windows with their text."""
+    return F.transform(fixed_windows(s, e, n), lambda w: F.struct(
+        w["s"].alias("s"), w["e"].alias("e"), block_text(blocks, w["s"], w["e"]).alias("text")))
+
+
 def span_windows(text: Column, spans: Column, n: int) -> Column:
     """C2 over an array of spans: blank spans are dropped unless flagged
-    ``keep`` (whole-file fallback), the rest are cut by C1."""
-    def one(sp: Column) -> Column:
-        body = text.substr(sp["s"] + 1, sp["e"] - sp["s"])
-        drop = (~sp["keep"]) & is_blank(body)
-        return F.when(drop, F.array().cast(BOUND_TYPE)).otherwise(
-            fixed_windows(sp["s"], sp["e"], n))
-    return F.flatten(F.transform(spans, one))
+    ``keep`` (whole-file fallback), the rest are cut by C1. A span is
+    blank if all its windows are. Windows carry their text; the work is
+    in proportion to the text, however long it is."""
+    def of_span(blocks: Column, sp: Column) -> Column:
+        def kept(windows: Column) -> Column:
+            blank = F.forall(windows, lambda w: is_blank(w["text"]))
+            return F.when(blank & ~sp["keep"], F.array().cast(WINDOW_TYPE)).otherwise(windows)
+        return _let(window_texts(blocks, sp["s"], sp["e"], n), kept)
+    return _let(text_blocks(text), lambda blocks: F.flatten(
+        F.transform(spans, lambda sp: of_span(blocks, sp))))
 
 
 def _piece_lengths(text: Column) -> Column:
@@ -83,46 +124,52 @@ def _piece_lengths(text: Column) -> Column:
         F.length(p).cast("bigint").alias("lp"), F.length(q).cast("bigint").alias("lq")))
 
 
-# Paragraphs whose positions are summed up in one fold: folds append to
-# arrays, so a long document's paragraphs go block by block.
-FOLD_BLOCK = 256
+def _folded(pieces: Column, zero: Column, step: Callable[[Column, Column], Column],
+            emitted: Callable[[Column, Column], Column]) -> Column:
+    """A fold over ``pieces`` that also gives bounds: ``step(state, piece)``
+    is the next state, ``emitted(state, piece)`` an array of bounds.
 
+    The states at the blocks' starts are found first, one small struct a
+    block; then every block gives its rows from its own start, so that no
+    array grows with the document while rows are appended to it. Returns
+    (state at the end, rows).
+    """
+    def inside(i: Column) -> Column:
+        return F.sequence(i * FOLD_BLOCK, F.least((i + 1) * FOLD_BLOCK, F.size(pieces)) - 1)
 
-def paragraph_bounds(text: Column) -> Column:
-    """C4: ``[s, e)`` of every non-empty paragraph, in order.
+    def passed(state: Column, i: Column) -> Column:
+        return F.aggregate(inside(i), state, lambda st, j: step(st, F.get(pieces, j)))
 
-    Each block of paragraphs is placed relative to its own start; the
-    blocks are then moved by the lengths before them.
-    """
-    def of_blocks(pieces: Column) -> Column:
-        last = F.floor((F.size(pieces) - 1) / FOLD_BLOCK).cast("int")
-        return F.transform(F.sequence(F.lit(0), last), lambda i: _paragraph_fold(
-            F.slice(pieces, i * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK))))
+    def rows(state: Column, i: Column) -> Column:
+        start = F.struct(state.alias("state"), F.array().cast(BOUND_TYPE).alias("rows"))
+        return F.aggregate(inside(i), start, lambda acc, j: F.struct(
+            step(acc["state"], F.get(pieces, j)).alias("state"),
+            _appended(acc["rows"], emitted(acc["state"], F.get(pieces, j))).alias("rows")), lambda acc: acc["rows"])
 
-    def move(acc: Column, block: Column) -> Column:
-        moved = F.transform(block["out"], lambda b: F.struct(
-            (b["s"] + acc["cur"]).alias("s"), (b["e"] + acc["cur"]).alias("e")))
-        return F.struct((acc["cur"] + block["cur"]).alias("cur"),
-                        F.concat(acc["parts"], F.array(moved)).alias("parts"))
+    numbers = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / FOLD_BLOCK).cast("int"))
+    first = F.struct(zero.alias("state"), F.slice(F.array(zero), 1, 0).alias("starts"))
+    walked = F.aggregate(numbers, first, lambda acc, i: F.struct(
+        passed(acc["state"], i).alias("state"), F.concat(acc["starts"], F.array(acc["state"])).alias("starts")))
+    return _let(walked, lambda w: F.struct(
+        w["state"].alias("state"),
+        F.flatten(F.zip_with(w["starts"], numbers, rows)).alias("rows")))
 
-    blocks = F.transform(F.array(_piece_lengths(text)), of_blocks)[0]
-    zero = F.struct(F.lit(0).cast("bigint").alias("cur"), F.array().cast(f"array<{BOUND_TYPE}>").alias("parts"))
-    return F.flatten(F.aggregate(blocks, zero, move, lambda acc: acc["parts"]))
 
+def _appended(rows: Column, more: Column) -> Column:
+    return F.when(F.size(more) > 0, F.concat(rows, more)).otherwise(rows)
 
-def _paragraph_fold(pieces: Column) -> Column:
-    """(length, bounds of non-empty paragraphs) of a run of pieces."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("cur"),
-                    F.array().cast(BOUND_TYPE).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["cur"]
-        e = s + x["lp"]
-        out = F.when(x["lp"] > 0, F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e")))))\
-            .otherwise(acc["out"])
-        return F.struct((e + x["lq"]).alias("cur"), out.alias("out"))
+def _bound(s: Column, e: Column) -> Column:
+    return F.array(F.struct(s.alias("s"), e.alias("e")))
 
-    return F.aggregate(pieces, zero, step)
+
+def paragraph_bounds(text: Column) -> Column:
+    """C4: ``[s, e)`` of every non-empty paragraph, in order."""
+    none = F.array().cast(BOUND_TYPE)
+    return _let(_piece_lengths(text), lambda pieces: _folded(
+        pieces, F.lit(0).cast("bigint"),
+        lambda cur, x: cur + x["lp"] + x["lq"],
+        lambda cur, x: F.when(x["lp"] > 0, _bound(cur, cur + x["lp"])).otherwise(none))["rows"])
 
 
 def packed_paragraphs(text: Column, n: int) -> Column:
@@ -130,33 +177,31 @@ def packed_paragraphs(text: Column, n: int) -> Column:
 
     A buffer grows while ``paragraph_end - buffer_start <= n`` (the
     separators inside count); otherwise it is flushed and a new one
-    starts at that paragraph. Returns the buffer spans (before C2). The
-    fold appends once per buffer, not per paragraph.
+    starts at that paragraph. Returns the buffer spans (before C2).
     """
-    zero = F.struct(F.lit(0).cast("bigint").alias("cur"),
-                    F.lit(-1).cast("bigint").alias("bs"),
-                    F.lit(-1).cast("bigint").alias("be"),
-                    F.array().cast(BOUND_TYPE).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["cur"]
-        e = s + x["lp"]
-        empty = x["lp"] == 0
-        fresh = acc["bs"] < 0
-        fits = (e - acc["bs"]) <= n
-        keep_buffer = empty | fresh | fits
-        bs = F.when(empty, acc["bs"]).when(fresh, s).when(fits, acc["bs"]).otherwise(s)
-        be = F.when(empty, acc["be"]).otherwise(e)
-        out = F.when(keep_buffer, acc["out"]).otherwise(
-            F.concat(acc["out"], F.array(F.struct(acc["bs"].alias("s"), acc["be"].alias("e")))))
-        return F.struct((e + x["lq"]).alias("cur"), bs.alias("bs"), be.alias("be"), out.alias("out"))
-
-    def finish(acc: Column) -> Column:
-        return F.when(acc["bs"] >= 0, F.concat(
-            acc["out"], F.array(F.struct(acc["bs"].alias("s"), acc["be"].alias("e")))))\
-            .otherwise(acc["out"])
-
-    return F.aggregate(_piece_lengths(text), zero, step, finish)
+    none = F.array().cast(BOUND_TYPE)
+    # Place in the text; start and end of the buffer (-1: none yet).
+    zero = F.struct(F.lit(0).cast("bigint").alias("cur"), F.lit(-1).cast("bigint").alias("bs"),
+                    F.lit(-1).cast("bigint").alias("be"))
+
+    def flushes(state: Column, x: Column) -> Column:
+        return (x["lp"] > 0) & (state["bs"] >= 0) & (state["cur"] + x["lp"] - state["bs"] > n)
+
+    def step(state: Column, x: Column) -> Column:
+        end = state["cur"] + x["lp"]
+        starts = (x["lp"] > 0) & ((state["bs"] < 0) | flushes(state, x))
+        return F.struct((end + x["lq"]).alias("cur"),
+                        F.when(starts, state["cur"]).otherwise(state["bs"]).alias("bs"),
+                        F.when(x["lp"] > 0, end).otherwise(state["be"]).alias("be"))
+
+    def flushed(state: Column, x: Column) -> Column:
+        return F.when(flushes(state, x), _bound(state["bs"], state["be"])).otherwise(none)
+
+    def finish(done: Column) -> Column:
+        last = done["state"]
+        return F.when(last["bs"] >= 0, F.concat(done["rows"], _bound(last["bs"], last["be"]))).otherwise(done["rows"])
+
+    return _let(_piece_lengths(text), lambda pieces: _let(_folded(pieces, zero, step, flushed), finish))
 
 
 def _flag(bounds: Column, keep: bool) -> Column:
@@ -186,32 +231,31 @@ def text_spans(text: Column, n: int) -> Column:
 # --------------------------------------------------------------------------
 
 def _explode_windows(df: DataFrame, windows: Column, keep: list[str]) -> DataFrame:
-    """Explode window bounds into chunk rows carrying the chunk text."""
-    w = df.select(*keep, "text", F.explode(windows).alias("w"))
-    return w.select(
+    """Explode windows with their texts into chunk rows."""
+    return df.select(*keep, F.explode(windows).alias("w")).select(
         *keep,
         F.col("w.s").alias("first_character_index"),
         F.col("w.e").alias("last_character_index"),
-        F.col("text").substr(F.col("w.s") + 1, F.col("w.e") - F.col("w.s")).alias("text"),
+        F.col("w.text").alias("text"),
     )
 
 
 def split_fixed(documents: DataFrame, n: int) -> DataFrame:
     """C1 over whole documents (blank windows kept)."""
     check_chunk_size(n)
-    length = F.length("text").cast("bigint")
-    return _explode_windows(documents, fixed_windows(F.lit(0).cast("bigint"), length, n),
-                            ["file_path"])
+    text = F.struct(text_blocks(F.col("text")).alias("blocks"), F.length("text").cast("bigint").alias("length"))
+    windows = _let(text, lambda t: window_texts(t["blocks"], F.lit(0).cast("bigint"), t["length"], n))
+    return _explode_windows(documents, windows, ["file_path"])
 
 
-def emit_spans(spans: DataFrame, n: int) -> DataFrame:
-    """Spans ``(file_path, text, s, e)`` -> chunks; blank spans dropped,
-    spans of ``n`` or more characters cut into windows."""
+def emit_spans(documents: DataFrame, n: int) -> DataFrame:
+    """Documents ``(file_path, text, spans)``, the spans an array of
+    (s, e) -> chunks; blank spans dropped, spans of ``n`` or more
+    characters cut into windows."""
     check_chunk_size(n)
-    arr = F.array(F.struct(F.col("s").cast("bigint").alias("s"),
-                           F.col("e").cast("bigint").alias("e"),
-                           F.lit(False).alias("keep")))
-    return _explode_windows(spans, span_windows(F.col("text"), arr, n), ["file_path"])
+    spans = F.transform("spans", lambda sp: F.struct(
+        sp["s"].cast("bigint").alias("s"), sp["e"].cast("bigint").alias("e"), F.lit(False).alias("keep")))
+    return _explode_windows(documents, span_windows(F.col("text"), spans, n), ["file_path"])
 
 
 def paragraphs(documents: DataFrame) -> DataFrame:
@@ -233,8 +277,21 @@ def pack_paragraphs(documents: DataFrame, n: int) -> DataFrame:
 def chunk_code(documents: DataFrame, n: int) -> DataFrame:
     """C6 for Python documents."""
     check_chunk_size(n)
-    spans = code_spans(F.col("text"), statement_ends_udf(F.col("text")))
-    return _explode_windows(documents, span_windows(F.col("text"), spans, n), ["file_path"])
+    parsed = documents.withColumn("_ends", statement_ends_udf(F.col("text")))
+    spans = code_spans(F.col("text"), F.col("_ends"))
+    return _explode_windows(parsed, span_windows(F.col("text"), spans, n), ["file_path"])
+
+
+def _checked(file_path: str) -> Column:
+    """True; an unsupported suffix fails the job."""
+    known = F.coalesce(is_text_path(file_path), F.lit(False)) | _is_code(file_path)
+    name = F.coalesce(F.nullif(path_suffix(file_path), F.lit("")), F.lit("no suffix"))
+    failed = F.raise_error(F.concat(F.lit("cannot chunk a file of this type: "), name)).cast("boolean")
+    return F.when(known, F.lit(True)).otherwise(failed)
+
+
+def _is_code(file_path: str) -> Column:
+    return F.coalesce(is_code_path(file_path), F.lit(False))
 
 
 def chunk_documents(documents: DataFrame, n: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
@@ -245,14 +302,25 @@ def chunk_documents(documents: DataFrame, n: int = DEFAULT_CHUNK_SIZE) -> DataFr
     Output: ``file_path, first_character_index, last_character_index,
     text``; not ordered (use ``order_chunks`` for corpus order).
     """
-    code = F.coalesce(is_code_path("file_path"), F.lit(False))
-    unsupported = ~F.coalesce(is_text_path("file_path"), F.lit(False))
-    name = F.coalesce(F.nullif(path_suffix("file_path"), F.lit("")), F.lit("no suffix"))
-    failed = F.raise_error(F.concat(F.lit("cannot chunk a file of this type: "), name)).cast("boolean")
-    prose = documents.where(~code).where(F.when(unsupported, failed).otherwise(F.lit(True)))
+    code = _is_code("file_path")
+    prose = documents.where(~code).where(_checked("file_path"))
     return pack_paragraphs(prose, n).unionByName(chunk_code(documents.where(code), n))
 
 
+def chunk_in_order(documents: DataFrame, n: int, paths: DataFrame) -> DataFrame:
+    """C7 + C8 in one projection, so that chunks follow in the order of
+    the documents' rows. ``paths`` is a plan of the same file paths that
+    is cheap to read: where none is code, no Python runs."""
+    check_chunk_size(n)
+    text, code = F.col("text"), _is_code("file_path")
+    documents = documents.where(_checked("file_path"))
+    if paths.select("file_path").where(code).isEmpty():
+        return pack_paragraphs(documents, n)
+    ends = documents.withColumn("_ends", statement_ends_udf(F.when(code, text)))
+    spans = F.when(code, code_spans(text, F.col("_ends"))).otherwise(text_spans(text, n))
+    return _explode_windows(ends, span_windows(text, spans, n), ["file_path"])
+
+
 def order_chunks(chunks: DataFrame) -> DataFrame:
     """Corpus order: path component-wise, then offset."""
     return chunks.orderBy(corpus_order("file_path"), "first_character_index")

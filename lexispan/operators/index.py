@@ -1,15 +1,19 @@
-"""BM25 inverted index as four DataFrames.
+"""BM25 inverted index as DataFrames.
 
 * ``chunks``   (chunk_id, file_path, first_character_index, last_character_index, text, dl)
-* ``postings`` (token, chunk_id, tf, dl, tfn)
-* ``terms``    (token, df, idf)
+* ``postings`` (token, chunk_id, tf, dl, tfn), in groups of consecutive chunk ids
+* ``terms``    (token, df, idf, max_tfn)
 * ``stats``    one row (n_chunks, avgdl, average_idf)
 
-``chunk_id`` is a BIGINT given to each chunk once, when the chunk table
-is materialized (written, or persisted from a deterministic plan); the
-postings carry it instead of the path string, so they stay narrow.
+``chunk_id`` is the chunk's number in corpus order, from 0 without gaps:
+the corpus is dealt by range of its paths and sorted once, a chunk's place
+in its range is fixed when the chunk table is written (or persisted),
+and the ranges' sizes, one number each, give every range its first id.
+So ties of a ranking go by ``chunk_id``, the first n chunks of the corpus
+are ``chunk_id < n``, and the postings carry no paths.
 ``tfn`` is the BM25 term-frequency factor
-``tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl))``, fixed per index.
+``tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl))``, fixed per index;
+``max_tfn`` is a token's largest, from which a search bounds scores.
 
 Chunks are tokenized once; the token lists stay with the chunk table.
 Postings are dealt by chunk (the lists cross the network once), so that
@@ -27,13 +31,14 @@ import math
 import os
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.functions.text import STOP_WORDS, TOKEN_PATTERN, tokenize
-from lexispan.operators.chunking import DEFAULT_CHUNK_SIZE, check_chunk_size, chunk_documents
+from lexispan.functions.text import STOP_WORDS, TOKEN_PATTERN, corpus_order, tokenize
+from lexispan.operators.chunking import DEFAULT_CHUNK_SIZE, check_chunk_size, chunk_in_order
 from lexispan.sources.files import Files
 
 # BM25 parameters and the idf floor factor.
@@ -41,48 +46,52 @@ K1 = 1.0
 B = 0.4
 IDF_FLOOR_FACTOR = 0.25
 
-FORMAT_VERSION = 4
-TABLES = ("chunks", "terms", "stats", "prefix")
-# Bytes of chunks whose postings share one file.
+FORMAT_VERSION = 5
+# Bytes of chunks whose postings share one file, and files of a group:
+# a group is a bucketed table, whose buckets Spark limits to 100,000.
 POSTINGS_BYTES = 128 << 20
-# Published versions kept in an index folder.
+GROUP_FILES = 50_000
+# Published versions kept in an index folder besides leased ones.
 VERSIONS = 2
+# Seconds for which a reader's lease holds unless it is renewed.
+LEASE_SECONDS = 24 * 3600
 
 
 @dataclass
 class BM25Index:
-    chunks: DataFrame
-    postings: DataFrame
-    terms: DataFrame
-    stats: DataFrame
+    # Token lists by (part, place): the chunk's range and place in it.
+    tokenized: DataFrame
+    chunks: DataFrame | None = None
+    # Disjoint, consecutive ranges of chunk ids, one table each.
+    groups: list[DataFrame] = field(default_factory=list)
+    terms: DataFrame | None = None
+    stats: DataFrame | None = None
     k1: float = K1
     b: float = B
     chunk_size: int = DEFAULT_CHUNK_SIZE
     on_disk: bool = False  # Parquet-backed (a token filter can skip row groups)
-    nonnegative_idf: bool | None = None  # known after the first search
-    # First ``prefix_rows`` chunks in corpus order with their position
-    # (saved indexes): zero-fill reads this instead of the chunk table.
-    prefix: DataFrame | None = None
-    prefix_rows: int = 0
-    # The chunk table with its token lists.
-    tokenized: DataFrame | None = None
-
-
-# Chunks kept in the saved corpus-order prefix (zero-fill candidates).
-PREFIX_ROWS = 10_000
-
-
-def corpus_prefix(chunks: DataFrame, length: int) -> DataFrame:
-    """The first ``length`` chunks in corpus order, numbered ``pos`` 1..length:
-    a bounded top-N (TakeOrderedAndProject keeps ``length`` rows per task),
-    then a window over at most ``length`` rows."""
-    from lexispan.functions.text import corpus_order
-    from pyspark.sql import Window
-
-    order = [corpus_order("file_path"), F.col("first_character_index")]
-    top = (chunks.select("chunk_id", "file_path", "first_character_index", "last_character_index")
-           .orderBy(*order).limit(length))
-    return top.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
+    n_chunks: int = 0
+    # True when every idf is >= 0 (average raw idf >= 0): no score is negative.
+    nonnegative_idf: bool = False
+    # Folder and version of a saved index.
+    path: str | None = None
+    version: str | None = None
+
+    @property
+    def postings(self) -> DataFrame:
+        """The postings of all groups."""
+        return reduce(DataFrame.unionByName, self.groups)
+
+    @property
+    def prefix_rows(self) -> int:
+        return self.n_chunks
+
+    @property
+    def prefix(self) -> DataFrame:
+        """All chunks' keys with their position ``pos`` (from 1) in corpus
+        order; a filter on it reads the first ranges' files only."""
+        keys = self.chunks.select("chunk_id", "file_path", "first_character_index", "last_character_index")
+        return keys.withColumn("pos", F.col("chunk_id") + 1)
 
 
 def index_tokens(file_path: Column | str = "file_path", text: Column | str = "text") -> Column:
@@ -154,74 +163,141 @@ def idf_with_floor(dfreq: DataFrame, n_chunks: Column) -> tuple[DataFrame, Colum
     return terms, average
 
 
-def with_chunk_ids(chunks: DataFrame) -> DataFrame:
-    """Give every chunk a unique BIGINT id (stable for a deterministic
-    input; fixed for good once the table is written or persisted)."""
-    return chunks.select(F.monotonically_increasing_id().alias("chunk_id"),
+PLACE_BITS = 33  # of monotonically_increasing_id
+
+
+def placed(chunks: DataFrame) -> DataFrame:
+    """Chunks in corpus order with their partition ``part`` and their
+    ``place`` in it."""
+    number = F.monotonically_increasing_id()
+    return chunks.select(F.spark_partition_id().alias("part"),
+                         number.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"),
                          "file_path", "first_character_index", "last_character_index", "text")
 
 
-def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
-                            chunk_size: int = DEFAULT_CHUNK_SIZE,
-                            materialize: bool = True) -> BM25Index:
-    """I1-I4 over a chunk table.
+def in_corpus_order(df: DataFrame, *then: str) -> DataFrame:
+    """Rows dealt by range of their path and sorted: components first,
+    then ``then``. The ranges are as many as the session's shuffle
+    partitions or task slots."""
+    spark = df.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    order = [corpus_order("file_path"), *then]
+    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+
+def _offsets(tok: DataFrame) -> tuple[DataFrame, int, float]:
+    """First chunk id of every range (part, first_id), and the number of
+    chunks and their mean length: one row a range reaches the driver."""
+    sizes = tok.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("length")).orderBy("part").collect()
+    rows, first = [], 0
+    for r in sizes:
+        rows.append((r["part"], first))
+        first += r["n"]
+    offsets = tok.sparkSession.createDataFrame(rows, "part int, first_id bigint")
+    return offsets, first, sum(r["length"] for r in sizes) / first if first else 0.0
+
+
+def with_chunk_ids(tok: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``chunk_id`` of placed chunks; ``offsets`` has a row for each range."""
+    return tok.join(F.broadcast(offsets), "part").withColumn("chunk_id", F.col("first_id") + F.col("place")).drop(
+        "part", "place", "first_id")
+
+
+def _chunk_table(tok: DataFrame, offsets: DataFrame) -> DataFrame:
+    return with_chunk_ids(tok.drop("tokens"), offsets).select(
+        "chunk_id", "file_path", "first_character_index", "last_character_index", "text", "dl")
+
+
+def _floored(average: float, n_chunks: int) -> Column:
+    raw = raw_idf(F.col("df"), F.lit(n_chunks))
+    return F.when(raw < 0, F.lit(IDF_FLOOR_FACTOR) * F.lit(average).cast("double")).otherwise(raw)
+
+
+def _token_counts(groups: list[DataFrame]) -> DataFrame:
+    """I3 with the largest tf factor of each token."""
+    return reduce(DataFrame.unionByName, groups).groupBy("token").agg(
+        F.count(F.lit(1)).alias("df"), F.max("tfn").alias("max_tfn"))
+
+
+def _stats(spark: SparkSession, n_chunks: int, avgdl: float, average: float | None) -> DataFrame:
+    return spark.range(1).select(F.lit(n_chunks).cast("bigint").alias("n_chunks"),
+                                 F.lit(avgdl).cast("double").alias("avgdl"),
+                                 F.lit(average).cast("double").alias("average_idf"))
+
+
+def _index_of(chunks: DataFrame, k1: float, b: float, chunk_size: int, materialize: bool) -> BM25Index:
+    """I1-I4 over chunks in corpus order.
 
     With ``materialize`` the tokenized chunks are persisted (memory, then
     local disk; a lost block is recomputed from its deterministic
-    lineage) so that chunking and tokenizing run once, and the postings
-    are persisted clustered by chunk (scoring then sums per question and
-    chunk without a shuffle). ``save_index`` writes Parquet tables instead.
+    lineage), the ranges are counted, and the postings are persisted
+    clustered by chunk (scoring then sums per question and chunk without
+    a shuffle). Otherwise only the chunks' token lists are planned, for
+    ``save_index`` to write.
     """
-    tok = tokenized_chunks(with_chunk_ids(chunks))
-    if materialize:
-        tok = tok.persist()
-    lengths = tok.select("chunk_id", "file_path", "first_character_index", "last_character_index",
-                         "text", F.size("tokens").alias("dl"))
-    st = corpus_stats(lengths)
-    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")) if materialize else None
-    postings = postings_from_tokens(tok, st.select("avgdl").scalar(), k1, b, parts)
-    if materialize:
-        postings = postings.persist()
-    n_chunks = st.select("n_chunks").scalar()
-    terms, average = idf_with_floor(document_frequency(postings), n_chunks)
-    if materialize:
-        terms = terms.persist()
-    stats = st.select("n_chunks", "avgdl", average.alias("average_idf"))
-    return BM25Index(lengths, postings, terms, stats, k1, b, chunk_size, tokenized=tok)
+    tok = tokenized_chunks(placed(chunks)).withColumn("dl", F.size("tokens"))
+    index = BM25Index(tok, k1=k1, b=b, chunk_size=chunk_size)
+    if not materialize:
+        return index
+    spark = chunks.sparkSession
+    index.tokenized = tok = tok.persist()
+    offsets, n_chunks, avgdl = _offsets(tok)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    postings = postings_from_tokens(with_chunk_ids(tok, offsets), F.lit(avgdl), k1, b, parts).persist()
+    counted = _token_counts([postings]).persist()
+    average = counted.agg(F.avg(raw_idf(F.col("df"), F.lit(n_chunks)))).first()[0]
+    index.chunks, index.groups = _chunk_table(tok, offsets), [postings]
+    index.terms = counted.select("token", "df", _floored(average, n_chunks).alias("idf"), "max_tfn")
+    index.stats, index.n_chunks = _stats(spark, n_chunks, avgdl, average), n_chunks
+    index.nonnegative_idf = average is not None and average >= 0
+    return index
+
+
+def build_index_from_chunks(chunks: DataFrame, k1: float = K1, b: float = B,
+                            chunk_size: int = DEFAULT_CHUNK_SIZE,
+                            materialize: bool = True) -> BM25Index:
+    """I1-I4 over a chunk table (file_path, first_character_index,
+    last_character_index, text) in any order."""
+    return _index_of(in_corpus_order(chunks, "first_character_index"), k1, b, chunk_size, materialize)
 
 
 def build_index(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                 k1: float = K1, b: float = B, materialize: bool = True) -> BM25Index:
-    """Documents -> chunks -> index. The empty-corpus error is raised
-    by ``save_index`` (it needs an action). For an index that is going
-    to be saved, pass ``materialize=False`` (nothing is cached)."""
+    """Documents -> chunks -> index. The documents are put in corpus
+    order, from which their chunks follow in order. The empty-corpus
+    error is raised by ``save_index``. For an index that is going to be
+    saved, pass ``materialize=False`` (nothing is cached)."""
     check_chunk_size(chunk_size)
-    return build_index_from_chunks(chunk_documents(documents, chunk_size), k1, b, chunk_size,
-                                   materialize)
+    documents = documents.select("file_path", "text")
+    return _index_of(chunk_in_order(in_corpus_order(documents), chunk_size, documents), k1, b, chunk_size, materialize)
 
 
 POSTINGS_DDL = "token STRING, chunk_id BIGINT, tf INT, dl INT, tfn DOUBLE"
 
 
-def _postings_table(version: str) -> str:
-    """Session-catalog name of a version's bucketed postings: versions
+def _postings_table(version: str, group: int) -> str:
+    """Session-catalog name of a group's bucketed postings: versions
     never change, so sessions that share a catalog agree on it."""
-    return f"lexispan_postings_{version}"
+    return f"lexispan_postings_{version}_{group}"
 
 
-def _open_postings(spark: SparkSession, base: str, version: str, buckets: int) -> DataFrame:
-    """Open the bucketed postings files as an external table (the bucket
+def _open_postings(spark: SparkSession, base: str, version: str, group: int, buckets: int) -> DataFrame:
+    """Open a group's bucketed files as an external table (the bucket
     layout is only visible through the catalog)."""
-    location = f"{base}/postings"
+    location = _postings_folder(base, group)
     if "://" not in location and not location.startswith("file:"):
         location = os.path.abspath(location)
     escaped = location.replace("\\", "\\\\").replace("'", "\\'")
-    table = _postings_table(version)
+    table = _postings_table(version, group)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({POSTINGS_DDL}) USING parquet "
               f"CLUSTERED BY (chunk_id) SORTED BY (token) INTO {buckets} BUCKETS LOCATION '{escaped}'")
     return spark.table(table)
 
 
+def _postings_folder(base: str, group: int) -> str:
+    return f"{base}/postings/group={group}"
+
+
 def _stop_word_digest() -> str:
     return hashlib.sha256(("\n".join(STOP_WORDS) + "\n" + TOKEN_PATTERN).encode()).hexdigest()
 
@@ -233,84 +309,159 @@ def _postings_files(spark: SparkSession, chunk_bytes: int) -> int:
     return max(math.ceil(chunk_bytes / POSTINGS_BYTES), min(slots, math.ceil(chunk_bytes / (1 << 20))), 1)
 
 
-def save_index(index: BM25Index, path: str, postings_files: int | None = None) -> BM25Index:
-    """Write the index as Parquet tables plus a metadata row.
+def _grouped(n_chunks: int, files: int, group_files: int) -> tuple[list[tuple[int, int]], int]:
+    """Ranges [low, high) of chunk ids of the postings' groups, and the
+    buckets of each."""
+    groups = min(max(math.ceil(files / group_files), 1), n_chunks)
+    edges = [n_chunks * g // groups for g in range(groups + 1)]
+    return list(zip(edges[:-1], edges[1:], strict=True)), math.ceil(files / groups)
+
+
+def save_index(index: BM25Index, path: str, postings_files: int | None = None,
+               group_files: int = GROUP_FILES) -> BM25Index:
+    """Write the index as Parquet tables plus a metadata file.
 
     Each call writes a new version folder and publishes it last, by a
     marker file: a failed or running build never changes what readers
-    open. The chunk table (with token lists) is written first and the
-    rest is derived from it, so chunking and tokenizing run once; the
-    postings are bucketed by chunk and sorted by token, so scoring sums
-    without a shuffle and a token filter skips row groups. Raises
-    ``ValueError`` for an empty corpus (nothing to index).
+    open, and removes its own folder. The chunk table (with token lists)
+    is written first and the rest is derived from it, so chunking and
+    tokenizing run once. The postings are groups of consecutive chunk
+    ids, each bucketed by chunk and sorted by token, so scoring sums
+    without a shuffle, a token filter skips row groups, and a corpus of
+    any size stays within Spark's limit of buckets. Raises ``ValueError``
+    for an empty corpus (nothing to index).
     """
-    spark = index.chunks.sparkSession
+    spark = index.tokenized.sparkSession
     if os.path.exists(path) and not os.path.isdir(path):
         raise NotADirectoryError(f"expected an output directory, got file: {path}")
     root, version = path.rstrip("/"), uuid.uuid4().hex
-    base = f"{root}/{version}"
     files = Files(spark, root)
-    index.tokenized.select("chunk_id", "file_path", "first_character_index", "last_character_index", "text",
-                           F.size("tokens").alias("dl"), "tokens").write.parquet(f"{base}/chunks")
-    chunks = spark.read.parquet(f"{base}/chunks")
-    known = corpus_stats(chunks).first()
-    n_chunks, avgdl = known["n_chunks"], known["avgdl"]
+    try:
+        _write_version(index, root, version, postings_files, group_files, files, path)
+    except BaseException:
+        _remove_version(spark, files, root, version)
+        raise
+    files.touch(f"{root}/published/{time.time_ns():020d}-{version}")
+    clean_versions(spark, path)
+    return load_index(spark, path)
+
+
+def _write_version(index: BM25Index, root: str, version: str, postings_files: int | None, group_files: int,
+                   files: Files, path: str) -> None:
+    spark, base = index.tokenized.sparkSession, f"{root}/{version}"
+    index.tokenized.write.parquet(f"{base}/chunks")
+    tok = spark.read.parquet(f"{base}/chunks")
+    offsets, n_chunks, avgdl = _offsets(tok)
     if n_chunks == 0:
-        files.delete(base)
         raise ValueError(f"No indexable chunks found in corpus for index: {path}")
-    buckets = postings_files or _postings_files(spark, files.size(f"{base}/chunks"))
-    postings_from_tokens(chunks, F.lit(avgdl), index.k1, index.b, buckets).select(
-        "token", "chunk_id", "tf", "dl", "tfn").write.format("parquet").option("path", f"{base}/postings")\
-        .bucketBy(buckets, "chunk_id").sortBy("token").saveAsTable(_postings_table(version))
+    total = postings_files or _postings_files(spark, files.size(f"{base}/chunks"))
+    ranges, buckets = _grouped(n_chunks, total, group_files)
+    numbered = with_chunk_ids(tok, offsets)
+    for group, (low, high) in enumerate(ranges):
+        mine = numbered if len(ranges) == 1 else numbered.where(F.col("chunk_id").between(low, high - 1))
+        postings_from_tokens(mine, F.lit(avgdl), index.k1, index.b, buckets).select(
+            "token", "chunk_id", "tf", "dl", "tfn").write.format("parquet").option(
+            "path", _postings_folder(base, group)).bucketBy(buckets, "chunk_id").sortBy("token").saveAsTable(
+            _postings_table(version, group))
     # Document frequencies are counted once; idf and its floor follow
-    # from that table.
-    document_frequency(spark.table(_postings_table(version))).write.parquet(f"{base}/df")
-    counted = spark.read.parquet(f"{base}/df")
+    # from that table, the mean idf is observed as it is written.
+    seen = Observation()
     raw = raw_idf(F.col("df"), F.lit(n_chunks))
-    average = counted.agg(F.avg(raw)).first()[0]
-    floored = F.when(raw < 0, F.lit(IDF_FLOOR_FACTOR) * F.lit(average).cast("double")).otherwise(raw)
-    counted.select("token", "df", floored.alias("idf")).write.parquet(f"{base}/terms")
-    corpus_prefix(chunks, PREFIX_ROWS).coalesce(1).write.parquet(f"{base}/prefix")
-    spark.createDataFrame([(n_chunks, avgdl, average)], "n_chunks bigint, avgdl double, average_idf double")\
-        .coalesce(1).write.parquet(f"{base}/stats")
-    meta = {"format_version": FORMAT_VERSION, "k1": index.k1, "b": index.b,
-            "chunk_size": index.chunk_size, "stop_words": _stop_word_digest(),
-            "postings_buckets": buckets, "prefix_rows": PREFIX_ROWS}
-    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string")\
-        .coalesce(1).write.text(f"{base}/meta")
-    files.touch(f"{root}/published/{time.time_ns():020d}-{version}")
+    _token_counts([spark.table(_postings_table(version, g)) for g in range(len(ranges))]).observe(
+        seen, F.sum(raw).alias("idf"), F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/terms")
+    average = seen.get["idf"] / seen.get["n"] if seen.get["n"] else None
+    meta = {"format_version": FORMAT_VERSION, "k1": index.k1, "b": index.b, "chunk_size": index.chunk_size,
+            "stop_words": _stop_word_digest(), "buckets": buckets, "groups": len(ranges), "n_chunks": n_chunks,
+            "avgdl": avgdl, "average_idf": average, "offsets": [[r["part"], r["first_id"]] for r in offsets.collect()]}
+    files.write_text(f"{base}/meta.json", json.dumps(meta, sort_keys=True))
+
+
+def _remove_version(spark: SparkSession, files: Files, root: str, version: str) -> None:
+    """Delete a version's files and its tables' catalog entries."""
+    for table in spark.catalog.listTables(pattern=f"{_postings_table(version, 0)[:-1]}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+    files.delete(f"{root}/{version}")
+
+
+def clean_versions(spark: SparkSession, path: str) -> None:
+    """Remove published versions beyond the last VERSIONS that no reader
+    holds a lease on, and leases that ran out."""
+    root = path.rstrip("/")
+    files = Files(spark, root)
+    now, leased = time.time(), set()
+    for name in files.names(f"{root}/leases"):
+        until, _, version = name.partition("-")
+        if int(until) < now:
+            files.delete(f"{root}/leases/{name}")
+        else:
+            leased.add(version.partition("-")[0])
     for old in files.names(f"{root}/published")[:-VERSIONS]:
-        files.delete(f"{root}/published/{old}")
-        files.delete(f"{root}/{old.partition('-')[2]}")
-    return load_index(spark, path)
+        version = old.partition("-")[2]
+        if version not in leased:
+            files.delete(f"{root}/published/{old}")
+            _remove_version(spark, files, root, version)
+
+
+class Lease:
+    """A reader's hold on a saved index's version: until it is released,
+    or for LEASE_SECONDS after its last renewal, rebuilds leave the
+    version's files in place. A marker file below ``leases`` names the
+    end of the hold, the version and the holder."""
+
+    def __init__(self, spark: SparkSession, index: BM25Index, seconds: int = LEASE_SECONDS) -> None:
+        if index.path is None:
+            raise ValueError("only a saved index can be leased")
+        self._files = Files(spark, index.path)
+        self._folder, self._tail = f"{index.path}/leases", f"{index.version}-{uuid.uuid4().hex}"
+        self._seconds, self._until = seconds, 0
+        self.renew()
+
+    def renew(self) -> None:
+        """Hold the version for the full time from now on."""
+        old, self._until = self._until, int(time.time()) + self._seconds
+        if old != self._until:
+            self._files.touch(f"{self._folder}/{self._until}-{self._tail}")
+            if old:
+                self._files.delete(f"{self._folder}/{old}-{self._tail}")
+
+    def renew_if_due(self) -> None:
+        if self._until - time.time() < self._seconds / 2:
+            self.renew()
+
+    def release(self) -> None:
+        self._files.delete(f"{self._folder}/{self._until}-{self._tail}")
 
 
 def load_index(spark: SparkSession, path: str) -> BM25Index:
     """Open the latest published version; none -> build first,
     unreadable -> rebuild."""
     root = path.rstrip("/")
-    published = Files(spark, root).names(f"{root}/published")
+    files = Files(spark, root)
+    published = files.names(f"{root}/published")
     if not published:
         raise FileNotFoundError(f"No index found at {path}; run the index command first.")
     version = published[-1].partition("-")[2]
     base = f"{root}/{version}"
     try:
-        meta = json.loads(spark.read.text(f"{base}/meta").first()["value"])
-        tables = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES}
-        tables["postings"] = _open_postings(spark, base, version, int(meta["postings_buckets"]))
+        meta = json.loads(files.read_text(f"{base}/meta.json"))
+        tok, terms = spark.read.parquet(f"{base}/chunks"), spark.read.parquet(f"{base}/terms")
+        groups = [_open_postings(spark, base, version, g, int(meta["buckets"])) for g in range(int(meta["groups"]))]
     except Exception as error:  # noqa: BLE001 - any read failure means rebuild
         raise FileNotFoundError(
             f"Index at {path} could not be loaded ({error}); run the index command again.") from error
     if meta.get("format_version") != FORMAT_VERSION or meta.get("stop_words") != _stop_word_digest():
         raise FileNotFoundError(f"Index at {path} is stale; run the index command again.")
-    expected = {"chunks": {"chunk_id", "file_path", "first_character_index", "last_character_index",
-                           "text", "dl", "tokens"},
-                "postings": {"token", "chunk_id", "tf", "dl", "tfn"},
-                "terms": {"token", "df", "idf"},
-                "stats": {"n_chunks", "avgdl", "average_idf"}}
-    for name, cols in expected.items():
-        if not cols <= set(tables[name].columns):
+    for name, table, columns in (
+            ("chunks", tok, {"part", "place", "file_path", "first_character_index", "last_character_index",
+                             "text", "dl", "tokens"}),
+            ("terms", terms, {"token", "df", "max_tfn"}), ("postings", groups[0], {"token", "chunk_id", "tf", "dl", "tfn"})):
+        if not columns <= set(table.columns):
             raise FileNotFoundError(f"Index at {path} has a bad '{name}' table; rebuild it.")
-    return BM25Index(tables["chunks"].drop("tokens"), tables["postings"], tables["terms"], tables["stats"],
-                     float(meta["k1"]), float(meta["b"]), int(meta["chunk_size"]), on_disk=True,
-                     prefix=tables["prefix"], prefix_rows=int(meta["prefix_rows"]), tokenized=tables["chunks"])
+    n_chunks, average = int(meta["n_chunks"]), meta["average_idf"]
+    offsets = spark.createDataFrame(meta["offsets"], "part int, first_id bigint")
+    return BM25Index(
+        tok, _chunk_table(tok, offsets), groups,
+        terms.select("token", "df", _floored(average, n_chunks).alias("idf"), "max_tfn"),
+        _stats(spark, n_chunks, meta["avgdl"], average), float(meta["k1"]), float(meta["b"]), int(meta["chunk_size"]),
+        on_disk=True, n_chunks=n_chunks, nonnegative_idf=average is not None and average >= 0,
+        path=root, version=version)

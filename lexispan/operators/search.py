@@ -3,61 +3,81 @@
 For a batch of questions:
 
 1. question tokens are counted per question (``qtf``; a repeated token
-   counts again);
-2. they are joined to ``terms`` (idf) and to ``postings`` (tf, dl).
-   The question side is broadcast when its checked row count is small,
-   so the postings are streamed, never shuffled; otherwise the join is
-   left to the planner (sort-merge / AQE);
-3. contributions are summed per (question, chunk): one shuffle of the
-   matched postings after map-side partial aggregation;
-4. ``row_number`` over (question) ordered by score, then corpus order,
-   ``<= k``: planned as a partial ``WindowGroupLimit`` before the
-   shuffle, so even a question that matches every chunk only moves
-   ``k`` rows per partition.
+   counts again) and joined to ``terms`` (idf, df, largest tf factor);
+2. they are joined to the postings, and contributions are summed per
+   (question, chunk). Their number is known before, from the document
+   frequencies; batches beyond BOUNDED_PAIRS leave out chunks that cannot
+   reach rank k (``bounded_scores``), with equal results;
+3. ``row_number`` over (question) ordered by score, then chunk id (the
+   corpus order), ``<= k``: planned as a partial ``WindowGroupLimit``
+   before the shuffle, so even a question that matches every chunk, or
+   any number of equal chunks, only moves ``k`` rows per partition;
+4. the k rows of each question meet their paths.
+
+The question side is broadcast when its checked row count is small, so
+the postings are streamed, never shuffled; otherwise the join is left to
+the planner (sort-merge / AQE). Sums per (question, chunk) need no
+shuffle, as each group of postings is clustered by chunk.
 
 Zero-fill (reference behaviour): when fewer than ``k`` chunks score
 above zero, the list continues with zero-score chunks in corpus order,
 and negative scores come last. For those questions only, the first
-``k + n_negative`` chunks of the corpus (a bounded top-N) are the
-candidates; they join the question through an exploded position
-(equi-join, no cross product).
+``k + n_negative`` chunk ids are the candidates: they are numbers, so no
+chunk is read for them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispan.functions.text import corpus_order, is_blank, tokenize
-from lexispan.operators.index import BM25Index, corpus_prefix
+from lexispan.functions.text import is_blank, tokenize
+from lexispan.operators.index import BM25Index
 
 # Broadcast limits (rows). Beyond them the planner chooses a shuffle join.
 BROADCAST_QUESTION_TOKENS = 2_000_000
-BROADCAST_FILL_PREFIX = 1_000_000
 BROADCAST_SURVIVORS = 2_000_000
+BROADCAST_CANDIDATES = 1_000_000
 # (question, token) rows up to this count have their tokens pushed into
 # the postings/terms scans as an IN filter (row-group skipping on Parquet).
 PUSHDOWN_TOKENS = 1_000
+# Matching postings of a batch from which scoring bounds are worth their
+# additional passes.
+BOUNDED_PAIRS = 200_000_000
+# Postings of a question's rare tokens in the first pass, and chunks that
+# get their full score after it, for each of its k.
+FIRST_PASS, PROMISING = 64, 2
+# Scores are sums of doubles in any order: bounds leave them this much room.
+SLACK = 1e-6
 
-# Intermediates persisted by ``search`` (small: top-k survivors; or the
-# matched set on the negative-idf path). A caller that has consumed the
-# result (written it) calls ``release_cached`` so a long-running session,
-# such as a stream, does not accumulate them.
-_CACHED: list[DataFrame] = []
 
+class Intermediates:
+    """Small results that a search keeps while it is read (question
+    tokens, top-k rows). The caller that consumes the result releases
+    them, so that a long-running session does not gather them."""
 
-def _keep(df: DataFrame) -> DataFrame:
-    kept = df.persist()
-    _CACHED.append(kept)
-    return kept
+    def __init__(self) -> None:
+        self._kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        kept = df.persist()
+        self._kept.append(kept)
+        return kept
+
+    def release(self) -> None:
+        while self._kept:
+            self._kept.pop().unpersist()
+
+
+# Of searches that were given none of their own.
+_SHARED = Intermediates()
 
 
 def release_cached() -> None:
-    """Unpersist every intermediate cached by earlier ``search`` calls."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
+    """Release what searches without ``Intermediates`` of their own keep."""
+    _SHARED.release()
 
 
 def check_k(k: int) -> int:
@@ -78,30 +98,109 @@ def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True) -> DataFrame:
-    """(question_id, chunk_id, score) for every chunk sharing at least
-    one token with the question (not rounded).
+def weighted_tokens(index: BM25Index, questions: DataFrame, kept: Intermediates,
+                    pushdown: bool = True) -> tuple[DataFrame, int, list[str] | None]:
+    """(question_id, token, w, df, most) of the question tokens the index
+    knows, a bound of their number, and for small batches the distinct
+    tokens: ``w = qtf * idf``, ``most`` the largest contribution of the
+    token to a score."""
+    qtok, terms, wanted = kept.keep(question_tokens(questions)), index.terms, None
+    some = [r[0] for r in qtok.select("token").limit(PUSHDOWN_TOKENS + 1).collect()]
+    n = len(some) if len(some) <= PUSHDOWN_TOKENS else qtok.count()
+    if pushdown and index.on_disk and n <= PUSHDOWN_TOKENS:
+        wanted = sorted(set(some))
+        terms = terms.where(F.col("token").isin(wanted))
+    known = _maybe_broadcast(qtok, n, BROADCAST_QUESTION_TOKENS).join(terms, "token")
+    w = F.col("qtf").cast("double") * F.col("idf")
+    return known.select("question_id", "token", w.alias("w"), "df", (w * F.col("max_tfn")).alias("most")), n, wanted
+
 
-    The per-token weight ``qtf * idf`` is formed on the small question
-    side; each matched posting then costs one multiply by its stored tf
-    factor. With postings clustered by chunk (bucketed table or the
-    persisted in-memory index) the sum needs no shuffle.
+def _summed(index: BM25Index, weights: DataFrame, rows: int, wanted: list[str] | None = None,
+            chunks: DataFrame | None = None) -> DataFrame:
+    """(question_id, chunk_id, score): the sums of ``w * tfn`` over
+    ``weights`` (question_id, token, w), of ``rows`` rows at most and
+    ``wanted`` tokens, if given; with ``chunks`` (question_id, chunk_id)
+    only of these pairs.
+
+    Each group of postings is clustered by chunk (bucketed table or the
+    persisted in-memory index), so the sum needs no shuffle.
     """
-    qtok = _keep(question_tokens(questions))  # small; counted, then reused by the join
-    n_qtok = qtok.count()
-    postings, terms = index.postings, index.terms
-    if pushdown and index.on_disk and n_qtok <= PUSHDOWN_TOKENS:
-        # Bounded by the check above: the distinct tokens of this batch.
-        wanted = [r[0] for r in qtok.select("token").distinct().collect()]
-        postings = postings.where(F.col("token").isin(wanted))
-        terms = terms.where(F.col("token").isin(wanted))
-    q = _maybe_broadcast(qtok, n_qtok, BROADCAST_QUESTION_TOKENS)
-    qt = q.join(terms.select("token", "idf"), "token").select(
-        "question_id", "token", (F.col("qtf").cast("double") * F.col("idf")).alias("w"))
-    qt = _maybe_broadcast(qt, n_qtok, BROADCAST_QUESTION_TOKENS)
-    matched = qt.join(postings.select("token", "chunk_id", "tfn"), "token")
-    # The postings' clustering by chunk satisfies the aggregation.
-    return matched.groupBy("question_id", "chunk_id").agg(F.sum(F.col("w") * F.col("tfn")).alias("score"))
+    side = _maybe_broadcast(weights.select("question_id", "token", "w"), rows, BROADCAST_QUESTION_TOKENS)
+
+    def of_group(postings: DataFrame) -> DataFrame:
+        if wanted is not None:
+            postings = postings.where(F.col("token").isin(wanted))
+        postings = postings.select("token", "chunk_id", "tfn")
+        if chunks is not None:
+            postings = postings.join(chunks.select("chunk_id").distinct(), "chunk_id", "left_semi")
+        matched = side.join(postings, "token")
+        if chunks is not None:
+            matched = matched.join(chunks, ["question_id", "chunk_id"], "left_semi")
+        return matched.groupBy("question_id", "chunk_id").agg(F.sum(F.col("w") * F.col("tfn")).alias("score"))
+    return reduce(DataFrame.unionByName, [of_group(g) for g in index.groups])
+
+
+def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True,
+                kept: Intermediates = _SHARED) -> DataFrame:
+    """(question_id, chunk_id, score) for every chunk sharing at least
+    one token with the question (not rounded)."""
+    return _summed(index, *weighted_tokens(index, questions, kept, pushdown))
+
+
+def top_scores(index: BM25Index, questions: DataFrame, k: int, pushdown: bool = True,
+               kept: Intermediates = _SHARED) -> DataFrame:
+    """R1 for a top-k: by bounds where they pay, else of all chunks. No
+    score may be negative."""
+    weights, n, wanted = weighted_tokens(index, questions, kept, pushdown)
+    weights = kept.keep(weights)
+    if (weights.agg(F.sum("df")).first()[0] or 0) <= BOUNDED_PAIRS:
+        return _summed(index, weights, n, wanted)
+    return bounded_scores(index, weights, n, k, wanted, kept)
+
+
+def bounded_scores(index: BM25Index, weights: DataFrame, n: int, k: int, wanted: list[str] | None = None,
+                   kept: Intermediates = _SHARED) -> DataFrame:
+    """Scores of all chunks that can be among a question's first ``k``,
+    ties included; arguments as ``weighted_tokens`` gives them.
+
+    A chunk's score is at most the score of the tokens looked at so far
+    plus ``most`` of each other token. The threshold is the k-th full
+    score of the chunks that lead by rare tokens; a question whose rare
+    tokens are in fewer than k chunks has none, and all its chunks are
+    scored. A question's cheapest tokens, whose ``most`` together stay
+    below the threshold, cannot lift a chunk into the result by
+    themselves: only chunks that hold one of the other tokens are summed,
+    and of these only those that can still reach the threshold get the
+    contributions of the cheap tokens.
+    """
+    rare_first = Window.partitionBy("question_id").orderBy("df", "token")
+    before = F.sum("df").over(rare_first.rowsBetween(Window.unboundedPreceding, -1))
+    rare = weights.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < FIRST_PASS * k)
+    by_score = Window.partitionBy("question_id").orderBy(F.col("score").desc(), F.col("chunk_id"))
+    first = _summed(index, rare, n, wanted).withColumn("_r", F.row_number().over(by_score)).where(
+        F.col("_r") <= PROMISING * k)
+    first = kept.keep(first.select("question_id", "chunk_id"))
+    promising = _maybe_broadcast(first, first.count(), BROADCAST_CANDIDATES)
+    full = _summed(index, weights, n, wanted, promising).withColumn("_r", F.row_number().over(by_score))
+    reached = kept.keep(full.where(F.col("_r") == k).select("question_id", (F.col("score") - SLACK).alias("least")))
+    cheap_first = Window.partitionBy("question_id").orderBy("most", "token").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    split = weights.join(reached, "question_id", "left").withColumn(
+        "cheap", F.coalesce(F.sum("most").over(cheap_first) < F.col("least"), F.lit(False)))
+    split = kept.keep(split)
+    rest = split.groupBy("question_id").agg(
+        F.coalesce(F.sum(F.when(F.col("cheap"), F.col("most"))), F.lit(0.0)).alias("rest"),
+        F.first("least").alias("least"))
+    n_cheap = split.where("cheap").count()
+    leading = _summed(index, split.where(~F.col("cheap")), n - n_cheap, wanted)
+    if not n_cheap:
+        return leading
+    open_ = leading.join(_maybe_broadcast(rest, n, BROADCAST_QUESTION_TOKENS), "question_id").where(
+        F.col("least").isNull() | (F.col("score") + F.col("rest") >= F.col("least")))
+    open_ = kept.keep(open_.select("question_id", "chunk_id", "score"))
+    keys = _maybe_broadcast(open_.select("question_id", "chunk_id"), open_.count(), BROADCAST_CANDIDATES)
+    more = _summed(index, split.where("cheap"), n_cheap, wanted, keys)
+    return open_.unionByName(more).groupBy("question_id", "chunk_id").agg(F.sum("score").alias("score"))
 
 
 def score_key(score: Column) -> Column:
@@ -110,12 +209,6 @@ def score_key(score: Column) -> Column:
     return F.rint(score * F.lit(1e9))
 
 
-def _final_window() -> Window:
-    return Window.partitionBy("question_id").orderBy(
-        score_key(F.col("score")).desc(), corpus_order("file_path").asc(),
-        F.col("first_character_index").asc())
-
-
 def with_spans(index: BM25Index, scored: DataFrame, rows: int | None = None) -> DataFrame:
     """Attach (file_path, first, last) to rows keyed by chunk_id.
 
@@ -130,73 +223,28 @@ def with_spans(index: BM25Index, scored: DataFrame, rows: int | None = None) ->
     return scored.join(keys, "chunk_id")
 
 
-def top_k(index: BM25Index, scored: DataFrame, k: int,
-          rescore: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """R2: best ``k`` chunks per question; equal scores keep corpus order.
-
-    Phase 1 keeps the first ``k + 1`` rows by score (a partial
-    ``WindowGroupLimit`` before the shuffle, so a question matching
-    millions of chunks moves only k + 1 rows per task). Where rows k and
-    k + 1 differ in score, the first k are the answer and only their
-    order is left, by path. Questions tied across that border, whose ties
-    may be any number of copies, are looked at again: all their rows
-    down to the tied score pick up their paths in a plain join and a
-    second ``WindowGroupLimit`` keeps k of each task. ``rescore`` gives
-    the scores of given questions; else ``scored`` is read again.
-    """
-    w1 = Window.partitionBy("question_id").orderBy(score_key(F.col("score")).desc(), F.col("chunk_id"))
-    first = _keep(scored.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k + 1))
-    border = first.where(F.col("_r") >= k).groupBy("question_id").agg(
-        F.max(score_key(F.col("score"))).alias("_cut"), F.min(score_key(F.col("score"))).alias("_next"),
-        F.count(F.lit(1)).alias("_n"))
-    tied = _keep(border.where((F.col("_n") == 2) & (F.col("_cut") == F.col("_next"))).select("question_id", "_cut"))
-    plain = first.where(F.col("_r") <= k).drop("_r")
-    n_tied = tied.count()
-    if not n_tied:
-        return rank_located(with_spans(index, plain, plain.count()), k)
-    again = rescore(tied.select("question_id")) if rescore else scored
-    again = again.join(_maybe_broadcast(tied, n_tied, BROADCAST_SURVIVORS), "question_id")
-    again = again.where(score_key(F.col("score")) >= F.col("_cut")).drop("_cut")
-    rest = plain.join(_maybe_broadcast(tied, n_tied, BROADCAST_SURVIVORS), "question_id", "left_anti")
-    columns = ["question_id", "chunk_id", "score", "file_path", "first_character_index", "last_character_index"]
-    located = with_spans(index, rest, rest.count()).select(*columns).unionByName(
-        with_spans(index, again).select(*columns))
-    return rank_located(located, k)
-
-
-def rank_located(located: DataFrame, k: int) -> DataFrame:
-    """Final ordering of rows that already carry their spans."""
-    ranked = located.withColumn("rank", F.row_number().over(_final_window()))
-    return ranked.where(F.col("rank") <= k)
-
-
-def _corpus_prefix(index: BM25Index, length: int) -> DataFrame:
-    """The first ``length`` chunks in corpus order, numbered 1..length.
-
-    A saved index keeps the first ``prefix_rows`` of them, so the common
-    case reads that small table; beyond it (or in memory) a bounded
-    top-N over the chunk table.
-    """
-    if index.prefix is not None and length <= index.prefix_rows:
-        return index.prefix.where(F.col("pos") <= length)
-    return corpus_prefix(index.chunks, length)
+def top_k(index: BM25Index, scored: DataFrame, k: int) -> DataFrame:
+    """R2: best ``k`` chunks per question with their ``rank``; equal scores
+    keep corpus order, which is the order of the chunk ids."""
+    order = Window.partitionBy("question_id").orderBy(score_key(F.col("score")).desc(), F.col("chunk_id"))
+    return scored.select("question_id", "chunk_id", "score").withColumn(
+        "rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _fill_rows(index: BM25Index, deficient: DataFrame, longest: int, exclude: DataFrame) -> DataFrame:
-    """Score-0 rows: the first ``need`` corpus chunks of every deficient
+def _fill_rows(index: BM25Index, deficient: DataFrame, exclude: DataFrame) -> DataFrame:
+    """Score-0 rows: the first ``need`` chunk ids of every deficient
     question, minus the chunks in ``exclude`` (already scored)."""
-    prefix = _maybe_broadcast(_corpus_prefix(index, longest), longest, BROADCAST_FILL_PREFIX)
-    wanted = deficient.select("question_id",
-                              F.explode(F.sequence(F.lit(1), F.col("need"))).alias("pos"))
-    cand = wanted.join(prefix, "pos").drop("pos")
-    cand = cand.join(exclude.select("question_id", "chunk_id"), ["question_id", "chunk_id"], "left_anti")
-    return cand.withColumn("score", F.lit(0.0))
+    last = F.least(F.col("need"), F.lit(index.n_chunks)).cast("bigint") - 1
+    wanted = deficient.where(last >= 0).select(
+        "question_id", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("chunk_id"))
+    return wanted.join(exclude.select("question_id", "chunk_id"), ["question_id", "chunk_id"], "left_anti")\
+        .withColumn("score", F.lit(0.0))
 
 
 def zero_fill_candidates(index: BM25Index, scored: DataFrame, k: int) -> DataFrame | None:
     """R4, general case (negative scores possible): candidates for questions
     with fewer than k positive scores. Zeros rank above negatives, so the
-    corpus prefix must reach past the negatives: ``k + n_negative``.
+    candidates must reach past the negatives: ``k + n_negative``.
 
     Returns None when no question needs filling (nothing is planned).
     """
@@ -205,23 +253,11 @@ def zero_fill_candidates(index: BM25Index, scored: DataFrame, k: int) -> DataFra
         F.count_if(F.col("score") < 0).alias("nneg"))
     deficient = counts.where(F.col("npos") < k).select(
         "question_id", (F.lit(k) + F.col("nneg")).alias("need"))
-    longest = deficient.agg(F.max("need")).first()[0]
-    if longest is None:
-        return None
-    return _fill_rows(index, deficient, int(longest), scored)
-
-
-def _nonnegative_idf(index: BM25Index) -> bool:
-    """True when every idf is >= 0 (average raw idf >= 0), so no score is
-    negative. Read once per index (one row)."""
-    if index.nonnegative_idf is None:
-        row = index.stats.select("average_idf").first()
-        index.nonnegative_idf = row is not None and row[0] is not None and row[0] >= 0
-    return index.nonnegative_idf
+    return None if deficient.isEmpty() else _fill_rows(index, deficient, scored)
 
 
 def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = True,
-           pushdown: bool = True) -> DataFrame:
+           pushdown: bool = True, kept: Intermediates = _SHARED) -> DataFrame:
     """Ranked sources per question.
 
     ``questions``: (question_id, question). Output columns
@@ -231,38 +267,33 @@ def search(index: BM25Index, questions: DataFrame, k: int = 10, fill: bool = Tru
 
     Zero-fill: with non-negative idf (the normal case) a question is
     deficient when its top-k holds fewer than k positive scores; those
-    top-k rows (small, persisted) and the first k corpus chunks are all
-    that is needed. Otherwise the general path counts negatives over the
-    whole matched set.
+    top-k rows (small, kept) and the first k chunk ids are all that is
+    needed. Otherwise the general path counts negatives over the whole
+    matched set.
     """
     check_k(k)
     if k == 0:
         return scored_empty(questions)
-    scored = bm25_scores(index, questions, pushdown)
-
-    def rescore(ids: DataFrame) -> DataFrame:
-        return bm25_scores(index, questions.join(ids, "question_id", "left_semi"), pushdown)
-
-    if not fill:
-        ranked = top_k(index, scored, k, rescore)
-    elif _nonnegative_idf(index):
-        first = _keep(top_k(index, scored, k, rescore))
-        deficient = (first.groupBy("question_id")
-                     .agg(F.count_if(F.col("score") > 0).alias("npos"))
-                     .where(F.col("npos") < k).select("question_id", F.lit(k).alias("need")))
-        if deficient.isEmpty():
-            ranked = first
-        else:
-            located = first.drop("rank")
-            ranked = rank_located(located.unionByName(_fill_rows(index, deficient, k, located)), k)
+    if index.nonnegative_idf:
+        best = kept.keep(top_k(index, top_scores(index, questions, k, pushdown, kept), k))
+        of_question = best.groupBy("question_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("score") > 0).alias("npos"))
+        rows, lacking = of_question.agg(F.sum("n"), F.count_if(F.col("npos") < k)).first()
+        if fill and lacking:
+            deficient = of_question.where(F.col("npos") < k).select("question_id", F.lit(k).alias("need"))
+            best = top_k(index, best.drop("rank").unionByName(_fill_rows(index, deficient, best)), k)
+            rows += lacking * k
     else:
-        scored = _keep(scored)
-        cand = zero_fill_candidates(index, scored, k)
-        if cand is not None:
-            scored = scored.unionByName(cand.select("question_id", "chunk_id", "score"))
-        ranked = top_k(index, scored, k)
-    return ranked.select("question_id", "rank", "file_path", "first_character_index",
-                         "last_character_index", F.round("score", 6).alias("score"))
+        scored = bm25_scores(index, questions, pushdown, kept)
+        if fill:
+            scored = kept.keep(scored)
+            filled = zero_fill_candidates(index, scored, k)
+            scored = scored if filled is None else scored.unionByName(filled)
+        best = kept.keep(top_k(index, scored, k))
+        rows = best.count()
+    return with_spans(index, best, rows or 0).select(
+        "question_id", "rank", "file_path", "first_character_index", "last_character_index",
+        F.round("score", 6).alias("score"))
 
 
 def scored_empty(questions: DataFrame) -> DataFrame:
@@ -273,7 +304,7 @@ def scored_empty(questions: DataFrame) -> DataFrame:
 
 
 def search_one(index: BM25Index, query: str, k: int = 10, question_id: str | None = None,
-               fill: bool = True) -> DataFrame:
+               fill: bool = True, kept: Intermediates = _SHARED) -> DataFrame:
     """One query -> its ranked sources. Blank query / negative k raise."""
     if not isinstance(query, str) or not query.strip():
         raise ValueError("query must not be empty.")
@@ -283,11 +314,11 @@ def search_one(index: BM25Index, query: str, k: int = 10, question_id: str | Non
     spark = index.chunks.sparkSession
     qid = question_id or str(uuid.uuid4())
     questions = spark.createDataFrame([(qid, query)], "question_id string, question string")
-    return search(index, questions, k, fill)
+    return search(index, questions, k, fill, kept=kept)
 
 
 def search_dataset(index: BM25Index, questions: DataFrame, k: int = 10,
-                   fill: bool = True) -> DataFrame:
+                   fill: bool = True, kept: Intermediates = _SHARED) -> DataFrame:
     """Every question of a set, unmatched ones kept with null sources.
 
     Flat output: ``question_id, question, rank, file_path,
@@ -301,6 +332,6 @@ def search_dataset(index: BM25Index, questions: DataFrame, k: int = 10,
     q = questions.select(*columns)
     key = F.col("input_pos").cast("string") if placed else F.col("question_id")
     keyed = q.select(key.alias("question_id"), "question").where(~is_blank("question"))
-    res = search(index, keyed, k, fill).withColumnRenamed("question_id", "_key")
+    res = search(index, keyed, k, fill, kept=kept).withColumnRenamed("question_id", "_key")
     return q.withColumn("_key", key).join(res, "_key", "left").select(
         *columns, "rank", "file_path", "first_character_index", "last_character_index", "score")

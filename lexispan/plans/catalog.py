@@ -51,8 +51,7 @@ def _index(spark: SparkSession, sf: str) -> ix.BM25Index:
     copy instead of one per query)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf))
     if key not in _INDEXES:
-        _INDEXES[key] = ix.build_index_from_chunks(
-            ch.chunk_documents(fx.prose_corpus(spark, sf), N_SMALL), chunk_size=N_SMALL)
+        _INDEXES[key] = ix.build_index(fx.prose_corpus(spark, sf), N_SMALL)
     return _INDEXES[key]
 
 
@@ -109,15 +108,12 @@ def q_paragraph_bounds(spark, sf):
 
 def q_span_emit(spark, sf):
     corpus = fx.prose_corpus(spark, sf)
-    paras = ch.paragraphs(corpus)
+    bounds = corpus.select("file_path", "text", ch.paragraph_bounds(F.col("text")).alias("spans"))
     # Gaps between consecutive paragraphs are blank spans (the breaks).
-    from pyspark.sql import Window
-    w = Window.partitionBy("file_path").orderBy("para_pos")
-    gaps = paras.select("file_path", F.col("last_character_index").alias("s"),
-                        F.lead("first_character_index").over(w).alias("e")).where(F.col("e").isNotNull())
-    spans = paras.select("file_path", F.col("first_character_index").alias("s"),
-                         F.col("last_character_index").alias("e")).unionByName(gaps)
-    return ch.emit_spans(spans.join(corpus, "file_path"), N_SMALL)
+    later = F.slice("spans", 2, F.greatest(F.size("spans") - 1, F.lit(0)))
+    gaps = F.zip_with(F.slice("spans", 1, F.size(later)), later, lambda a, b: F.struct(
+        a["e"].alias("s"), b["s"].alias("e")))
+    return ch.emit_spans(bounds.select("file_path", "text", F.concat("spans", gaps).alias("spans")), N_SMALL)
 
 
 def q_pack_paragraphs(spark, sf):

@@ -76,10 +76,11 @@ def search_dataset(spark: SparkSession, dataset_path: str, save_directory: str,
     sk.check_output_directory(save_directory)
     index = ix.load_index(spark, index_dir)
     questions = qs.load_questions(spark, dataset_path, json_lines=json_lines)
-    flat = se.search_dataset(index, questions, k)
+    kept = se.Intermediates()
+    flat = se.search_dataset(index, questions, k, kept=kept)
     out = sk.write_results(sk.nest_results(flat), save_directory, os.path.basename(dataset_path),
                            k, json_lines)
-    se.release_cached()
+    kept.release()
     return out
 
 

@@ -30,6 +30,21 @@ class Files:
         """Create an empty file."""
         self._fs.create(self._at(path)).close()
 
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small file."""
+        stream = self._fs.create(self._at(path))
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def read_text(self, path: str) -> str:
+        """Content of a small file."""
+        size = self._fs.getFileStatus(self._at(path)).getLen()
+        stream = self._fs.open(self._at(path))
+        try:
+            return bytes(stream.readNBytes(size)).decode()
+        finally:
+            stream.close()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._at(path), True)
 

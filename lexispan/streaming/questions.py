@@ -34,6 +34,8 @@ def search_stream(spark: SparkSession, index_dir: str, source_dir: str, sink_dir
     """
     se.check_k(k)
     index = ix.load_index(spark, index_dir)
+    # Rebuilds leave the version that this stream reads in place.
+    lease = ix.Lease(spark, index)
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -48,12 +50,14 @@ def search_stream(spark: SparkSession, index_dir: str, source_dir: str, sink_dir
         placed.write.mode("overwrite").parquet(f"{checkpoint}-lines/epoch={epoch_id}")
         placed = spark.read.schema(placed.schema).parquet(f"{checkpoint}-lines/epoch={epoch_id}")
         table = qs.validate_items(qs.parse_lines(placed), f"{source_dir}:{epoch_id}")
-        res = se.search_dataset(index, table.where("is_valid"), k)
+        lease.renew_if_due()
+        kept = se.Intermediates()
+        res = se.search_dataset(index, table.where("is_valid"), k, kept=kept)
         res.drop("input_pos").write.mode("overwrite").parquet(os.path.join(sink_dir, "results", f"epoch={epoch_id}"))
         bad = table.where(~F.col("is_valid")).select("input_pos", "reason").join(placed, "input_pos")
         bad.select("value", "reason").write.mode("overwrite").parquet(
             os.path.join(sink_dir, "rejected", f"epoch={epoch_id}"))
-        se.release_cached()
+        kept.release()
 
     writer = lines.writeStream.foreachBatch(rank_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -137,3 +137,54 @@ def paragraphs_of(text):
 def test_prose_needs_no_python(spark):
     plan = ch.pack_paragraphs(docs(spark, [("a.md", "x")]), 10)._jdf.queryExecution().toString()
     assert "ArrowEvalPython" not in plan
+
+
+def test_windows_over_block_borders(spark, monkeypatch):
+    monkeypatch.setattr(ch, "BLOCK", 7)
+    rng = random.Random(23)
+    rows = [(f"d/{i}.md", _random_text(rng) * rng.randint(1, 4)) for i in range(80)]
+    by = dict(rows)
+    for n in (1, 3, 7):
+        got = ch.chunk_documents(docs(spark, rows), n).collect()
+        assert spans_of_rows(got) == sorted((p, s, e) for p, t in rows for s, e in pack(t, n))
+        assert all(by[r.file_path][r.first_character_index:r.last_character_index] == r.text for r in got)
+    fixed = ch.split_fixed(docs(spark, rows), 5).collect()
+    assert spans_of_rows(fixed) == sorted((p, s, e) for p, t in rows for s, e in windows(0, len(t), 5))
+    assert all(by[r.file_path][r.first_character_index:r.last_character_index] == r.text for r in fixed)
+
+
+def spans_of_rows(rows):
+    return sorted((r.file_path, r.first_character_index, r.last_character_index) for r in rows)
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    import time
+
+    def seconds(text, n):
+        t = time.time()
+        chunks = ch.chunk_documents(docs(spark, [("a.md", "😀" + text)]), n)
+        assert chunks.selectExpr("sum(length(text))").first()[0] > len(text) / 2
+        return time.time() - t
+    for text in ("word " * 100_000, "some words of a paragraph\n\n" * 20_000, "x" * 500_000):
+        seconds(text, 400)
+        short, long = seconds(text * 4, 400), seconds(text * 8, 400)
+        assert long < 3.5 * short + 1, (text[:10], short, long)
+
+
+def test_spans_of_a_document(spark):
+    text = "one\n\n  \n\nthree and more"
+    got = ch.emit_spans(spark.createDataFrame(
+        [("a.md", text, [(0, 3), (5, 7), (9, 23)])], "file_path string, text string, spans array<struct<s:int,e:int>>"), 6)
+    assert sorted(r.text for r in got.collect()) == sorted(["one", "three ", "and mo", "re"])
+
+
+def test_chunks_in_order_need_python_for_code_only(spark):
+    prose, mixed = docs(spark, [("b.md", "x"), ("a.md", "y\n\nz")]), docs(spark, [("b.py", "x=1\n\ny=2\n"), ("a.md", "y")])
+    plain = ch.chunk_in_order(prose, 1, prose)
+    assert "ArrowEvalPython" not in plain._jdf.queryExecution().toString()
+    assert [r.text for r in plain.coalesce(1).collect()] == ["x", "y", "z"]
+    both = ch.chunk_in_order(mixed, 100, mixed)
+    assert spans_of_rows(both.collect()) == spans_of_rows(ch.chunk_documents(mixed, 100).collect())
+    with pytest.raises(Exception, match="cannot chunk a file of this type"):
+        odd = docs(spark, [("a.json", "{}")])
+        ch.chunk_in_order(odd, 10, odd).collect()

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -183,3 +184,117 @@ def test_a_failed_rebuild_leaves_the_published_index(spark, tmp_path):
         ix.save_index(ix.build_index(docs(spark, [("n/x.md", text)]), 100, materialize=False), path)
     assert len(list((tmp_path / "idx" / "published").glob("0*"))) == ix.VERSIONS
     assert ix.load_index(spark, path).chunks.first().text == "lora three"
+
+
+MIXED = [("a-b/y.md", "lora\n\n" * 30), ("a/c/y.py", "x = 1\n\ndef lora():\n    return x\n"), ("a/y.md", "cache lora"),
+         ("z/empty.md", "  "), ("b/_x.py", "def broken(:\n"), ("b/x.md", "weights " * 90)]
+
+
+def test_chunk_ids_are_numbers_in_corpus_order(spark, tmp_path):
+    chunks = ch.order_chunks(ch.chunk_documents(docs(spark, MIXED), 20)).collect()
+    want = [(i, c.file_path, c.first_character_index, c.last_character_index, c.text) for i, c in enumerate(chunks)]
+    columns = ["chunk_id", "file_path", "first_character_index", "last_character_index", "text"]
+    saved = ix.save_index(ix.build_index(docs(spark, MIXED), 20, materialize=False), str(tmp_path / "idx"))
+    for idx in (saved, ix.build_index(docs(spark, MIXED), 20), build(spark, MIXED, 20)):
+        assert [tuple(r) for r in idx.chunks.select(*columns).orderBy("chunk_id").collect()] == want
+        assert idx.n_chunks == len(want) and idx.stats.first()["n_chunks"] == len(want)
+    # The first chunks of the corpus are the smallest ids.
+    assert [r.file_path for r in saved.prefix.where("pos <= 3").orderBy("pos").collect()] == [w[1] for w in want[:3]]
+
+
+def test_postings_in_groups(spark, tmp_path):
+    rows = [(f"g/{i:03d}.md", f"lora word{i % 7} cache{i % 3}") for i in range(90)]
+    one = ix.save_index(ix.build_index(docs(spark, rows), 100, materialize=False), str(tmp_path / "one"), 4)
+    many = ix.save_index(ix.build_index(docs(spark, rows), 100, materialize=False), str(tmp_path / "many"), 6, group_files=2)
+    assert len(one.groups) == 1 and len(many.groups) == 3
+    edges = [g.selectExpr("min(chunk_id)", "max(chunk_id)").first() for g in many.groups]
+    assert all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
+    q = qdf(spark, [("q", "lora word3"), ("r", "cache1 word6 lora"), ("s", "word1")])
+    assert ranked(se.search(many, q, 9)) == ranked(se.search(one, q, 9)) == ranked(se.search(build(spark, rows, 100), q, 9))
+    plan = se.bm25_scores(many, q)._jdf.queryExecution().executedPlan().toString()
+    # Sums per question and chunk need no exchange.
+    assert not re.search(r"Exchange hashpartitioning\(question_id#\d+, chunk_id", plan)
+
+
+def test_no_size_exceeds_the_limit_of_buckets():
+    for files in (1, 49_999, 50_001, 781_250, 10**8):
+        ranges, buckets = ix._grouped(10**13, files, ix.GROUP_FILES)
+        assert buckets <= ix.GROUP_FILES and len(ranges) * buckets >= files
+        assert ranges[0][0] == 0 and ranges[-1][1] == 10**13 and all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    assert ix._grouped(2, 9, 1) == ([(0, 1), (1, 2)], 5)
+
+
+def test_bounded_scores_keep_every_result(spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    weights = [1 / (i + 1) for i in range(60)]
+    rows = [(f"d/{i:04d}.md", " ".join(rng.choices(words, weights, k=rng.randint(1, 40)))) for i in range(250)]
+    rows += [(f"e/{i}.md", rows[7][1]) for i in range(9)]
+    questions = [(f"q{i}", " ".join(rng.choices(words, weights, k=rng.randint(1, 30)))) for i in range(40)]
+    saved = ix.save_index(ix.build_index(docs(spark, rows), 2000, materialize=False), str(tmp_path / "idx"), 3, group_files=1)
+    assert saved.nonnegative_idf
+    q = qdf(spark, questions)
+    every = se.bm25_scores(saved, q)
+    for k, first in ((1, 1), (3, 8), (300, 64)):
+        monkeypatch.setattr(se, "FIRST_PASS", first)
+        for pushdown in (True, False):
+            weights, n, wanted = se.weighted_tokens(saved, q, se.Intermediates(), pushdown)
+            assert (wanted is not None) == pushdown
+            got = se.bounded_scores(saved, weights, n, k, wanted)
+            assert [tuple(r)[:2] for r in se.top_k(saved, got, k).orderBy("question_id", "rank").collect()] == [
+                tuple(r)[:2] for r in se.top_k(saved, every, k).orderBy("question_id", "rank").collect()]
+
+
+def test_bounds_leave_pairs_unscored(spark, tmp_path, monkeypatch):
+    from lexispan.plans import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    idx = ix.save_index(ix.build_index(fx.prose_corpus(spark, sf), 400, materialize=False), str(tmp_path / "idx"))
+    q = fx.benchmark_questions(spark, sf)
+    bounded = se.bounded_scores(idx, *se.weighted_tokens(idx, q, se.Intermediates())[:2], 10)
+    assert 0 < bounded.count() < 0.8 * se.bm25_scores(idx, q).count()
+    plain = ranked(se.search(idx, q, 10))
+    monkeypatch.setattr(se, "BOUNDED_PAIRS", 0)
+    assert ranked(se.search(idx, q, 10)) == plain
+
+
+def test_a_leased_version_outlives_rebuilds(spark, tmp_path):
+    path = str(tmp_path / "idx")
+    first = ix.save_index(ix.build_index(docs(spark, CORPUS), 100, materialize=False), path)
+    lease = ix.Lease(spark, first)
+
+    def rebuild(times):
+        for i in range(times):
+            ix.save_index(ix.build_index(docs(spark, [("n/x.md", f"lora {i}")]), 100, materialize=False), path)
+    rebuild(3)
+    q = qdf(spark, [("q", "lora cache")])
+    assert ranked(se.search(first, q, 3))[0][2] in ("c/a.md", "c/b.md", "c/c.md")
+    assert (tmp_path / "idx" / first.version).exists()
+    lease.renew()
+    lease.release()
+    rebuild(1)
+    assert not (tmp_path / "idx" / first.version).exists()
+    assert not spark.catalog.listTables(pattern=f"lexispan_postings_{first.version}*")
+    # A lease that ran out holds nothing.
+    now = ix.load_index(spark, path)
+    ix.Lease(spark, now, seconds=-5)
+    rebuild(2)
+    assert not (tmp_path / "idx" / now.version).exists() and not list((tmp_path / "idx" / "leases").glob("[0-9]*"))
+
+
+def test_a_failed_build_leaves_nothing_behind(spark, tmp_path):
+    path = tmp_path / "idx"
+    broken = ix.build_index(docs(spark, [("n/y.json", "{}")]), 100, materialize=False)
+    with pytest.raises(Exception, match="cannot chunk"):
+        ix.save_index(broken, str(path))
+    assert not list(path.glob("*")) and not path.exists() or not [p for p in path.iterdir()]
+
+
+def test_searches_release_their_own_intermediates(spark):
+    idx = build(spark, CORPUS)
+    one, two = se.Intermediates(), se.Intermediates()
+    a = se.search(idx, qdf(spark, [("q", "lora")]), 2, kept=one)
+    b = se.search(idx, qdf(spark, [("q", "cache")]), 2, kept=two)
+    one.release()
+    assert two._kept and all(d.storageLevel.useMemory for d in two._kept)
+    assert ranked(a) and ranked(b)
