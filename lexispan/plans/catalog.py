@@ -302,16 +302,16 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def q_question_count(spark, sf):
-    """S5 + S7: benchmark questions written as one JSON document, loaded,
-    validated and counted."""
+    """S5 + S7: benchmark questions written as JSON Lines, loaded, validated
+    and counted."""
     items = fx.benchmark_questions(spark, sf).withColumn("input_pos", F.monotonically_increasing_id())
     table = items.select("input_pos", "question_id", "question",
                          F.lit(None).cast(qs.SOURCE_TYPE).alias("sources"),
                          F.lit(None).cast("string").alias("answer"),
                          F.lit(False).alias("is_answered"), F.lit(True).alias("is_valid"))
-    path = _scratch(spark, "questions") + "/set.json"
-    qs.save_questions(table, path)
-    loaded = qs.load_questions(spark, path)
+    path = _scratch(spark, "questions") + "/set.jsonl"
+    qs.save_questions(table, path, json_lines=True)
+    loaded = qs.load_questions(spark, path, json_lines=True)
     return qs.question_count(loaded)
 
 
@@ -374,16 +374,16 @@ def q_corpus_files(spark, sf):
 
 
 def q_results_roundtrip(spark, sf):
-    """S10 + S9: ranked results nested per question, written as one results
-    document, loaded back (validated) and flattened."""
+    """S10 + S9: ranked results nested per question, written as JSON Lines,
+    loaded back (validated) and flattened."""
     from lexispan.sources import sinks as sk
 
     idx = _index(spark, sf)
     questions = fx.benchmark_questions(spark, sf).withColumn("input_pos", F.monotonically_increasing_id())
     flat = se.search_dataset(idx, questions.select("question_id", "question"), K)
     flat = flat.join(questions.select("question_id", "input_pos"), "question_id")
-    path = sk.write_results(sk.nest_results(flat), _scratch(spark, "results"), "benchmark.json", K)
-    back, _ = qs.load_results(spark, path)
+    path = sk.write_results(sk.nest_results(flat), _scratch(spark, "results"), "benchmark.jsonl", K, json_lines=True)
+    back, _ = qs.load_results(spark, path, json_lines=True)
     return _bigint(back.where(F.col("rank").isNotNull()).select(
         "question_id", "rank", "file_path", "first_character_index", "last_character_index"), "rank")
 

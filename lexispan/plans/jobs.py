@@ -149,23 +149,25 @@ def answer_query(spark: SparkSession, query: str, make_answerer: Callable[[], cx
     return res, cx.answer_one(query, texts, make_answerer)
 
 
-def evaluate(spark: SparkSession, results_path: str, dataset_path: str) -> tuple[DataFrame, str]:
-    """(cutoff, mean_recall) and the report text."""
-    flat, _ = qs.load_results(spark, results_path)
+def evaluate(spark: SparkSession, results_path: str, dataset_path: str,
+             json_lines: bool = False) -> tuple[DataFrame, str]:
+    """(cutoff, mean_recall) and the report text. ``json_lines``:
+    results and question set are JSON Lines."""
+    flat, _ = qs.load_results(spark, results_path, json_lines)
     results = ev.last_wins(flat, order="input_pos")
     results = flat.join(results.select("question_id", "input_pos"), ["question_id", "input_pos"])
-    gold = qs.gold_from_questions(qs.load_questions(spark, dataset_path))
+    gold = qs.gold_from_questions(qs.load_questions(spark, dataset_path, json_lines=json_lines))
     recall = ev.recall_at_k(gold, results)
     lines = [r["line"] for r in ev.recall_report(recall).orderBy("cutoff").collect()]
     return recall, "\n".join(["Evaluation Results", "=" * 40] + lines)
 
 
-def load_dataset(spark: SparkSession, dataset_path: str) -> str:
-    q = qs.load_questions(spark, dataset_path)
+def load_dataset(spark: SparkSession, dataset_path: str, json_lines: bool = False) -> str:
+    q = qs.load_questions(spark, dataset_path, json_lines=json_lines)
     n = qs.question_count(q).first()["n_questions"]
     return f"Dataset loaded successfully: {n} questions."
 
 
-def copy_dataset(spark: SparkSession, src: str, dst: str) -> str:
-    qs.copy_questions(spark, src, dst)
+def copy_dataset(spark: SparkSession, src: str, dst: str, json_lines: bool = False) -> str:
+    qs.copy_questions(spark, src, dst, json_lines)
     return f"Dataset saved successfully: {dst}"

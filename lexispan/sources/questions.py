@@ -217,10 +217,10 @@ def save_questions(questions: DataFrame, path: str, json_lines: bool = False) ->
         write_document(dataset_lines(questions), path)
 
 
-def copy_questions(spark: SparkSession, src: str, dst: str) -> DataFrame:
+def copy_questions(spark: SparkSession, src: str, dst: str, json_lines: bool = False) -> DataFrame:
     """Load, validate, save; returns the loaded table."""
-    q = load_questions(spark, src)
-    save_questions(q, dst)
+    q = load_questions(spark, src, json_lines=json_lines)
+    save_questions(q, dst, json_lines)
     return q
 
 

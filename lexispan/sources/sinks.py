@@ -87,7 +87,8 @@ def write_results(nested: DataFrame, directory: str, name: str, k: int,
     check_output_directory(directory)
     target = os.path.join(directory, name)
     if json_lines:
-        nested.withColumn("k", F.lit(int(k))).write.mode("overwrite").json(target)
+        ordered = nested.orderBy("input_pos") if "input_pos" in nested.columns else nested
+        ordered.withColumn("k", F.lit(int(k))).write.mode("overwrite").json(target)
     else:
         write_document(results_lines(nested, k), target)
     return target

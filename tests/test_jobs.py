@@ -71,3 +71,26 @@ def test_output_directory_that_is_a_file(spark, project):
         jobs.index_corpus(spark, "data/raw", str(f))
     with pytest.raises(ValueError):
         jobs.index_corpus(spark, "data/raw", str(project / "i"), chunk_size=0)
+
+
+def test_commands_on_json_lines(spark, project):
+    idx_dir = str(project / "data/processed")
+    jobs.index_corpus(spark, "data/raw", idx_dir, chunk_size=2000)
+    gold = [("data/raw/docs/lora.md", 0, 40), ("data/raw/docs/cache.md", 0, 10)]
+    items = [{"question_id": i, "question": q, "answer": "x", "sources": [
+        {"file_path": p, "first_character_index": s, "last_character_index": e}]}
+        for i, q, (p, s, e) in zip("ab", ("How do I load LoRA adapters?", "prefix caching blocks"), gold)]
+    # The last result of an id counts, in the order of the lines.
+    items += [{"question_id": "a", "question": "what is the"}]
+    ds = project / "questions.jsonl"
+    ds.write_text("".join(json.dumps(i) + "\n" for i in items))
+    out = jobs.search_dataset(spark, str(ds), str(project / "out"), 3, idx_dir, json_lines=True)
+    recall, report = jobs.evaluate(spark, out, str(ds), json_lines=True)
+    assert {r.cutoff: r.mean_recall for r in recall.collect()}[3] == 0.5
+    assert report.splitlines()[2].startswith("Recall@1: 0.500")
+    assert jobs.load_dataset(spark, str(ds), json_lines=True) == "Dataset loaded successfully: 3 questions."
+    copy = str(project / "copy.jsonl")
+    jobs.copy_dataset(spark, str(ds), copy, json_lines=True)
+    assert jobs.load_dataset(spark, copy, json_lines=True) == "Dataset loaded successfully: 3 questions."
+    lines = [json.loads(r.value) for r in spark.read.text(copy).collect()]
+    assert sorted(x["question"] for x in lines) == sorted(x["question"] for x in items)
