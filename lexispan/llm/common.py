@@ -167,8 +167,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: i
     each label, for fitting on the driver.
 
     Rows held out, without a label or without a document are left out;
-    of an id's labels the largest counts. The choice goes by a hash of
-    the id; weights undo the unequal sampling of the labels.
+    of an id's labels the largest counts, of its texts the one of the
+    smallest hash. The choice goes by a hash of the id; weights undo the
+    unequal sampling of the labels.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
@@ -176,8 +177,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: i
     order = [F.xxhash64("_id"), F.col("_id")]
     chosen = [known.where(F.col("_label") == v).orderBy(*order).limit(per_label) for v in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])  # at most 2 * per_label rows of two numbers
-    found = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(
-        "_id", "_label", F.coalesce(F.col(text_col), F.lit("")).alias("_text")).dropDuplicates(["_id"])
+    # The table's own columns, whatever their names, stay behind.
+    texts = docs.select(F.col(id_col).alias("_own"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    found = texts.join(F.broadcast(chosen), F.col("_own") == F.col("_id")).groupBy("_id", "_label").agg(
+        F.min_by("_text", F.xxhash64("_text")).alias("_text"))
     table = found.toArrow().sort_by("_id")
     flags = table["_label"].to_numpy().astype(bool)
     weights = np.ones(len(flags))

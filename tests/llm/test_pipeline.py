@@ -38,3 +38,27 @@ def test_filter_stages_keep_the_columns_of_documents(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontamination", "packing"]
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, DATA).schema == docs.schema
+
+
+def test_stages_on_odd_rows_and_clashing_names(spark):
+    """Null and repeated ids, null and empty texts, equal rows, columns
+    named like the stages' own, and an empty table."""
+    good = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").where("lang = 'en'").limit(30).collect()]
+    clash = ("_id string, _label int, _text string, _sha string, _own_0 int, _own_1 int, text_hash long, cid long, row int, "
+             "doc_id long, text string")
+    pad = ("i", 1, "t", "s", 2, 3, 4, 5, 6)
+    rows = [(*pad, None if i % 3 == 0 else i, t) for i, t in enumerate(good)]
+    rows += [(*pad, 1, good[1]), (*pad, 1, good[2]), (*pad, None, None), (*pad, None, ""), (*pad, None, good[0]), (*pad, 50, None)]
+    docs = spark.createDataFrame(rows, clash)
+    empty = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, DATA)
+        assert kept.schema == docs.schema
+        left = sorted((r.doc_id, r.text) if r.doc_id is not None else (-1, r.text or "") for r in kept.collect() if r.text)
+        assert set(left) <= {(-1 if r[-2] is None else r[-2], r[-1]) for r in rows}, name
+        assert stage(spark, empty, DATA).count() == 0
+    exact = corpus_pipeline.exact_copies(spark, docs, DATA).collect()
+    texts = [r.text or "" for r in exact]
+    assert len(texts) == len(set(texts)) == len({r[-1] or "" for r in rows})
+    assert corpus_pipeline.packed(spark, docs, DATA).where("piece = 0").count() == len(rows)
+    assert corpus_pipeline.packed(spark, empty, DATA).count() == 0
