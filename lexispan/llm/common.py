@@ -20,6 +20,8 @@ from lexispan.sources.files import Files
 
 #: Remainder of crc32(doc_id as text) mod FOLDS that is never learnt from.
 FOLDS, HELD_OUT = 4, 2
+#: Bytes of texts scored at a time: a worker's arrays are many times that.
+SLICE_BYTES = 1 << 20
 #: Largest table, in bytes, that is broadcast. Executors hold several.
 BROADCAST_BYTES = 8 << 20
 
@@ -197,7 +199,7 @@ def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], cut: float,
     """doc_id, held_out, score and predicted of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, end in row_slices(batch.column("text")):
+            for at, end in row_slices(batch.column("text"), SLICE_BYTES):
                 values = score(batch.column("text").slice(at, end - at))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(at, end - at), batch.column("held_out").slice(at, end - at),
@@ -218,10 +220,11 @@ def scored_from(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], cut: f
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("row").field(place).fill_null("")
-            for at, end in row_slices(texts):
+            for at, end in row_slices(texts, SLICE_BYTES):
                 keep = pa.array(score(texts.slice(at, end - at)) >= cut)
                 rows = batch.column("row").slice(at, end - at).filter(keep)
                 yield pa.RecordBatch.from_arrays([rows], names=["row"])
+            pa.default_memory_pool().release_unused()
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = T.StructType([T.StructField("row", docs.schema, False)])
     return whole.mapInArrow(run, schema).select("row.*")

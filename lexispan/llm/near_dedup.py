@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lexispan.llm.common import BROADCAST_BYTES, Scratch, broadcast_within, let, text_hash, without
+from lexispan.llm.common import BROADCAST_BYTES, SLICE_BYTES, Scratch, broadcast_within, let, text_hash, without
 from lexispan.llm.words import mix, row_slices, shingle_hashes, word_hashes
 
 WIDTH, THRESHOLD = 5, 0.75
@@ -50,7 +50,7 @@ FAN = 512
 #: Classes of a block in the search for the links left over.
 BLOCK = 192
 #: Shingles sketched at a time.
-GROUP = 1 << 19
+GROUP = 1 << 18
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,7 +84,7 @@ def registers(shingles: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, sorted distinct shingles, begins) of ranges of rows."""
-    for first, last in row_slices(texts):
+    for first, last in row_slices(texts, SLICE_BYTES):
         for at, end, found, begins in _slice_sets(texts.slice(first, last - first)):
             yield first + at, first + end, found, begins
 
@@ -131,6 +131,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [*[batch.column(c).slice(at, end - at) for c in carried], pa.array(np.diff(begins), pa.int64()),
                  pa.array(k1), pa.array(k2), pa.array([r.tobytes() for r in packed], pa.binary())],
                 names=[*carried, "n", "k1", "k2", "registers"])
+        pa.default_memory_pool().release_unused()
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,6 +151,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cid").slice(at, end - at).filter(keep),
                  sets.filter(keep).cast(pa.list_(pa.int64()))], names=["cid", "shingles"])
+        pa.default_memory_pool().release_unused()
 
 
 def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -273,6 +275,7 @@ def _compared(percent: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(shared), pa.array(linked)],
                 names=["a", "b", "shared", "linked"])
+            pa.default_memory_pool().release_unused()
     return run
 
 
