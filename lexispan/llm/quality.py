@@ -1,10 +1,11 @@
 """Text quality by a factorisation machine.
 
-Inputs are a text's hashed words, binned statistics of its structure and
-its length on record. Beside a weight every input has a short vector,
-and every two inputs interact by the product of their vectors; the sum
-over all pairs is half the square of the summed vectors less the summed
-squares, so scoring takes linear time.
+Inputs are a text's hashed words and binned statistics of its structure,
+its length among them. Of a document's metadata only the recorded length
+could be an input, and it is the text's. Beside a weight every input has
+a short vector, and every two inputs interact by the product of their
+vectors; the sum over all pairs is half the square of the summed vectors
+less the summed squares, so scoring takes linear time.
 
 Fitting reads a bounded sample: at most ``SAMPLE`` rows of each label.
 Scoring covers all rows and whole texts.
