@@ -99,6 +99,34 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sh.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+SQL["op5_sharding"] = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(0, 8), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END,
+              CAST(i AS BIGINT)) ORDER BY i) AS t FROM range(0, 256) r(i)),
+d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+sums AS (
+  SELECT r, doc_id, CAST(octet_length(raw) + 1 AS BIGINT) AS size,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+           regexp_extract_all(hex(raw), '..'), lambda b: CAST('0x' || b AS BIGINT))),
+           lambda c, x: xor(c // 256, t[1 + xor(c, x) % 256])), 4294967295) AS crc
+  FROM d, crc_table),
+jumps AS (
+  SELECT r, (CAST(coalesce(doc_id, 0) AS HUGEINT) + 18446744073709551616) % 18446744073709551616 AS state,
+         CAST(0 AS BIGINT) AS jump, 0 AS shard, 0 AS grown
+  FROM d
+  UNION ALL
+  SELECT r, (state * 2862933555777941757 + 1) % 18446744073709551616,
+         CAST(floor((jump + 1) * (CAST(2147483648 AS DOUBLE) / CAST(
+           ((state * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 + 1 AS DOUBLE))) AS BIGINT),
+         CASE WHEN jump < 16 THEN jump ELSE shard END, jump
+  FROM jumps WHERE jump <= 16),
+ended AS (SELECT r, CAST(max(shard) AS INTEGER) AS shard, CAST(max(grown) AS INTEGER) AS grown_shard FROM jumps GROUP BY r)
+SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, crc) - 1 AS slot, grown_shard
+FROM sums JOIN ended USING (r)
+"""
+
+
 @_register
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by a conditional random field."""
