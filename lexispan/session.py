@@ -20,7 +20,6 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -30,6 +29,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     if master:
         builder = builder.master(master)
+    if master and master.startswith("local"):
+        # A cluster brings its own setting, sized for its data.
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
