@@ -235,14 +235,13 @@ def test_bounded_scores_keep_every_result(spark, tmp_path, monkeypatch):
     assert saved.nonnegative_idf
     q = qdf(spark, questions)
     every = se.bm25_scores(saved, q)
-    for k, first in ((1, 1), (3, 8), (300, 64)):
+    for k, first, pushdown in ((1, 1, True), (3, 8, False), (300, 64, True)):
         monkeypatch.setattr(se, "FIRST_PASS", first)
-        for pushdown in (True, False):
-            weights, n, wanted = se.weighted_tokens(saved, q, se.Intermediates(), pushdown)
-            assert (wanted is not None) == pushdown
-            got = se.bounded_scores(saved, weights, n, k, wanted)
-            assert [tuple(r)[:2] for r in se.top_k(saved, got, k).orderBy("question_id", "rank").collect()] == [
-                tuple(r)[:2] for r in se.top_k(saved, every, k).orderBy("question_id", "rank").collect()]
+        weights, n, wanted = se.weighted_tokens(saved, q, se.Intermediates(), pushdown)
+        assert (wanted is not None) == pushdown
+        got = se.bounded_scores(saved, weights, n, k, wanted)
+        assert [tuple(r)[:2] for r in se.top_k(saved, got, k).orderBy("question_id", "rank").collect()] == [
+            tuple(r)[:2] for r in se.top_k(saved, every, k).orderBy("question_id", "rank").collect()]
 
 
 def test_bounds_leave_pairs_unscored(spark, tmp_path, monkeypatch):
