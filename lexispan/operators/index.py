@@ -47,6 +47,8 @@ B = 0.4
 IDF_FLOOR_FACTOR = 0.25
 
 FORMAT_VERSION = 5
+# Tokens of an index in memory that one task counts.
+TASK_TOKENS = 1_000_000
 # Bytes of chunks whose postings share one file, and files of a group:
 # a group is a bucketed table, whose buckets Spark limits to 100,000.
 POSTINGS_BYTES = 128 << 20
@@ -242,8 +244,10 @@ def _index_of(chunks: DataFrame, k1: float, b: float, chunk_size: int, materiali
     spark = chunks.sparkSession
     index.tokenized = tok = tok.persist()
     offsets, n_chunks, avgdl = _offsets(tok)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    postings = postings_from_tokens(with_chunk_ids(tok, offsets), F.lit(avgdl), k1, b, parts).persist()
+    # As many partitions as keep a task's counts in memory.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_chunks * avgdl / TASK_TOKENS))
+    counts = postings_from_tokens(with_chunk_ids(tok, offsets), files=parts).persist()
+    postings = counts.withColumn("tfn", tf_factor(F.col("tf"), F.col("dl"), F.lit(avgdl), k1, b))
     counted = _token_counts([postings]).persist()
     average = counted.agg(F.avg(raw_idf(F.col("df"), F.lit(n_chunks)))).first()[0]
     index.chunks, index.groups = _chunk_table(tok, offsets), [postings]

@@ -4,20 +4,19 @@ For a batch of questions:
 
 1. question tokens are counted per question (``qtf``; a repeated token
    counts again) and joined to ``terms`` (idf, df, largest tf factor);
-2. they are joined to the postings, and contributions are summed per
-   (question, chunk). Their number is known before, from the document
-   frequencies; batches beyond BOUNDED_PAIRS leave out chunks that cannot
-   reach rank k (``bounded_scores``), with equal results;
+2. the postings of the questions' tokens are gathered per chunk, which
+   needs no shuffle, as each group of postings is clustered by chunk;
+   tasks score blocks of chunks with numpy and keep the best k chunks of
+   each question and block (``block_top``): pairs of questions and chunks
+   are never rows;
 3. ``row_number`` over (question) ordered by score, then chunk id (the
-   corpus order), ``<= k``: planned as a partial ``WindowGroupLimit``
-   before the shuffle, so even a question that matches every chunk, or
-   any number of equal chunks, only moves ``k`` rows per partition;
+   corpus order), ``<= k``, of these;
 4. the k rows of each question meet their paths.
 
-The question side is broadcast when its checked row count is small, so
-the postings are streamed, never shuffled; otherwise the join is left to
-the planner (sort-merge / AQE). Sums per (question, chunk) need no
-shuffle, as each group of postings is clustered by chunk.
+The question side goes to all tasks, at most QUESTION_SLICE rows at a
+time; larger batches are scored in slices of the questions. Scores of
+all pairs (``bm25_scores``) are a join with the postings and a sum per
+(question, chunk), also without a shuffle of the postings.
 
 Zero-fill (reference behaviour): when fewer than ``k`` chunks score
 above zero, the list continues with zero-score chunks in corpus order,
@@ -28,8 +27,14 @@ chunk is read for them.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +48,13 @@ BROADCAST_CANDIDATES = 1_000_000
 # (question, token) rows up to this count have their tokens pushed into
 # the postings/terms scans as an IN filter (row-group skipping on Parquet).
 PUSHDOWN_TOKENS = 1_000
-# Matching postings of a batch from which scoring bounds are worth their
-# additional passes.
-BOUNDED_PAIRS = 200_000_000
+# (question, token) rows that are sent to all tasks at a time.
+QUESTION_SLICE = 1_000_000
+# Postings that are scored at a time.
+BLOCK_POSTINGS = 1 << 20
+# Matching postings of a batch beyond which its scoring goes by bounds; None:
+# never, as blocks take less (bounds shuffle the pairs they leave open).
+BOUNDED_PAIRS: int | None = None
 # Postings of a question's rare tokens in the first pass, and chunks that
 # get their full score after it, for each of its k.
 FIRST_PASS, PROMISING = 64, 2
@@ -60,15 +69,22 @@ class Intermediates:
 
     def __init__(self) -> None:
         self._kept: list[DataFrame] = []
+        self._held: list[Broadcast] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         kept = df.persist()
         self._kept.append(kept)
         return kept
 
+    def hold(self, sent: Broadcast) -> Broadcast:
+        self._held.append(sent)
+        return sent
+
     def release(self) -> None:
         while self._kept:
             self._kept.pop().unpersist()
+        while self._held:
+            self._held.pop().unpersist()
 
 
 # Of searches that were given none of their own.
@@ -149,13 +165,105 @@ def bm25_scores(index: BM25Index, questions: DataFrame, pushdown: bool = True,
 
 def top_scores(index: BM25Index, questions: DataFrame, k: int, pushdown: bool = True,
                kept: Intermediates = _SHARED) -> DataFrame:
-    """R1 for a top-k: by bounds where they pay, else of all chunks. No
-    score may be negative."""
+    """R1 for a top-k: (question_id, chunk_id, score) of a few chunks of
+    each question, the best k of all among them."""
     weights, n, wanted = weighted_tokens(index, questions, kept, pushdown)
-    weights = kept.keep(weights)
-    if (weights.agg(F.sum("df")).first()[0] or 0) <= BOUNDED_PAIRS:
-        return _summed(index, weights, n, wanted)
-    return bounded_scores(index, weights, n, k, wanted, kept)
+    if BOUNDED_PAIRS is not None and (weights.agg(F.sum("df")).first()[0] or 0) > BOUNDED_PAIRS:
+        return bounded_scores(index, kept.keep(weights), n, k, wanted, kept)
+    weights = weights.select("question_id", "token", "w")
+    slices = max(math.ceil(n / QUESTION_SLICE), 1)
+    if slices == 1:
+        return block_top(index, weights, k, wanted, kept)
+    own = F.pmod(F.xxhash64("question_id"), F.lit(slices))
+    return reduce(DataFrame.unionByName, [block_top(index, weights.where(own == i), k, wanted, kept)
+                                          for i in range(slices)])
+
+
+def block_top(index: BM25Index, weights: DataFrame, k: int, wanted: list[str] | None = None,
+              kept: Intermediates = _SHARED) -> DataFrame:
+    """The best ``k`` chunks of each question of ``weights`` (question_id,
+    token, w) in every block of chunks, with their scores; ties go by
+    chunk id.
+
+    All postings of a chunk meet in one row (no shuffle: each group is
+    clustered by chunk), so a block's scores are final.
+    """
+    spark = index.chunks.sparkSession
+    table = weights.toArrow().sort_by("question_id")
+    tokens = table["token"].unique()
+    ids = table["question_id"].combine_chunks().dictionary_encode("encode")  # a null id is one, too
+    starts = np.searchsorted(ids.indices.to_numpy(), np.arange(len(ids.dictionary) + 1))
+    numbers = pc.index_in(table["token"], tokens).to_numpy()
+    asked = kept.hold(spark.sparkContext.broadcast(
+        (ids.dictionary, starts, numbers, table["w"].to_numpy(), len(tokens))))
+    known = F.broadcast(spark.createDataFrame(
+        pa.table({"token": tokens, "number": pa.array(range(len(tokens)), pa.int32())}), "token string, number int"))
+
+    def of_group(postings: DataFrame) -> DataFrame:
+        if wanted is not None:
+            postings = postings.where(F.col("token").isin(wanted))
+        hits = postings.select("token", "chunk_id", "tfn").join(known, "token").groupBy("chunk_id").agg(
+            F.collect_list(F.struct("number", "tfn")).alias("hits"))
+        return hits.mapInArrow(_block_scores(asked, k), "question_id string, chunk_id bigint, score double")
+    return reduce(DataFrame.unionByName, [of_group(g) for g in index.groups])
+
+
+def _block_scores(asked: Broadcast, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch.column("hits").flatten())
+            if size >= BLOCK_POSTINGS:
+                yield best_of_block(pa.Table.from_batches(held), k, *asked.value)
+                held, size = [], 0
+        if held:
+            yield best_of_block(pa.Table.from_batches(held), k, *asked.value)
+    return run
+
+
+def best_of_block(block: pa.Table, k: int, ids: pa.Array, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray,
+                  n_tokens: int) -> pa.RecordBatch:
+    """Best ``k`` of the chunks ``block`` (chunk_id, hits: number and tf
+    factor of their tokens) for each question: the i-th has the tokens
+    ``numbers`` and ``weights`` from ``starts[i]`` to ``starts[i + 1]``."""
+    place = np.argsort(block["chunk_id"].to_numpy())
+    block = block.take(pa.array(place)).combine_chunks()
+    chunk_ids, lists = block["chunk_id"].to_numpy(), block["hits"].chunk(0)
+    rows = np.repeat(np.arange(len(chunk_ids)), pc.list_value_length(lists).to_numpy())
+    tokens, factors = (pc.struct_field(lists.flatten(), i).to_numpy() for i in (0, 1))
+    # The block's postings by token.
+    order = np.argsort(tokens, kind="stable")
+    rows, factors = rows[order], factors[order]
+    ends = np.cumsum(np.bincount(tokens, minlength=n_tokens))
+    begins = np.r_[0, ends[:-1]]
+    here = np.r_[0, np.cumsum((ends - begins)[numbers])][starts]
+    found, chunks, scores = [], [], []
+    for q in np.flatnonzero(np.diff(here)):
+        own = slice(starts[q], starts[q + 1])
+        parts = [(slice(begins[t], ends[t]), w) for t, w in zip(numbers[own], weights[own], strict=True)
+                 if begins[t] < ends[t]]
+        at = np.concatenate([rows[p] for p, _ in parts])
+        values = np.concatenate([factors[p] * w for p, w in parts])
+        if len(at) * 8 < len(chunk_ids):  # few: no sum over the whole block
+            hit, at = np.unique(at, return_inverse=True)
+            score = np.bincount(at, values)
+        else:
+            hit = np.flatnonzero(np.bincount(at, minlength=len(chunk_ids)))
+            score = np.bincount(at, values, len(chunk_ids))[hit]
+        if len(hit) > k:
+            key = np.rint(score * 1e9)  # as score_key has it
+            least = np.partition(key, len(key) - k)[len(key) - k]
+            best = np.flatnonzero(key > least)
+            best = np.r_[best, np.flatnonzero(key == least)[:k - len(best)]]
+            hit, score = hit[best], score[best]
+        found.append(np.full(len(hit), q))
+        chunks.append(chunk_ids[hit])
+        scores.append(score)
+    none = [np.empty(0, np.int64)]
+    return pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(np.concatenate(found or none))), pa.array(np.concatenate(chunks or none)),
+         pa.array(np.concatenate(scores or none).astype(float))], names=["question_id", "chunk_id", "score"])
 
 
 def bounded_scores(index: BM25Index, weights: DataFrame, n: int, k: int, wanted: list[str] | None = None,
@@ -213,14 +321,14 @@ def with_spans(index: BM25Index, scored: DataFrame, rows: int | None = None) ->
     """Attach (file_path, first, last) to rows keyed by chunk_id.
 
     With a known, bounded row count the keyed rows are broadcast and the
-    chunk table is streamed (never shuffled); otherwise the planner
-    chooses.
+    chunk table is streamed (never shuffled); otherwise the chunks' keys
+    are dealt like the scores, which stay where they were summed, unsorted.
     """
     keys = index.chunks.select("chunk_id", "file_path", "first_character_index",
                                "last_character_index")
     if rows is not None and rows <= BROADCAST_SURVIVORS:
         return F.broadcast(scored).join(keys, "chunk_id")
-    return scored.join(keys, "chunk_id")
+    return scored.join(keys.hint("shuffle_hash"), "chunk_id")
 
 
 def top_k(index: BM25Index, scored: DataFrame, k: int) -> DataFrame:

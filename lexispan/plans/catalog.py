@@ -144,7 +144,9 @@ def q_index_tokens(spark, sf):
 
 def q_postings(spark, sf):
     idx = _index(spark, sf)
-    p = idx.postings.join(idx.chunks.select("chunk_id", "file_path", "first_character_index"), "chunk_id")
+    # The keys are dealt like the postings, which stay where they are, unsorted.
+    keys = idx.chunks.select("chunk_id", "file_path", "first_character_index").hint("shuffle_hash")
+    p = idx.postings.join(keys, "chunk_id")
     return _bigint(p.select("token", "file_path", "first_character_index", "tf", "dl"), "tf", "dl")
 
 
@@ -423,8 +425,9 @@ def q_answer_query(spark, sf):
     q = _first_question(spark, sf)
     idx = _index(spark, sf)
     res = se.search_one(idx, q["text"], 3, q["question_id"])
-    texts = res.join(idx.chunks.select("file_path", "first_character_index", "text"),
-                     ["file_path", "first_character_index"])
+    # Three rows at most: the chunks' texts stream past them.
+    texts = F.broadcast(res).join(idx.chunks.select("file_path", "first_character_index", "text"),
+                                  ["file_path", "first_character_index"])
     answer = cx.answer_one(q["text"], [r["text"] for r in texts.orderBy("rank").select("text").collect()],
                            cx.first_line_answerer)
     return res.where(F.col("rank") == 1).select("question_id", F.lit(answer).alias("answer"))

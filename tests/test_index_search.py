@@ -297,3 +297,25 @@ def test_searches_release_their_own_intermediates(spark):
     one.release()
     assert two._kept and all(d.storageLevel.useMemory for d in two._kept)
     assert ranked(a) and ranked(b)
+
+
+def test_search_hands_on_few_chunks_of_a_question(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    rows = [(f"d/{i:03d}.md", " ".join(["lora"] + rng.choices(["cache", "paging", "draft"], k=rng.randint(0, 9))))
+            for i in range(400)]
+    rows += [(f"e/{i}.md", "filler words only " * 3) for i in range(900)]
+    q = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(["lora", "lora cache", "paging draft lora lora", "zzz"])]
+                              + [(None, "cache draft")], "question_id string, question string")
+    saved = ix.save_index(ix.build_index(docs(spark, rows), 2000, materialize=False), str(tmp_path / "idx"), 2)
+    for idx in (build(spark, rows), saved):
+        assert idx.nonnegative_idf
+        every = se.bm25_scores(idx, q)
+        want = [tuple(r)[:2] for r in se.top_k(idx, every, 3).orderBy("question_id", "rank").collect()]
+        best = se.top_scores(idx, q, 3)
+        # Not a row for each of the 400 chunks that hold a token.
+        assert best.count() <= 4 * 3 * 4 < every.count() / 20
+        for width in (se.QUESTION_SLICE, 3):
+            monkeypatch.setattr(se, "QUESTION_SLICE", width)
+            got = se.top_k(idx, se.top_scores(idx, q, 3), 3)
+            assert [tuple(r)[:2] for r in got.orderBy("question_id", "rank").collect()] == want
+        assert len(want) == 12
