@@ -15,10 +15,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,44 +107,50 @@ def gold_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")).alias("passage"))
 
 
-def _passage_prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+# Fingerprints handed on at a time (a batch of texts has many times its size).
+PRINT_ROWS = 1 << 17
+
+
+def _passage_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every selected fingerprint of each passage at its own level."""
-    for pdf in batches:
-        qids, lvls, hs, offs = [], [], [], []
-        for qid, passage in zip(pdf["question_id"], pdf["passage"]):
-            lvl = fp.level_of(len(passage))
-            pos, h = fp.winnow(passage, lvl)
-            qids.append(np.full(pos.shape[0], qid, dtype=object))
-            lvls.append(np.full(pos.shape[0], lvl, dtype=np.int32))
-            hs.append(h)
-            offs.append(pos)
-        yield _long_frame(["question_id", "lvl", "h", "o"], qids, lvls, hs, offs)
+    for batch in batches:
+        yield from _prints(batch, ["question_id", "lvl", "h", "o"], lambda passage: [fp.level_of(len(passage))])
 
 
 def _text_prints(levels: list[int]):
-    """mapInPandas function: selected fingerprints of each text at the
+    """mapInArrow function: selected fingerprints of each text at the
     levels some passage uses."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            paths, lvls, hs, poss = [], [], [], []
-            for path, text in zip(pdf["file_path"], pdf["text"]):
-                if text is None:
-                    continue
-                for lvl in levels:
-                    pos, h = fp.winnow(text, lvl)
-                    paths.append(np.full(pos.shape[0], path, dtype=object))
-                    lvls.append(np.full(pos.shape[0], lvl, dtype=np.int32))
-                    hs.append(h)
-                    poss.append(pos)
-            yield _long_frame(["file_path", "lvl", "h", "pos"], paths, lvls, hs, poss)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _prints(batch, ["file_path", "lvl", "h", "pos"], lambda text: levels)
     return run
 
 
-def _long_frame(names: list[str], *parts: list[np.ndarray]) -> pd.DataFrame:
-    empty = (np.empty(0, dtype=object), np.empty(0, dtype=np.int32),
-             np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
-    cols = [np.concatenate(p) if p else e for p, e in zip(parts, empty)]
-    return pd.DataFrame(dict(zip(names, cols)))
+def _prints(batch: pa.RecordBatch, names: list[str],
+            levels_of: Callable[[str], list[int]]) -> Iterator[pa.RecordBatch]:
+    """The fingerprints of a batch's texts (key, text), some texts at a
+    time; null texts have none."""
+    keys, texts = batch.columns
+    rows, lvls, hs, offs, held = [], [], [], [], 0
+
+    def taken() -> pa.RecordBatch:
+        columns = [keys.take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(lvls)),
+                   pa.array(np.concatenate(hs)), pa.array(np.concatenate(offs))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+    for i, text in enumerate(texts):
+        text = text.as_py()
+        for lvl in levels_of(text) if text is not None else ():
+            pos, h = fp.winnow(text, lvl)
+            rows.append(np.full(len(pos), i))
+            lvls.append(np.full(len(pos), lvl, dtype=np.int32))
+            hs.append(h)
+            offs.append(pos)
+            held += len(pos)
+        if held >= PRINT_ROWS:
+            yield taken()
+            rows, lvls, hs, offs, held = [], [], [], [], 0
+    if held:
+        yield taken()
 
 
 def _maybe_broadcast(df: DataFrame, size: int, limit: int) -> DataFrame:
@@ -186,10 +192,10 @@ def locate_passages(corpus: DataFrame, passages: DataFrame) -> DataFrame:
     levels = [int(x) for x in totals["levels"]]  # at most len(LEVELS) values
 
     # A passage has at most one fingerprint per character: n_chars bounds them.
-    pprints = spread(passages.select("question_id", "passage")).mapInPandas(
+    pprints = spread(passages.select("question_id", "passage")).mapInArrow(
         _passage_prints, "question_id string, lvl int, h bigint, o bigint")
     keys = _maybe_broadcast(pprints.select("lvl", "h").distinct(), n_chars, GOLD_BROADCAST_PRINTS)
-    tprints = corpus.select("file_path", "text").mapInPandas(
+    tprints = corpus.select("file_path", "text").mapInArrow(
         _text_prints(levels), "file_path string, lvl int, h bigint, pos bigint")
     # Corpus fingerprints some passage shares; read twice below, so the
     # lineage is cut in the shared checkpoint folder.

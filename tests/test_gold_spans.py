@@ -78,3 +78,17 @@ def test_winnow_in_blocks_equals_one_piece(text, level, block):
     pieces = fp.winnow(text, level, block=block)
     assert whole[0].tolist() == pieces[0].tolist()
     assert whole[1].tolist() == pieces[1].tolist()
+
+
+def test_fingerprints_are_handed_on_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(fx, "PRINT_ROWS", 50)
+    texts = [f"text number {i} " * 20 if i % 7 else None for i in range(60)] + ["", "ab"]
+    batch = pa.RecordBatch.from_pydict({"file_path": [f"f{i}" for i in range(len(texts))], "text": texts})
+    parts = list(fx._text_prints([0, 1])(iter([batch])))
+    assert len(parts) > 10 and max(p.num_rows for p in parts) < 50 + 330
+    got = [tuple(r.values()) for p in parts for r in p.to_pylist()]
+    want = [(f"f{i}", lvl, int(h), int(pos)) for i, t in enumerate(texts) if t is not None for lvl in (0, 1)
+            for pos, h in zip(*fp.winnow(t, lvl))]
+    assert got == want
