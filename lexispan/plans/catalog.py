@@ -352,17 +352,17 @@ def q_search_stream(spark, sf):
 
 
 def _write_files(root: str):
-    """mapInPandas function: write each (file_path, text) under ``root``."""
+    """mapInArrow function: write each (file_path, text) under ``root``."""
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            for path, text in zip(pdf["file_path"], pdf["text"]):
-                full = os.path.join(root, path)
+        for batch in batches:
+            for path, text in zip(batch.column("file_path"), batch.column("text"), strict=True):
+                full = os.path.join(root, path.as_py())
                 os.makedirs(os.path.dirname(full), exist_ok=True)
                 with open(full, "wb") as fh:
-                    fh.write(text.encode("utf-8"))
-            yield pd.DataFrame({"n": [len(pdf)]})
+                    fh.write(text.as_buffer())
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
     return run
 
 
@@ -370,7 +370,7 @@ def q_corpus_files(spark, sf):
     """S1 + S2 on files: the prose corpus is written out as a file tree by
     Spark tasks, then listed, read and strictly decoded back."""
     root = _scratch(spark, "files")
-    written = fx.prose_corpus(spark, sf).mapInPandas(_write_files(root), "n long")
+    written = fx.prose_corpus(spark, sf).mapInArrow(_write_files(root), "n long")
     written.agg(F.sum("n")).first()
     return co.load_documents(spark, os.path.join(root, "corpus"), project_root=root)
 

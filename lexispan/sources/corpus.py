@@ -1,8 +1,8 @@
 """Corpus sources (S1-S4): file trees or tables -> (file_path, text).
 
 Listing keeps names that start with ``_`` or ``.`` (``__init__.py``):
-Spark's file sources hide those, so files are listed with ``os.walk``
-and read by Python tasks as bytes. The driver opens only as many folders
+Spark's file sources hide those, so files are listed with
+``os.scandir`` and read by Python tasks as bytes. The driver opens only as many folders
 as it takes to give every task some; what lies below is walked by
 executor tasks, and the paths are dealt out evenly before reading (a
 shared POSIX mount is assumed, e.g. NFS or a FUSE-mounted object store). Decoding is native
@@ -15,6 +15,7 @@ the listing: ``documents_from_table``.
 
 from __future__ import annotations
 
+import itertools
 import os
 from collections import deque
 from collections.abc import Iterator
@@ -27,26 +28,50 @@ from lexispan.functions.text import is_supported_path, normalize_newlines
 
 LIST_SCHEMA = "path string, is_file boolean"
 # File contents a task holds before it hands them on.
-READ_BYTES = 16 << 20
+READ_BYTES = 4 << 20
+# Paths of a folder held at a time.
+LISTED = 10_000
+
+
+def _files(top: str) -> Iterator[tuple[str, bool]]:
+    """(path, whether it is a file) of what is no folder below ``top``, as
+    ``os.walk`` goes: links to folders are not followed, folders that
+    cannot be read are passed over."""
+    folders = [top]
+    while folders:
+        try:
+            with os.scandir(folders.pop()) as entries:
+                for entry in entries:
+                    if not entry.is_dir():
+                        yield entry.path, entry.is_file()
+                    elif not entry.is_symlink():
+                        folders.append(entry.path)
+        except OSError:
+            continue
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for top in pdf["path"]:
-            if os.path.isfile(top):
-                yield pd.DataFrame([(top, True)], columns=["path", "is_file"])
-                continue
-            for dirpath, _, filenames in os.walk(top):
-                found = [os.path.join(dirpath, name) for name in filenames]
-                yield pd.DataFrame({"path": found, "is_file": [os.path.isfile(f) for f in found]})
+            found = iter([(top, True)]) if os.path.isfile(top) else _files(top)
+            while rows := list(itertools.islice(found, LISTED)):
+                yield pd.DataFrame(rows, columns=["path", "is_file"])
 
 
 def _tops(root: str, wanted: int) -> list[str]:
     """Entries below ``root`` that tasks can walk on their own: folders
-    are opened, shallow ones first, until there are ``wanted``."""
+    are opened, shallow ones first, until there are ``wanted``. A folder
+    of more than LISTED entries is left to one task, which lists it in
+    parts."""
     folders, tops = deque([root]), []
     while folders and len(folders) + len(tops) < wanted:
-        for entry in sorted(os.scandir(folders.popleft()), key=lambda e: e.name):
+        folder = folders.popleft()
+        with os.scandir(folder) as found:
+            entries = sorted(itertools.islice(found, LISTED + 1), key=lambda e: e.name)
+        if len(entries) > LISTED:
+            tops.append(folder)
+            continue
+        for entry in entries:
             (folders if entry.is_dir(follow_symlinks=False) else tops).append(entry.path)
     return [*folders, *tops]
 

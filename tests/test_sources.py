@@ -163,3 +163,24 @@ def test_one_top_folder_spreads_over_partitions(spark, tmp_path):
     sizes = [len(p) for p in paths.rdd.glom().collect()]
     assert sum(sizes) == 120 and max(sizes) <= 30 and sum(s > 0 for s in sizes) >= 8
     assert co.load_documents(spark, str(tmp_path / "corpus"), str(tmp_path)).count() == 120
+
+
+def test_large_folders_are_listed_in_parts(tmp_path, monkeypatch):
+    import pandas as pd
+
+    (tmp_path / "flat").mkdir()
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    for i in range(25):
+        (tmp_path / "flat" / f"{i}.md").write_text("x")
+    (tmp_path / "deep" / "er" / "a.md").write_text("x")
+    (tmp_path / "deep" / "link").symlink_to(tmp_path / "flat")
+    monkeypatch.setattr(co, "LISTED", 10)
+    tops = co._tops(str(tmp_path), 1000)
+    # The driver does not list a folder of more entries; a task does, in parts.
+    assert str(tmp_path / "flat") in tops and len(tops) <= 4
+    frames = list(co._walk(iter([pd.DataFrame({"path": [str(tmp_path / "flat"), str(tmp_path / "deep" / "er")]})])))
+    assert max(map(len, frames)) <= 10
+    got = [p for f in frames for p, is_file in zip(f["path"], f["is_file"]) if is_file]
+    assert sorted(got) == sorted([str(tmp_path / "flat" / f"{i}.md") for i in range(25)]
+                                 + [str(tmp_path / "deep" / "er" / "a.md")])
+    assert sorted(p for p, _ in co._files(str(tmp_path / "deep"))) == [str(tmp_path / "deep" / "er" / "a.md")]
