@@ -279,9 +279,10 @@ def _compared(percent: int):
     return run
 
 
-def components(links: DataFrame, scratch: Scratch, rounds: int | None = None) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch | None = None, rounds: int | None = None) -> DataFrame:
     """(id, label): the smallest id reachable over links (a, b); after
     ``rounds`` rounds some smaller one, not yet the smallest."""
+    scratch = scratch or Scratch(links.sparkSession)
     both = scratch.table(links.select("a", "b").union(links.select("b", "a")), "edges")
     labels = scratch.table(both.groupBy(F.col("a").alias("id")).agg(
         F.least("id", F.min("b")).alias("label")), "labels")
