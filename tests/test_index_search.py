@@ -319,3 +319,16 @@ def test_search_hands_on_few_chunks_of_a_question(spark, tmp_path, monkeypatch):
             got = se.top_k(idx, se.top_scores(idx, q, 3), 3)
             assert [tuple(r)[:2] for r in got.orderBy("question_id", "rank").collect()] == want
         assert len(want) == 12
+
+
+def test_all_scores_meet_their_paths_unsorted(spark):
+    idx = build(spark, CORPUS)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores = se.with_spans(idx, se.bm25_scores(idx, qdf(spark, [("q", "lora cache")])))
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+        assert scores.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
