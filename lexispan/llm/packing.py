@@ -26,13 +26,15 @@ from lexispan.llm.common import gapless_rank, shared_table
 CAPACITY = 1024
 #: Token id that ends every document.
 END = 2
-#: Texts' units whose ids a Python worker remembers.
-REMEMBERED = 300_000
+#: Texts' units of a generation; a Python worker remembers the ids of two.
+REMEMBERED = 200_000
 
-# Units of a text: an optional space and a run without white space, or
-# white space. Unit borders are borders of the tokenizer's own words.
+# Units of a text: an optional space and a run of letters and digits, or
+# of what follows up to white space; or white space. Unit borders are
+# borders of the tokenizer's own words, and a word is remembered once,
+# whatever marks follow it.
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_UNITS = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_UNITS = re.compile(rf" ?[^\W_]+| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 def tokenizer_path() -> str:
@@ -44,7 +46,12 @@ def tokenizer_path() -> str:
 
 class _Ids(dict):
     """Ids of a unit as little-endian unsigned 32-bit bytes, for a file
-    of a byte-level BPE without normaliser."""
+    of a byte-level BPE without normaliser.
+
+    The units met last are kept. A full generation becomes the old one;
+    an old unit that comes again belongs to the new one, so frequent
+    units stay.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -52,6 +59,8 @@ class _Ids(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merged = self.tokenizer.model.tokenize
+        self.old: dict[str, bytes] = {}
         # A byte's character in the vocabulary: printable Latin-1 ones
         # stand for themselves, the rest follow from 256 on, in order.
         plain = [b for b in range(256) if chr(b) in ByteLevel.alphabet() and b != 32]
@@ -59,22 +68,27 @@ class _Ids(dict):
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def __missing__(self, unit: str) -> bytes:
-        word = unit.removeprefix(" ")
-        if word.isalpha():
-            # One word of the tokenizer: straight to its merges.
-            ids = [t.id for t in self.tokenizer.model.tokenize(
-                unit.encode().decode("latin-1").translate(self.letters))]
-            found = array("I", ids).tobytes()
-        elif len(unit) > 1 and unit[-1] in ".,;:!?" and word[:-1].isalpha():
-            found = self[unit[:-1]] + self[unit[-1]]
-        else:
-            found = array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+        found = self.old.get(unit)
+        if found is None:
+            found = array("I", self._encoded(unit)).tobytes()
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
         if len(unit) <= 64:
             self[unit] = found
         return found
 
+    def _encoded(self, unit: str) -> list[int]:
+        word = unit.removeprefix(" ")
+        if not word.isalpha():
+            return self.tokenizer.encode(unit, add_special_tokens=False).ids
+        # One word of the tokenizer: straight to its merges.
+        if word.isascii():
+            spelt = self.letters[32] + word if unit[0] == " " else word
+        else:
+            spelt = unit.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.merged(spelt)]
+
 
 _LOADED: dict[str, _Ids] = {}
 

@@ -78,6 +78,28 @@ def test_token_units_give_the_tokenizers_ids():
         assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_words_are_merged_once_whatever_marks_follow(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    monkeypatch.setattr(packing, "REMEMBERED", 8)
+    ids = packing._Ids(path)
+    monkeypatch.setitem(packing._LOADED, path, ids)
+    plain, encoded = Tokenizer.from_file(path), []
+    plain.encode_special_tokens = True
+    missed = ids._encoded
+    ids._encoded = lambda unit: encoded.append(unit) or missed(unit)
+    for text in ["w lora w lora, (lora) lora!!! lora___ lora&&&", "it's lora' lora's lora's, x2, ½!», don't.", "w \n\n, été, été."]:
+        ids_of = plain.encode(text, add_special_tokens=False).ids + [packing.END]
+        assert np.frombuffer(packing.token_bytes(text, path), "<u4").tolist() == ids_of
+    assert encoded.count(" lora") == 1 and not {" lora,", " lora!!!", " lora___", " lora&&&"} & set(encoded)
+    # A unit that comes again outlives the rare ones around it.
+    encoded.clear()
+    for i in range(40):
+        packing.token_bytes(f"often rare{i}x", path)
+    assert encoded.count("often") <= 1 and len(encoded) >= 40 and len(ids) + len(ids.old) <= 16
+
+
 def test_pack_documents(spark):
     rng = random.Random(2)
     texts = [None, "", "word " * 5000, *["tok " * rng.randint(1, 700) for _ in range(60)], "same", "same"]
