@@ -27,7 +27,7 @@ CAPACITY = 1024
 #: Token id that ends every document.
 END = 2
 #: Texts' units of a generation; a Python worker remembers the ids of two.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 # Units of a text: an optional space and a run of letters and digits, or
 # of what follows up to white space; or white space. Unit borders are
