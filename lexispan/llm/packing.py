@@ -16,8 +16,11 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +29,19 @@ from lexispan.llm.common import gapless_rank, shared_table
 CAPACITY = 1024
 #: Token id that ends every document.
 END = 2
-#: Texts' units of a generation; a Python worker remembers the ids of two.
-REMEMBERED = 100_000
+#: Texts' units of a generation; a task remembers the ids of two.
+REMEMBERED = 300_000
+#: Bytes of texts whose units are told apart at a time.
+SLICE = 1 << 22
 
 # Units of a text: an optional space and a run of letters and digits, or
-# of what follows up to white space; or white space. Unit borders are
-# borders of the tokenizer's own words, and a word is remembered once,
-# whatever marks follow it.
+# of what follows up to white space; or white space, without the last of
+# it before a word. Unit borders are borders of the tokenizer's own
+# words, and a word is remembered once, whatever marks follow it.
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_UNITS = re.compile(rf" ?[^\W_]+| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_WORD, _MARK, _WHITE = range(3)
+# A space at which a long text may be cut: a unit begins there.
+_CUT = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
 def tokenizer_path() -> str:
@@ -78,6 +85,12 @@ class _Ids(dict):
             self[unit] = found
         return found
 
+    def forget(self) -> None:
+        """Give the memory back: the worker may go on to other work."""
+        self.clear()
+        self.old = {}
+        pa.default_memory_pool().release_unused()
+
     def _encoded(self, unit: str) -> list[int]:
         word = unit.removeprefix(" ")
         if not word.isalpha():
@@ -93,11 +106,100 @@ class _Ids(dict):
 _LOADED: dict[str, _Ids] = {}
 
 
-def token_bytes(text: str, path: str) -> bytes:
-    """A document's ids and the end id, four bytes each."""
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point whether it is a letter or digit, a mark or white space."""
+    kinds = np.array([_WORD if chr(i).isalnum() else _MARK for i in range(0x110000)], np.uint8)
+    kinds[[ord(c) for c in re.findall(f"[{_SPACE}]", "".join(map(chr, range(1 << 16))))]] = _WHITE
+    return kinds
+
+
+def _borders(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """First characters of the units of texts, whose code points follow
+    each other and which begin at ``starts``."""
+    kinds = _kinds()[points]
+    begins = np.zeros(len(points), bool)
+    begins[starts[starts < len(points)]] = True
+    turns = begins.copy()  # where white space or other characters begin
+    turns[1:] |= (kinds[1:] == _WHITE) != (kinds[:-1] == _WHITE)
+    runs = np.cumsum(turns, dtype=np.int32)
+    first = turns.copy()
+    # The last white space before a word begins a unit, which the word joins after a space.
+    words = np.flatnonzero(turns & ~begins & (kinds != _WHITE))
+    first[words - 1] = True
+    first[words] = points[words - 1] != 32
+    marks = np.flatnonzero(kinds == _MARK)
+    marks = marks[np.diff(runs[marks], prepend=0) != 0]
+    first[marks[~turns[marks]]] = True
+    return np.flatnonzero(first)
+
+
+def _slice_ids(data: np.ndarray, starts: np.ndarray, ids: _Ids) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts that begin at the bytes ``starts`` of ``data``,
+    and where those of each begin and end."""
+    if not len(data):
+        return np.empty(0, "<u4"), np.zeros(len(starts) + 1, np.int64)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+    at = np.flatnonzero((data & 0xC0) != 0x80)  # the byte of each character
+    starts = np.searchsorted(at, starts)
+    borders = _borders(points, starts)
+    offsets = np.append(at[borders], len(data)).astype(np.int32)
+    units = pa.StringArray.from_buffers(len(borders), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+    found = [ids[unit] for unit in units.dictionary.to_numpy(zero_copy_only=False)]
+    flat, codes = np.frombuffer(b"".join(found), "<u4"), units.indices.to_numpy()
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    ends = np.append(0, np.cumsum(sizes[codes]))
+    places = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], sizes[codes])
+    places += np.arange(ends[-1])
+    return flat[places], ends[np.append(np.searchsorted(borders, starts), len(borders))]
+
+
+def _parts(data: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, bool]]:
+    """End of each text, and of the parts of longer ones than SLICE, and
+    whether a text ends there."""
+    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        while end - start > SLICE and (found := _CUT.search(data, start + SLICE, end)):
+            start = found.start()
+            yield start, False
+        yield end, True
+
+
+def texts_ids(texts: pa.Array, path: str) -> Iterator[bytes]:
+    """Of each text (null: empty) the ids and the end id, four bytes each."""
     if path not in _LOADED:
         _LOADED[path] = _Ids(path)
-    return b"".join(map(_LOADED[path].__getitem__, _UNITS.findall(text))) + END.to_bytes(4, "little")
+    if not len(texts):
+        return
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    begin, starts, whole, text = int(edges[0]), [int(edges[0])], [], []
+    end = begin
+    for end, ended in _parts(data, edges):
+        whole.append(ended)
+        if end - begin < SLICE:
+            starts.append(end)
+            continue
+        yield from _ended(data[begin:end], starts, whole, text, _LOADED[path])
+        begin, starts, whole = end, [end], []
+    if whole:
+        yield from _ended(data[begin:end], starts[:len(whole)], whole, text, _LOADED[path])
+
+
+def _ended(data: np.ndarray, starts: list[int], whole: list[bool], text: list[bytes], ids: _Ids) -> Iterator[bytes]:
+    """The texts that end in a slice; ``text`` keeps the parts of one that does not."""
+    found, ends = _slice_ids(data, np.array(starts) - starts[0], ids)
+    for low, high, ended in zip(ends[:-1].tolist(), ends[1:].tolist(), whole, strict=True):
+        text.append(found[low:high].tobytes())
+        if ended:
+            yield b"".join([*text, END.to_bytes(4, "little")])
+            text.clear()
+
+
+def token_bytes(text: str, path: str) -> bytes:
+    """A document's ids and the end id, four bytes each."""
+    return next(texts_ids(pa.array([text], pa.string()), path))
 
 
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -111,8 +213,7 @@ def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column("id").to_pylist(), []
-            for i, text in enumerate(batch.column("text")):
-                buffer = token_bytes(text.as_py() or "", path)
+            for i, buffer in enumerate(texts_ids(batch.column("text"), path)):
                 for n, (start, length) in enumerate(cut(len(buffer) // 4, capacity)):
                     rows.append((ids[i], n, start, length, zlib.crc32(buffer[4 * start:4 * (start + length)])))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
@@ -120,6 +221,8 @@ def _pieces(path: str, capacity: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        if path in _LOADED:
+            _LOADED[path].forget()
     return run
 
 

@@ -100,6 +100,38 @@ def test_words_are_merged_once_whatever_marks_follow(monkeypatch):
     assert encoded.count("often") <= 1 and len(encoded) >= 40 and len(ids) + len(ids.old) <= 16
 
 
+@pytest.mark.parametrize("size", [1, 7, 60, 1 << 22])
+def test_texts_of_a_batch_are_told_apart_together(monkeypatch, size):
+    from tokenizers import Tokenizer
+
+    class Counted(packing._Ids):
+        asked = 0
+
+        def __getitem__(self, unit):
+            self.asked += 1
+            return super().__getitem__(unit) if unit in self else self.__missing__(unit)
+    path = packing.tokenizer_path()
+    ids = Counted(path)
+    monkeypatch.setitem(packing._LOADED, path, ids)
+    monkeypatch.setattr(packing, "SLICE", size)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    rng = random.Random(size)
+    parts = ["lora ", "lora", " ", "\n", "\t", "_", "é", "日", "1", ", ", "'s", "\u3000", "\x1f", "a b c", "<|endoftext|>"]
+    texts = ["", None, " a", "a ", " ", "lora " * 500,
+             *["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(300)], None, ""]
+    batch = pa.array([*texts, "left out"]).slice(1, len(texts) - 1)
+    want = [[*plain.encode(t or "", add_special_tokens=False).ids, packing.END] for t in texts[1:]]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.texts_ids(batch, path)] == want
+    if size == 1 << 22:  # a unit is looked up once, however often it occurs
+        assert len(ids) == ids.asked
+    schema = ["id", "text"]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(batch))), batch], names=schema)
+    assert sum(b.num_rows for b in packing._pieces(path, 1024)(iter([rows]))) == len(batch)
+    assert not ids and not ids.old  # the worker may go on to other work
+    assert list(packing.texts_ids(pa.array([], pa.string()), path)) == []
+
+
 def test_pack_documents(spark):
     rng = random.Random(2)
     texts = [None, "", "word " * 5000, *["tok " * rng.randint(1, 700) for _ in range(60)], "same", "same"]
