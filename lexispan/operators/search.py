@@ -7,8 +7,9 @@ For a batch of questions:
 2. the postings of the questions' tokens are gathered per chunk, which
    needs no shuffle, as each group of postings is clustered by chunk;
    tasks score blocks of chunks with numpy and keep the best k chunks of
-   each question and block (``block_top``): pairs of questions and chunks
-   are never rows;
+   each question (``block_top``): pairs of questions and chunks are never
+   rows, and tokens that cannot lift a chunk past the k-th are looked up
+   only for chunks that the other tokens lead to;
 3. ``row_number`` over (question) ordered by score, then chunk id (the
    corpus order), ``<= k``, of these;
 4. the k rows of each question meet their paths.
@@ -48,10 +49,14 @@ BROADCAST_CANDIDATES = 1_000_000
 # (question, token) rows up to this count have their tokens pushed into
 # the postings/terms scans as an IN filter (row-group skipping on Parquet).
 PUSHDOWN_TOKENS = 1_000
-# (question, token) rows that are sent to all tasks at a time.
-QUESTION_SLICE = 1_000_000
-# Postings that are scored at a time.
-BLOCK_POSTINGS = 1 << 20
+# (question, token) rows that are sent to all tasks at a time (12 bytes each).
+QUESTION_SLICE = 4_000_000
+# Postings that are scored at a time, and tasks that score, for each task slot.
+BLOCK_POSTINGS, BLOCK_TASKS = 1 << 20, 3
+# Questions that are prepared at a time, rows that a task holds and hands on at a time.
+QUESTION_BATCH, HELD_ROWS, OUT_ROWS = 4096, 4_000_000, 1 << 17
+# Of a question's threshold, what its frequent tokens may add unseen; chunks of a group.
+BOUND_SHARE, GROUP_CHUNKS = 0.6, 64
 # Matching postings of a batch beyond which its scoring goes by bounds; None:
 # never, as blocks take less (bounds shuffle the pairs they leave open).
 BOUNDED_PAIRS: int | None = None
@@ -170,7 +175,6 @@ def top_scores(index: BM25Index, questions: DataFrame, k: int, pushdown: bool =
     weights, n, wanted = weighted_tokens(index, questions, kept, pushdown)
     if BOUNDED_PAIRS is not None and (weights.agg(F.sum("df")).first()[0] or 0) > BOUNDED_PAIRS:
         return bounded_scores(index, kept.keep(weights), n, k, wanted, kept)
-    weights = weights.select("question_id", "token", "w")
     slices = max(math.ceil(n / QUESTION_SLICE), 1)
     if slices == 1:
         return block_top(index, weights, k, wanted, kept)
@@ -182,88 +186,192 @@ def top_scores(index: BM25Index, questions: DataFrame, k: int, pushdown: bool =
 def block_top(index: BM25Index, weights: DataFrame, k: int, wanted: list[str] | None = None,
               kept: Intermediates = _SHARED) -> DataFrame:
     """The best ``k`` chunks of each question of ``weights`` (question_id,
-    token, w) in every block of chunks, with their scores; ties go by
-    chunk id.
+    token, w, df) among the chunks of every task, with their scores; ties
+    go by chunk id.
 
     All postings of a chunk meet in one row (no shuffle: each group is
     clustered by chunk), so a block's scores are final.
     """
     spark = index.chunks.sparkSession
-    table = weights.toArrow().sort_by("question_id")
-    tokens = table["token"].unique()
-    ids = table["question_id"].combine_chunks().dictionary_encode("encode")  # a null id is one, too
-    starts = np.searchsorted(ids.indices.to_numpy(), np.arange(len(ids.dictionary) + 1))
-    numbers = pc.index_in(table["token"], tokens).to_numpy()
-    asked = kept.hold(spark.sparkContext.broadcast(
-        (ids.dictionary, starts, numbers, table["w"].to_numpy(), len(tokens))))
+    tokens, *questions = asked_questions(weights.select("question_id", "token", "w", "df").toArrow())
+    asked = kept.hold(spark.sparkContext.broadcast((*questions, len(tokens))))
     known = F.broadcast(spark.createDataFrame(
         pa.table({"token": tokens, "number": pa.array(range(len(tokens)), pa.int32())}), "token string, number int"))
+    # A task hands on k chunks of a question, however many blocks it scores.
+    tasks = BLOCK_TASKS * spark.sparkContext.defaultParallelism
 
     def of_group(postings: DataFrame) -> DataFrame:
         if wanted is not None:
             postings = postings.where(F.col("token").isin(wanted))
         hits = postings.select("token", "chunk_id", "tfn").join(known, "token").groupBy("chunk_id").agg(
             F.collect_list(F.struct("number", "tfn")).alias("hits"))
-        return hits.mapInArrow(_block_scores(asked, k), "question_id string, chunk_id bigint, score double")
+        return hits.coalesce(tasks).mapInArrow(
+            _block_scores(asked, k), "question_id string, chunk_id bigint, score double")
     return reduce(DataFrame.unionByName, [of_group(g) for g in index.groups])
 
 
+def asked_questions(weights: pa.Table) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens of ``weights`` (question_id, token, w, df), question
+    ids, and the questions: the i-th has the tokens ``numbers`` and
+    ``weights`` from ``starts[i]`` to ``starts[i + 1]``, frequent ones
+    first."""
+    tokens = weights["token"].unique()
+    numbers = pc.index_in(weights["token"], tokens).to_numpy().astype(np.int32)
+    ids = weights["question_id"].combine_chunks().dictionary_encode("encode")  # a null id is one, too
+    own = ids.indices.to_numpy()
+    order = np.lexsort((numbers, -weights["df"].to_numpy(), own))
+    starts = np.r_[0, np.cumsum(np.bincount(own, minlength=len(ids.dictionary)))]
+    return tokens, ids.dictionary, starts, numbers[order], weights["w"].to_numpy()[order]
+
+
 def _block_scores(asked: Broadcast, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        best, held, size = BestChunks(k, *asked.value), [], 0
         for batch in batches:
             held.append(batch)
             size += len(batch.column("hits").flatten())
-            if size >= BLOCK_POSTINGS:
-                yield best_of_block(pa.Table.from_batches(held), k, *asked.value)
+            if size >= best.block_postings:
+                yield from best.add(pa.Table.from_batches(held))
                 held, size = [], 0
         if held:
-            yield best_of_block(pa.Table.from_batches(held), k, *asked.value)
+            yield from best.add(pa.Table.from_batches(held))
+        yield from best.rows()
     return run
 
 
-def best_of_block(block: pa.Table, k: int, ids: pa.Array, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray,
-                  n_tokens: int) -> pa.RecordBatch:
-    """Best ``k`` of the chunks ``block`` (chunk_id, hits: number and tf
-    factor of their tokens) for each question: the i-th has the tokens
-    ``numbers`` and ``weights`` from ``starts[i]`` to ``starts[i + 1]``."""
-    place = np.argsort(block["chunk_id"].to_numpy())
-    block = block.take(pa.array(place)).combine_chunks()
-    chunk_ids, lists = block["chunk_id"].to_numpy(), block["hits"].chunk(0)
-    rows = np.repeat(np.arange(len(chunk_ids)), pc.list_value_length(lists).to_numpy())
-    tokens, factors = (pc.struct_field(lists.flatten(), i).to_numpy() for i in (0, 1))
-    # The block's postings by token.
-    order = np.argsort(tokens, kind="stable")
-    rows, factors = rows[order], factors[order]
-    ends = np.cumsum(np.bincount(tokens, minlength=n_tokens))
-    begins = np.r_[0, ends[:-1]]
-    here = np.r_[0, np.cumsum((ends - begins)[numbers])][starts]
-    found, chunks, scores = [], [], []
-    for q in np.flatnonzero(np.diff(here)):
-        own = slice(starts[q], starts[q + 1])
-        parts = [(slice(begins[t], ends[t]), w) for t, w in zip(numbers[own], weights[own], strict=True)
-                 if begins[t] < ends[t]]
-        at = np.concatenate([rows[p] for p, _ in parts])
-        values = np.concatenate([factors[p] * w for p, w in parts])
-        if len(at) * 8 < len(chunk_ids):  # few: no sum over the whole block
-            hit, at = np.unique(at, return_inverse=True)
-            score = np.bincount(at, values)
+class BestChunks:
+    """Best ``k`` chunks of each question among the blocks of a task.
+
+    A question's k-th best score so far is its threshold. Its frequent
+    tokens, as far as their largest contributions in a block together
+    stay below BOUND_SHARE of the threshold, cannot lift a chunk into the
+    result by themselves: the others are summed over the block, and only
+    chunks that can still reach the threshold get the contributions of
+    the frequent tokens. Arguments as ``asked_questions`` gives them.
+    """
+
+    def __init__(self, k: int, ids: pa.Array, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray,
+                 n_tokens: int) -> None:
+        self._k, self._ids, self._starts, self._numbers, self._weights = k, ids, starts, numbers, weights
+        self._n_tokens = n_tokens
+        # Few questions do not pay for large blocks.
+        self.block_postings = BLOCK_POSTINGS if len(ids) > QUESTION_BATCH else BLOCK_POSTINGS // 8
+        self._unit = np.full(n_tokens, np.inf)
+        np.minimum.at(self._unit, numbers, weights)
+        self._unit[self._unit == 0] = 1.0
+        self._least = np.full(len(ids), -np.inf)
+        # Where k chunks of all questions are too many to hold, each block's go out.
+        self._held = len(ids) * k <= HELD_ROWS
+        self._n = np.zeros(len(ids), np.int64)
+        self._chunks = np.empty((len(ids), k if self._held else 0), np.int64)
+        self._scores = np.empty((len(ids), k if self._held else 0))
+
+    def add(self, block: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Score the chunks of ``block`` (chunk_id, hits: number and tf
+        factor of their tokens) for all questions."""
+        place = np.argsort(block["chunk_id"].to_numpy())
+        block = block.take(pa.array(place)).combine_chunks()
+        chunk_ids, lists = block["chunk_id"].to_numpy(), block["hits"].chunk(0)
+        rows = np.repeat(np.arange(len(chunk_ids)), pc.list_value_length(lists).to_numpy())
+        tokens, factors = (pc.struct_field(lists.flatten(), i).to_numpy() for i in (0, 1))
+        # The block's postings by token, and by chunk within it.
+        order = np.argsort(tokens, kind="stable")
+        rows, factors = rows[order], factors[order]
+        ends = np.cumsum(np.bincount(tokens, minlength=self._n_tokens))
+        begins = np.r_[0, ends[:-1]]
+        present = np.flatnonzero(begins < ends)
+        largest = np.zeros(self._n_tokens)
+        if len(present):
+            largest[present] = np.maximum.reduceat(factors, begins[present])
+        # Most questions ask for a token as often as any: its postings are weighted once.
+        factors = factors * np.repeat(self._unit, ends - begins)
+        out: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for low in range(0, len(self._ids), QUESTION_BATCH):
+            self._add(low, min(low + QUESTION_BATCH, len(self._ids)), chunk_ids, rows, factors, begins, ends, largest, out)
+        if out:
+            yield self._batch(np.repeat([q for q, _, _ in out], [len(c) for _, c, _ in out]),
+                              np.concatenate([c for _, c, _ in out]), np.concatenate([s for _, _, s in out]))
+
+    def _add(self, low: int, high: int, chunk_ids: np.ndarray, rows: np.ndarray, factors: np.ndarray, begins: np.ndarray,
+             ends: np.ndarray, largest: np.ndarray, out: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+        """The questions from ``low`` to ``high``."""
+        own = slice(self._starts[low], self._starts[high])
+        question = np.repeat(np.arange(high - low), np.diff(self._starts[low:high + 1]))
+        here = np.flatnonzero(begins[self._numbers[own]] < ends[self._numbers[own]])
+        question, numbers, weights = question[here], self._numbers[own][here], self._weights[own][here]
+        starts = np.r_[0, np.cumsum(np.bincount(question, minlength=high - low))]
+        # What a question's first tokens can add to a score together.
+        bound = np.maximum(weights * largest[numbers], 0.0)
+        total = np.cumsum(bound)
+        total -= (total - bound)[np.minimum(starts[:-1], max(len(total) - 1, 0))][question]
+        spare = np.where(self._least[low:high] > 2 * SLACK, BOUND_SHARE * self._least[low:high], -1.0)
+        rest = starts[:-1] + np.bincount(question, total <= spare[question], minlength=high - low).astype(np.int64)
+        begin, end, times, bounds, total = (
+            x.tolist() for x in (begins[numbers], ends[numbers], weights / self._unit[numbers], bound, total))
+        for q, first, split, last in zip(range(low, high), starts[:-1].tolist(), rest.tolist(), starts[1:].tolist(), strict=True):
+            if split == last:
+                continue  # nothing here, or too little
+            parts = [slice(b, e) for b, e in zip(begin[split:last], end[split:last], strict=True)]
+            values = [factors[p] if x == 1.0 else factors[p] * x for p, x in zip(parts, times[split:last], strict=True)]
+            scores = np.bincount(np.concatenate([rows[p] for p in parts]), np.concatenate(values), len(chunk_ids))
+            least = self._least[q]
+            if least > 2 * SLACK:
+                most = total[split - 1] if split > first else 0.0
+                hit = np.flatnonzero(scores >= least - most - SLACK)
+                found = scores[hit]
+                for i in range(split - 1, first - 1, -1):
+                    if not len(hit):
+                        break
+                    list_ = rows[begin[i]:end[i]]
+                    at = np.minimum(np.searchsorted(list_, hit), len(list_) - 1)
+                    found = found + np.where(list_[at] == hit, factors[begin[i]:end[i]][at] * times[i], 0.0)
+                    most -= bounds[i]
+                    open_ = found >= least - most - 2 * SLACK
+                    hit, found = hit[open_], found[open_]
+            else:
+                hit = self._leading(scores)
+                if hit is None:  # scores may be 0 or less, few chunks are hit
+                    hit = np.unique(np.concatenate([rows[begin[i]:end[i]] for i in range(first, last)]))
+                found = scores[hit]
+            if len(hit):
+                self._keep(q, chunk_ids[hit], found, out)
+
+    def _leading(self, scores: np.ndarray) -> np.ndarray | None:
+        """Chunks that may be among the best k: those that reach the k-th
+        largest score of disjoint groups of chunks, if it is above 0."""
+        groups = len(scores) // GROUP_CHUNKS
+        if groups < self._k:
+            return None
+        largest = scores[:groups * GROUP_CHUNKS].reshape(GROUP_CHUNKS, groups).max(axis=0)
+        least = np.partition(largest, groups - self._k)[groups - self._k] - SLACK
+        return np.flatnonzero(scores >= least) if least > 0 else None
+
+    def _keep(self, q: int, chunks: np.ndarray, scores: np.ndarray, out: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+        if n := self._n[q]:
+            chunks = np.concatenate((self._chunks[q, :n], chunks))
+            scores = np.concatenate((self._scores[q, :n], scores))
+        if len(chunks) > self._k:
+            best = np.lexsort((chunks, -np.rint(scores * 1e9)))[:self._k]  # as score_key has it
+            chunks, scores = chunks[best], scores[best]
+        if len(chunks) == self._k:
+            self._least[q] = max(self._least[q], scores.min())
+        if self._held:
+            n = self._n[q] = len(chunks)
+            self._chunks[q, :n], self._scores[q, :n] = chunks, scores
         else:
-            hit = np.flatnonzero(np.bincount(at, minlength=len(chunk_ids)))
-            score = np.bincount(at, values, len(chunk_ids))[hit]
-        if len(hit) > k:
-            key = np.rint(score * 1e9)  # as score_key has it
-            least = np.partition(key, len(key) - k)[len(key) - k]
-            best = np.flatnonzero(key > least)
-            best = np.r_[best, np.flatnonzero(key == least)[:k - len(best)]]
-            hit, score = hit[best], score[best]
-        found.append(np.full(len(hit), q))
-        chunks.append(chunk_ids[hit])
-        scores.append(score)
-    none = [np.empty(0, np.int64)]
-    return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(np.concatenate(found or none))), pa.array(np.concatenate(chunks or none)),
-         pa.array(np.concatenate(scores or none).astype(float))], names=["question_id", "chunk_id", "score"])
+            out.append((q, chunks, scores))
+
+    def _batch(self, questions: np.ndarray, chunks: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([self._ids.take(pa.array(questions)), pa.array(chunks), pa.array(scores)],
+                                          names=["question_id", "chunk_id", "score"])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """What is held, some questions at a time."""
+        step = max(OUT_ROWS // self._k, 1)
+        for low in range(0, len(self._ids) if self._held else 0, step):
+            there = np.arange(self._k) < self._n[low:low + step, None]
+            yield self._batch(low + np.nonzero(there)[0], self._chunks[low:low + step][there],
+                              self._scores[low:low + step][there])
 
 
 def bounded_scores(index: BM25Index, weights: DataFrame, n: int, k: int, wanted: list[str] | None = None,

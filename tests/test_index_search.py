@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexispan.operators import chunking as ch
@@ -332,3 +334,72 @@ def test_all_scores_meet_their_paths_unsorted(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def asked_and_blocks(rng, n_chunks, n_blocks, n_questions):
+    """Questions as ``asked_questions`` gives them, blocks of chunks, and
+    every chunk's factors by token."""
+    words = list(range(40))
+    often = [1 / (i + 1) for i in words]
+    chunks = [{t: rng.choice([0.8, 1.1, 1.1, 1.7]) for t in rng.choices(words, often, k=rng.randint(0, 12))} for _ in range(n_chunks)]
+    chunks[-20:] = chunks[:20]  # equal scores: ties go by chunk id
+    df = [sum(t in c for c in chunks) for t in words]
+    rows = []
+    for q in range(n_questions):
+        asked = rng.choices(words, often, k=rng.randint(1, 15))
+        rows += [(None if q == 3 else f"q{q}", f"t{t}", asked.count(t) * (0.0 if t == 39 else 6.0 - 5 * df[t] / n_chunks), df[t])
+                 for t in sorted(set(asked))]
+    rng.shuffle(rows)
+    weights = pa.table({n: pa.array(c) for n, c in zip(("question_id", "token", "w", "df"), zip(*rows, strict=True), strict=True)})
+    tokens, *asked = se.asked_questions(weights)
+    number = {t: i for i, t in enumerate(tokens.to_pylist())}
+    kind = pa.list_(pa.struct([("number", pa.int32()), ("tfn", pa.float64())]))
+    dealt = rng.sample(range(n_chunks), n_chunks)
+    hits = {c: [{"number": number[f"t{t}"], "tfn": f} for t, f in chunks[c].items() if f"t{t}" in number] for c in dealt}
+    blocks = [pa.table({"chunk_id": own, "hits": pa.array([hits[c] for c in own], kind)})
+              for own in ([c for c in dealt[i::n_blocks] if hits[c]] for i in range(n_blocks))]
+    return (*asked, len(tokens)), blocks, rows, chunks
+
+
+def best_by_brute_force(rows, chunks, k):
+    want = {}
+    for q in {r[0] for r in rows}:
+        own = {t: w for i, t, w, _ in rows if i == q}
+        scores = [(-round(sum(own[f"t{t}"] * f for t, f in c.items() if f"t{t}" in own), 9), i)
+                  for i, c in enumerate(chunks) if any(f"t{t}" in own for t in c)]
+        want[q] = [i for _, i in sorted(scores)[:k]]
+    return want
+
+
+@pytest.mark.parametrize(("k", "held"), [(5, 1 << 20), (5, 0), (60, 1 << 20)])
+def test_a_task_hands_on_k_chunks_of_its_blocks(monkeypatch, k, held):
+    rng = random.Random(k + held)
+    asked, blocks, rows, chunks = asked_and_blocks(rng, 1500, 6, 25)
+    monkeypatch.setattr(se, "HELD_ROWS", held)
+    monkeypatch.setattr(se, "QUESTION_BATCH", 7)
+    monkeypatch.setattr(se, "GROUP_CHUNKS", 8)
+    best = se.BestChunks(k, *asked)
+    out = pa.Table.from_batches([*(b for block in blocks for b in best.add(block)), *best.rows()])
+    found = {}
+    for q, c, s in zip(*(out[n].to_pylist() for n in ("question_id", "chunk_id", "score")), strict=True):
+        found.setdefault(q, []).append((-round(s, 9), c))
+    assert {q: [c for _, c in sorted(x)[:k]] for q, x in found.items()} == best_by_brute_force(rows, chunks, k)
+    if held:
+        assert all(len(x) <= k for x in found.values())  # not of each block
+
+
+def test_frequent_tokens_are_not_summed_over_a_block(monkeypatch):
+    # Every chunk of the second block holds the frequent token, none the rare one.
+    ids, none = pa.array(["q"]), np.zeros(0)
+    kind = pa.list_(pa.struct([("number", pa.int32()), ("tfn", pa.float64())]))
+    first = pa.table({"chunk_id": range(3), "hits": pa.array([[{"number": 0, "tfn": 1.0}, {"number": 1, "tfn": 1.0}]] * 3, kind)})
+    second = pa.table({"chunk_id": range(3, 99), "hits": pa.array([[{"number": 0, "tfn": 1.0}]] * 96, kind)})
+    best = se.BestChunks(2, ids, np.array([0, 2]), np.array([0, 1], np.int32), np.array([1.0, 9.0]), 2)
+    sums, bincount = [], np.bincount
+
+    def counted(x, weights=none, minlength=0):
+        sums.extend([len(x)] * (weights is not none and weights.dtype == float))
+        return bincount(x, minlength=minlength) if weights is none else bincount(x, weights, minlength)
+    monkeypatch.setattr(se.np, "bincount", counted)
+    assert not list(best.add(first)) and not list(best.add(second)) and sums == [6]
+    assert [b.to_pydict() for b in best.rows()] == [{"question_id": ["q", "q"], "chunk_id": [0, 1], "score": [10.0, 10.0]}]
