@@ -34,6 +34,7 @@ import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -230,9 +231,10 @@ def _stats(spark: SparkSession, n_chunks: int, avgdl: float, average: float | No
 def _index_of(chunks: DataFrame, k1: float, b: float, chunk_size: int, materialize: bool) -> BM25Index:
     """I1-I4 over chunks in corpus order.
 
-    With ``materialize`` the tokenized chunks are persisted (memory, then
-    local disk; a lost block is recomputed from its deterministic
-    lineage), the ranges are counted, and the postings are persisted
+    With ``materialize`` the tokenized chunks are persisted (on local
+    disk, so that the executors' memory is the tasks'; a lost block is
+    recomputed from its deterministic lineage), the ranges are counted,
+    and the postings are persisted
     clustered by chunk (scoring then sums per question and chunk without
     a shuffle). Otherwise only the chunks' token lists are planned, for
     ``save_index`` to write.
@@ -242,13 +244,13 @@ def _index_of(chunks: DataFrame, k1: float, b: float, chunk_size: int, materiali
     if not materialize:
         return index
     spark = chunks.sparkSession
-    index.tokenized = tok = tok.persist()
+    index.tokenized = tok = tok.persist(StorageLevel.DISK_ONLY)
     offsets, n_chunks, avgdl = _offsets(tok)
     # As many partitions as keep a task's counts in memory.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_chunks * avgdl / TASK_TOKENS))
-    counts = postings_from_tokens(with_chunk_ids(tok, offsets), files=parts).persist()
+    counts = postings_from_tokens(with_chunk_ids(tok, offsets), files=parts).persist(StorageLevel.DISK_ONLY)
     postings = counts.withColumn("tfn", tf_factor(F.col("tf"), F.col("dl"), F.lit(avgdl), k1, b))
-    counted = _token_counts([postings]).persist()
+    counted = _token_counts([postings]).persist(StorageLevel.DISK_ONLY)
     average = counted.agg(F.avg(raw_idf(F.col("df"), F.lit(n_chunks)))).first()[0]
     index.chunks, index.groups = _chunk_table(tok, offsets), [postings]
     index.terms = counted.select("token", "df", _floored(average, n_chunks).alias("idf"), "max_tfn")

@@ -403,3 +403,11 @@ def test_frequent_tokens_are_not_summed_over_a_block(monkeypatch):
     monkeypatch.setattr(se.np, "bincount", counted)
     assert not list(best.add(first)) and not list(best.add(second)) and sums == [6]
     assert [b.to_pydict() for b in best.rows()] == [{"question_id": ["q", "q"], "chunk_id": [0, 1], "score": [10.0, 10.0]}]
+
+
+def test_an_index_leaves_memory_to_the_tasks(spark):
+    idx = build(spark, CORPUS)
+    assert ranked(se.search(idx, qdf(spark, [("q", "lora")]), 2))
+    for kept in (idx.tokenized, idx.groups[0], idx.terms):
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "InMemoryRelation" in plan and "StorageLevel(disk, 1 replicas)" in plan and "memory" not in plan
